@@ -221,6 +221,7 @@ def multi_code_share(df: DataFrame, column: str, codes: Sequence[str], group: st
 
 def overview_counts(df: DataFrame, region: str, age: str) -> DataFrame:
     """Records per region and over all rows, with mean age."""
-    return df.rollup(F.col(region).alias("_region")).agg(
-        F.grouping("_region").alias("_all"), F.count(F.lit(1)).alias("n"), F.avg(age).alias("mean_age")
+    rows = df.select(F.col(region).alias("_region"), F.col(age).alias("_age"))
+    return rows.rollup("_region").agg(
+        F.grouping("_region").alias("_all"), F.count(F.lit(1)).alias("n"), F.avg("_age").alias("mean_age")
     ).select(F.when(F.col("_all") == 1, ALL_GROUPS).otherwise(F.col("_region")).alias("region"), "n", "mean_age")

@@ -39,6 +39,8 @@ def cumulative_counts(
     keys = list(keys)
     bounded = list(keys if bound_keys is None else bound_keys)
     all_bounded = bounded == keys
+    if not bounded:
+        counts, bounded = counts.withColumn("_whole", F.lit(0)), ["_whole"]
     size = counts.groupBy(*bounded).agg(F.count(F.lit(1)).alias("_rows"), F.sum(n).alias("_weight"))
     step = F.greatest(F.lit(rows_per_bucket), (F.col("_rows") / max_buckets).cast("bigint"))
     # The weight test is always true; it keeps this branch reading the same shuffle as the others.
@@ -65,7 +67,7 @@ def cumulative_counts(
     return (
         lookup(bucketed, offsets, [*keys, "_bucket"], bounded=all_bounded)
         .withColumn("cum", F.col("_offset") + F.sum(n).over(inside))
-        .drop("_bucket", "_offset")
+        .drop("_bucket", "_offset", "_whole")
     )
 
 
