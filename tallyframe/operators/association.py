@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.pvalues import chi2_p, correlation_p, f_p, mann_whitney_p
 from tallyframe.functions.recode import base_question
-from tallyframe.operators.common import lookup, number, require_columns, text
+from tallyframe.operators.common import kinds_of, lookup, number, require_columns, text
 from tallyframe.operators.ranks import join_ranks, midranks, quantiles
 from tallyframe.plans.policy import NUMERIC_KINDS, VARIABLE_KINDS, Policy
+from tallyframe.sources.dimensions import small_table
 
 Pair = tuple[str, str]
 RESULT = "pair int, method string, effect double, p_value double, n bigint, min_group_n bigint"
@@ -29,7 +30,7 @@ SIGNED_METHODS = ("spearman_rho", "rank_biserial")
 
 def _complete_pairs(df: DataFrame, pairs: Mapping[int, Pair], first: str, second: str) -> DataFrame:
     """(pair, a, b) for every record and pair with both present. first/second: 'text' or 'number'."""
-    cells = {"text": text, "number": number}
+    cells, kinds = {"text": text, "number": number}, kinds_of(df)
     left = list(dict.fromkeys(a for a, _ in pairs.values()))
     right = list(dict.fromkeys(b for _, b in pairs.values()))
     plan = F.array(*[
@@ -37,8 +38,8 @@ def _complete_pairs(df: DataFrame, pairs: Mapping[int, Pair], first: str, second
         for i, (a, b) in pairs.items()
     ])
     packed = df.select(
-        F.array(*[cells[first](df, name) for name in left]).alias("_left"),
-        F.array(*[cells[second](df, name) for name in right]).alias("_right"),
+        F.array(*[cells[first](kinds, name) for name in left]).alias("_left"),
+        F.array(*[cells[second](kinds, name) for name in right]).alias("_right"),
     )
     spread = packed.select("_left", "_right", F.explode(plan).alias("p"))
     return spread.select(
@@ -74,19 +75,22 @@ def _chi_square(counts: DataFrame) -> DataFrame:
     expected count, which is the total less the expected counts of the observed cells."""
     row = counts.groupBy("pair", "a").agg(F.sum("n").alias("row_n"))
     col = counts.groupBy("pair", "b").agg(F.sum("n").alias("col_n"))
-    rows = row.groupBy("pair").agg(F.count(F.lit(1)).alias("n_rows"), F.min("row_n").alias("_min_row"), F.sum("row_n").alias("total"))
-    cols = col.groupBy("pair").agg(F.count(F.lit(1)).alias("n_cols"), F.min("col_n").alias("_min_col"))
-    shape = lookup(rows, cols, ["pair"])
-    cells = lookup(counts.join(row, ["pair", "a"]).join(col, ["pair", "b"]), shape.select("pair", "total"), ["pair"])
+    size = row.groupBy("pair").agg(F.sum("row_n").alias("total"))
+    cells = lookup(counts.join(row, ["pair", "a"]).join(col, ["pair", "b"]), size, ["pair"])
     expected = F.col("row_n").cast("double") * F.col("col_n") / F.col("total")
     gap = F.col("n") - expected
-    sums = cells.groupBy("pair").agg(F.sum(gap * gap / expected).alias("_seen"), F.sum(expected).alias("_expected"))
-    return lookup(shape, sums, ["pair"]).select(
+    # A row's cells add up to it, so the shares n / row_n of all cells add up to the number of rows.
+    sums = cells.groupBy("pair", "total").agg(
+        F.sum(gap * gap / expected).alias("_seen"), F.sum(expected).alias("_expected"),
+        F.round(F.sum(F.col("n") / F.col("row_n"))).cast("bigint").alias("n_rows"),
+        F.round(F.sum(F.col("n") / F.col("col_n"))).cast("bigint").alias("n_cols"),
+        F.least(F.min("row_n"), F.min("col_n")).alias("min_group_n"),
+    )
+    return sums.select(
         "pair",
         (F.col("_seen") + F.greatest(F.col("total") - F.col("_expected"), F.lit(0.0))).alias("chi2"),
         ((F.col("n_rows") - 1) * (F.col("n_cols") - 1)).alias("df"),
-        F.col("total").alias("n"), "n_rows", "n_cols",
-        F.least("_min_row", "_min_col").alias("min_group_n"),
+        F.col("total").alias("n"), "n_rows", "n_cols", "min_group_n",
     )
 
 
@@ -159,31 +163,24 @@ def spearman_rho(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
 
 # ---- number x category ----------------------------------------------------------------------------
 
-def _group_ranks(df: DataFrame, pairs: Mapping[int, Pair], min_level_n: int = 1) -> tuple[DataFrame, DataFrame]:
-    """pairs are (number, category). Returns per level (pair, level, n, mean, rank_sum, ss) and per pair
-    (pair, total, levels, tie_sum, grand_mean, between, ss_total, h, u, n1, n2, min_group_n)."""
+def _group_ranks(df: DataFrame, pairs: Mapping[int, Pair], min_level_n: int = 1) -> DataFrame:
+    """pairs are (number, category); one row per pair that has complete rows:
+    (pair, total, levels, min_group_n, tie_sum, h, u, n1, n2)."""
     counts = _counts(_complete_pairs(df, pairs, "number", "text"))
     if min_level_n > 1:
         level_n = counts.groupBy("pair", "b").agg(F.sum("n").alias("_level_n"))
         counts = counts.join(level_n.filter(F.col("_level_n") >= min_level_n), ["pair", "b"]).drop("_level_n")
-    values = counts.groupBy("pair", "a").agg(F.sum("n").alias("n"))
-    ranked = join_ranks(counts, midranks(values, ["pair"], "a"), ["pair"], "a", spread="b")
-    overall = values.groupBy("pair").agg(
-        F.sum("n").alias("total"),
-        (F.sum(F.col("a") * F.col("n")) / F.sum("n")).alias("grand_mean"),
-        F.sum(F.pow(F.col("n").cast("double"), 3) - F.col("n")).alias("tie_sum"),
-    )
-    gap = F.col("a") - F.col("grand_mean")
+    # Ranks come straight from the (value, level) counts: a value's rows are as many as its levels.
+    ranked = midranks(counts, ["pair"], "a")
     centred_rank = F.col("midrank") - (F.col("total") + 1) / F.lit(2.0)
-    levels = lookup(ranked, overall, ["pair"]).groupBy("pair", "b").agg(
+    ties = F.col("ties").cast("double")
+    levels = ranked.groupBy("pair", "b", "total").agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * centred_rank).alias("_rank_gap"),
-        F.sum(F.col("n") * gap).alias("_gap"), F.sum(F.col("n") * gap * gap).alias("_gap2"),
-        F.first("total").alias("total"), F.first("grand_mean").alias("grand_mean"), F.first("tie_sum").alias("tie_sum"),
+        F.sum(F.col("n") * (ties * ties - 1)).alias("_ties"),
     )
     # The first level in text order is the least of (level, n, rank gap); no sort of the levels is needed.
-    per_pair = levels.groupBy("pair", "total", "grand_mean", "tie_sum").agg(
-        F.count(F.lit(1)).alias("levels"), F.min("n").alias("min_group_n"),
-        F.sum(F.col("_gap") * F.col("_gap") / F.col("n")).alias("between"), F.sum("_gap2").alias("ss_total"),
+    per_pair = levels.groupBy("pair", "total").agg(
+        F.count(F.lit(1)).alias("levels"), F.min("n").alias("min_group_n"), F.sum("_ties").alias("tie_sum"),
         F.sum(F.col("_rank_gap") * F.col("_rank_gap") / F.col("n")).alias("_rank_between"),
         F.min(F.struct("b", "n", "_rank_gap")).alias("_first"),
     )
@@ -191,8 +188,8 @@ def _group_ranks(df: DataFrame, pairs: Mapping[int, Pair], min_level_n: int = 1)
     tie_correction = 1 - F.col("tie_sum") / (total * total * total - total)
     n1 = F.col("_first.n")
     n2 = F.col("total") - n1
-    return levels, per_pair.select(
-        "*",
+    return per_pair.select(
+        "pair", "total", "levels", "min_group_n", "tie_sum",
         F.when(
             (F.col("total") > 1) & (tie_correction > 1e-15),
             F.lit(12.0) / (total * (total + 1)) * F.col("_rank_between") / tie_correction,
@@ -200,7 +197,33 @@ def _group_ranks(df: DataFrame, pairs: Mapping[int, Pair], min_level_n: int = 1)
         # R1 - n1(n1+1)/2 with R1 = rank gap + n1(N+1)/2, which leaves rank gap + n1*n2/2.
         F.when(F.col("levels") == 2, F.col("_first._rank_gap") + n1 * n2 / F.lit(2.0)).alias("u"),
         n1.alias("n1"), n2.alias("n2"),
-    ).drop("_first", "_rank_between")
+    )
+
+
+def _group_moments(df: DataFrame, pairs: Mapping[int, Pair]) -> DataFrame:
+    """(pair, total, levels, min_group_n, between, ss_total) from per-level means and variances, which
+    are combined before the shuffle."""
+    levels = _complete_pairs(df, pairs, "number", "text").groupBy("pair", "b").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("a").alias("mean"), F.var_pop("a").alias("variance")
+    )
+    grand = levels.groupBy("pair").agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand_mean"))
+    gap = F.col("mean") - F.col("grand_mean")
+    between = F.sum(F.col("n") * gap * gap)
+    return lookup(levels, grand, ["pair"]).groupBy("pair").agg(
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("levels"), F.min("n").alias("min_group_n"),
+        between.alias("between"), (between + F.sum(F.col("n") * F.col("variance"))).alias("ss_total"),
+    )
+
+
+def _eta_ratio() -> Column:
+    usable = (F.col("ss_total") > 0) & (F.col("levels") > 1)
+    return F.when(usable, F.least(F.sqrt(F.col("between") / F.col("ss_total")), F.lit(1.0)))
+
+
+def _eta_p(p_method: str) -> Column:
+    if p_method == "kruskal":
+        return chi2_p("h", F.col("levels") - 1)
+    return f_p(_f_ratio(), F.col("levels") - 1, F.col("total") - F.col("levels"))
 
 
 def _u_p_value() -> Column:
@@ -208,15 +231,14 @@ def _u_p_value() -> Column:
 
 
 def _numeric_by_category(df: DataFrame, pairs: Mapping[int, Pair], p_method: str = "kruskal") -> DataFrame:
-    _, summary = _group_ranks(df, pairs)
+    moments = _group_moments(df, pairs).select("pair", "between", "ss_total")
+    summary = lookup(_group_ranks(df, pairs), moments, ["pair"])
     two = F.col("levels") == 2
-    eta = F.when((F.col("ss_total") > 0) & (F.col("levels") > 1), F.least(F.sqrt(F.col("between") / F.col("ss_total")), F.lit(1.0)))
-    eta_p = chi2_p("h", F.col("levels") - 1) if p_method == "kruskal" else f_p(_f_ratio(), F.col("levels") - 1, F.col("total") - F.col("levels"))
     biserial = 1 - 2 * F.col("u") / (F.col("n1").cast("double") * F.col("n2"))
     return summary.select(
         "pair", F.when(two, "rank_biserial").otherwise("eta").alias("method"),
-        F.when(two, biserial).otherwise(eta).alias("effect"),
-        F.when(two, _u_p_value()).otherwise(F.when(F.col("levels") > 2, eta_p)).alias("p_value"),
+        F.when(two, biserial).otherwise(_eta_ratio()).alias("effect"),
+        F.when(two, _u_p_value()).otherwise(F.when(F.col("levels") > 2, _eta_p(p_method))).alias("p_value"),
         F.col("total").alias("n"), "min_group_n",
     )
 
@@ -233,26 +255,30 @@ def _f_ratio() -> Column:
 def rank_biserial(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     """(number, two-level category) pairs; positive when the second level in text order is larger."""
     indexed = dict(enumerate(pairs))
-    return _named(_numeric_by_category(df, indexed).filter("method = 'rank_biserial'"), indexed).drop("pair")
+    biserial = 1 - 2 * F.col("u") / (F.col("n1").cast("double") * F.col("n2"))
+    return _named(_group_ranks(df, indexed).filter("levels = 2"), indexed).select(
+        "variable_a", "variable_b", F.lit("rank_biserial").alias("method"), biserial.alias("effect"),
+        _u_p_value().alias("p_value"), F.col("total").alias("n"), "min_group_n",
+    )
 
 
 def eta(df: DataFrame, pairs: Sequence[Pair], p_method: str = "kruskal") -> DataFrame:
     """Correlation ratio of (number, category) pairs, whatever the number of levels above one.
     p from Kruskal-Wallis, or from one-way ANOVA with p_method='anova'."""
     indexed = dict(enumerate(pairs))
-    _, summary = _group_ranks(df, indexed)
-    ratio = F.when((F.col("ss_total") > 0) & (F.col("levels") > 1), F.least(F.sqrt(F.col("between") / F.col("ss_total")), F.lit(1.0)))
-    freedom = F.col("levels") - 1
-    p = chi2_p("h", freedom) if p_method == "kruskal" else f_p(_f_ratio(), freedom, F.col("total") - F.col("levels"))
+    summary = _group_moments(df, indexed)
+    if p_method == "kruskal":
+        summary = lookup(summary, _group_ranks(df, indexed).select("pair", "h"), ["pair"])
+    ratio = _eta_ratio()
     return _named(summary, indexed).select(
         "variable_a", "variable_b", ratio.alias("eta"), (ratio * ratio).alias("eta_squared"),
-        p.alias("p_value"), F.col("total").alias("n"), "levels", "min_group_n",
+        _eta_p(p_method).alias("p_value"), F.col("total").alias("n"), "levels", "min_group_n",
     )
 
 
 def anova_f(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     indexed = dict(enumerate(pairs))
-    _, summary = _group_ranks(df, indexed)
+    summary = _group_moments(df, indexed)
     df1, df2 = F.col("levels") - 1, F.col("total") - F.col("levels")
     return _named(summary, indexed).select(
         "variable_a", "variable_b", _f_ratio().alias("f"), df1.alias("df1"), df2.alias("df2"),
@@ -263,7 +289,7 @@ def anova_f(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
 def mann_whitney(df: DataFrame, comparisons: Sequence[Pair]) -> DataFrame:
     """U of the first level, two-sided p. NULL unless there are exactly two levels."""
     indexed = dict(enumerate(comparisons))
-    _, summary = _group_ranks(df, indexed)
+    summary = _group_ranks(df, indexed)
     return _named(summary, indexed).select(
         F.col("variable_a").alias("outcome"), F.col("variable_b").alias("group"), "u",
         F.when(F.col("levels") == 2, _u_p_value()).alias("p_value"), "n1", "n2", "levels",
@@ -273,7 +299,7 @@ def mann_whitney(df: DataFrame, comparisons: Sequence[Pair]) -> DataFrame:
 def kruskal_wallis(df: DataFrame, comparisons: Sequence[Pair], min_level_n: int = 1) -> DataFrame:
     """H with tie correction. min_level_n leaves out levels with fewer rows."""
     indexed = dict(enumerate(comparisons))
-    _, summary = _group_ranks(df, indexed, min_level_n)
+    summary = _group_ranks(df, indexed, min_level_n)
     freedom = F.col("levels") - 1
     return _named(summary, indexed).select(
         F.col("variable_a").alias("outcome"), F.col("variable_b").alias("group"),
@@ -307,11 +333,11 @@ def compare_groups(df: DataFrame, comparisons: Sequence[Pair], policy: Policy |
     require_columns(df, {name for pair in comparisons for name in pair}, "comparison")
     indexed = dict(enumerate(comparisons))
     counts = _counts(_complete_pairs(df, indexed, "number", "text"))
-    _, summary = _group_ranks(df, indexed)
+    summary = _group_ranks(df, indexed)
     details = _level_medians(counts).groupBy("pair").agg(
         F.array_sort(F.collect_list(F.struct(F.col("level").alias("group"), "n", "median"))).alias("groups")
     )
-    asked = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in indexed.items()], "pair int, outcome string, group string")
+    asked = small_table(df.sparkSession, [(i, a, b) for i, (a, b) in indexed.items()], "pair int, outcome string, group string")
     rows = asked.join(summary, "pair", "left").join(details, "pair", "left")
     levels = F.coalesce("levels", F.lit(0))
     method = F.when(levels == 2, "mann_whitney_u").when(levels > 2, "kruskal_wallis").otherwise("not_computable")
@@ -328,10 +354,10 @@ def curated_group_tests(df: DataFrame, tests: Sequence[tuple[str, str, str, str]
     """Declared (topic, outcome, group, test) comparisons with groups below low_n rows marked.
     Mann-Whitney needs two groups of two or more; Kruskal-Wallis leaves out single-row groups."""
     pairs = {i: (outcome, group) for i, (_, outcome, group, _) in enumerate(tests)}
-    _, every = _group_ranks(df, pairs)
-    _, larger = _group_ranks(df, pairs, min_level_n=2)
-    asked = df.sparkSession.createDataFrame(
-        [(i, *test) for i, test in enumerate(tests)], "pair int, topic string, outcome string, group string, test string"
+    every = _group_ranks(df, pairs)
+    larger = _group_ranks(df, pairs, min_level_n=2)
+    asked = small_table(
+        df.sparkSession, [(i, *test) for i, test in enumerate(tests)], "pair int, topic string, outcome string, group string, test string"
     )
     u_side = every.select("pair", "u", "n1", "n2", "tie_sum", "levels", F.col("min_group_n").alias("smallest"))
     h_side = larger.select("pair", "h", F.col("levels").alias("kept_levels"))
@@ -408,11 +434,11 @@ def association_matrix(df: DataFrame, variable_types: Mapping[str, str], policy:
         )
         if plan[kind]
     ]
-    pairs = spark.createDataFrame(
-        [(i, a, b) for i, (a, b) in enumerate(combinations(variable_types, 2))],
+    pairs = small_table(
+        spark, [(i, a, b) for i, (a, b) in enumerate(combinations(variable_types, 2))],
         "pair int, variable_a string, variable_b string",
     )
-    found = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], RESULT)
+    found = reduce(DataFrame.unionByName, parts) if parts else small_table(spark, [], RESULT)
     rows = pairs.join(found, "pair", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     computable = F.col("n") >= 2
     rows = rows.withColumns({
@@ -460,7 +486,7 @@ def _mirrored(matrix: DataFrame) -> DataFrame:
 
 def block_summary(matrix: DataFrame, sections: Mapping[str, str]) -> DataFrame:
     """Mean absolute effect between sections (section_a, section_b, n_pairs, mean_effect)."""
-    dimension = matrix.sparkSession.createDataFrame(list(sections.items()), "variable string, section string")
+    dimension = small_table(matrix.sparkSession, list(sections.items()), "variable string, section string")
     left = dimension.select(F.col("variable").alias("variable_a"), F.col("section").alias("section_a"))
     right = dimension.select(F.col("variable").alias("variable_b"), F.col("section").alias("section_b"))
     both = lookup(lookup(_mirrored(matrix), left, ["variable_a"]), right, ["variable_b"])

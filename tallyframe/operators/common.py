@@ -16,15 +16,20 @@ def require_columns(df: DataFrame, columns: Sequence[str], what: str) -> None:
         raise ValueError(f"{what} columns are missing: {', '.join(missing)}")
 
 
-def text(df: DataFrame, column: str) -> Column:
+def kinds_of(df: DataFrame) -> dict[str, str]:
+    return dict(df.dtypes)
+
+
+def text(kinds: Mapping[str, str], column: str) -> Column:
     """The column as level text; NaN counts as missing."""
-    if dict(df.dtypes)[column] in ("double", "float"):
+    if kinds[column] in ("double", "float"):
         return F.when(~F.isnan(F.col(column)), F.col(column).cast("string"))
     return F.col(column).cast("string")
 
 
-def number(df: DataFrame, column: str) -> Column:
-    kind = dict(df.dtypes)[column]
+def number(kinds: Mapping[str, str], column: str) -> Column:
+    """The column as double; what is no number, and NaN, is missing."""
+    kind = kinds[column]
     if kind in ("double", "float", "string"):
         return to_numeric(column)
     return F.col(column).cast("int").cast("double") if kind == "boolean" else F.col(column).cast("double")

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.recode import any_of_indicators, combo_has, combo_split
-from tallyframe.operators.common import require_columns, share, text
+from tallyframe.operators.common import kinds_of, require_columns, share, text
 from tallyframe.operators.frequency import suppress_small
 from tallyframe.plans.policy import Policy
+from tallyframe.sources.dimensions import small_table
 
 ALL_GROUPS = "__all__"
 
@@ -21,10 +22,11 @@ def crosstab(df: DataFrame, outcome: str, group: str, policy: Policy | None = No
     Rows lacking either value are gone before any count, so missing_n is 0 and the denominators
     `all` and `valid` agree.
     """
+    kinds = kinds_of(df)
     policy = policy or Policy()
     require_columns(df, [outcome, group], "cross-tab")
     cells = (
-        df.select(text(df, group).alias("group"), text(df, outcome).alias("value")).dropna()
+        df.select(text(kinds, group).alias("group"), text(kinds, outcome).alias("value")).dropna()
         .groupBy("group", "value").agg(F.count(F.lit(1)).alias("n"))
     )
     sizes = cells.groupBy("group").agg(F.sum("n").alias("valid_n"))
@@ -38,8 +40,9 @@ def crosstab(df: DataFrame, outcome: str, group: str, policy: Policy | None = No
 
 def _grid_cells(df: DataFrame, outcome: str, groups: Mapping[str, str]) -> DataFrame:
     """Counts per (level, group, value) for each grouping column and for all rows, in one pass."""
-    columns = [text(df, column).alias(f"_g{i}") for i, column in enumerate(groups.values())]
-    base = df.select(text(df, outcome).alias("value"), *columns)
+    kinds = kinds_of(df)
+    columns = [text(kinds, column).alias(f"_g{i}") for i, column in enumerate(groups.values())]
+    base = df.select(text(kinds, outcome).alias("value"), *columns)
     keys = [F.col(f"_g{i}") for i in range(len(groups))]
     sets = [[key, F.col("value")] for key in keys] + [[F.col("value")]]
     cells = base.groupingSets(sets, *keys, F.col("value")).agg(
@@ -74,9 +77,8 @@ def crosstab_levels(
         F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("valid_n"),
     )
     if declared_groups:
-        spark = df.sparkSession
-        wanted = spark.createDataFrame(
-            [("all", ALL_GROUPS)] + [(level, group) for level, names in declared_groups.items() for group in names],
+        wanted = small_table(
+            df.sparkSession, [("all", ALL_GROUPS)] + [(level, group) for level, names in declared_groups.items() for group in names],
             "level string, group string",
         )
         sizes = wanted.join(sizes, ["level", "group"], "left").na.fill(0, ["total_n", "valid_n"])
@@ -109,9 +111,10 @@ def _combo_counts(df: DataFrame, group: Column, outcome: Column) -> DataFrame:
 
 def breakdown_by_group(df: DataFrame, outcome: str, group: str, known: Sequence[str]) -> DataFrame:
     """Combo-aware frequency of outcome inside each group; denominator is the group's size."""
+    kinds = kinds_of(df)
     from tallyframe.operators.frequency import split_combos
 
-    counts = _combo_counts(df, text(df, group), text(df, outcome)).filter(F.col("group").isNotNull())
+    counts = _combo_counts(df, text(kinds, group), text(kinds, outcome)).filter(F.col("group").isNotNull())
     sizes = counts.groupBy("group").agg(F.sum("n").alias("n_group"))
     answered = counts.filter(F.col("value").isNotNull()).withColumn("variable", F.lit(outcome))
     tallies = split_combos(answered, {outcome: known}, keys=("variable", "group")).drop("variable")
@@ -122,13 +125,14 @@ def breakdown_by_group(df: DataFrame, outcome: str, group: str, known: Sequence[
 
 def membership_crosstab(df: DataFrame, member: str, outcome: str) -> DataFrame:
     """Overlapping groups: a record belongs to every group its combo names."""
-    counts = _combo_counts(df, text(df, member), text(df, outcome)).filter(F.col("group").isNotNull())
+    kinds = kinds_of(df)
+    counts = _combo_counts(df, text(kinds, member), text(kinds, outcome)).filter(F.col("group").isNotNull())
     spread = (
         counts.select(F.explode(F.array_distinct(combo_split("group"))).alias("group"), "value", "n")
         .groupBy("group", "value").agg(F.sum("n").alias("n"))
     )
     sizes = spread.groupBy("group").agg(F.sum("n").alias("n_group"))
-    return spread.join(sizes, "group").filter(F.col("value").isNotNull() & (F.col("n") <= F.col("n_group"))).select(
+    return spread.join(sizes, "group").filter(F.col("value").isNotNull() | (F.col("n") > F.col("n_group"))).select(
         "group", "value", "n", "n_group", share(F.col("n"), F.col("n_group")).alias("percent")
     )
 
@@ -192,7 +196,8 @@ def conditional_ownership(df: DataFrame, devices: Mapping[str, Mapping[str, str]
 
 def joint_categories(df: DataFrame, first: str, second: str, wanted: Sequence[tuple[str, str]]) -> DataFrame:
     """Declared combinations of two columns: n, percent over all rows, rows with both answered, the rest."""
-    a, b = text(df, first), text(df, second)
+    kinds = kinds_of(df)
+    a, b = text(kinds, first), text(kinds, second)
     hits = [
         F.count_if((a == left) & (b == right)).alias(f"_{i}") for i, (left, right) in enumerate(wanted)
     ]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.operators.common import lookup, number, require_columns, unpivot
+from tallyframe.operators.common import kinds_of, lookup, number, require_columns, unpivot
 from tallyframe.operators.ranks import quantiles
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -15,8 +15,9 @@ SUMMARY_COLUMNS = ("n", "mean", "std", "min", "q1", "median", "q3", "max")
 
 
 def _value_counts(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    kinds = kinds_of(df)
     require_columns(df, columns, "descriptive")
-    long = unpivot(df, {name: number(df, name) for name in columns}, value="x")
+    long = unpivot(df, {name: number(kinds, name) for name in columns}, value="x")
     counts = long.filter(F.col("x").isNotNull()).groupBy("variable", "x").agg(F.count(F.lit(1)).alias("n"))
     return long, counts
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.pvalues import correlation_p
 from tallyframe.operators.association import Pair, _complete_pairs, _counts, _named, eta
 from tallyframe.operators.common import require_columns
+from tallyframe.sources.dimensions import small_table
 
 EFFECT_KINDS = ("odds_ratio", "eta_squared", "slope")
 
@@ -79,9 +80,8 @@ def curated_effects(df: DataFrame, pairs: Sequence[tuple[str, str, str, str]]) -
     unknown = sorted({kind for *_, kind in pairs} - set(EFFECT_KINDS))
     if unknown:
         raise ValueError(f"unsupported effect kinds: {', '.join(unknown)}")
-    spark = df.sparkSession
-    asked = spark.createDataFrame(
-        [(i, *pair) for i, pair in enumerate(pairs)], "position int, topic string, a string, b string, kind string"
+    asked = small_table(
+        df.sparkSession, [(i, *pair) for i, pair in enumerate(pairs)], "position int, topic string, a string, b string, kind string"
     )
 
     def wanted(kind: str) -> list[Pair]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions import answers as A
 from tallyframe.functions import recode
 from tallyframe.sources.contract import Contract, Field, allowed_codes, as_list, data_rows
+from tallyframe.sources.dimensions import small_table
 
 META_PREFIX = "meta__"
 
@@ -78,10 +79,9 @@ def codebook(contract: Contract, spark, section_of: Callable[[Mapping[str, Any]]
                 "categorical" if options or question["type"] in ("single_select", "matrix") else "text"
             )
             label = " — ".join([question.get("text", question["id"]), *tail])
-            rows.append((item.column, kind, label, section_of(question), options if kind == "categorical" else None))
-    return spark.createDataFrame(
-        rows, "column string, kind string, label string, section string, options array<struct<code:string,label:string>>"
-    )
+            listed = [{"code": code, "label": text} for code, text in options] if kind == "categorical" else None
+            rows.append((item.column, kind, label, section_of(question), listed))
+    return small_table(spark, rows, "column string, kind string, label string, section string, options options")
 
 
 # ---- long form ------------------------------------------------------------------------------------

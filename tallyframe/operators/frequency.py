@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.recode import combo_parts
-from tallyframe.operators.common import lookup, require_columns, share, text, unpivot
+from tallyframe.operators.common import kinds_of, lookup, require_columns, share, text, unpivot
 from tallyframe.plans.policy import Policy
+from tallyframe.sources.dimensions import small_table
 
 MISSING_LEVEL = "(missing)"
 OTHER_LEVEL = "(other)"
@@ -28,9 +29,10 @@ def suppress_small(df: DataFrame, policy: Policy, n: str = "n", percent: str = "
 
 def _value_counts(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Counts per (variable, value) incl. NULL, and per-variable totals from those counts."""
+    kinds = kinds_of(df)
     require_columns(df, columns, "frequency")
     counts = (
-        unpivot(df, {name: text(df, name) for name in columns})
+        unpivot(df, {name: text(kinds, name) for name in columns})
         .groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
     )
     totals = counts.groupBy("variable").agg(
@@ -41,9 +43,10 @@ def _value_counts(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Dat
 
 
 def _answered(counts: DataFrame, totals: DataFrame) -> DataFrame:
-    # Testing against a column of the totals keeps the NULL filter above the shared shuffle of counts.
+    # The second test never holds; needing both sides, the filter stays above the shuffle that counts
+    # and totals share instead of making two different scans of them.
     joined = lookup(counts, totals, ["variable"])
-    return joined.filter(F.col("value").isNotNull() & (F.col("n") <= F.col("all_n")))
+    return joined.filter(F.col("value").isNotNull() | (F.col("n") > F.col("all_n")))
 
 
 def frequency_table(df: DataFrame, columns: Sequence[str], policy: Policy | None = None) -> DataFrame:
@@ -75,7 +78,7 @@ def frequency_report(df: DataFrame, columns: Sequence[str] | None = None, id_col
 def options_frame(df: DataFrame, options: Mapping[str, Sequence[str]]) -> DataFrame:
     """Declared options as a dimension: (variable, value, position)."""
     rows = [(name, code, i) for name, codes in options.items() for i, code in enumerate(codes)]
-    return df.sparkSession.createDataFrame(rows, "variable string, value string, position int")
+    return small_table(df.sparkSession, rows, "variable string, value string, position int")
 
 
 def _known(options: Mapping[str, Sequence[str]]) -> Column:
@@ -198,7 +201,7 @@ def frequency_union(tables: Mapping[str, DataFrame]) -> DataFrame:
 def indicator_lookup(frequency: DataFrame, wanted: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Pick named shares (name -> (variable, value)) out of a frequency result; absent ones give 0."""
     rows = [(name, variable, value) for name, (variable, value) in wanted.items()]
-    names = frequency.sparkSession.createDataFrame(rows, "indicator string, variable string, value string")
+    names = small_table(frequency.sparkSession, rows, "indicator string, variable string, value string")
     return names.join(frequency.select("variable", "value", "percent"), ["variable", "value"], "left").select(
         "indicator", "variable", "value", F.coalesce("percent", F.lit(0.0)).alias("percent")
     )

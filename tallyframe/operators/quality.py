@@ -19,6 +19,7 @@ from tallyframe.sources.contract import (
     as_list,
     data_rows,
 )
+from tallyframe.sources.dimensions import small_table
 
 FINDING_TYPE = "array<struct<qid:string,path:string,rule:string,detail:string>>"
 MULTI_MARK = "multi_mark_on_single_select"
@@ -403,7 +404,7 @@ def contract_codes(contract: Contract, spark) -> DataFrame:
         (q["id"], q["type"], allowed_codes(q), [o["code"] for o in q.get("options", []) if o.get("exclusive")])
         for q in contract.answered_questions
     ]
-    return spark.createDataFrame(rows, "qid string, type string, allowed array<string>, exclusive array<string>")
+    return small_table(spark, rows, "qid string, type string, allowed array<string>, exclusive array<string>")
 
 
 def multi_mark_rule(codes: Column, flags: Column) -> dict[str, Column]:

@@ -21,6 +21,33 @@ MAX_BUCKETS = 1_000
 HOT_SHARE = 0.01
 
 
+def _bucketed(counts: DataFrame, bounded: Sequence[str], value: str, n: str, rows_per_bucket: int, max_buckets: int) -> DataFrame:
+    """Add `_bucket`, increasing with value within each combination of the bounded keys."""
+    # greatest(..., -n) is always rows_per_bucket; naming n keeps the test above the counting, so that
+    # this branch reads the shuffle the other branches read.
+    step = F.greatest(F.lit(rows_per_bucket), -F.col(n))
+    thinned = F.filter("_cuts", lambda _, i: i % F.ceil(F.size("_cuts") / max_buckets) == 0)
+    cuts = (
+        counts.filter(F.pmod(F.xxhash64(value), step) == 0)
+        .groupBy(*bounded).agg(F.array_sort(F.collect_set(value)).alias("_cuts")).withColumn("_cuts", thinned)
+    )
+    below = F.filter("_cuts", lambda cut: cut < F.col(value))
+    place = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(below))
+    return lookup(counts, cuts, bounded, how="left").withColumn("_bucket", place).drop("_cuts")
+
+
+def _offsets(bucketed: DataFrame, keys: Sequence[str], n: str) -> DataFrame:
+    """Rows before each bucket, and the total, per key. A key has at most max_buckets of them."""
+    order = Window.partitionBy(*keys).orderBy("_bucket")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return bucketed.groupBy(*keys, "_bucket").agg(F.sum(n).alias("_n")).select(
+        *keys, "_bucket",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_n").over(whole).alias("total"),
+    )
+
+
 def cumulative_counts(
     counts: DataFrame,
     keys: Sequence[str],
@@ -30,43 +57,26 @@ def cumulative_counts(
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_buckets: int = MAX_BUCKETS,
 ) -> DataFrame:
-    """Add `cum` (rows up to and including this value) and `total` per key.
+    """Add `ties` (rows with this value), `cum` (rows up to and including it) and `total`, per key.
 
-    counts has one row per (keys, value) with weight n. bound_keys is the part of keys whose number
-    of combinations is fixed by declared columns (default all of them); boundaries are kept per
-    combination of those, so what is broadcast never exceeds combinations x max_buckets values.
+    counts holds weights n per (keys, value), possibly split further by other columns. bound_keys is
+    the part of keys whose number of combinations is fixed by declared columns (default all of them);
+    boundaries are kept per combination of those, so what is broadcast never exceeds combinations x
+    max_buckets values. With none of them bounded, one set of boundaries serves all keys.
     """
     keys = list(keys)
     bounded = list(keys if bound_keys is None else bound_keys)
     all_bounded = bounded == keys
     if not bounded:
         counts, bounded = counts.withColumn("_whole", F.lit(0)), ["_whole"]
-    size = counts.groupBy(*bounded).agg(F.count(F.lit(1)).alias("_rows"), F.sum(n).alias("_weight"))
-    step = F.greatest(F.lit(rows_per_bucket), (F.col("_rows") / max_buckets).cast("bigint"))
-    # The weight test is always true; it keeps this branch reading the same shuffle as the others.
-    picked = (F.pmod(F.xxhash64(value), step) == 0) & (F.col(n) <= F.col("_weight"))
-    cuts = (
-        lookup(counts, size, bounded).filter(picked)
-        .groupBy(*bounded).agg(F.array_sort(F.collect_set(value)).alias("_cuts"))
-    )
-    below = F.filter(F.col("_cuts"), lambda cut: cut < F.col(value))
-    bucketed = (
-        lookup(counts, cuts, bounded, how="left")
-        .withColumn("_bucket", F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(below)))
-        .drop("_cuts")
-    )
-    order = Window.partitionBy(*keys).orderBy("_bucket")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = bucketed.groupBy(*keys, "_bucket").agg(F.sum(n).alias("_n")).select(
-        *keys, "_bucket",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(whole).alias("total"),
-    )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    bucketed = _bucketed(counts, bounded, value, n, rows_per_bucket, max_buckets)
+    by_value = Window.partitionBy(*keys, "_bucket").orderBy(value)
     return (
-        lookup(bucketed, offsets, [*keys, "_bucket"], bounded=all_bounded)
-        .withColumn("cum", F.col("_offset") + F.sum(n).over(inside))
+        lookup(bucketed, _offsets(bucketed, keys, n), [*keys, "_bucket"], bounded=all_bounded)
+        .withColumns({
+            "ties": F.sum(n).over(by_value.rangeBetween(Window.currentRow, Window.currentRow)),
+            "cum": F.col("_offset") + F.sum(n).over(by_value.rangeBetween(Window.unboundedPreceding, Window.currentRow)),
+        })
         .drop("_bucket", "_offset", "_whole")
     )
 
@@ -74,7 +84,7 @@ def cumulative_counts(
 def midranks(counts: DataFrame, keys: Sequence[str], value: str, n: str = "n", **options) -> DataFrame:
     """Average rank of each distinct value (ties share the mean of their positions)."""
     ranked = cumulative_counts(counts, keys, value, n, **options)
-    return ranked.withColumn("midrank", F.col("cum") - (F.col(n) - 1) / F.lit(2.0))
+    return ranked.withColumn("midrank", F.col("cum") - (F.col("ties") - 1) / F.lit(2.0))
 
 
 def quantiles(

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.recode import combo_has
-from tallyframe.operators.common import number
+from tallyframe.operators.common import kinds_of, number
+from tallyframe.sources.dimensions import small_table
 
 ALPHA_THRESHOLD = 0.7
 
@@ -45,6 +46,7 @@ def _alpha_rows(wide: DataFrame, scales: Sequence[tuple[str, str, int]]) -> Data
 
 def cronbach_alpha(df: DataFrame, scales: Mapping[str, Sequence[str]]) -> DataFrame:
     """Alpha of every scale over its complete cases, all scales in one pass."""
+    kinds = kinds_of(df)
     present, absent = [], []
     aggregates: list[Column] = []
     for i, (name, columns) in enumerate(scales.items()):
@@ -52,7 +54,7 @@ def cronbach_alpha(df: DataFrame, scales: Mapping[str, Sequence[str]]) -> DataFr
         if missing:
             absent.append((name, len(columns), f"missing_columns:{','.join(missing)}"))
             continue
-        items = [number(df, column) for column in columns]
+        items = [number(kinds, column) for column in columns]
         complete = reduce(lambda left, right: left & right, [item.isNotNull() for item in items], F.lit(True))
         if len(items) > 0:
             aggregates += _scale_aggregates(f"_{i}", items, complete)
@@ -61,7 +63,7 @@ def cronbach_alpha(df: DataFrame, scales: Mapping[str, Sequence[str]]) -> DataFr
     if present:
         parts.append(_alpha_rows(df.agg(*aggregates), present))
     if absent:
-        parts.append(df.sparkSession.createDataFrame(absent, "scale string, items int, reason string").select(
+        parts.append(small_table(df.sparkSession, absent, "scale string, items int, reason string").select(
             "scale", F.lit(None).cast("double").alias("alpha"), F.lit(0).cast("bigint").alias("n"), "items", "reason"
         ))
     return reduce(DataFrame.unionByName, parts)

@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.operators.common import lookup, number, text, unpivot
+from tallyframe.operators.common import kinds_of, lookup, number, text, unpivot
 from tallyframe.operators.ranks import quantiles
 from tallyframe.operators.reliability import positive_items
+from tallyframe.sources.dimensions import small_table
 
 HISTOGRAM_BINS = 12
 LOG_SCALE_RATIO = 8
@@ -29,7 +30,8 @@ def _bins(counted: DataFrame, edges: DataFrame, bins: int, by: Sequence[str]) ->
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins over each column's range, the top edge belonging to the last bin.
     A constant column spans half a unit to either side."""
-    long = unpivot(df, {name: number(df, name) for name in columns}, value="x").filter(F.col("x").isNotNull())
+    kinds = kinds_of(df)
+    long = unpivot(df, {name: number(kinds, name) for name in columns}, value="x").filter(F.col("x").isNotNull())
     span = long.groupBy("variable").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     flat = F.col("low") == F.col("high")
     edges = span.select(
@@ -44,11 +46,12 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
 
 def index_histogram(df: DataFrame, index: str, bins: int = HISTOGRAM_BINS, low: float = 0.0, high: float = 100.0) -> DataFrame:
     """Bins over a fixed range, with the mean of the values on every row."""
-    x = number(df, index)
+    kinds = kinds_of(df)
+    x = number(kinds, index)
     place = F.least(F.floor((x - low) / F.lit((high - low) / bins)).cast("int"), F.lit(bins - 1))
     base = df.select(x.alias("x"), place.alias("bin")).filter("x is not null")
     per_bin = base.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("_mean"))
-    edges = df.sparkSession.range(1).select(F.lit(float(low)).alias("low"), F.lit(float(high)).alias("high"))
+    edges = small_table(df.sparkSession, [(float(low), float(high))], "low double, high double")
     rows = _bins(per_bin.select("bin", "n"), edges, bins, [])
     mean = per_bin.agg((F.sum(F.col("n") * F.col("_mean")) / F.sum("n")).alias("mean"))
     return rows.withColumn("mean", mean.scalar())
@@ -56,7 +59,8 @@ def index_histogram(df: DataFrame, index: str, bins: int = HISTOGRAM_BINS, low:
 
 def box_plot(df: DataFrame, value: str, group: str) -> DataFrame:
     """Quartiles per group, whiskers at the outermost values within 1.5 IQR, number of points beyond."""
-    rows = df.select(text(df, group).alias("group"), number(df, value).alias("x")).dropna()
+    kinds = kinds_of(df)
+    rows = df.select(text(kinds, group).alias("group"), number(kinds, value).alias("x")).dropna()
     counts = rows.groupBy("group", "x").agg(F.count(F.lit(1)).alias("n"))
     box = quantiles(counts, ["group"], "x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, bound_keys=[])
     reach = (F.col("q3") - F.col("q1")) * WHISKER_IQR
@@ -104,7 +108,7 @@ def forest_series(effects: DataFrame) -> DataFrame:
 
 
 def scree_series(spark, eigenvalues: Sequence[float]) -> DataFrame:
-    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(eigenvalues)], "factor int, eigenvalue double")
+    return small_table(spark, [(i + 1, float(v)) for i, v in enumerate(eigenvalues)], "factor int, eigenvalue double")
 
 
 def variance_explained_series(effects: DataFrame) -> DataFrame:

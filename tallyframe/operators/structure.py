@@ -17,6 +17,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tallyframe.operators.common import lookup, unpivot
 from tallyframe.operators.ranks import quantiles
+from tallyframe.sources.dimensions import small_table
 
 # The analysis settings of the reference study design.
 MIN_ROWS_PER_ITEM = 5.0
@@ -44,7 +45,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
 def item_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     matrix = correlation_matrix(df, columns)
     rows = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    return df.sparkSession.createDataFrame(rows, "item_a string, item_b string, r double")
+    return small_table(df.sparkSession, rows, "item_a string, item_b string, r double")
 
 
 def _varimax(loadings: np.ndarray) -> np.ndarray:
@@ -83,7 +84,7 @@ def factor_extraction(df: DataFrame, columns: Sequence[str]) -> FactorResult:
     rotated = rotated * np.where(strongest < 0, -1.0, 1.0)
     rows = [(name, f + 1, float(rotated[i, f])) for i, name in enumerate(columns) for f in range(kept)]
     return FactorResult(
-        df.sparkSession.createDataFrame(rows, "item string, factor int, loading double"),
+        small_table(df.sparkSession, rows, "item string, factor int, loading double"),
         [float(value) for value in values], kept, n_rows, n_rows / max(len(columns), 1) < MIN_ROWS_PER_ITEM,
     )
 
@@ -179,7 +180,7 @@ def segment(df: DataFrame, id_column: str, columns: Sequence[str], **options) ->
     scaled = standardise(df.select(id_column, *columns), columns)
     models = kmeans_sweep(scaled, columns, **options)
     scores, best = silhouette_select(scaled, columns, models)
-    table = df.sparkSession.createDataFrame([(k, float(s), k == best) for k, s in scores.items()], "k int, silhouette double, chosen boolean")
+    table = small_table(df.sparkSession, [(k, float(s), k == best) for k, s in scores.items()], "k int, silhouette double, chosen boolean")
     return Segments(assign_clusters(scaled, columns, models[best]).select(id_column, "cluster"), table, best)
 
 

@@ -16,6 +16,7 @@ from tallyframe.operators.quality import contract_lint, validate_records
 from tallyframe.operators.reliability import cronbach_alpha
 from tallyframe.plans.policy import COUNTED_KINDS, NUMERIC_KINDS, Policy
 from tallyframe.sources.contract import Contract
+from tallyframe.sources.dimensions import small_table
 from tallyframe.sources.records import load_manifest, scan_records, valid_records
 from tallyframe.sources.sinks import write_results, write_safe_records, write_wide
 
@@ -35,7 +36,7 @@ def analyze_dataset(
     numeric = [name for name, kind in variable_types.items() if kind in NUMERIC_KINDS]
     pairs = [(c["outcome"], c["group"]) if isinstance(c, Mapping) else tuple(c) for c in comparisons or []]
     results = {
-        "policy": df.sparkSession.createDataFrame(list(policy.settings().items()), "setting string, value string"),
+        "policy": small_table(df.sparkSession, list(policy.settings().items()), "setting string, value string"),
         "associations": association_matrix(df, variable_types, policy),
     }
     if counted:

@@ -62,10 +62,15 @@ def corrupt_findings(records: DataFrame) -> DataFrame:
     )
 
 
+def parse_assembly(raw: DataFrame, body: str = "value") -> DataFrame:
+    """Page inventories, one row per page; a record without pages keeps one row with NULLs:
+    (record_id, expected_pages, status, source_file, kind, image_path, tentative_page)."""
+    parsed = raw.select(F.from_json(body, ASSEMBLY_SCHEMA).alias("a"))
+    return parsed.select("a.record_id", "a.expected_pages", "a.status", F.inline_outer("a.pages"))
+
+
 def scan_assembly(spark: SparkSession, path: str) -> DataFrame:
-    """Page inventories, one row per page: (record_id, expected_pages, status, source_file, ..., tentative_page)."""
-    whole = spark.read.schema(ASSEMBLY_SCHEMA).option("multiLine", True).json(path)
-    return whole.select("record_id", "expected_pages", "status", F.inline_outer("pages"))
+    return parse_assembly(spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True))
 
 
 def scan_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
