@@ -65,39 +65,34 @@ def sorted_combo(entry: Column) -> Column:
     return F.when(F.size(members) > 0, F.array_join(F.array_sort(members), "+"))
 
 
-def canonical_value(value: Column, ignore: Sequence[str] = ENTRY_METADATA, depth: int = 5) -> Column:
-    """Order-insensitive, type-tagged text of a JSON value.
-
-    Array order and the ignored keys do not matter; null, [] and missing stay distinct, as do
-    1, "1" and true. depth is the nesting an answer entry can reach (entry, container, entry, value, items).
-    """
-    kind = F.schema_of_variant(value)
-    number = kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE", "FLOAT", "INT", "SMALLINT", "TINYINT")
-    scalar = F.when(
-        number, F.concat(F.lit("n"), F.try_variant_get(value, "$", "double").cast("string"))
-    ).otherwise(F.to_json(value))
+def _canonical_sql(value: str, ignore: Sequence[str], depth: int) -> str:
+    # Of all JSON scalars only numbers start with a character from '-' to '9'; 1.0 and 1 are one number.
+    scalar = f"regexp_replace(to_json({value}), '^(-?[0-9]+)[.]0+$', '$1')"
     if depth == 0:
         return scalar
-    items = F.array_sort(
-        F.transform(
-            F.try_variant_get(value, "$", "array<variant>"), lambda item: canonical_value(item, ignore, depth - 1)
-        )
-    )
-    fields = F.map_filter(
-        F.try_variant_get(value, "$", "map<string,variant>"), lambda key, _: ~key.isin(*ignore) if ignore else F.lit(True)
-    )
-    members = F.array_sort(
-        F.transform(
-            F.map_entries(fields),
-            lambda entry: F.concat(F.to_json(F.struct(entry.key.alias("k"))), canonical_value(entry.value, ignore, depth - 1)),
-        )
-    )
+    item, entry = f"i{depth}", f"e{depth}"
+    items = f"transform(try_variant_get({value}, '$', 'array<variant>'), {item} -> {_canonical_sql(item, ignore, depth - 1)})"
+    fields = f"map_entries(try_variant_get({value}, '$', 'map<string,variant>'))"
+    if ignore:
+        names = ", ".join(f"'{name}'" for name in ignore)
+        fields = f"filter({fields}, {entry} -> {entry}.key not in ({names}))"
+    # Parsed objects list their keys in order already.
+    member = f"concat(length({entry}.key), ':', {entry}.key, {_canonical_sql(f'{entry}.value', ignore, depth - 1)})"
+    members = f"transform({fields}, {entry} -> {member})"
     return (
-        F.when(kind.startswith("ARRAY"), F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")))
-        .when(kind.startswith("OBJECT"), F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}")))
-        .otherwise(scalar)
+        f"coalesce(concat('[', array_join(array_sort({items}), ','), ']'), concat('{{', array_join({members}, ','), '}}'), {scalar})"
     )
 
 
-def values_equal(left: Column, right: Column, ignore: Sequence[str] = ENTRY_METADATA) -> Column:
-    return canonical_value(left, ignore).eqNullSafe(canonical_value(right, ignore))
+def canonical_value(value: str, ignore: Sequence[str] = ENTRY_METADATA, depth: int = 5) -> Column:
+    """Order-insensitive, type-tagged text of the JSON value in a column.
+
+    Array order and the ignored keys do not matter; null, [] and missing stay distinct, as do
+    1, "1" and true. depth is the nesting an answer entry can reach (entry, container, entry, value, items);
+    anything deeper is compared as it is written.
+    """
+    return F.expr(_canonical_sql(value, ignore, depth))
+
+
+def values_equal(left: str, right: str, ignore: Sequence[str] = ENTRY_METADATA, depth: int = 5) -> Column:
+    return canonical_value(left, ignore, depth).eqNullSafe(canonical_value(right, ignore, depth))

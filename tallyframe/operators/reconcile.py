@@ -12,6 +12,8 @@ from tallyframe.functions import recode
 from tallyframe.operators.quality import MULTI_MARK
 
 READ_KEYS = ("record_id", "page", "qid")
+# A bare value nests less than an entry: rows object, row object, marks, mark.
+VALUE_DEPTH = 3
 MISMATCH_NOTE = "the two independent reads differ"
 # Flags of a known truth that a reading has to carry as well, and those a second
 # reading may contribute.
@@ -44,7 +46,7 @@ def double_read_merge(reads: DataFrame, keys: Sequence[str] = READ_KEYS) -> Data
     """
     pair = _both_reads(reads, keys)
     complete = (F.col("_seen_1") > 0) & (F.col("_seen_2") > 0)
-    match = A.values_equal(F.col("entry_1"), F.col("entry_2"))
+    match = A.values_equal("entry_1", "entry_2")
     differs = complete & ~match
     flags = recode.add_flag(_flags("entry_1"), recode.REVIEW_FLAG, differs)
     note = F.try_variant_get("entry_1", "$.note", "string")
@@ -72,9 +74,11 @@ def single_read_pass(reads: DataFrame, keys: Sequence[str] = READ_KEYS) -> DataF
 def self_consistency_merge(reads: DataFrame, keys: Sequence[str] = READ_KEYS) -> DataFrame:
     """Multiple-choice variant: review signals of either read are kept, a mismatch gets its own flag, and
     the multi-mark flag must agree with the value that is kept. run1, run2 and match are for inspection."""
-    pair = _both_reads(reads, keys).filter((F.col("_seen_1") > 0) & (F.col("_seen_2") > 0))
-    one, two = (F.try_variant_get(f"entry_{i}", "$.value", "variant") for i in (1, 2))
-    match = A.values_equal(one, two, ignore=())
+    pair = _both_reads(reads, keys).filter((F.col("_seen_1") > 0) & (F.col("_seen_2") > 0)).withColumns({
+        name: F.try_variant_get(entry, "$.value", "variant") for name, entry in (("_one", "entry_1"), ("_two", "entry_2"))
+    })
+    one, two = F.col("_one"), F.col("_two")
+    match = A.values_equal("_one", "_two", ignore=(), depth=VALUE_DEPTH)
     borrowed = F.array_intersect(_flags("entry_2"), F.array(*[F.lit(flag) for flag in SECOND_READ_FLAGS]))
     flags = recode.add_flag(F.array_union(_flags("entry_1"), borrowed), "self_consistency_mismatch", ~match)
     several = F.coalesce(F.size(F.try_variant_get(one, "$", "array<variant>")) >= 2, F.lit(False))
@@ -171,7 +175,7 @@ def truth_comparison(truth: DataFrame, extracted: DataFrame, fields: Sequence[st
     clean = ~no_truth & ~no_extracted
     return rows.select(
         "record_id", "qid",
-        (clean & A.values_equal(F.col("_expected"), F.col("_actual"), ignore=())).alias("value_match"),
+        (clean & A.values_equal("_expected", "_actual", ignore=(), depth=VALUE_DEPTH)).alias("value_match"),
         (clean & (F.size(missing) == 0)).alias("flags_match"),
         F.when(clean, missing).otherwise(F.array().cast("array<string>")).alias("missing_flags"), errors.alias("errors"),
         F.to_json("_expected").alias("expected_value"), F.to_json("_actual").alias("actual_value"),
