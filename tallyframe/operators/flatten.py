@@ -176,6 +176,9 @@ def payload_findings(records: DataFrame, contract: Contract, page: int | None =
     def finding(qid: Column, rule: str, detail: Column) -> Column:
         return F.struct(qid.alias("qid"), F.lit(rule).alias("rule"), detail.alias("detail"))
 
+    def unknown_codes(qid: str, codes: Column) -> Column:
+        return F.transform(codes, lambda code: finding(F.lit(qid), "invalid_option_code", code))
+
     nothing = F.lit("")
     findings = [
         F.transform(F.array_except(wanted, found), lambda qid: finding(qid, "missing_question", nothing)),
@@ -186,7 +189,7 @@ def payload_findings(records: DataFrame, contract: Contract, page: int | None =
             continue
         codes = A.text_members(A.path_lookup(F.col("document"), ["answers", question["id"], "value"]))
         unknown = recode.invalid_codes(F.coalesce(codes, F.array().cast("array<string>")), allowed_codes(question))
-        findings.append(F.transform(unknown, lambda code, q=question["id"]: finding(F.lit(q), "invalid_option_code", code)))
+        findings.append(unknown_codes(question["id"], unknown))
     return records.select("record_id", F.inline(F.concat(*findings)))
 
 

@@ -45,6 +45,11 @@ def _when(condition: Column, finding: Column) -> Column:
     return F.when(condition, F.array(finding)).otherwise(F.array().cast(FINDING_TYPE))
 
 
+def _each(names: Column, qid: str, prefix: str, rule: str) -> Column:
+    """A finding per name in an array."""
+    return F.transform(names, lambda name: _finding(qid, F.concat(F.lit(prefix), name), rule, name))
+
+
 # ---- contract lint --------------------------------------------------------------------------------
 # Contracts arrive as a table (contract, document), so lint scales with the number of versions.
 
@@ -185,7 +190,7 @@ def _depends_rules(rows: DataFrame) -> list[DataFrame]:
         lambda code: code.isNotNull(),
     )
     known = dependent.join(targets.withColumn("codes", codes).drop("target_question"), ["contract", "target"])
-    operator = F.element_at("operators", 1)
+    operator = F.try_element_at("operators", F.lit(1))
     raw = F.lit(None).cast("variant")
     for name in operators:
         raw = F.when(operator == name, F.try_variant_get("depends", f"$.{name}", "variant")).otherwise(raw)
@@ -264,7 +269,7 @@ def _question_findings(question, document: Column) -> list[Column]:
             out.append(_when(usable & ~is_box, _finding(qid, f"{qid}.{container}", container_rule)))
         keys = F.map_keys(F.try_variant_get(box, "$", "map<string,variant>"))
         lacking = F.array_except(F.array(*[F.lit(name) for name in names]).cast("array<string>"), F.coalesce(keys, F.array().cast("array<string>")))
-        found = F.transform(lacking, lambda name: _finding(qid, F.concat(F.lit(f"{qid}.{container}."), name), rule, name))
+        found = _each(lacking, qid, f"{qid}.{container}.", rule)
         applies = usable & is_box if container_rule else usable
         out.append(F.when(applies, found).otherwise(F.array().cast(FINDING_TYPE)))
 
@@ -312,9 +317,8 @@ def record_completeness(records: DataFrame, contract: Contract) -> DataFrame:
             pages = F.array(*[F.lit(str(page)) for page in range(1, contract.total_pages + 1)])
             qid = question["id"]
             per_question.append(_when(~A.is_object(notes), _finding(qid, "page_notes", "missing_page_notes")))
-            per_question.append(F.when(A.is_object(notes), F.transform(
-                F.array_except(pages, keys), lambda page, q=qid: _finding(q, F.concat(F.lit("page_notes."), page), "missing_page_note", page)
-            )).otherwise(F.array().cast(FINDING_TYPE)))
+            lacking = _each(F.array_except(pages, keys), qid, "page_notes.", "missing_page_note")
+            per_question.append(F.when(A.is_object(notes), lacking).otherwise(F.array().cast(FINDING_TYPE)))
         else:
             per_question += _question_findings(question, document)
     findings.append(F.when(has_answers, F.concat(*per_question)).otherwise(F.array().cast(FINDING_TYPE)))

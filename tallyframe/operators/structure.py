@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -17,6 +19,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tallyframe.operators.common import lookup, unpivot
 from tallyframe.operators.ranks import quantiles
+from tallyframe.plans.session import checkpoint_dir
 from tallyframe.sources.dimensions import small_table
 
 # The analysis settings of the reference study design.
@@ -27,6 +30,9 @@ VARIMAX_TOLERANCE = 1e-6
 CLUSTER_COUNTS = (2, 3, 4)
 CLUSTER_RESTARTS = 10
 CLUSTER_SEED = 42
+MAX_ITERATIONS = 300
+CONCURRENT_FITS = 8
+ROWS_PER_TASK = 20_000
 HIGHLIGHTS = 4
 
 
@@ -150,14 +156,25 @@ class Segments:
 def kmeans_sweep(
     df: DataFrame, columns: Sequence[str], ks: Sequence[int] = CLUSTER_COUNTS, restarts: int = CLUSTER_RESTARTS, seed: int = CLUSTER_SEED
 ) -> dict[int, KMeansModel]:
-    """Per k, the restart with the lowest training cost. df holds standardised columns."""
-    vectors = _assembled(df.select(*columns), columns).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    """Per k, the restart with the lowest training cost. df holds standardised columns.
+
+    The fits are independent, so several run at once and fill the gaps between each other's short jobs.
+    """
+    checkpoint_dir(df.sparkSession)
+    # Every iteration ships the plan behind its rows, and a lost executor would replay it: cut it here.
+    rows = _assembled(df.select(*columns), columns).select("features").checkpoint()
+    # An iteration is one short job: near-empty tasks would cost more than the distances they compute.
+    vectors = rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(run: tuple[int, int]) -> tuple[int, float, int, KMeansModel]:
+        k, restart = run
+        model = KMeans(k=k, seed=seed + restart, maxIter=MAX_ITERATIONS).fit(vectors)
+        return k, model.summary.trainingCost, restart, model
+
     try:
-        models = {}
-        for k in ks:
-            runs = [KMeans(k=k, seed=seed + run, maxIter=100).fit(vectors) for run in range(restarts)]
-            models[k] = min(runs, key=lambda model: model.summary.trainingCost)
-        return models
+        with ThreadPool(CONCURRENT_FITS) as pool:
+            runs = pool.map(inheritable_thread_target(df.sparkSession)(fit), [(k, restart) for k in ks for restart in range(restarts)])
+        return {k: min((run for run in runs if run[0] == k), key=lambda run: run[1:3])[3] for k in ks}
     finally:
         vectors.unpersist()
 
@@ -177,7 +194,8 @@ def assign_clusters(df: DataFrame, columns: Sequence[str], model: KMeansModel) -
 
 def segment(df: DataFrame, id_column: str, columns: Sequence[str], **options) -> Segments:
     """Standardise, sweep, choose k. assigned: (id, cluster) with the chosen model."""
-    scaled = standardise(df.select(id_column, *columns), columns)
+    checkpoint_dir(df.sparkSession)
+    scaled = standardise(df.select(id_column, *columns), columns).checkpoint()
     models = kmeans_sweep(scaled, columns, **options)
     scores, best = silhouette_select(scaled, columns, models)
     table = small_table(df.sparkSession, [(k, float(s), k == best) for k, s in scores.items()], "k int, silhouette double, chosen boolean")

@@ -44,9 +44,10 @@ def parse_records(raw: DataFrame, body: str = "value", file_name: str | None = "
 
 
 def scan_records(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
-    """Record documents below path, one per file, or one per line for large corpora (few big files
-    split across tasks, where millions of small files would not)."""
-    raw = spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).text(path, wholetext=not one_per_line)
+    """Record documents below path: one per *.json file, or one per line of any file for large corpora
+    (few big files split across tasks, where millions of small files would not)."""
+    glob = "*" if one_per_line else "*.json"
+    raw = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path, wholetext=not one_per_line)
     named = raw.select(F.col("_metadata.file_name").alias("file_name"), "value")
     return parse_records(named, file_name=None if one_per_line else "file_name")
 
@@ -128,7 +129,11 @@ def source_inventory(
         | ((F.col("extension") == "png") & F.col("_head").startswith("89504E470D0A1A0A"))
         | ((F.col("extension") == "pdf") & F.col("_head").startswith("25504446"))
     )
-    best = named.select("record_id", F.struct("path", "extension", "length", readable.alias("readable")).alias("f"))
-    return best.groupBy("record_id").agg(F.min("f").alias("f"), F.count(F.lit(1)).alias("n_sources")).select(
-        "record_id", "f.*", "n_sources"
-    )
+    return first_source(named.withColumn("readable", readable), ["path", "extension", "length", "readable"])
+
+
+def first_source(listing: DataFrame, columns: list[str]) -> DataFrame:
+    """Per record the source with the least path, and how many there are."""
+    packed = listing.select("record_id", F.struct(*columns).alias("source"))
+    best = packed.groupBy("record_id").agg(F.min("source").alias("source"), F.count(F.lit(1)).alias("n_sources"))
+    return best.select("record_id", "source.*", "n_sources")

@@ -13,7 +13,7 @@ from tallyframe.sources.records import parse_records, valid_records
 def stream_records(spark: SparkSession, path: str, one_per_line: bool = False, files_per_batch: int = 1000) -> DataFrame:
     """Record documents as they arrive below path, parsed like a batch scan."""
     raw = (
-        spark.readStream.schema("value string").option("pathGlobFilter", "*.json").option("wholetext", not one_per_line)
+        spark.readStream.schema("value string").option("pathGlobFilter", "*" if one_per_line else "*.json").option("wholetext", not one_per_line)
         .option("maxFilesPerTrigger", files_per_batch).format("text").load(path)
     )
     named = raw.select(F.col("_metadata.file_name").alias("file_name"), "value")
