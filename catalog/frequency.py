@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.tables import (
     EVENT_TYPES, LINE_NUMBERS, LINE_STATUSES, ORDER_CHOICES, ORDER_LINES, RETURN_FLAGS, VISITS,
-    order_choices, order_lines, table, tidy, visits,
+    heavy, order_choices, order_lines, table, tidy, visits,
 )
 from tallyframe.operators import crosstab, describe, frequency, series
 from tallyframe.plans.policy import Policy
@@ -204,7 +204,7 @@ LINE_NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 @query("descriptive_summary", summary_sql("lineitem", LINE_NUMERIC))
 def descriptive_summary(spark, sf_dir):
-    return tidy(describe.descriptive_summary(table(spark, sf_dir, "lineitem"), LINE_NUMERIC))
+    return tidy(describe.descriptive_summary(heavy(spark, sf_dir, "lineitem"), LINE_NUMERIC))
 
 
 _MODE = ", (select cast(m.v as double) from (select {name} as v, count(*) as c from {source} where {name} is not null group by 1 order by c desc, v limit 1) m) as mode"

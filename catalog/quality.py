@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.records import ENTRY_SQL, RAW, contract, entries, raw_records
-from catalog.tables import CONTRACT, ORDER_RECORDS, order_records, table, tidy
+from catalog.tables import CONTRACT, ORDER_RECORDS, heavy, order_records, table, tidy
 from tallyframe.operators import privacy, quality, reconcile
 from tallyframe.sources.contract import Contract
 
@@ -345,7 +345,7 @@ def reads(spark, sf_dir):
                  entry(pair_one, "high", F.array(F.lit("multi_mark_on_single_select")), nothing).alias("body")),
         F.struct(F.lit(2).alias("page"), F.lit("marks").alias("qid"), F.lit(2).alias("read_no"), entry(pair_two, "low", flags, nothing).alias("body")),
     )
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("record_id"), F.inline(rows))
+    orders = heavy(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("record_id"), F.inline(rows))
     return orders.filter("read_no < 3").select("record_id", "page", "qid", "read_no", F.parse_json("body").alias("entry"))
 
 
@@ -425,7 +425,7 @@ def truth_entries(spark, sf_dir):
         F.struct(F.lit("amount").alias("qid"), body(F.struct(F.struct(F.struct(yes.alias("value")).alias("big")).alias("components"))).alias("body")),
         F.struct(F.lit("grid").alias("qid"), body(F.struct(F.struct(F.struct(F.array(status).alias("value")).alias("r1")).alias("rows"), yes.alias("none"))).alias("body")),
     )
-    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("record_id"), price.alias("price"), F.inline(sides))
+    rows = heavy(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("record_id"), price.alias("price"), F.inline(sides))
     return rows.filter("not (qid = 'grid' and price > 480000)").select("record_id", "qid", F.parse_json("body").alias("entry"))
 
 
@@ -443,7 +443,7 @@ def extracted(spark, sf_dir):
         F.struct(F.lit("amount").alias("qid"), F.concat(F.lit('{"big":'), F.when(status == "P", F.when(price > 200000, "1").otherwise("0")).otherwise(yes), F.lit("}")).alias("body"), none.alias("flags")),
         F.struct(F.lit("grid").alias("qid"), F.concat(F.lit('{"none":'), yes, F.lit(',"rows":{"r1":["'), F.when(price < 100000, "Q").otherwise(status), F.lit('"]}}')).alias("body"), none.alias("flags")),
     )
-    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("record_id"), price.alias("price"), F.inline(sides))
+    rows = heavy(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("record_id"), price.alias("price"), F.inline(sides))
     return rows.filter("not (qid = 'amount' and price < 20000)").select("record_id", "qid", F.parse_json("body").alias("value"), "flags")
 
 

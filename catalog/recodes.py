@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.tables import ORDER_LINES, VISITS, order_lines, table, visits
+from catalog.tables import ORDER_LINES, VISITS, heavy, order_lines, table, visits
 from tallyframe.functions import answers as A
 from tallyframe.functions import recode as R
 from tallyframe.operators.privacy import MASK_PATTERNS, pii_hits, pii_mask_text
@@ -236,7 +236,7 @@ def right_entry():
 
 register(
     "canonical_value",
-    lambda spark, sf_dir: table(spark, sf_dir, "orders").select(
+    lambda spark, sf_dir: heavy(spark, sf_dir, "orders").select(
         "o_orderkey", F.try_parse_json(left_entry()).alias("l"), F.try_parse_json(right_entry()).alias("r")
     ).select("o_orderkey", A.values_equal("l", "r").alias("same")),
     "select o_orderkey, o_orderpriority <> '5-LOW' and not o_totalprice > 300000 as same from orders",
@@ -256,7 +256,7 @@ def hits_sql(i: int) -> str:
 
 register(
     "pii_mask_text",
-    lambda spark, sf_dir: table(spark, sf_dir, "documents").select(
+    lambda spark, sf_dir: heavy(spark, sf_dir, "documents").select(
         "doc_id", F.md5(pii_mask_text(F.col("text"))).alias("masked"), pii_hits(F.col("text")).alias("hits")
     ).select("doc_id", "masked", *[F.col("hits")[token].alias(token.strip("[]").lower()) for token in MASK_PATTERNS]),
     f"""select doc_id, md5({masked_sql('text')}) as masked, {', '.join(f"cast({hits_sql(i)} as integer) as {token.strip('[]').lower()}" for i, token in enumerate(MASK_PATTERNS))} from documents""",

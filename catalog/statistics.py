@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from catalog.frequency import CUSTOMERS, customers, frequency_sql, summary_sql
-from catalog.tables import LINE_NUMBERS, ORDER_LINES, VISITS, order_lines, table, tidy, visits
+from catalog.tables import LINE_NUMBERS, ORDER_LINES, VISITS, heavy, order_lines, table, tidy, visits
 from tallyframe.operators import association, effects, reliability, series
 from tallyframe.plans.analyze import analyze_dataset as analyze
 from tallyframe.plans.policy import Policy
@@ -124,7 +124,7 @@ MIX_TYPES = {
 
 def mix(spark, sf_dir):
     """Order lines with their order's priority; quantity and priority have gaps."""
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    lines, orders = heavy(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.when(F.col("l_linenumber") < 7, F.col("l_quantity")).alias("quantity"), F.col("l_extendedprice").alias("price"),
         F.col("l_discount").alias("discount"), F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("line"),

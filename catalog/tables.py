@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.plans.session import spread
+
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 RETURN_FLAGS = ("A", "N", "R")
 LINE_STATUSES = ("F", "O")
@@ -19,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def heavy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are about to be worked hard."""
+    return spread(table(spark, sf_dir, name))
+
+
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round doubles, so that sums taken in another order compare equal; -0.0 becomes 0.0."""
     return df.select(*[
@@ -152,7 +159,7 @@ def _combo_array(column: str) -> Column:
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(record_id, value): one JSON text per order with wrapped, bare, null, empty and missing answers."""
-    orders = table(spark, sf_dir, "orders")
+    orders = heavy(spark, sf_dir, "orders")
     rows = orders.join(order_lines(spark, sf_dir), F.col("o_orderkey") == F.col("order_id"), "left")
     price, status, priority = F.col("o_totalprice"), F.col("o_orderstatus"), F.col("o_orderpriority")
     code = F.lit(None).cast("string")
@@ -202,9 +209,9 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed documents (record_id, document)."""
-    from tallyframe.sources.records import parse_records, valid_records
+    from tallyframe.sources.records import parse_records
 
-    return valid_records(parse_records(order_documents(spark, sf_dir), file_name=None))
+    return parse_records(order_documents(spark, sf_dir), file_name=None).select("record_id", "document")
 
 
 ORDER_RECORDS = ORDER_LINES + f"""

@@ -26,12 +26,17 @@ def absent(value: Column) -> Column:
     return value.isNull() | F.is_variant_null(value)
 
 
+def fields_of(value: Column) -> Column:
+    """An object as map<string,variant>, NULL for anything else."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
 def is_object(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+    return fields_of(value).isNotNull()
 
 
 def is_array(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value).startswith("ARRAY"), F.lit(False))
+    return F.try_variant_get(value, "$", "array<variant>").isNotNull()
 
 
 def unwrap_value(entry: Column) -> Column:
@@ -41,22 +46,19 @@ def unwrap_value(entry: Column) -> Column:
 
 def text_members(value: Column) -> Column:
     """A JSON array as array<string>; a scalar as a one-element array; null or missing as NULL."""
-    members = F.transform(
-        F.try_variant_get(value, "$", "array<variant>"), lambda item: F.try_variant_get(item, "$", "string")
-    )
-    return F.when(absent(value), None).otherwise(F.coalesce(members, F.array(F.try_variant_get(value, "$", "string"))))
+    scalar = F.try_variant_get(value, "$", "string")
+    return F.coalesce(F.try_variant_get(value, "$", "array<string>"), F.when(scalar.isNotNull(), F.array(scalar)))
 
 
 def cell_join(entry: Column, separator: str = ";") -> Column:
     """Scalar text, or list members joined in list order."""
     value = unwrap_value(entry)
-    return F.when(~absent(value), F.array_join(text_members(value), separator))
+    return F.coalesce(F.array_join(F.try_variant_get(value, "$", "array<string>"), separator), F.try_variant_get(value, "$", "string"))
 
 
 def contains_code(entry: Column, code: str) -> Column:
     """1/0 indicator, NULL when not answered. An empty list was answered, so it gives 0."""
-    members = text_members(unwrap_value(entry))
-    return F.when(members.isNotNull(), F.coalesce(F.array_contains(members, code), F.lit(False)).cast("int"))
+    return (F.array_position(text_members(unwrap_value(entry)), code) > 0).cast("int")
 
 
 def sorted_combo(entry: Column) -> Column:

@@ -250,79 +250,106 @@ def export_field_count(contracts: DataFrame) -> DataFrame:
 
 # ---- records --------------------------------------------------------------------------------------
 
-def _question_findings(question, document: Column) -> list[Column]:
-    """Completeness rules of one question as arrays of findings."""
-    qid, kind = question["id"], question["type"]
-    entry = A.path_lookup(document, ["answers", qid])
-    missing = entry.isNull()
-    usable = F.coalesce(A.is_object(entry), F.lit(False))
-    out = [
-        _when(missing, _finding(qid, qid, "missing_answer")),
-        _when(F.is_variant_null(entry), _finding(qid, qid, "null_entry")),
-        _when(~missing & ~F.is_variant_null(entry) & ~usable, _finding(qid, qid, "entry_not_object", F.schema_of_variant(entry))),
-    ]
-
-    def member_checks(container: str, names: Sequence[str], rule: str, container_rule: str | None) -> None:
-        box = A.path_lookup(document, ["answers", qid, container])
-        is_box = A.is_object(box)
-        if container_rule:
-            out.append(_when(usable & ~is_box, _finding(qid, f"{qid}.{container}", container_rule)))
-        keys = F.map_keys(F.try_variant_get(box, "$", "map<string,variant>"))
-        lacking = F.array_except(F.array(*[F.lit(name) for name in names]).cast("array<string>"), F.coalesce(keys, F.array().cast("array<string>")))
-        found = _each(lacking, qid, f"{qid}.{container}.", rule)
-        applies = usable & is_box if container_rule else usable
-        out.append(F.when(applies, found).otherwise(F.array().cast(FINDING_TYPE)))
-
+def _containers(question) -> dict[str, list[str]]:
+    """Container name to the members the contract requires in it."""
+    kind = question["type"]
+    wanted: dict[str, list[str]] = {}
     if kind == "composite":
-        member_checks("components", [part["id"] for part in question.get("components", [])], "missing_component", "missing_components")
+        wanted["components"] = [part["id"] for part in question.get("components", [])]
     elif kind in ("matrix", "device_grid"):
-        codes = [row["code"] for row in data_rows(question)]
-        member_checks("rows", codes, "missing_row", "missing_rows")
-        content = question.get("row_content_column") or {}
-        if content and not content.get("skip_extraction"):
-            has_rows = A.is_object(A.path_lookup(document, ["answers", qid, "rows"]))
-            for code in codes:
-                row = A.path_lookup(document, ["answers", qid, "rows", code])
-                cell = A.path_lookup(document, ["answers", qid, "rows", code, content["code"]])
-                lacking = usable & has_rows & (row.isNull() | A.is_object(row)) & cell.isNull()
-                out.append(_when(lacking, _finding(qid, f"{qid}.rows.{code}", "missing_row_content", content["code"])))
-    else:
-        value = A.path_lookup(document, ["answers", qid, "value"])
-        out.append(_when(usable & value.isNull(), _finding(qid, qid, "missing_value")))
+        wanted["rows"] = [row["code"] for row in data_rows(question)]
     for container in ("subfield", "derived_subfield"):
         names = [part["id"] for part in as_list(question.get(container))]
         if names:
-            member_checks(container, names, f"missing_{container}", None)
-    if kind == "single_select":
-        for option in question.get("options", []):
-            if option.get("subfield"):
-                chosen = F.array_contains(A.text_members(A.path_lookup(document, ["answers", qid, "value"])), option["code"])
-                part = option["subfield"]["id"]
-                lacking = usable & F.coalesce(chosen, F.lit(False)) & A.path_lookup(document, ["answers", qid, "subfield", part]).isNull()
-                out.append(_when(lacking, _finding(qid, f"{qid}.subfield.{part}", "missing_option_subfield", option["code"])))
+            wanted[container] = names
+    return wanted
+
+
+def _option_subfields(question) -> list[tuple[str, str]]:
+    if question["type"] != "single_select":
+        return []
+    return [(option["code"], option["subfield"]["id"]) for option in question.get("options", []) if option.get("subfield")]
+
+
+def _row_content(question) -> str | None:
+    content = question.get("row_content_column") or {}
+    return content["code"] if content and not content.get("skip_extraction") else None
+
+
+def _boxes(question) -> list[str]:
+    boxes = list(_containers(question))
+    return boxes + ["subfield"] if _option_subfields(question) and "subfield" not in boxes else boxes
+
+
+def _question_findings(question, i: int) -> list[Column]:
+    """Completeness rules of one question as arrays of findings, over its prepared columns:
+    _e entry, _m its fields, _m_<container> the fields of a container."""
+    qid = question["id"]
+    entry, fields = F.col(f"_e{i}"), F.col(f"_m{i}")
+    usable = fields.isNotNull()
+    none = F.array().cast(FINDING_TYPE)
+    # One branch per state of the entry, so a well-formed entry is tested once.
+    state = (
+        F.when(entry.isNull(), F.array(_finding(qid, qid, "missing_answer")))
+        .when(F.is_variant_null(entry), F.array(_finding(qid, qid, "null_entry")))
+        .when(~usable, F.array(_finding(qid, qid, "entry_not_object", F.schema_of_variant(entry))))
+        .otherwise(none)
+    )
+    out = [state]
+    if question["type"] not in ("composite", "matrix", "device_grid"):
+        out.append(_when(usable & ~F.map_contains_key(fields, "value"), _finding(qid, qid, "missing_value")))
+    for container, names in _containers(question).items():
+        box = F.col(f"_m{i}_{container}")
+        wanted = F.array(*[F.lit(name) for name in names]).cast("array<string>")
+        rule = {"components": "missing_component", "rows": "missing_row"}.get(container, f"missing_{container}")
+        lacking = F.array_except(wanted, F.coalesce(F.map_keys(box), F.array().cast("array<string>")))
+        if container in ("components", "rows"):
+            out.append(_when(usable & box.isNull(), _finding(qid, f"{qid}.{container}", f"missing_{container}")))
+            usable_box = box.isNotNull()
+        else:
+            usable_box = usable
+        out.append(F.when(usable_box, _each(lacking, qid, f"{qid}.{container}.", rule)).otherwise(none))
+    content = _row_content(question)
+    if content and "rows" in _containers(question):
+        box = F.col(f"_m{i}_rows")
+        for code in _containers(question)["rows"]:
+            row = F.try_element_at(box, F.lit(code))
+            cells = A.fields_of(row)
+            lacking = box.isNotNull() & (row.isNull() | (cells.isNotNull() & ~F.map_contains_key(cells, content)))
+            out.append(_when(lacking, _finding(qid, f"{qid}.rows.{code}", "missing_row_content", content)))
+    for code, part in _option_subfields(question):
+        chosen = F.array_contains(A.text_members(F.try_element_at(fields, F.lit("value"))), code)
+        held = F.coalesce(F.map_contains_key(F.col(f"_m{i}_subfield"), part), F.lit(False))
+        out.append(_when(usable & F.coalesce(chosen, F.lit(False)) & ~held, _finding(qid, f"{qid}.subfield.{part}", "missing_option_subfield", code)))
     return out
 
 
 def record_completeness(records: DataFrame, contract: Contract) -> DataFrame:
-    """Everything the contract requires and a record lacks. Row-local: one scan, no shuffle."""
-    document = F.col("document")
-    answers = A.path_lookup(document, ["answers"])
-    has_answers = A.is_object(answers)
-    findings = [F.when(~has_answers, F.array(_finding("", "answers", "missing_answers"))).otherwise(F.array().cast(FINDING_TYPE))]
-    per_question: list[Column] = []
-    for question in contract.questions:
-        if question.get("per_page"):
-            notes = A.path_lookup(document, ["page_notes"])
-            keys = F.coalesce(F.map_keys(F.try_variant_get(notes, "$", "map<string,variant>")), F.array().cast("array<string>"))
-            pages = F.array(*[F.lit(str(page)) for page in range(1, contract.total_pages + 1)])
-            qid = question["id"]
-            per_question.append(_when(~A.is_object(notes), _finding(qid, "page_notes", "missing_page_notes")))
-            lacking = _each(F.array_except(pages, keys), qid, "page_notes.", "missing_page_note")
-            per_question.append(F.when(A.is_object(notes), lacking).otherwise(F.array().cast(FINDING_TYPE)))
-        else:
-            per_question += _question_findings(question, document)
-    findings.append(F.when(has_answers, F.concat(*per_question)).otherwise(F.array().cast(FINDING_TYPE)))
-    return records.select("record_id", F.inline(F.concat(*findings)))
+    """Everything the contract requires and a record lacks. Row-local: one scan, no shuffle.
+
+    Entries and their containers are taken apart in selects of their own, once each; the rules above
+    them only look at what was found.
+    """
+    asked = list(enumerate(contract.answered_questions))
+    notes_for = [question["id"] for question in contract.questions if question.get("per_page")]
+    answers = F.try_variant_get("document", "$.answers", "map<string,variant>")
+    notes = F.try_variant_get("document", "$.page_notes", "map<string,variant>")
+    parts = records.select("record_id", answers.alias("_answers"), notes.alias("_notes"))
+    parts = parts.select("*", *[F.try_element_at("_answers", F.lit(q["id"])).alias(f"_e{i}") for i, q in asked])
+    parts = parts.select("*", *[A.fields_of(F.col(f"_e{i}")).alias(f"_m{i}") for i, _ in asked])
+    parts = parts.select("*", *[
+        A.fields_of(F.try_element_at(f"_m{i}", F.lit(box))).alias(f"_m{i}_{box}") for i, q in asked for box in _boxes(q)
+    ])
+    none = F.array().cast(FINDING_TYPE)
+    per_question = [found for i, question in asked for found in _question_findings(question, i)]
+    pages = F.array(*[F.lit(str(page)) for page in range(1, contract.total_pages + 1)])
+    for qid in notes_for:
+        lacking = F.array_except(pages, F.map_keys("_notes"))
+        per_question.append(F.when(F.col("_notes").isNull(), F.array(_finding(qid, "page_notes", "missing_page_notes"))).otherwise(
+            _each(lacking, qid, "page_notes.", "missing_page_note")
+        ))
+    findings = F.when(F.col("_answers").isNull(), F.array(_finding("", "answers", "missing_answers"))).otherwise(F.concat(*per_question, none))
+    return parts.select("record_id", F.inline(findings))
 
 
 def validate_records(records: DataFrame, contract: Contract) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -19,6 +19,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Row-heavy work (JSON, regular expressions, pair expansion) over a scan with fewer splits than
+    cores: share the rows out first. With as many splits as cores, as on any large input, nothing changes.
+    For plain scans only: counting the splits of anything that shuffles would run it."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local one only where nothing is set, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)

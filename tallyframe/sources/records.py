@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.functions.answers import is_object
 from tallyframe.functions.recode import is_safe_identifier
 
 ASSEMBLY_SCHEMA = (
@@ -34,10 +33,12 @@ def parse_records(raw: DataFrame, body: str = "value", file_name: str | None = "
     """
     document = F.try_parse_json(body)
     name = F.col(file_name) if file_name else F.lit(None).cast("string")
-    parsed = raw.select(name.alias("file_name"), document.alias("document"))
+    # Readable JSON that opens with a brace is an object; no need to look into the parsed value.
+    opens = F.ltrim(body, F.lit(" \t\r\n")).startswith("{")
+    parsed = raw.select(name.alias("file_name"), document.alias("document"), opens.alias("_object"))
     record_id = record_id_of(F.col("document"), F.col("file_name") if file_name else None)
     error = (
-        F.when(F.col("document").isNull(), "unreadable_json").when(~is_object(F.col("document")), "root_not_object")
+        F.when(F.col("document").isNull(), "unreadable_json").when(~F.col("_object"), "root_not_object")
         .when(~is_safe_identifier(record_id), "invalid_record_id")
     )
     return parsed.select("file_name", record_id.alias("record_id"), "document", error.alias("error"))
