@@ -9,7 +9,7 @@ shifted by the totals of the buckets before it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from tallyframe.operators.common import lookup
 
 ROWS_PER_BUCKET = 50_000
 MAX_BUCKETS = 1_000
+SEARCH_STEP = 32
 HOT_SHARE = 0.01
 
 
@@ -30,20 +31,27 @@ def _bucketed(counts: DataFrame, bounded: Sequence[str], value: str, n: str, row
     cuts = (
         counts.filter(F.pmod(F.xxhash64(value), step) == 0)
         .groupBy(*bounded).agg(F.array_sort(F.collect_set(value)).alias("_cuts")).withColumn("_cuts", thinned)
+        .withColumn("_top", F.filter("_cuts", lambda _, i: i % SEARCH_STEP == 0))
     )
-    below = F.filter("_cuts", lambda cut: cut < F.col(value))
-    place = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(below))
-    return lookup(counts, cuts, bounded, how="left").withColumn("_bucket", place).drop("_cuts")
+
+    def below(array: Column) -> Column:
+        return F.size(F.filter(array, lambda cut: cut < F.col(value)))
+
+    # Two short searches instead of one along all the cuts: the stretch of SEARCH_STEP, then the cut in it.
+    placed = lookup(counts, cuts, bounded, how="left").withColumn("_stretch", F.coalesce(below(F.col("_top")), F.lit(0)))
+    start = (F.col("_stretch") - 1) * SEARCH_STEP
+    bucket = F.when(F.col("_stretch") <= 0, 0).otherwise(start + below(F.slice("_cuts", start + 1, F.lit(SEARCH_STEP))))
+    return placed.withColumn("_bucket", bucket).drop("_cuts", "_top", "_stretch")
 
 
 def _offsets(bucketed: DataFrame, keys: Sequence[str], n: str) -> DataFrame:
-    """Rows before each bucket, and the total, per key. A key has at most max_buckets of them."""
+    """Rows before and in each bucket, and the total, per key. A key has at most max_buckets of them."""
     order = Window.partitionBy(*keys).orderBy("_bucket")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return bucketed.groupBy(*keys, "_bucket").agg(F.sum(n).alias("_n")).select(
         *keys, "_bucket",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"), "_n",
         F.sum("_n").over(whole).alias("total"),
     )
 
@@ -56,6 +64,7 @@ def cumulative_counts(
     bound_keys: Sequence[str] | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_buckets: int = MAX_BUCKETS,
+    only: Callable[[Column, Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Add `ties` (rows with this value), `cum` (rows up to and including it) and `total`, per key.
 
@@ -63,6 +72,7 @@ def cumulative_counts(
     the part of keys whose number of combinations is fixed by declared columns (default all of them);
     boundaries are kept per combination of those, so what is broadcast never exceeds combinations x
     max_buckets values. With none of them bounded, one set of boundaries serves all keys.
+    only(before, rows, total) keeps just the buckets it holds for, before any row is shuffled for ranking.
     """
     keys = list(keys)
     bounded = list(keys if bound_keys is None else bound_keys)
@@ -70,9 +80,12 @@ def cumulative_counts(
     if not bounded:
         counts, bounded = counts.withColumn("_whole", F.lit(0)), ["_whole"]
     bucketed = _bucketed(counts, bounded, value, n, rows_per_bucket, max_buckets)
+    offsets = _offsets(bucketed, keys, n)
+    if only is not None:
+        offsets = offsets.filter(only(F.col("_offset"), F.col("_n"), F.col("total")))
     by_value = Window.partitionBy(*keys, "_bucket").orderBy(value)
     return (
-        lookup(bucketed, _offsets(bucketed, keys, n), [*keys, "_bucket"], bounded=all_bounded)
+        lookup(bucketed, offsets.drop("_n"), [*keys, "_bucket"], bounded=all_bounded)
         .withColumns({
             "ties": F.sum(n).over(by_value.rangeBetween(Window.currentRow, Window.currentRow)),
             "cum": F.col("_offset") + F.sum(n).over(by_value.rangeBetween(Window.unboundedPreceding, Window.currentRow)),
@@ -91,7 +104,15 @@ def quantiles(
     counts: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float], n: str = "n", **options
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one column per named probability."""
-    ranked = cumulative_counts(counts, keys, value, n, **options)
+    def holds_one(before: Column, rows: Column, total: Column) -> Column:
+        """Does the bucket hold a row some quantile is made of?"""
+        found = F.lit(False)
+        for probability in probabilities.values():
+            low = F.floor((total - 1) * F.lit(float(probability)))
+            found = found | ((low + 1 >= before) & (low < before + rows))
+        return found
+
+    ranked = cumulative_counts(counts, keys, value, n, only=holds_one, **options)
     picks, shape = [], []
     for name, probability in probabilities.items():
         position = (F.col("total") - 1) * F.lit(float(probability))

@@ -338,3 +338,33 @@ def test_streamed_records_give_the_batch_rows(spark, tmp_path):
     stream_wide(stream_records(spark, str(folder)), contract, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     batch = flatten.flatten_records(scans.valid_records(scans.scan_records(spark, str(folder))), contract)
     assert rows(spark.read.parquet(str(tmp_path / "out")), "record_id") == rows(batch, "record_id")
+
+
+def test_household_scope(spark):
+    from tallyframe.operators import association, effects, structure
+    from tallyframe.plans import household
+
+    def form(year, years_exp, owner, grade):
+        return {
+            "Q2": {"value": year}, "Q4": {"value": "khac", "other_text": " H'mông "}, "Q8": {"value": ["51_75", "25_50"]}, "Q21a": {"value": "1_3_lan"},
+            "Q5": {"components": {"Q5_khong_di_hoc": {"value": False}, "Q5_lop_cao_nhat": {"value": grade}}}, "Q30": {"value": ["tieu_thu", "san_xuat"]},
+            "Q6": {"value": "co_chong", "subfield": {"Q6_tuoi_ket_hon": {"value": "17"}}}, "Q9": {"derived_subfield": {"Q9_derived_years_exp": {"value": years_exp}}},
+            "Q11": {"value": ["khong_hoi_vien"]}, "Q14": {"rows": {"lam_dat": {"value": ["vo", "chong"]}, "trong": {"value": "chong"}}},
+            "Q17": {"rows": {"dien_thoai": {"value": ["vo"]}, "may_tinh": {"value": []}}, "khong_ai_co": False}, "Q27a": {"value": owner},
+        }
+
+    records = documents(spark, form("1995", 9, "vo", "Hết lớp 9"), form(1979, ">1", "chong", None))
+    wide = flatten.flatten_scoped(records, household.scope())
+    a, b = rows(wide, "record_id")
+    assert (a["Q2_tuoi"], a["age_bracket"], b["age_bracket"], a["education_grade_bracket"], b["education_grade_bracket"]) == (31, "<35", ">45", "thcs", None)
+    assert (a["Q4"], a["Q8"], a["Q6_tuoi_ket_hon"], a["marriage_age_bracket"]) == ("Mông", "25_50+51_75", 17.0, "<18")
+    assert (a["Q9_derived_years_exp"], b["Q9_derived_years_exp"], b["experience_years_bracket"]) == (9.0, None, ">=1")
+    assert (a["Q14_lam_dat"], a["Q17_dien_thoai_vo"], a["Q17_may_tinh_vo"], a["Q17_may_tinh_bang_vo"], a["Q17_khong_ai_co"]) == ("chong+vo", 1, 0, None, False)
+    assert (a["Q11_khong_hoi_vien"], a["Q18_khac"]) == (1, None)
+    helped = flatten.derived_columns(wide, household.helper_columns())
+    first = rows(helped, "record_id")[0]
+    assert (first["Q8_ordinal"], first["Q11_la_hoi_vien"], first["Q27a_dung_ten_dat"], first["Q30_nhom_khau_cao_gia"], first["Q30_is_thu_hai"]) == (None, False, True, True, False)
+    assert effects.curated_effects(helped, household.EFFECTS).count() == len(household.EFFECTS)
+    assert association.curated_group_tests(helped, household.GROUP_TESTS).count() == 2
+    features = rows(structure.segment_features(wide, household.segment_columns(), ["record_id"]), "record_id")[0]
+    assert features["owns_devices"] == 0.5 and features["labour_index"] == pytest.approx(100 / 18) and features["rides"] is None

@@ -74,6 +74,15 @@ def test_ranks_and_quantiles_do_not_depend_on_buckets(spark, per_bucket):
     assert [r["p"] for r in q] == pytest.approx(list(frame.groupby("k")["x"].quantile(0.37)))
 
 
+def test_many_buckets_are_searched_in_stretches(spark):
+    values = [((i * 7919) % 3001) / 4 for i in range(3001)]
+    counts = spark.createDataFrame([(x, 2) for x in values], "x double, n bigint")
+    got = {r["x"]: (r["cum"], r["ties"], r["total"]) for r in rows(ranks.cumulative_counts(counts, [], "x", bound_keys=[], rows_per_bucket=5, max_buckets=400))}
+    assert got == {x: (2 * (i + 1), 2, 6002) for i, x in enumerate(sorted(values))}
+    middle = ranks.quantiles(counts.withColumn("k", F.lit("a")), ["k"], "x", {"p": 0.5, "q": 1.0, "z": 0.0}, rows_per_bucket=5, max_buckets=400)
+    assert rows(middle)[0] == {"k": "a", "p": 375.0, "q": 750.0, "z": 0.0}
+
+
 def test_hot_values_and_salted_rest_get_the_same_ranks(spark):
     data = [(0, 0.0, float(i)) for i in range(300)] + [(0, float(i), 0.5) for i in range(1, 300)]
     df = spark.createDataFrame(data, "pair int, a double, b double").withColumn("n", F.lit(1).cast("bigint"))
