@@ -233,7 +233,7 @@ def benjamini_hochberg(spark, sf_dir):
         "c_custkey", F.col("c_mktsegment").alias("family"),
         F.when(F.col("c_acctbal") > 0, F.exp(-F.col("c_acctbal") / 1000)).alias("p_value"),
     )
-    out = association.benjamini_hochberg(rows, family=["family"])
+    out = association.benjamini_hochberg_many(rows, "c_custkey", family=["family"])
     return out.select("c_custkey", "family", F.round("p_value", 8).alias("p_value"), F.round("adjusted_p_value", 6).alias("adjusted_p_value"))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.pvalues import chi2_p, correlation_p, f_p, mann_whitney_p
 from tallyframe.functions.recode import base_question
 from tallyframe.operators.common import kinds_of, lookup, number, require_columns, text
-from tallyframe.operators.ranks import join_ranks, midranks, quantiles
+from tallyframe.operators.ranks import cumulative_counts, join_ranks, midranks, quantiles, suffix_min
 from tallyframe.plans.policy import NUMERIC_KINDS, VARIABLE_KINDS, Policy
 from tallyframe.sources.dimensions import small_table
 
@@ -406,6 +406,22 @@ def benjamini_hochberg(df: DataFrame, p: str = "p_value", out: str = "adjusted_p
     return ranked.withColumn(out, F.when(known, adjusted)).drop("_scaled")
 
 
+def benjamini_hochberg_many(df: DataFrame, id_column: str, p: str = "p_value", out: str = "adjusted_p_value", family: Sequence[str] = ()) -> DataFrame:
+    """The same adjustment for families of any size, such as one test per record.
+
+    Ranks and the running minimum are taken over the distinct p of a family in buckets; the result
+    goes back to the rows with the frequent p broadcast. id_column tells rows of equal p apart.
+    """
+    keys = list(family) or ["_family"]
+    rows = df if family else df.withColumn("_family", F.lit(0))
+    counts = rows.filter(F.col(p).isNotNull()).groupBy(*keys, p).agg(F.count(F.lit(1)).alias("n"))
+    ranked = cumulative_counts(counts, keys, p, bound_keys=[])
+    scaled = ranked.withColumn("midrank", F.least(F.lit(1.0), F.col(p) * F.col("total") / F.col("cum")))
+    adjusted = suffix_min(scaled, keys, p, "midrank")
+    joined = join_ranks(rows, adjusted, keys, p, spread=id_column).withColumnRenamed("midrank", out)
+    return joined if family else joined.drop("_family")
+
+
 def association_dispatch(variable_types: Mapping[str, str]) -> dict[str, dict[int, Pair]]:
     """Plan every i<j pair by declared kind. Number x category pairs are ordered (number, category)."""
     plan: dict[str, dict[int, Pair]] = {"numeric": {}, "category": {}, "mixed": {}}

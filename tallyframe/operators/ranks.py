@@ -128,6 +128,21 @@ def quantiles(
     return ranked.groupBy(*keys).agg(*picks).select(*keys, *shape)
 
 
+def suffix_min(rows: DataFrame, keys: Sequence[str], value: str, measure: str, n: str = "n", **options) -> DataFrame:
+    """Replace measure by its minimum over this and all larger values of the key: per bucket first, then
+    inside each bucket, so no key is ever sorted by one task. One row per (keys, value)."""
+    keys = list(keys)
+    whole = rows.withColumn("_whole", F.lit(0))
+    bucketed = _bucketed(whole, ["_whole"], value, n, options.get("rows_per_bucket", ROWS_PER_BUCKET), options.get("max_buckets", MAX_BUCKETS))
+    later = Window.partitionBy(*keys).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    lowest = bucketed.groupBy(*keys, "_bucket").agg(F.min(measure).alias("_low")).select(
+        *keys, "_bucket", F.min("_low").over(later).alias("_later")
+    )
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    joined = bucketed.join(lowest, [*keys, "_bucket"])
+    return joined.withColumn(measure, F.least(F.min(measure).over(inside), F.col("_later"))).drop("_bucket", "_later", "_whole")
+
+
 def join_ranks(rows: DataFrame, ranks: DataFrame, keys: Sequence[str], value: str, spread: str) -> DataFrame:
     """Attach `midrank` to rows by (keys, value) without piling a frequent value onto one task.
 

@@ -74,10 +74,9 @@ def box_plot(df: DataFrame, value: str, group: str) -> DataFrame:
 
 def bar_series(frequency: DataFrame) -> DataFrame:
     """Non-empty categories; all of them where every one is empty."""
-    largest = F.max("n").over(Window.partitionBy("variable"))
-    return frequency.withColumn("_largest", largest).filter((F.col("n") > 0) | (F.col("_largest") == 0)).select(
-        "variable", "value", "n", "percent"
-    )
+    largest = frequency.groupBy("variable").agg(F.max("n").alias("_largest"))
+    rows = lookup(frequency, largest, ["variable"])
+    return rows.filter((F.col("n") > 0) | (F.col("_largest") == 0)).select("variable", "value", "n", "percent")
 
 
 def stacked_series(summary: DataFrame, options: Sequence[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -166,14 +167,17 @@ def kmeans_sweep(
     # An iteration is one short job: near-empty tasks would cost more than the distances they compute.
     vectors = rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)
 
-    def fit(run: tuple[int, int]) -> tuple[int, float, int, KMeansModel]:
-        k, restart = run
+    def fit(k: int, restart: int) -> tuple[int, float, int, KMeansModel]:
         model = KMeans(k=k, seed=seed + restart, maxIter=MAX_ITERATIONS).fit(vectors)
         return k, model.summary.trainingCost, restart, model
 
+    # Each fit gets its own copy of the thread's job properties; sharing one would let the fits overwrite them.
+    inherit = inheritable_thread_target(df.sparkSession)
+    tasks = [inherit(partial(fit, k, restart)) for k in ks for restart in range(restarts)]
+
     try:
         with ThreadPool(CONCURRENT_FITS) as pool:
-            runs = pool.map(inheritable_thread_target(df.sparkSession)(fit), [(k, restart) for k in ks for restart in range(restarts)])
+            runs = pool.map(lambda task: task(), tasks)
         return {k: min((run for run in runs if run[0] == k), key=lambda run: run[1:3])[3] for k in ks}
     finally:
         vectors.unpersist()

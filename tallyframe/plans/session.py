@@ -28,8 +28,14 @@ def spread(scan: DataFrame) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where nothing is set, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    chosen = named or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tallyframe-")
-    spark.sparkContext.setCheckpointDir(chosen)
+    """The shared folder the cluster names. Only a local master, as in tests, may do without: a folder of
+    one machine is of no use to executors on another."""
+    context = spark.sparkContext
+    chosen = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not chosen:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        chosen = tempfile.mkdtemp(prefix="tallyframe-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(chosen)
     return chosen

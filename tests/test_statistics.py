@@ -120,6 +120,16 @@ def test_benjamini_hochberg_against_brute_force(spark):
     assert [g is None for g in got] == [e is None for e in expected]
     assert [g for g in got if g is not None] == pytest.approx([e for e in expected if e is not None])
     assert all(g >= v for g, v in zip(got, p) if v is not None)
+    many = [r["adjusted_p_value"] for r in rows(association.benjamini_hochberg_many(df, "i"), "i")]
+    assert [m is None for m in many] == [e is None for e in expected] and [m for m in many if m is not None] == pytest.approx([g for g in got if g is not None])
+
+
+def test_running_minimum_does_not_depend_on_buckets(spark):
+    rng = random.Random(11)
+    data = [(k, float(x), rng.random(), 1) for k in "ab" for x in range(200)]
+    df = spark.createDataFrame(data, "k string, x double, m double, n bigint")
+    got = {(r["k"], r["x"]): r["m"] for r in rows(ranks.suffix_min(df, ["k"], "x", "m", rows_per_bucket=7, max_buckets=40))}
+    assert got == {(k, x): min(m for kk, xx, m, _ in data if kk == k and xx >= x) for k, x, _, _ in data}
 
 
 @pytest.fixture(scope="module")
