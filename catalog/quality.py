@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.records import ENTRY_SQL, RAW, contract, entries, raw_records
 from catalog.tables import CONTRACT, ORDER_RECORDS, heavy, order_records, table, tidy
-from tallyframe.operators import privacy, quality, reconcile
+from tallyframe.operators import contracts, privacy, quality, reconcile
 from tallyframe.sources.contract import Contract
 
 QUERIES, ORACLES = {}, {}
@@ -24,7 +24,7 @@ def query(name, sql=None):
 
 # ---- contracts: one small document per part, faulty by the part's columns --------------------------
 
-def part_contracts(spark, sf_dir):
+def contract_texts(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     size, price = F.col("p_size"), F.col("p_retailprice")
     first = F.struct(
@@ -43,7 +43,11 @@ def part_contracts(spark, sf_dir):
     )
     doc = F.struct(F.when(size != 50, 5).otherwise(0).alias("total_pages"), F.when(size < 50, F.array(F.to_json(first), F.to_json(second))).alias("qs"))
     text = F.concat(F.lit('{"total_pages":'), doc["total_pages"].cast("string"), F.lit(',"questions":['), F.coalesce(F.array_join(doc["qs"], ","), F.lit("")), F.lit("]}"))
-    return part.select(F.concat(F.lit("C"), F.col("p_partkey").cast("string")).alias("contract"), F.try_parse_json(text).alias("document"))
+    return part.select(F.concat(F.lit("C"), F.col("p_partkey").cast("string")).alias("contract"), text.alias("text"))
+
+
+def part_contracts(spark, sf_dir):
+    return contracts.load_contracts(contract_texts(spark, sf_dir)).select("contract", "document")
 
 
 PARTS = """c as (select 'C' || cast(p_partkey as varchar) as contract, p_size as s, p_type, p_retailprice as price,
@@ -52,6 +56,31 @@ PARTS = """c as (select 'C' || cast(p_partkey as varchar) as contract, p_size as
   case when p_size % 10 = 3 then 'x' when p_size % 10 = 4 then 'X' when p_size % 10 = 5 then '' else 'y' end as code2 from part)"""
 
 
+@query("src_contract", """select 'C' || cast(p_partkey as varchar) as contract, case when p_retailprice > 1500 then 'no_questions_array' when p_type = 'ECONOMY' then 'unreadable_json' end as error from part""")
+def src_contract(spark, sf_dir):
+    """Contract texts, some cut short and some with their questions under another name."""
+    dear, cheap = F.col("p_retailprice") > 1500, F.col("p_type") == "ECONOMY"
+    keys = table(spark, sf_dir, "part").select(F.concat(F.lit("C"), F.col("p_partkey").cast("string")).alias("contract"), dear.alias("dear"), cheap.alias("cheap"))
+    damaged = F.when(F.col("dear"), F.replace("text", F.lit('"questions"'), F.lit('"items"'))).when(F.col("cheap"), F.substring("text", 1, 20)).otherwise(F.col("text"))
+    raw = contract_texts(spark, sf_dir).join(keys, "contract").select("contract", damaged.alias("text"))
+    return contracts.load_contracts(raw).select("contract", "error")
+
+
+FIELDS = """fields as (
+  select contract, cast(0 as integer) as position, cast(0 as integer) as place, q1 as "column", 'scalar' as kind, q1 as path, type1, q1 as label from c where s < 50 and q1 is not null
+  union all select contract, 1, unnest([0, 1]), q2 || unnest(['__r1', '__r2']), 'scalar', q2 || unnest(['.rows.r1', '.rows.r2']), 'matrix', q2 || unnest([' — r1', ' — r2']) from c where s < 50)"""
+
+
+@query("field_dictionary", f"""with {PARTS}, {FIELDS} select contract, position, place, "column", kind, path, cast(null as varchar) as code from fields""")
+def field_dictionary(spark, sf_dir):
+    return contracts.field_dictionary(part_contracts(spark, sf_dir)).withColumn("path", F.array_join("path", "."))
+
+
+@query("codebook", f"""with {PARTS}, {FIELDS} select contract, "column", 'categorical' as kind, label, cast(null as varchar) as section from fields""")
+def codebook(spark, sf_dir):
+    return contracts.codebook(part_contracts(spark, sf_dir))
+
+
 @query("contract_lint", f"""with {PARTS}
 select contract, cast(null as varchar) as qid, 'no_questions' as rule, '' as detail from c where s = 50
 union all select contract, q1, 'question_id', '0' from c where s = 1

@@ -118,6 +118,19 @@ def test_rich_contract_fields_and_cells(spark):
     assert fields[7]["kind"] == "contains" and fields[7]["path"] == ["q4", "rows", "d1"] and fields[9]["kind"] == "raw"
 
 
+def test_contract_tables_agree_with_the_compiled_contract(spark):
+    from tallyframe.operators import contracts
+
+    documents_ = contracts_frame(spark, {"rich": json.dumps(RICH), "basic": json.dumps(BASIC)})
+    for name, contract in (("rich", Contract(RICH)), ("basic", Contract(BASIC))):
+        listed = rows(contracts.field_dictionary(documents_).filter(F.col("contract") == name), "position", "place")
+        assert [(r["column"], r["kind"], tuple(r["path"]), r["code"]) for r in listed] == [(f.column, f.kind, f.path, f.code) for f in contract.fields()]
+        book = {r["column"]: r["kind"] for r in rows(contracts.codebook(documents_).filter(F.col("contract") == name))}
+        assert book == {r["column"]: r["kind"] for r in rows(flatten.codebook(contract, spark))}
+    loaded = contracts.load_contracts(spark.createDataFrame([("a", "{"), ("b", "{}"), ("c", '{"questions": []}')], "contract string, text string"))
+    assert [r["error"] for r in rows(loaded.drop("document"), "contract")] == ["unreadable_json", "no_questions_array", None]
+
+
 def test_empty_record_passes_its_own_check(spark):
     contract = Contract(RICH)
     blank = flatten.empty_record(contract)
