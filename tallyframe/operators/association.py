@@ -127,11 +127,12 @@ def cramers_v(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
 def _spearman(df: DataFrame, pairs: Mapping[int, Pair]) -> DataFrame:
     counts = _counts(_complete_pairs(df, pairs, "number", "number"))
 
-    def ranks(side: str) -> DataFrame:
-        return midranks(counts.groupBy("pair", side).agg(F.sum("n").alias("n")), ["pair"], side)
+    def ranked_by(rows: DataFrame, side: str, other: str) -> DataFrame:
+        values = counts.groupBy("pair", side).agg(F.sum("n").alias("n"))
+        joined = join_ranks(rows, midranks(values, ["pair"], side), values, ["pair"], side, spread=other)
+        return joined.withColumnRenamed("midrank", f"rank_{side}")
 
-    ranked = join_ranks(counts, ranks("a"), ["pair"], "a", spread="b").withColumnRenamed("midrank", "rank_a")
-    ranked = join_ranks(ranked, ranks("b"), ["pair"], "b", spread="a").withColumnRenamed("midrank", "rank_b")
+    ranked = ranked_by(ranked_by(counts, "a", "b"), "b", "a")
     size = counts.groupBy("pair").agg(F.sum("n").alias("total"))
     centred = lookup(ranked, size, ["pair"])
     middle = (F.col("total") + 1) / F.lit(2.0)
@@ -418,7 +419,7 @@ def benjamini_hochberg_many(df: DataFrame, id_column: str, p: str = "p_value", o
     ranked = cumulative_counts(counts, keys, p, bound_keys=[])
     scaled = ranked.withColumn("midrank", F.least(F.lit(1.0), F.col(p) * F.col("total") / F.col("cum")))
     adjusted = suffix_min(scaled, keys, p, "midrank")
-    joined = join_ranks(rows, adjusted, keys, p, spread=id_column).withColumnRenamed("midrank", out)
+    joined = join_ranks(rows, adjusted, counts, keys, p, spread=id_column).withColumnRenamed("midrank", out)
     return joined if family else joined.drop("_family")
 
 

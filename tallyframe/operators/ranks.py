@@ -19,7 +19,8 @@ from tallyframe.operators.common import lookup
 ROWS_PER_BUCKET = 50_000
 MAX_BUCKETS = 1_000
 SEARCH_STEP = 32
-HOT_SHARE = 0.01
+HOT_SHARE = 0.001
+SALTS = 256
 
 
 def _bucketed(counts: DataFrame, bounded: Sequence[str], value: str, n: str, rows_per_bucket: int, max_buckets: int) -> DataFrame:
@@ -143,19 +144,20 @@ def suffix_min(rows: DataFrame, keys: Sequence[str], value: str, measure: str, n
     return joined.withColumn(measure, F.least(F.min(measure).over(inside), F.col("_later"))).drop("_bucket", "_later", "_whole")
 
 
-def join_ranks(rows: DataFrame, ranks: DataFrame, keys: Sequence[str], value: str, spread: str) -> DataFrame:
+def join_ranks(
+    rows: DataFrame, ranks: DataFrame, counts: DataFrame, keys: Sequence[str], value: str, spread: str
+) -> DataFrame:
     """Attach `midrank` to rows by (keys, value) without piling a frequent value onto one task.
 
-    A value held by more than HOT_SHARE of its key's rows can occur at most 1/HOT_SHARE times per key,
-    so those ranks are broadcast. The other values go through an ordinary shuffle join; rows already
-    served carry a salt from `spread` that no remaining rank has, and so scatter over all tasks.
+    counts holds n per (keys, value), ranks the same with `midrank`. A value behind more than HOT_SHARE of
+    all rows, of which there are at most 1/HOT_SHARE, is known to the rows by broadcast: they scatter
+    over SALTS salts, and its rank is copied to each of them. Every other value meets its one rank.
     """
     by = [*keys, value]
-    is_hot = F.col("n") >= F.col("total") * HOT_SHARE
-    hot = ranks.filter(is_hot).select(*by, F.col("midrank").alias("_hot"))
-    cold = ranks.filter(~is_hot).select(*by, F.lit(0).alias("_salt"), F.col("midrank").alias("_cold"))
-    salted = rows.join(F.broadcast(hot), by, "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNull(), 0).otherwise(F.lit(1) + F.pmod(F.hash(spread), F.lit(10_000)))
-    )
-    joined = salted.join(cold, [*by, "_salt"], "left")
-    return joined.withColumn("midrank", F.coalesce("_hot", "_cold")).drop("_hot", "_cold", "_salt")
+    limit = counts.agg(F.sum("n") * HOT_SHARE).scalar()
+    frequent = counts.filter(F.col("n") >= limit).select(*by, F.lit(True).alias("_hot"))
+    scattered = F.col("_hot") | F.col(value).isNull()
+    salt = F.when(scattered, F.pmod(F.hash(spread), F.lit(SALTS))).otherwise(0)
+    salted = rows.join(F.broadcast(frequent), by, "left").withColumn("_salt", salt).drop("_hot")
+    copies = F.when(F.col("n") >= limit, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(ranks.select(*by, "midrank", F.explode(copies).alias("_salt")), [*by, "_salt"], "left").drop("_salt")

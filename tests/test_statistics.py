@@ -87,7 +87,7 @@ def test_hot_values_and_salted_rest_get_the_same_ranks(spark):
     data = [(0, 0.0, float(i)) for i in range(300)] + [(0, float(i), 0.5) for i in range(1, 300)]
     df = spark.createDataFrame(data, "pair int, a double, b double").withColumn("n", F.lit(1).cast("bigint"))
     totals = df.groupBy("pair", "a").agg(F.sum("n").alias("n"))
-    joined = ranks.join_ranks(df, ranks.midranks(totals, ["pair"], "a"), ["pair"], "a", spread="b")
+    joined = ranks.join_ranks(df, ranks.midranks(totals, ["pair"], "a"), totals, ["pair"], "a", spread="b")
     got = {r["a"]: r["midrank"] for r in rows(joined)}
     expected = pd.Series([d[1] for d in data]).rank()
     assert joined.count() == len(data)
