@@ -5,8 +5,6 @@ Everything here is declaration; flatten_scoped, curated_effects and curated_grou
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
