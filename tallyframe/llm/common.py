@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +24,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
+def prepare(spark: SparkSession) -> None:
+    """Sizes of Arrow batches, and this package for the executors, once for each context."""
+    context = spark.sparkContext
+    if not getattr(context, "_tallyframe_sent", False):
+        root = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="tallyframe-")) / "tallyframe_package.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        context._tallyframe_sent = True
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
@@ -37,7 +50,7 @@ def settle(df: DataFrame) -> DataFrame:
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | list], schema: str) -> DataFrame:
     """function over each Arrow batch; schema names the columns it returns."""
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
     arrow = _arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

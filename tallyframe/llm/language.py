@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import map_batches, settle, small_batches, table
+from tallyframe.llm.common import map_batches, prepare, settle, table
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Longest n-gram of a word with its edge marks; shorter ones follow down to single characters.
@@ -36,7 +36,7 @@ def _grams(word: str, size: int) -> list[str]:
 def _counts(rows: DataFrame) -> DataFrame:
     """lang, size (0: whole word, else n-gram length), term, n over all rows; counts leave a task in parts of
     bounded size."""
-    small_batches(rows.sparkSession)
+    prepare(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
