@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 import unicodedata
 
 import numpy as np
@@ -26,7 +27,7 @@ WORD_END = "</w>"
 #: which may know characters that are newer than the tokenizers library's.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Encoded words that one worker keeps.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 800_000
 
 
 def default_vocabulary() -> str:
@@ -59,16 +60,12 @@ class MergeAutomaton:
         self.longest = max(len(label.removesuffix(WORD_END)) for label in self.ids)
         self.arcs: dict[tuple[int, int], bool] = {}
         self.reached: dict[int, bool] = {}
-        self.letters = byte_letters()
+        self.letters = dict(enumerate(byte_letters()))
+        reached = {label: token for label, token in self.ids.items() if self.token_reached(token)}
+        self.inner = {label: token for label, token in reached.items() if not label.endswith(WORD_END)}
+        self.final = {label.removesuffix(WORD_END): token for label, token in reached.items() if label.endswith(WORD_END)}
         self.marks = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
 
-    def arc(self, state: int, token: int) -> bool:
-        """Whether `token` may follow `state` once all gadgets are applied."""
-        found = self.arcs.get((state, token))
-        if found is None:
-            found = self.arcs[state, token] = self._applied(state, token)
-        return found
-
     def _applied(self, left: int, right: int) -> bool:
         """Undo the later of the two tokens' last merges, step by step, down to the bare edges: a merge of two
         edges that comes before both sides are whole would have joined them."""
@@ -113,17 +110,24 @@ class MergeAutomaton:
     def encode_word(self, word: str) -> list[int]:
         """The tokens of one pre-split word: its only path. `ending[i]` is the last arc of the path that spells
         the first i letters; the whole word's last letter carries the word end."""
-        letters = "".join(self.letters[byte] for byte in word.encode())
-        size = len(letters)
-        ending = [-1] * (size + 1)
-        spelled = [0] * (size + 1)
+        letters = word.encode().decode("latin-1").translate(self.letters)
+        size, ids, arcs, longest = len(letters), self.inner, self.arcs, self.longest
+        ending, spelled = [-1] * (size + 1), [0] * (size + 1)
         for end in range(1, size + 1):
-            mark = WORD_END if end == size else ""
-            for start in range(max(0, end - self.longest), end):
-                token = self.ids.get(letters[start:end] + mark)
-                if token is not None and (not start or self.arc(ending[start], token)) and self.token_reached(token):
-                    ending[end], spelled[end] = token, start
-                    break
+            if end == size:
+                ids = self.final
+            for start in range(end - longest if end > longest else 0, end):
+                token = ids.get(letters[start:end])
+                if token is None:
+                    continue
+                if start:
+                    allowed = arcs.get((ending[start], token))
+                    if allowed is None:
+                        allowed = arcs[ending[start], token] = self._applied(ending[start], token)
+                    if not allowed:
+                        continue
+                ending[end], spelled[end] = token, start
+                break
         out, at = [], size
         while at:
             out.append(ending[at])
@@ -150,7 +154,7 @@ class MergeAutomaton:
 
     def readable(self, ids: list[int]) -> str:
         """Arc labels as text: byte letters become bytes again, word ends become spaces."""
-        back = {letter: byte for byte, letter in enumerate(self.letters)}
+        back = {letter: byte for byte, letter in self.letters.items()}
         out = b""
         for token in ids:
             label = self.labels[token]
@@ -162,17 +166,17 @@ class MergeAutomaton:
 
 
 class _Words(dict):
-    """Tokens as bytes and labels of the words met so far."""
+    """Tokens as bytes of the words met so far."""
 
     def __init__(self, automaton: MergeAutomaton) -> None:
         super().__init__()
-        self.automaton, self.spelled = automaton, {}
+        self.automaton = automaton
+        self.written = {token: label.encode() for token, label in automaton.labels.items()}
 
     def __missing__(self, word: str) -> bytes:
         special = self.automaton.special.get(word)
         ids = [special] if special is not None else self.automaton.encode_word(word)
-        self.spelled[word] = self.automaton.decode(ids).encode()
-        self[word] = found = np.array(ids, "<u4").tobytes()
+        self[word] = found = struct.pack(f"<{len(ids)}I", *ids)
         return found
 
 
@@ -185,16 +189,14 @@ def loaded(path: str) -> _Words:
     words = _LOADED[path]
     if len(words) > KEPT_WORDS:
         words.clear()
-        words.spelled.clear()
     return words
 
 
 def encode_text(text: str, path: str) -> tuple[bytes, bytes]:
     """Ids as little-endian 32-bit integers, and the decoded text in UTF-8."""
     words = loaded(path)
-    pieces = list(words.automaton.words(text))
-    ids = b"".join(map(words.__getitem__, pieces))
-    return ids, b" ".join(map(words.spelled.__getitem__, pieces))
+    ids = b"".join(map(words.__getitem__, words.automaton.words(text)))
+    return ids, b" ".join(map(words.written.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
