@@ -129,7 +129,7 @@ COMPLETENESS = """findings as (
   union all select record_id, 'PAGE_NOTES', 'page_notes.2', 'missing_page_note', '2' from order_answers where o_orderstatus = 'P'
   {extra})"""
 WIDER = """union all select record_id, 'amount', 'amount.components.tax', 'missing_component', 'tax' from order_answers
-  union all select record_id, 'lines', 'lines.rows.l4', 'missing_row', 'l4' from order_answers
+  union all select record_id, 'lines', 'lines.rows.l8', 'missing_row', 'l8' from order_answers
   union all select record_id, 'placed', 'placed.subfield.hour', 'missing_subfield', 'hour' from order_answers
   union all select record_id, 'status', 'status.subfield.why', 'missing_option_subfield', 'P' from order_answers where o_orderstatus = 'P' and o_orderpriority <> '4-NOT SPECIFIED'"""
 
@@ -141,7 +141,7 @@ def wider_contract():
     document = copy.deepcopy(CONTRACT)
     by_id = {question["id"]: question for question in document["questions"]}
     by_id["amount"]["components"].append({"id": "tax", "type": "text"})
-    by_id["lines"]["rows"].append({"code": "l4"})
+    by_id["lines"]["rows"].append({"code": "l8"})
     by_id["placed"]["subfield"] = [{"id": "day"}, {"id": "hour"}]
     by_id["status"]["options"][2]["subfield"] = {"id": "why"}
     return Contract(document)
@@ -399,13 +399,13 @@ def single_read_pass(spark, sf_dir):
     return listed(reconcile.single_read_pass(reads(spark, sf_dir).filter("read_no = 1")).drop("entry"), "flags")
 
 
-@query("self_consistency_merge", f"""select cast(o_orderkey as varchar) as record_id, 'marks' as qid, o_orderstatus || ';z' as value, o_totalprice <= 400000 as match,
+@query("self_consistency_merge", f"""select cast(o_orderkey as varchar) as record_id, 'marks' as qid, o_orderstatus || ';z' as value, o_totalprice <= 400000 as match, cast(null as varchar) as error,
   concat_ws(',', 'multi_mark_on_single_select', case when o_orderpriority = '1-URGENT' then 'ambiguous_mark' end, case when o_totalprice > 400000 then 'self_consistency_mismatch' end) as flags from orders
-union all select cast(o_orderkey as varchar), 'status', case when o_totalprice < 450000 then o_orderstatus end, o_totalprice <= 420000,
-  case when o_totalprice > 420000 then 'self_consistency_mismatch' else '' end from orders where o_totalprice >= 10000""")
+union all select cast(o_orderkey as varchar), 'status', case when o_totalprice < 450000 then o_orderstatus end, case when o_totalprice >= 10000 then o_totalprice <= 420000 end,
+  case when o_totalprice < 10000 then 'read_2_missing' end, case when o_totalprice > 420000 then 'self_consistency_mismatch' else '' end from orders""")
 def self_consistency_merge(spark, sf_dir):
     rows = reconcile.self_consistency_merge(reads(spark, sf_dir))
-    return listed(rows.select("record_id", "qid", "value", "match", "flags"), "flags")
+    return listed(rows.select("record_id", "qid", "value", "match", "error", "flags"), "flags")
 
 
 def page_reads(spark, sf_dir):

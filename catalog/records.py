@@ -288,20 +288,20 @@ def payload_validation(spark, sf_dir):
 
 
 def order_manifest(spark, sf_dir):
-    return table(spark, sf_dir, "orders").filter("o_totalprice < 440000").select(
+    return table(spark, sf_dir, "orders").select(
         F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("record_id"), F.lit("scan.pdf").alias("source_path"),
         F.col("o_orderpriority").alias("group"), F.date_format("o_orderdate", "yyyy").alias("wave"),
     )
 
 
 @query("manifest_join", f"""with {ORDER_RECORDS} select record_id, array_to_string(status_list, ';') as status, o_orderpriority as meta__group, cast(year(o_orderdate) as varchar) as meta__wave
-from order_answers where o_totalprice < 440000""")
+from order_answers where o_orderkey % 5 > 0""")
 def manifest_join(spark, sf_dir):
     wide = flatten.flatten_records(order_records(spark, sf_dir), contract()).select("record_id", "status")
-    return flatten.manifest_join(wide, order_manifest(spark, sf_dir))
+    return flatten.manifest_join(wide, order_manifest(spark, sf_dir).filter("cast(substr(record_id, 2) as bigint) % 5 > 0"))
 
 
-@query("meta_prefix", "select 'R' || cast(o_orderkey as varchar) as record_id, o_orderpriority as meta__group, cast(year(o_orderdate) as varchar) as meta__wave from orders where o_totalprice < 440000")
+@query("meta_prefix", "select 'R' || cast(o_orderkey as varchar) as record_id, o_orderpriority as meta__group, cast(year(o_orderdate) as varchar) as meta__wave from orders")
 def meta_prefix(spark, sf_dir):
     return flatten.meta_prefix(order_manifest(spark, sf_dir))
 
@@ -412,13 +412,13 @@ def snk_results(spark, sf_dir):
 @query("snk_report_tables", f"""select 'data' as part, cast(null as varchar) as item, cast(count(*) as bigint) as n from order_c
 union all select 'frequencies', 'status ' || status, count(*) from order_c group by status
 union all select 'frequencies', 'size ' || coalesce(size, '(missing)'), count(*) from order_c group by size
-union all select 'associations', 'status size', count(*) from order_c where size is not null""".replace("order_c", "(select o_orderstatus as status, case when o_totalprice > 450000 then null when o_totalprice < 100000 then 'small' else 'large' end as size from orders)"))
+union all select 'associations', 'status size', count(*) from order_c where size is not null""".replace("order_c", "(select o_orderstatus as status, case when o_totalprice < 100000 then 'small' else 'large' end as size from orders)"))
 def snk_report_tables(spark, sf_dir):
     from tallyframe.plans.analyze import analyze_dataset, report_tables
 
     wide = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("record_id"), F.col("o_orderstatus").alias("status"),
-        F.when(F.col("o_totalprice") > 450000, None).when(F.col("o_totalprice") < 100000, "small").otherwise("large").alias("size"),
+        F.when(F.col("o_totalprice") < 100000, "small").otherwise("large").alias("size"),
     )
     tables = report_tables(wide, analyze_dataset(wide, {"status": "categorical", "size": "categorical"}))
     data = tables["data"].agg(F.lit("data").alias("part"), F.lit(None).cast("string").alias("item"), F.count(F.lit(1)).alias("n"))

@@ -97,21 +97,21 @@ def spearman_p_sql(rho: str, n: str) -> str:
     return student_sql(f"({rho} * sqrt(({n} - 2) / ((1 - {rho}) * (1 + {rho}))))", f"({n} - 2)")
 
 
-def cramers_row(source, a, b):
+def cramers_row(source, a, b, digits=6):
     return f"""select '{a}' as variable_a, '{b}' as variable_b, 'cramers_v' as method, round(sqrt(chi2 / (n * (k - 1))), 6) as effect,
-  round({chi2_p_sql('chi2', 'df')}, 6) as p_value, n, min_group_n from {chi_sql(source, a, b)}"""
+  round({chi2_p_sql('chi2', 'df')}, {digits}) as p_value, n, min_group_n from {chi_sql(source, a, b)}"""
 
 
-def spearman_row(source, a, b):
+def spearman_row(source, a, b, digits=6):
     return f"""select '{a}' as variable_a, '{b}' as variable_b, 'spearman_rho' as method, round(rho, 6) as effect,
-  round({spearman_p_sql('rho', 'n')}, 6) as p_value, n, cast(null as bigint) as min_group_n from {spearman_sql(source, a, b)}"""
+  round({spearman_p_sql('rho', 'n')}, {digits}) as p_value, n, cast(null as bigint) as min_group_n from {spearman_sql(source, a, b)}"""
 
 
-def mixed_row(source, x, g, names=None):
+def mixed_row(source, x, g, names=None, digits=6):
     a, b = names or (x, g)
     return f"""select '{a}' as variable_a, '{b}' as variable_b, case when levels = 2 then 'rank_biserial' else 'eta' end as method,
   round(case when levels = 2 then 1 - 2 * u / (cast(n1 as double) * n2) else sqrt(between_ / ss_total) end, 6) as effect,
-  round(case when levels = 2 then {u_p_sql('u', 'n1', 'n2', 'tie_sum')} else {chi2_p_sql('h', '(levels - 1)')} end, 6) as p_value,
+  round(case when levels = 2 then {u_p_sql('u', 'n1', 'n2', 'tie_sum')} else {chi2_p_sql('h', '(levels - 1)')} end, {digits}) as p_value,
   total as n, min_group_n from {group_sql(source, x, g)}"""
 
 
@@ -123,16 +123,16 @@ MIX_TYPES = {
 
 
 def mix(spark, sf_dir):
-    """Order lines with their order's priority; quantity and priority have gaps."""
+    """Order lines with their order's priority; priority has gaps."""
     lines, orders = heavy(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.when(F.col("l_linenumber") < 7, F.col("l_quantity")).alias("quantity"), F.col("l_extendedprice").alias("price"),
+        F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"),
         F.col("l_discount").alias("discount"), F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("line"),
         F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderpriority")).alias("priority"),
     )
 
 
-MIX = """mix as (select case when l_linenumber < 7 then l_quantity end as quantity, l_extendedprice as price, l_discount as discount,
+MIX = """mix as (select l_quantity as quantity, l_extendedprice as price, l_discount as discount,
   l_returnflag as flag, l_linestatus as line, case when o_orderpriority <> '4-NOT SPECIFIED' then o_orderpriority end as priority
   from lineitem join orders on l_orderkey = o_orderkey)"""
 NUMBERS = ("quantity", "price", "discount")
@@ -142,16 +142,16 @@ def matrix_sql() -> str:
     rows = []
     for i, (a, b) in enumerate(combinations(MIX_TYPES, 2)):
         if a in NUMBERS and b in NUMBERS:
-            row = spearman_row("mix", a, b)
+            row = spearman_row("mix", a, b, 15)
         elif a in NUMBERS:
-            row = mixed_row("mix", a, b)
+            row = mixed_row("mix", a, b, digits=15)
         else:
-            row = cramers_row("mix", a, b)
+            row = cramers_row("mix", a, b, 15)
         rows.append(f"select cast({i} as integer) as pair, * from ({row})")
     return f"""raw as ({' union all '.join(rows)}),
 ranked as (select *, row_number() over (order by p_value, pair) as rk, count(p_value) over () as m from raw),
 adjusted as (select *, least(1.0, min(p_value * m / rk) over (order by rk rows between current row and unbounded following)) as adjusted_p_value from ranked),
-matrix as (select pair, variable_a, variable_b, method, effect, p_value, round(adjusted_p_value, 5) as adjusted_p_value, n, min_group_n,
+matrix as (select pair, variable_a, variable_b, method, effect, round(p_value, 6) as p_value, round(adjusted_p_value, 5) as adjusted_p_value, n, min_group_n,
   case when n < 20 then 'low_pair_n' when min_group_n < 5 then 'small_group' end as caution,
   case when p_value is not null and not (n < 20 or coalesce(min_group_n < 5, false)) then p_value < 0.05 end as significant,
   case when method in ('spearman_rho', 'rank_biserial') then case when effect > 0 then 'same' else 'opposite' end end as direction from adjusted)"""
@@ -423,14 +423,14 @@ def alpha_sql(source: str, name: str, items) -> str:
   count(*) as n, cast({k} as integer) as items, cast(null as varchar) as reason from {source} where {complete}"""
 
 
-SCALE_ITEMS = "scale_items as (select l_discount * 100 as d, l_tax * 100 as t, case when l_linenumber < 7 then l_quantity / 5 end as q from lineitem)"
+SCALE_ITEMS = "scale_items as (select l_discount * 100 as d, l_tax * 100 as t, l_quantity / 5 as q from lineitem)"
 
 
 @query("cronbach_alpha", f"""with {SCALE_ITEMS} {alpha_sql('scale_items', 'three', ('d', 't', 'q'))} union all {alpha_sql('scale_items', 'two', ('d', 't'))}
 union all select 'gone', null, 0, 2, 'missing_columns:zz'""")
 def cronbach_alpha(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(
-        (F.col("l_discount") * 100).alias("d"), (F.col("l_tax") * 100).alias("t"), F.when(F.col("l_linenumber") < 7, F.col("l_quantity") / 5).alias("q")
+        (F.col("l_discount") * 100).alias("d"), (F.col("l_tax") * 100).alias("t"), (F.col("l_quantity") / 5).alias("q")
     )
     return tidy(reliability.cronbach_alpha(rows, {"three": ["d", "t", "q"], "two": ["d", "t"], "gone": ["d", "zz"]}))
 

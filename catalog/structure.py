@@ -58,18 +58,20 @@ FEATURES = {"clicks": "t__click", "buys": "t__purchase", "spent": "spent", "even
 
 
 def features(spark, sf_dir):
-    """Feature rows of visits; some indicators and sums are not known."""
-    known = F.col("part") != "night"
-    return structure.segment_features(visits(spark, sf_dir), {
-        "clicks": F.when(known, F.col("t__click")), "buys": F.col("t__purchase"),
-        "spent": F.when(F.col("n_events") > 1, F.col("spent")), "events": F.col("n_events"),
-    }, keep=["record_id"])
+    """Feature rows of visits."""
+    return structure.segment_features(visits(spark, sf_dir), {"clicks": F.col("t__click"), "buys": F.col("t__purchase"), "spent": F.col("spent"), "events": F.col("n_events")}, keep=["record_id"])
 
 
-FEATURE_ROWS = f"""{VISITS}, f as (select record_id, case when part <> 'night' then cast(t__click as double) end as clicks, cast(t__purchase as double) as buys,
-  case when n_events > 1 then spent end as spent, cast(n_events as double) as events from visits)"""
-IMPUTED = f"""{FEATURE_ROWS}, i as (select record_id, coalesce(clicks, (select clicks from f where clicks is not null group by clicks order by count(*) desc, clicks limit 1)) as clicks,
-  buys, coalesce(spent, (select quantile_cont(spent, 0.5) from f)) as spent, events from f)"""
+def gaps(spark, sf_dir):
+    """The same with some indicators and sums not known, for filling in."""
+    return features(spark, sf_dir).withColumns({"clicks": F.when(F.col("events") > 2, F.col("clicks")), "spent": F.when(F.col("events") > 1, F.col("spent"))})
+
+
+FEATURE_ROWS = f"""{VISITS}, f as (select record_id, cast(t__click as double) as clicks, cast(t__purchase as double) as buys,
+  spent, cast(n_events as double) as events from visits)"""
+GAP_ROWS = f"{FEATURE_ROWS}, g as (select * replace (case when events > 2 then clicks end as clicks, case when events > 1 then spent end as spent) from f)"
+IMPUTED = f"""{GAP_ROWS}, i as (select record_id, coalesce(clicks, (select clicks from g where clicks is not null group by clicks order by count(*) desc, clicks limit 1)) as clicks,
+  buys, coalesce(spent, (select quantile_cont(spent, 0.5) from g)) as spent, events from g)"""
 
 
 @query("segment_features", f"with {FEATURE_ROWS} select * replace (round(spent, 6) as spent) from f")
@@ -78,7 +80,7 @@ def segment_features(spark, sf_dir):
 
 
 def imputed(spark, sf_dir):
-    return structure.impute_central(features(spark, sf_dir), median_columns=["spent"], mode_columns=["clicks", "buys"])
+    return structure.impute_central(gaps(spark, sf_dir), median_columns=["spent"], mode_columns=["clicks", "buys"])
 
 
 @query("impute_central", f"with {IMPUTED} select * replace (round(spent, 6) as spent) from i")
@@ -86,9 +88,9 @@ def impute_central(spark, sf_dir):
     return tidy(imputed(spark, sf_dir))
 
 
-@query("standardise", f"with {IMPUTED} select record_id, {', '.join(f'round(({n} - (select avg({n}) from i)) / (select stddev_pop({n}) from i), 6) as {n}' for n in FEATURES)} from i")
+@query("standardise", f"with {FEATURE_ROWS} select record_id, {', '.join(f'round(({n} - (select avg({n}) from f)) / (select stddev_pop({n}) from f), 6) as {n}' for n in FEATURES)} from f")
 def standardise(spark, sf_dir):
-    return tidy(structure.standardise(imputed(spark, sf_dir), list(FEATURES)))
+    return tidy(structure.standardise(features(spark, sf_dir), list(FEATURES)))
 
 
 def sweep(spark, sf_dir):

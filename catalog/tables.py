@@ -14,7 +14,7 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 RETURN_FLAGS = ("A", "N", "R")
 LINE_STATUSES = ("F", "O")
 PRIORITY_CODES = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium", "4-NOT SPECIFIED": "unspecified", "5-LOW": "low"}
-LINE_NUMBERS = (1, 2, 3)
+LINE_NUMBERS = (1, 2, 3, 4, 5, 6, 7)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,8 +42,7 @@ def order_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("record_id"),
         F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderpriority")).alias("priority"),
         F.col("o_orderstatus").alias("status"),
-        F.when(F.col("o_totalprice") > 450000, None).when(F.col("o_totalprice") < 100000, "small")
-        .when(F.col("o_totalprice") < 300000, "middle").otherwise("large").alias("size"),
+        F.when(F.col("o_totalprice") < 100000, "small").when(F.col("o_totalprice") < 300000, "middle").otherwise("large").alias("size"),
         F.col("o_totalprice").alias("price"),
     )
 
@@ -53,7 +52,7 @@ order_choices as (
   select cast(o_orderkey as varchar) as record_id,
     case when o_orderpriority <> '4-NOT SPECIFIED' then o_orderpriority end as priority,
     o_orderstatus as status,
-    case when o_totalprice > 450000 then null when o_totalprice < 100000 then 'small'
+    case when o_totalprice < 100000 then 'small'
          when o_totalprice < 300000 then 'middle' else 'large' end as size,
     o_totalprice as price
   from orders)"""
@@ -72,7 +71,7 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("spent"),
     ).select(
         F.concat_ws("_", "user_id", "day").alias("record_id"), "user_id", *[f"t__{kind}" for kind in EVENT_TYPES],
-        F.when(F.col("n_events") < 6, F.col("combo")).alias("combo"), "part", "n_events", "spent",
+        "combo", "part", "n_events", "spent",
     )
 
 
@@ -80,7 +79,7 @@ VISITS = f"""
 visits as (
   select cast(user_id as varchar) || '_' || strftime(cast(ts as date), '%Y-%m-%d') as record_id, user_id,
     {', '.join(f"max(case when event_type = '{kind}' then 1 else 0 end) as t__{kind}" for kind in EVENT_TYPES)},
-    case when count(*) < 6 then string_agg(distinct event_type, '+' order by event_type) end as combo,
+    string_agg(distinct event_type, '+' order by event_type) as combo,
     case when min(hour(ts)) < 6 then 'night' when min(hour(ts)) < 14 then 'day' else 'evening' end as part,
     count(*) as n_events, sum(value) as spent
   from events group by user_id, cast(ts as date))"""
@@ -89,7 +88,7 @@ visits as (
 # ---- lineitem as matrix and grid answers of an order ----------------------------------------------
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: combo of return flags on lines 1..3, and 0/1 per (return flag, line status)."""
+    """Per order: combo of return flags on each line number, and 0/1 per (return flag, line status)."""
     lines = table(spark, sf_dir, "lineitem")
     rows = [
         F.nullif(F.array_join(F.array_sort(F.collect_set(F.when(F.col("l_linenumber") == k, F.col("l_returnflag")))), "+"), F.lit("")).alias(f"l{k}")
@@ -130,7 +129,7 @@ CONTRACT = {
             {"code": flag, "label": f"Flag {flag}"} for flag in RETURN_FLAGS] + [{"code": "none", "label": "None", "exclusive": True}]},
         {"id": "amount", "page": 1, "section": "lines", "text": "Amount", "type": "composite", "components": [
             {"id": "total", "type": "text"}, {"id": "big", "type": "single_select", "options": [{"code": "yes"}]}]},
-        {"id": "lines", "page": 2, "section": "lines", "text": "Lines", "type": "matrix", "expected_data_rows": 3,
+        {"id": "lines", "page": 2, "section": "lines", "text": "Lines", "type": "matrix", "expected_data_rows": len(LINE_NUMBERS),
          "rows": [{"group_header": "First lines"}] + [{"code": f"l{k}", "label": f"Line {k}"} for k in LINE_NUMBERS],
          "columns": [{"code": flag, "label": f"Flag {flag}"} for flag in RETURN_FLAGS]},
         {"id": "modes", "page": 2, "section": "lines", "text": "Modes", "type": "device_grid",

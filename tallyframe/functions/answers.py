@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyframe.functions.canonical import canonical_text
+
 # Keys of an entry that describe the reading, not the answer.
 ENTRY_METADATA = ("confidence", "flags", "note")
 ENTRY_CONTAINERS = ("components", "rows", "subfield", "derived_subfield")
@@ -67,34 +69,18 @@ def sorted_combo(entry: Column) -> Column:
     return F.when(F.size(members) > 0, F.array_join(F.array_sort(members), "+"))
 
 
-def _canonical_sql(value: str, ignore: Sequence[str], depth: int) -> str:
-    # Of all JSON scalars only numbers start with a character from '-' to '9'; 1.0 and 1 are one number.
-    scalar = f"regexp_replace(to_json({value}), '^(-?[0-9]+)[.]0+$', '$1')"
-    if depth == 0:
-        return scalar
-    item, entry = f"i{depth}", f"e{depth}"
-    items = f"transform(try_variant_get({value}, '$', 'array<variant>'), {item} -> {_canonical_sql(item, ignore, depth - 1)})"
-    fields = f"map_entries(try_variant_get({value}, '$', 'map<string,variant>'))"
-    if ignore:
-        names = ", ".join(f"'{name}'" for name in ignore)
-        fields = f"filter({fields}, {entry} -> {entry}.key not in ({names}))"
-    # Parsed objects list their keys in order already.
-    member = f"concat(length({entry}.key), ':', {entry}.key, {_canonical_sql(f'{entry}.value', ignore, depth - 1)})"
-    members = f"transform({fields}, {entry} -> {member})"
-    return (
-        f"coalesce(concat('[', array_join(array_sort({items}), ','), ']'), concat('{{', array_join({members}, ','), '}}'), {scalar})"
-    )
-
-
-def canonical_value(value: str, ignore: Sequence[str] = ENTRY_METADATA, depth: int = 5) -> Column:
-    """Order-insensitive, type-tagged text of the JSON value in a column.
-
-    Array order and the ignored keys do not matter; null, [] and missing stay distinct, as do
-    1, "1" and true. depth is the nesting an answer entry can reach (entry, container, entry, value, items);
-    anything deeper is compared as it is written.
+def canonical_value(value: str, ignore: Sequence[str] = ENTRY_METADATA) -> Column:
+    """Order-insensitive, type-tagged text of the JSON value in a column, however deep it nests.
+
+    Array order and the ignored keys do not matter; null, [] and missing stay distinct, as do 1, "1" and true.
     """
-    return F.expr(_canonical_sql(value, ignore, depth))
+    return canonical_text(F.to_json(value), F.lit(",".join(ignore)))
 
 
-def values_equal(left: str, right: str, ignore: Sequence[str] = ENTRY_METADATA, depth: int = 5) -> Column:
-    return canonical_value(left, ignore, depth).eqNullSafe(canonical_value(right, ignore, depth))
+def values_equal(left: str, right: str, ignore: Sequence[str] = ENTRY_METADATA) -> Column:
+    """Texts that agree as written are equal; only the others are sent to be brought to canonical form."""
+    one, two = F.to_json(left), F.to_json(right)
+    written = one.eqNullSafe(two)
+    names = F.lit(",".join(ignore))
+    both = F.when(one.isNotNull() & two.isNotNull() & ~written, one), F.when(one.isNotNull() & two.isNotNull() & ~written, two)
+    return written | F.coalesce(canonical_text(both[0], names) == canonical_text(both[1], names), F.lit(False))

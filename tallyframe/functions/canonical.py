@@ -1,0 +1,59 @@
+"""Canonical text of JSON values of any depth. Spark's expressions are as deep as they are written, so this one
+walks the value in Python; values_equal() sends only values whose texts differ."""
+
+from __future__ import annotations
+
+import json
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class _Number(str):
+    """A number as written, without a fraction of zeros: 1.0 and 1 are one number."""
+
+
+def _number(text: str) -> _Number:
+    whole, _, rest = text.partition(".")
+    return _Number(whole if rest and not rest.strip("0") else text)
+
+
+def canonical(text: str, ignore: frozenset[str]) -> str:
+    """Arrays sorted, objects by key with each key's length, scalars as JSON. Walked with a stack of its own, so
+    nesting is bounded by memory alone."""
+    done: list[str] = []
+    todo: list[tuple] = [(None, json.loads(text, parse_float=_number, parse_int=_number))]
+    while todo:
+        build, value = todo.pop()
+        if build == "array":
+            items = [done.pop() for _ in range(value)]
+            done.append(f"[{','.join(sorted(items))}]")
+        elif build == "object":
+            items = [done.pop() for _ in value]
+            done.append("{" + ",".join(f"{len(key)}:{key}{item}" for key, item in zip(value, items)) + "}")
+        elif isinstance(value, dict):
+            keys = sorted(key for key in value if key not in ignore)
+            todo.append(("object", keys))
+            todo.extend((None, value[key]) for key in keys)
+        elif isinstance(value, list):
+            todo.append(("array", len(value)))
+            todo.extend((None, item) for item in value)
+        else:
+            done.append(value if isinstance(value, _Number) else json.dumps(value, ensure_ascii=False))
+    return done.pop()
+
+
+@F.pandas_udf(StringType())
+def canonical_text(text: pd.Series, ignore: pd.Series) -> pd.Series:
+    names = frozenset(ignore.iloc[0].split(",")) if len(ignore) else frozenset()
+    limit = sys.getrecursionlimit()
+    sys.setrecursionlimit(100_000)  # json.loads itself descends
+    try:
+        return text.map(lambda one: None if one is None else canonical(one, names))
+    finally:
+        sys.setrecursionlimit(limit)

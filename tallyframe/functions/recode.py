@@ -26,8 +26,9 @@ ETHNICITY_SPELLINGS = {
     "mông": "Mông",
     "dao đỏ": "Dao",
     "dao do": "Dao",
-    "kinh": "Kinh",
 }
+# A code of the form, taken as it is; other spellings of the word pass through.
+ETHNICITY_CODES = {"kinh": "Kinh"}
 YES_NO = {"co": True, "khong": False}
 INCOME_SHARE_LEVELS = ("duoi_25", "25_50", "51_75", "tren_75")
 REVIEW_FLAG = "needs_review"
@@ -121,10 +122,11 @@ def mapped(value: Column | str, mapping: Mapping) -> Column:
     return F.try_element_at(F.create_map(*pairs), _col(value))
 
 
-def spelling_normalise(value: Column | str, spellings: Mapping[str, str] = ETHNICITY_SPELLINGS) -> Column:
-    """Known variants to one spelling, ignoring case and outer blanks; others pass through trimmed."""
+def spelling_normalise(value: Column | str, spellings: Mapping[str, str] = ETHNICITY_SPELLINGS, codes: Mapping[str, str] = ETHNICITY_CODES) -> Column:
+    """Codes by their exact text, known variants to one spelling, ignoring case and outer blanks; others pass
+    through trimmed."""
     trimmed = F.trim(_col(value))
-    return F.coalesce(mapped(F.lower(trimmed), spellings), trimmed)
+    return F.coalesce(mapped(trimmed, codes), mapped(F.lower(trimmed), spellings), trimmed)
 
 
 def yes_no_bool(value: Column | str, mapping: Mapping[str, bool] = YES_NO) -> Column:

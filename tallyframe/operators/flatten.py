@@ -86,29 +86,42 @@ def codebook(contract: Contract, spark, section_of: Callable[[Mapping[str, Any]]
 
 # ---- long form ------------------------------------------------------------------------------------
 
-def answers_long(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """(record_id, keep..., qid, path, entry VARIANT): every question entry, and the entries nested in
-    its components, rows and subfields. One narrow pass; nothing is shuffled."""
-    top = records.select(
+_CONTAINER = r'"(' + "|".join(A.ENTRY_CONTAINERS) + r')"\s*:\s*\{'
+
+
+def nesting_bound(entries: DataFrame, entry: str = "entry") -> int:
+    """How many containers an entry holds at most, and so how deep entries can nest: one pass over the records."""
+    return entries.agg(F.max(F.regexp_count(F.to_json(entry), F.lit(_CONTAINER)))).first()[0] or 0
+
+
+def answers_long(records: DataFrame, keep: Sequence[str] = (), levels: int | None = None) -> DataFrame:
+    """(record_id, keep..., qid, path, entry VARIANT): every question entry, and the entries nested in its components,
+    rows and subfields at any depth. Each level is one narrow step; nothing is shuffled.
+
+    levels is the number of nested levels to visit. Left out, it follows from the records (nesting_bound), so none
+    is missed; streaming records, which can't be measured beforehand, need it."""
+    rows = records.select(
         "record_id", *keep,
         F.explode(F.try_variant_get(A.path_lookup(F.col("document"), ["answers"]), "$", "map<string,variant>")).alias("qid", "entry"),
     )
-    nested = F.array(*[
-        F.struct(F.lit(name).alias("container"), F.try_variant_get("entry", f"$.{name}", "map<string,variant>").alias("members"))
-        for name in A.ENTRY_CONTAINERS
-    ])
-    inner = F.flatten(F.transform(
-        F.filter(nested, lambda part: part.members.isNotNull()),
-        lambda part: F.transform(
-            F.map_entries(part.members),
-            lambda item: F.struct(F.concat_ws(".", part.container, item.key).alias("path"), item.value.alias("entry")),
-        ),
-    ))
-    whole = F.array(F.struct(F.lit("").alias("path"), F.col("entry").alias("entry")))
-    return top.select("record_id", *keep, "qid", F.inline(F.concat(whole, inner))).select(
-        "record_id", *keep, "qid",
-        F.when(F.col("path") == "", F.col("qid")).otherwise(F.concat_ws(".", "qid", "path")).alias("path"), "entry",
-    )
+    if levels is None:
+        levels = nesting_bound(rows)
+    rows = rows.select("record_id", *keep, "qid", F.col("qid").alias("path"), "entry", F.lit(0).alias("level"))
+    for level in range(levels):
+        nested = F.array(*[
+            F.struct(F.lit(name).alias("container"), F.try_variant_get("entry", f"$.{name}", "map<string,variant>").alias("members"))
+            for name in A.ENTRY_CONTAINERS
+        ])
+        inner = F.flatten(F.transform(
+            F.filter(nested, lambda part: part.members.isNotNull()),
+            lambda part: F.transform(
+                F.map_entries(part.members),
+                lambda item: F.struct(F.concat_ws(".", "path", part.container, item.key).alias("path"), item.value.alias("entry"), F.lit(level + 1).alias("level")),
+            ),
+        ))
+        own = F.array(F.struct("path", "entry", "level"))
+        rows = rows.select("record_id", *keep, "qid", F.inline(F.when(F.col("level") == level, F.concat(own, inner)).otherwise(own)))
+    return rows.drop("level")
 
 
 def entry_parts(long: DataFrame) -> DataFrame:

@@ -12,8 +12,6 @@ from tallyframe.functions import recode
 from tallyframe.operators.quality import MULTI_MARK
 
 READ_KEYS = ("record_id", "page", "qid")
-# A bare value nests less than an entry: rows object, row object, marks, mark.
-VALUE_DEPTH = 3
 MISMATCH_NOTE = "the two independent reads differ"
 # Flags of a known truth that a reading has to carry as well, and those a second
 # reading may contribute.
@@ -24,15 +22,20 @@ SECOND_READ_FLAGS = ("ambiguous_mark", "needs_review")
 def _both_reads(reads: DataFrame, keys: Sequence[str]) -> DataFrame:
     """First and second read of each key side by side, from one aggregation instead of a self-join.
 
-    reads: (keys..., read_no, entry VARIANT). Each key has two reads, so the group state is fixed.
+    reads: (keys..., read_no, entry VARIANT). Each key has two reads, so the group state is fixed. error names a
+    read that is missing, or says that one is there more than once: which of them holds is not for us to choose.
     """
     pick = [
         F.max_by("entry", F.when(F.col("read_no") == number, 1)).alias(f"entry_{number}") for number in (1, 2)
     ]
     seen = [F.count_if(F.col("read_no") == number).alias(f"_seen_{number}") for number in (1, 2)]
+    error = (
+        F.when((F.col("_seen_1") > 1) | (F.col("_seen_2") > 1), "duplicate_read")
+        .when(F.col("_seen_1") == 0, "read_1_missing").when(F.col("_seen_2") == 0, "read_2_missing")
+    )
     return reads.groupBy(*keys).agg(*pick, *seen).withColumns({
-        f"entry_{number}": F.when(F.col(f"_seen_{number}") > 0, F.col(f"entry_{number}")) for number in (1, 2)
-    })
+        f"entry_{number}": F.when(F.col(f"_seen_{number}") == 1, F.col(f"entry_{number}")) for number in (1, 2)
+    }).withColumn("error", error)
 
 
 def _flags(entry: str) -> Column:
@@ -42,10 +45,10 @@ def _flags(entry: str) -> Column:
 def double_read_merge(reads: DataFrame, keys: Sequence[str] = READ_KEYS) -> DataFrame:
     """Keep the first read; where the second differs ask for review and lower the confidence.
 
-    error names the read that is missing. Array order and reading metadata do not count as differences.
+    error names the read that is missing or repeated; such a key has no match. Array order and reading metadata do not count as differences.
     """
     pair = _both_reads(reads, keys)
-    complete = (F.col("_seen_1") > 0) & (F.col("_seen_2") > 0)
+    complete = F.col("error").isNull()
     match = A.values_equal("entry_1", "entry_2")
     differs = complete & ~match
     flags = recode.add_flag(_flags("entry_1"), recode.REVIEW_FLAG, differs)
@@ -58,7 +61,7 @@ def double_read_merge(reads: DataFrame, keys: Sequence[str] = READ_KEYS) -> Data
         F.when(differs, recode.note_concat(note, F.lit(MISMATCH_NOTE))).otherwise(note).alias("note"),
         recode.needs_review(flags).alias("needs_review"),
         F.when(complete, match).alias("reads_match"),
-        F.when(F.col("_seen_1") == 0, "read_1_missing").when(F.col("_seen_2") == 0, "read_2_missing").alias("error"),
+        "error",
     )
 
 
@@ -73,20 +76,21 @@ def single_read_pass(reads: DataFrame, keys: Sequence[str] = READ_KEYS) -> DataF
 
 def self_consistency_merge(reads: DataFrame, keys: Sequence[str] = READ_KEYS) -> DataFrame:
     """Multiple-choice variant: review signals of either read are kept, a mismatch gets its own flag, and
-    the multi-mark flag must agree with the value that is kept. run1, run2 and match are for inspection."""
-    pair = _both_reads(reads, keys).filter((F.col("_seen_1") > 0) & (F.col("_seen_2") > 0)).withColumns({
+    the multi-mark flag must agree with the value that is kept. run1, run2 and match are for inspection. A key
+    without exactly one of each read stays, with its error and without a match."""
+    pair = _both_reads(reads, keys).withColumns({
         name: F.try_variant_get(entry, "$.value", "variant") for name, entry in (("_one", "entry_1"), ("_two", "entry_2"))
     })
     one, two = F.col("_one"), F.col("_two")
-    match = A.values_equal("_one", "_two", ignore=(), depth=VALUE_DEPTH)
+    match = A.values_equal("_one", "_two", ignore=())
     borrowed = F.array_intersect(_flags("entry_2"), F.array(*[F.lit(flag) for flag in SECOND_READ_FLAGS]))
-    flags = recode.add_flag(F.array_union(_flags("entry_1"), borrowed), "self_consistency_mismatch", ~match)
+    flags = recode.add_flag(F.array_union(_flags("entry_1"), borrowed), "self_consistency_mismatch", F.col("error").isNull() & ~match)
     several = F.coalesce(F.size(F.try_variant_get(one, "$", "array<variant>")) >= 2, F.lit(False))
     is_nested = A.is_object(one)
     flags = F.when(is_nested | several, flags).otherwise(recode.remove_flag(flags, MULTI_MARK))
     return pair.select(
         *keys, A.cell_join(F.col("entry_1")).alias("value"), flags.alias("flags"),
-        F.to_json(one).alias("run1"), F.to_json(two).alias("run2"), match.alias("match"),
+        F.to_json(one).alias("run1"), F.to_json(two).alias("run2"), F.when(F.col("error").isNull(), match).alias("match"), "error",
     )
 
 
@@ -175,7 +179,7 @@ def truth_comparison(truth: DataFrame, extracted: DataFrame, fields: Sequence[st
     clean = ~no_truth & ~no_extracted
     return rows.select(
         "record_id", "qid",
-        (clean & A.values_equal("_expected", "_actual", ignore=(), depth=VALUE_DEPTH)).alias("value_match"),
+        (clean & A.values_equal("_expected", "_actual", ignore=())).alias("value_match"),
         (clean & (F.size(missing) == 0)).alias("flags_match"),
         F.when(clean, missing).otherwise(F.array().cast("array<string>")).alias("missing_flags"), errors.alias("errors"),
         F.to_json("_expected").alias("expected_value"), F.to_json("_actual").alias("actual_value"),
