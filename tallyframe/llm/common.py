@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tallyframe.plans.session import checkpoint_dir
 
 #: Arrow batches end at whichever comes first; numpy works on about forty bytes for each byte of text.
-BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 1_000, 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

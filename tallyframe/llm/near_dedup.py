@@ -127,8 +127,10 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates:
     1. Rows with equal sets form a class; its smallest doc_id stands for it, so copies are never paired.
     2. Representatives meet in bands of their sketch (252 coordinates in 42 bands: a pair at exactly 0.8 misses all
        of them 3 times in 10^6).
-    3. Shingles that occur in no other representative bound what two sets can share; pairs beyond that exact
-       bound are not compared, which settles most of the many heavily changed copies of one text.
+    3. Representatives that share a shingle which at most three of them have are compared, a number of pairs that
+       grows with the input alone. All other pairs share frequent shingles only, and the counts of these bound what
+       two sets can share; beyond that exact bound they need no comparison, which settles most of the many heavily
+       changed copies of one text.
     4. Stars: in each band one centre (first the member with the most company in all its bands, as the original
        of many near copies has) is compared with the members outside its component, and links are merged.
     5. Every remaining pair of a band that lies in different components is compared. No pair is left out: those
@@ -146,15 +148,20 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates:
     wanted = settle(members.select(F.col("rep").alias("doc_id")).distinct())
     sets = settle(shingle_lists(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), words))
 
-    alone = sets.select(F.col("doc_id").alias("rep"), F.explode("shingles").alias("x")).groupBy("x").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
-    alone = alone.where("rep = other").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
-    members = members.join(alone, "rep", "left").where(100 * (F.col("n") - F.coalesce("own", F.lit(0))) >= percent * F.col("n"))
-    members = settle(members.withColumn("m", F.col("n") - F.coalesce("own", F.lit(0))).drop("own"))
+    held = sets.select(F.col("doc_id").alias("rep"), F.explode("shingles").alias("x")).groupBy("x").agg(
+        F.count(F.lit(1)).alias("f"), F.min("rep").alias("low"), F.max("rep").alias("high"), F.bit_xor("rep").alias("all")
+    ).where("f <= 3")
+    third = F.col("low").bitwiseXOR(F.col("high")).bitwiseXOR(F.col("all"))
+    rare = settle(held.select(F.when(F.col("f") == 1, F.array("low")).when(F.col("f") == 2, F.array("low", "high")).otherwise(F.array("low", third, "high")).alias("reps")))
+    own = rare.select(F.explode("reps").alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    members = settle(members.join(own, "rep", "left").withColumn("m", F.col("n") - F.coalesce("own", F.lit(0))).drop("own"))
+    pair = lambda i, j: F.struct(F.get("reps", F.lit(i)).alias("a"), F.get("reps", F.lit(j)).alias("b"))
+    rarely = rare.where("size(reps) > 1").select(F.explode(F.array(pair(0, 1), pair(1, 2), pair(0, 2))).alias("p")).where("p.b IS NOT NULL").select("p.*").distinct()
     central = F.struct(F.sum("size").alias("weight"), "rep").alias("rank")
     members = settle(members.join(members.groupBy("rep").agg(central), "rep"))
-    joined, stars = None, 0
+    joined, stars = settle(components(_confirm(rarely, sets, percent))), 0
     while True:
-        open_ = members.withColumn("component", F.col("rep")) if joined is None else members.join(joined, F.col("rep") == F.col("node"), "left").select(
+        open_ = members.join(joined, F.col("rep") == F.col("node"), "left").select(
             "band", "rep", "n", "m", "rank", F.coalesce("component", "rep").alias("component")
         )
         parts = open_.groupBy("band", "component").agg(F.count(F.lit(1)).alias("k"), F.max("rank").alias("rank"))
@@ -168,11 +175,11 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates:
         last = todo.pairs <= _FEW * todo.bands or stars == _STARS
         pairs = _rest_pairs(members, percent) if last else _star_pairs(members, percent)
         found = _confirm(pairs, sets, percent)
-        joined = settle(components(found if joined is None else found.union(joined)))
+        joined = settle(components(found.union(joined)))
         if last:
             break
         members, stars = members.select("band", "rep", "n", "m", "rank"), stars + 1
-    groups = classes if joined is None else classes.join(joined, F.col("rep") == F.col("node"), "left").select(*key, F.coalesce("component", "rep").alias("rep"))
+    groups = classes.join(joined, F.col("rep") == F.col("node"), "left").select(*key, F.coalesce("component", "rep").alias("rep"))
     return sums.drop("bands").join(groups, key, "left").select(
         "doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("rep", "doc_id"), F.lit(True)).alias("kept")
     )
@@ -183,7 +190,8 @@ _STARS, _FEW = 1, 8
 
 
 def _may_link(percent: int):
-    """n shingles, m of them in other sets too: two sets share at most the smaller m."""
+    """n shingles, m of them in more than three sets: two sets that share none of the others share at most the
+    smaller m."""
     return (100 + percent) * F.least("m", "m_b") >= percent * (F.col("n") + F.col("n_b"))
 
 
@@ -195,9 +203,15 @@ def _star_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _rest_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a band in different components; one of the two lies outside the band's main component."""
-    other = members.where("component <> main").select("band", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("m").alias("m_b"), F.col("component").alias("of"))
-    pairs = members.join(other, "band").where((F.col("component") != F.col("of")) & _may_link(percent))
+    """All pairs of a band in different components; one of the two lies outside the band's main component. A pair
+    that shares several bands comes from the lowest of them alone."""
+    lists = members.groupBy("rep").agg(F.collect_set("band").alias("bands"))  # one entry a band of the sketch at most
+    members = members.join(lists, "rep")
+    other = members.where("component <> main").select(
+        "band", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("m").alias("m_b"), F.col("component").alias("of"), F.col("bands").alias("bands_b")
+    )
+    first = F.array_min(F.array_intersect("bands", "bands_b")) == F.col("band")
+    pairs = members.join(other, "band").where((F.col("component") != F.col("of")) & _may_link(percent) & first)
     return pairs.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
 
 
