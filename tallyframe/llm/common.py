@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -48,6 +49,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets the driver forget plans that are done with, so that their shuffle files go at once and not when it
+    happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | list], schema: str) -> DataFrame:
     """function over each Arrow batch; schema names the columns it returns."""
     prepare(df.sparkSession)
