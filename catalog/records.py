@@ -145,7 +145,7 @@ def src_progress(spark, sf_dir):
 def src_wide_csv(spark, sf_dir):
     path = f"{scratch(spark)}.csv"
     sinks.write_wide(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice"), path, csv=True)
-    return scans.scan_wide(spark, path).select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_name", "p_size", "p_retailprice")
+    return scans.scan_wide(spark, path, "p_partkey bigint, p_name string, p_size int, p_retailprice double")
 
 
 # ---- flatten --------------------------------------------------------------------------------------

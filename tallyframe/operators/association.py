@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.pvalues import chi2_p, correlation_p, f_p, mann_whitney_p
 from tallyframe.functions.recode import base_question
-from tallyframe.operators.common import kinds_of, lookup, number, require_columns, text
+from tallyframe.operators.common import kinds_of, lookup, number, require_columns, spread_join, text
 from tallyframe.operators.ranks import cumulative_counts, join_ranks, midranks, quantiles, suffix_min
 from tallyframe.plans.policy import NUMERIC_KINDS, VARIABLE_KINDS, Policy
 from tallyframe.sources.dimensions import small_table
@@ -76,7 +76,8 @@ def _chi_square(counts: DataFrame) -> DataFrame:
     row = counts.groupBy("pair", "a").agg(F.sum("n").alias("row_n"))
     col = counts.groupBy("pair", "b").agg(F.sum("n").alias("col_n"))
     size = row.groupBy("pair").agg(F.sum("row_n").alias("total"))
-    cells = lookup(counts.join(row, ["pair", "a"]).join(col, ["pair", "b"]), size, ["pair"])
+    cells = spread_join(spread_join(counts, row, ["pair", "a"], by="b"), col, ["pair", "b"], by="a")
+    cells = lookup(cells, size, ["pair"])
     expected = F.col("row_n").cast("double") * F.col("col_n") / F.col("total")
     gap = F.col("n") - expected
     # A row's cells add up to it, so the shares n / row_n of all cells add up to the number of rows.

@@ -48,5 +48,13 @@ def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], bounded: bool
     return left.join(F.broadcast(right) if bounded else right, list(keys), how)
 
 
+def spread_join(large: DataFrame, small: DataFrame, keys: Sequence[str], by: str, salts: int = 32) -> DataFrame:
+    """Join on keys of which one may hold most of the large side: its rows scatter over salts by a hash of `by`, and
+    the small side, one row a key, is there once for each salt."""
+    salted = large.withColumn("_salt", F.pmod(F.hash(by), F.lit(salts)))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+
+
 def share(n: Column, denominator: Column) -> Column:
     return F.when(denominator > 0, n / denominator)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.recode import any_of_indicators, combo_has, combo_split
-from tallyframe.operators.common import kinds_of, require_columns, share, text
+from tallyframe.operators.common import kinds_of, require_columns, share, spread_join, text
 from tallyframe.operators.frequency import suppress_small
 from tallyframe.plans.policy import Policy
 from tallyframe.sources.dimensions import small_table
@@ -30,7 +30,7 @@ def crosstab(df: DataFrame, outcome: str, group: str, policy: Policy | None = No
         .groupBy("group", "value").agg(F.count(F.lit(1)).alias("n"))
     )
     sizes = cells.groupBy("group").agg(F.sum("n").alias("valid_n"))
-    table = cells.join(sizes, "group").select(
+    table = spread_join(cells, sizes, ["group"], by="value").select(
         "group", "value", "n",
         share(F.col("n"), F.col("valid_n")).alias("percent"),
         "valid_n", F.lit(0).cast("bigint").alias("missing_n"), F.col("valid_n").alias("denominator_n"),
@@ -118,7 +118,7 @@ def breakdown_by_group(df: DataFrame, outcome: str, group: str, known: Sequence[
     sizes = counts.groupBy("group").agg(F.sum("n").alias("n_group"))
     answered = counts.filter(F.col("value").isNotNull()).withColumn("variable", F.lit(outcome))
     tallies = split_combos(answered, {outcome: known}, keys=("variable", "group")).drop("variable")
-    return tallies.join(sizes, "group").select(
+    return spread_join(tallies, sizes, ["group"], by="value").select(
         "group", "value", "n", "n_group", share(F.col("n"), F.col("n_group")).alias("percent")
     )
 
@@ -132,7 +132,7 @@ def membership_crosstab(df: DataFrame, member: str, outcome: str) -> DataFrame:
         .groupBy("group", "value").agg(F.sum("n").alias("n"))
     )
     sizes = spread.groupBy("group").agg(F.sum("n").alias("n_group"))
-    return spread.join(sizes, "group").filter(F.col("value").isNotNull() | (F.col("n") > F.col("n_group"))).select(
+    return spread_join(spread, sizes, ["group"], by="value").filter(F.col("value").isNotNull() | (F.col("n") > F.col("n_group"))).select(
         "group", "value", "n", "n_group", share(F.col("n"), F.col("n_group")).alias("percent")
     )
 

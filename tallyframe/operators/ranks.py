@@ -1,10 +1,8 @@
 """Order statistics without a single-task sort.
 
 Everything here starts from counts per distinct value, so a value held by a third of all rows is one
-row. Distinct values are then cut into buckets at boundaries picked by a hash of the value itself:
-the same data always gives the same boundaries, whichever task computes them, so nothing has to be
-materialised and a lost executor can be recomputed. Running totals are taken inside each bucket and
-shifted by the totals of the buckets before it.
+row. Distinct values are then cut into buckets at the points of a quantile sketch, a state of fixed size.
+Running totals are taken inside each bucket and shifted by the totals of the buckets before it.
 """
 
 from __future__ import annotations
@@ -16,23 +14,29 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators.common import lookup
 
-ROWS_PER_BUCKET = 50_000
-MAX_BUCKETS = 1_000
+LEAST_BUCKETS = 32
+# Sketch entries a boundary.
+SKETCH = 4
 SEARCH_STEP = 32
-HOT_SHARE = 0.001
+HOT_SHARE = 0.01
 SALTS = 256
 
 
-def _bucketed(counts: DataFrame, bounded: Sequence[str], value: str, n: str, rows_per_bucket: int, max_buckets: int) -> DataFrame:
-    """Add `_bucket`, increasing with value within each combination of the bounded keys."""
-    # greatest(..., -n) is always rows_per_bucket; naming n keeps the test above the counting, so that
-    # this branch reads the shuffle the other branches read.
-    step = F.greatest(F.lit(rows_per_bucket), -F.col(n))
-    thinned = F.filter("_cuts", lambda _, i: i % F.ceil(F.size("_cuts") / max_buckets) == 0)
-    cuts = (
-        counts.filter(F.pmod(F.xxhash64(value), step) == 0)
-        .groupBy(*bounded).agg(F.array_sort(F.collect_set(value)).alias("_cuts")).withColumn("_cuts", thinned)
-        .withColumn("_top", F.filter("_cuts", lambda _, i: i % SEARCH_STEP == 0))
+def bucket_count(df: DataFrame) -> int:
+    """Buckets of a key: a few for each of the tasks the session shuffles into, so they follow the cluster."""
+    return max(LEAST_BUCKETS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _bucketed(counts: DataFrame, bounded: Sequence[str], value: str, n: str, buckets: int | None) -> DataFrame:
+    """Add `_bucket`, increasing with value within each combination of the bounded keys.
+
+    Boundaries are the points of a quantile sketch: a mergeable state of fixed size for each combination, however
+    many values there are. Ranks are exact whatever the boundaries, so the sketch may be coarse."""
+    buckets = buckets or bucket_count(counts)
+    # n > 0 always holds; naming n keeps this branch on the shuffle that the other branches read.
+    points = F.percentile_approx(F.when(F.col(n) > 0, F.col(value)), [at / buckets for at in range(1, buckets)], SKETCH * buckets)
+    cuts = counts.groupBy(*bounded).agg(F.array_sort(F.array_distinct(points)).alias("_cuts")).withColumn(
+        "_top", F.filter("_cuts", lambda _, i: i % SEARCH_STEP == 0)
     )
 
     def below(array: Column) -> Column:
@@ -46,7 +50,7 @@ def _bucketed(counts: DataFrame, bounded: Sequence[str], value: str, n: str, row
 
 
 def _offsets(bucketed: DataFrame, keys: Sequence[str], n: str) -> DataFrame:
-    """Rows before and in each bucket, and the total, per key. A key has at most max_buckets of them."""
+    """Rows before and in each bucket, and the total, per key. A key has at most bucket_count() of them."""
     order = Window.partitionBy(*keys).orderBy("_bucket")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -63,8 +67,7 @@ def cumulative_counts(
     value: str,
     n: str = "n",
     bound_keys: Sequence[str] | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
+    buckets: int | None = None,
     only: Callable[[Column, Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Add `ties` (rows with this value), `cum` (rows up to and including it) and `total`, per key.
@@ -72,7 +75,7 @@ def cumulative_counts(
     counts holds weights n per (keys, value), possibly split further by other columns. bound_keys is
     the part of keys whose number of combinations is fixed by declared columns (default all of them);
     boundaries are kept per combination of those, so what is broadcast never exceeds combinations x
-    max_buckets values. With none of them bounded, one set of boundaries serves all keys.
+    buckets values. With none of them bounded, one set of boundaries serves all keys.
     only(before, rows, total) keeps just the buckets it holds for, before any row is shuffled for ranking.
     """
     keys = list(keys)
@@ -80,7 +83,7 @@ def cumulative_counts(
     all_bounded = bounded == keys
     if not bounded:
         counts, bounded = counts.withColumn("_whole", F.lit(0)), ["_whole"]
-    bucketed = _bucketed(counts, bounded, value, n, rows_per_bucket, max_buckets)
+    bucketed = _bucketed(counts, bounded, value, n, buckets)
     offsets = _offsets(bucketed, keys, n)
     if only is not None:
         offsets = offsets.filter(only(F.col("_offset"), F.col("_n"), F.col("total")))
@@ -134,7 +137,7 @@ def suffix_min(rows: DataFrame, keys: Sequence[str], value: str, measure: str, n
     inside each bucket, so no key is ever sorted by one task. One row per (keys, value)."""
     keys = list(keys)
     whole = rows.withColumn("_whole", F.lit(0))
-    bucketed = _bucketed(whole, ["_whole"], value, n, options.get("rows_per_bucket", ROWS_PER_BUCKET), options.get("max_buckets", MAX_BUCKETS))
+    bucketed = _bucketed(whole, ["_whole"], value, n, options.get("buckets"))
     later = Window.partitionBy(*keys).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     lowest = bucketed.groupBy(*keys, "_bucket").agg(F.min(measure).alias("_low")).select(
         *keys, "_bucket", F.min("_low").over(later).alias("_later")
@@ -150,14 +153,15 @@ def join_ranks(
     """Attach `midrank` to rows by (keys, value) without piling a frequent value onto one task.
 
     counts holds n per (keys, value), ranks the same with `midrank`. A value behind more than HOT_SHARE of
-    all rows, of which there are at most 1/HOT_SHARE, is known to the rows by broadcast: they scatter
+    the rows of its key, of which a key has at most 1/HOT_SHARE, is known to the rows by broadcast: they scatter
     over SALTS salts, and its rank is copied to each of them. Every other value meets its one rank.
     """
     by = [*keys, value]
-    limit = counts.agg(F.sum("n") * HOT_SHARE).scalar()
-    frequent = counts.filter(F.col("n") >= limit).select(*by, F.lit(True).alias("_hot"))
+    weighed = lookup(counts.select(*by, "n"), counts.groupBy(*keys).agg(F.sum("n").alias("_all")), keys)
+    frequent = weighed.filter(F.col("n") >= F.col("_all") * HOT_SHARE).select(*by, F.lit(True).alias("_hot"))
     scattered = F.col("_hot") | F.col(value).isNull()
     salt = F.when(scattered, F.pmod(F.hash(spread), F.lit(SALTS))).otherwise(0)
     salted = rows.join(F.broadcast(frequent), by, "left").withColumn("_salt", salt).drop("_hot")
-    copies = F.when(F.col("n") >= limit, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    return salted.join(ranks.select(*by, "midrank", F.explode(copies).alias("_salt")), [*by, "_salt"], "left").drop("_salt")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    marked = ranks.select(*by, "midrank").join(F.broadcast(frequent), by, "left")
+    return salted.join(marked.select(*by, "midrank", F.explode(copies).alias("_salt")), [*by, "_salt"], "left").drop("_salt")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.operators.common import kinds_of, lookup, number, text, unpivot
+from tallyframe.operators.common import kinds_of, lookup, number, spread_join, text, unpivot
 from tallyframe.operators.ranks import quantiles
 from tallyframe.operators.reliability import positive_items
 from tallyframe.sources.dimensions import small_table
@@ -65,7 +65,7 @@ def box_plot(df: DataFrame, value: str, group: str) -> DataFrame:
     box = quantiles(counts, ["group"], "x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, bound_keys=[])
     reach = (F.col("q3") - F.col("q1")) * WHISKER_IQR
     inside = F.col("x").between(F.col("q1") - reach, F.col("q3") + reach)
-    return counts.join(box, "group").groupBy("group", "q1", "median", "q3").agg(
+    return spread_join(counts, box, ["group"], by="x").groupBy("group", "q1", "median", "q3").agg(
         F.sum("n").alias("n"), F.min(F.when(inside, F.col("x"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("x"))).alias("whisker_high"),
         F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("n_outliers"),

@@ -75,15 +75,20 @@ def scan_assembly(spark: SparkSession, path: str) -> DataFrame:
     return parse_assembly(spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True))
 
 
-def scan_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
-    """Quoted commas, doubled quotes and line breaks inside quotes; a leading byte order mark is dropped.
-    Everything is text unless infer is set. Blank lines are skipped."""
-    return spark.read.csv(path, header=True, inferSchema=infer, multiLine=True, quote='"', escape='"', encoding="UTF-8")
+def scan_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Manifests and progress lists: quoted commas, doubled quotes and line breaks inside quotes; a leading byte order
+    mark is dropped. Everything is text; blank lines are skipped. A file is read by one task, as line breaks may be
+    part of a cell."""
+    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
 
 
-def scan_wide(spark: SparkSession, path: str) -> DataFrame:
-    """A wide table written earlier: Parquet, or CSV with inferred types."""
-    return scan_csv(spark, path, infer=True) if path.rstrip("/").endswith(".csv") else spark.read.parquet(path)
+def scan_wide(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A wide table written earlier: Parquet, or CSV of declared types with one record a line, which Spark can split."""
+    if not path.rstrip("/").endswith(".csv"):
+        return spark.read.parquet(path)
+    if schema is None:
+        raise ValueError("a wide CSV needs a schema")
+    return spark.read.csv(path, schema=schema, header=True, quote='"', escape='"', encoding="UTF-8")
 
 
 def clean_manifest(rows: DataFrame) -> DataFrame:
@@ -111,12 +116,11 @@ def load_manifest(spark: SparkSession, path: str, strict: bool = True) -> DataFr
 
 
 def source_inventory(
-    spark: SparkSession, path: str, extensions: tuple[str, ...] = ("jpg", "jpeg", "png", "pdf"), check_header: bool = True
+    spark: SparkSession, path: str, extensions: tuple[str, ...] = ("jpg", "jpeg", "png", "pdf"), check_header: bool = False
 ) -> DataFrame:
-    """One source file per record id (the file stem), first in sorted path order, with a header check.
+    """One source file per record id (the file stem), first in sorted path order, from the listing alone.
 
-    check_header reads the files to tell damaged ones by their signature; without it only the listing
-    is used and `readable` is NULL.
+    check_header also reads the files, whole, to tell damaged ones by their signature; without it `readable` is NULL.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     head = F.hex(F.substring("content", 1, 8)) if check_header else F.lit(None).cast("string")

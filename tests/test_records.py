@@ -310,7 +310,7 @@ def test_file_round_trips(spark, tmp_path):
     (sources / "one" / "A-1.png").write_bytes(b"\x89PNG\r\n\x1a\nxx")
     (sources / "A-1.pdf").write_bytes(b"junk")
     (sources / "B.txt").write_bytes(b"no")
-    found = rows(scans.source_inventory(spark, str(sources)))
+    found = rows(scans.source_inventory(spark, str(sources), check_header=True))
     assert len(found) == 1 and found[0]["n_sources"] == 2 and found[0]["path"].endswith("A-1.pdf") and not found[0]["readable"]
     pages = tmp_path / "assembly"
     pages.mkdir()
@@ -318,7 +318,7 @@ def test_file_round_trips(spark, tmp_path):
     assert rows(scans.scan_assembly(spark, str(pages)).select("record_id", "tentative_page")) == [{"record_id": "A-1", "tentative_page": 1}]
     wide = spark.createDataFrame([("a", 1, 'q "x"')], "record_id string, n int, t string")
     sinks.write_wide(wide, str(tmp_path / "wide.csv"), csv=True)
-    assert rows(scans.scan_wide(spark, str(tmp_path / "wide.csv"))) == [{"record_id": "a", "n": 1, "t": 'q "x"'}]
+    assert rows(scans.scan_wide(spark, str(tmp_path / "wide.csv"), "record_id string, n int, t string")) == [{"record_id": "a", "n": 1, "t": 'q "x"'}]
 
 
 def test_run_analysis_end_to_end(spark, tmp_path):

@@ -66,20 +66,20 @@ def test_ranks_and_quantiles_do_not_depend_on_buckets(spark, per_bucket):
     data = [("v" if i % 3 else "w", float(rng.choice([0, 0, 0, 1, 2, 3.5, rng.randint(4, 40)]))) for i in range(400)]
     df = spark.createDataFrame(data, "k string, x double")
     counts = df.groupBy("k", "x").agg(F.count(F.lit(1)).alias("n"))
-    got = {(r["k"], r["x"]): r["midrank"] for r in rows(ranks.midranks(counts, ["k"], "x", rows_per_bucket=per_bucket, max_buckets=5))}
+    got = {(r["k"], r["x"]): r["midrank"] for r in rows(ranks.midranks(counts, ["k"], "x", buckets=per_bucket))}
     frame = pd.DataFrame(data, columns=["k", "x"])
     frame["r"] = frame.groupby("k")["x"].rank()
     assert got == {(k, x): r for k, x, r in frame.drop_duplicates(["k", "x"]).itertuples(index=False)}
-    q = rows(ranks.quantiles(counts, ["k"], "x", {"p": 0.37}, rows_per_bucket=per_bucket, bound_keys=[]), "k")
+    q = rows(ranks.quantiles(counts, ["k"], "x", {"p": 0.37}, buckets=per_bucket, bound_keys=[]), "k")
     assert [r["p"] for r in q] == pytest.approx(list(frame.groupby("k")["x"].quantile(0.37)))
 
 
 def test_many_buckets_are_searched_in_stretches(spark):
     values = [((i * 7919) % 3001) / 4 for i in range(3001)]
     counts = spark.createDataFrame([(x, 2) for x in values], "x double, n bigint")
-    got = {r["x"]: (r["cum"], r["ties"], r["total"]) for r in rows(ranks.cumulative_counts(counts, [], "x", bound_keys=[], rows_per_bucket=5, max_buckets=400))}
+    got = {r["x"]: (r["cum"], r["ties"], r["total"]) for r in rows(ranks.cumulative_counts(counts, [], "x", bound_keys=[], buckets=400))}
     assert got == {x: (2 * (i + 1), 2, 6002) for i, x in enumerate(sorted(values))}
-    middle = ranks.quantiles(counts.withColumn("k", F.lit("a")), ["k"], "x", {"p": 0.5, "q": 1.0, "z": 0.0}, rows_per_bucket=5, max_buckets=400)
+    middle = ranks.quantiles(counts.withColumn("k", F.lit("a")), ["k"], "x", {"p": 0.5, "q": 1.0, "z": 0.0}, buckets=400)
     assert rows(middle)[0] == {"k": "a", "p": 375.0, "q": 750.0, "z": 0.0}
 
 
@@ -128,7 +128,7 @@ def test_running_minimum_does_not_depend_on_buckets(spark):
     rng = random.Random(11)
     data = [(k, float(x), rng.random(), 1) for k in "ab" for x in range(200)]
     df = spark.createDataFrame(data, "k string, x double, m double, n bigint")
-    got = {(r["k"], r["x"]): r["m"] for r in rows(ranks.suffix_min(df, ["k"], "x", "m", rows_per_bucket=7, max_buckets=40))}
+    got = {(r["k"], r["x"]): r["m"] for r in rows(ranks.suffix_min(df, ["k"], "x", "m", buckets=40))}
     assert got == {(k, x): min(m for kk, xx, m, _ in data if kk == k and xx >= x) for k, x, _, _ in data}
 
 

@@ -100,3 +100,33 @@ def test_spelling_takes_the_code_alone(spark):
 
     df = spark.createDataFrame([("kinh",), ("KINH",), (" H'Mong ",)], "x string")
     assert [row["y"] for row in df.select(spelling_normalise("x").alias("y")).collect()] == ["Kinh", "KINH", "Mông"]
+
+
+def test_boundaries_are_a_fixed_size_sketch_and_ranks_stay_exact(spark):
+    from tallyframe.operators import ranks
+
+    values = spark.range(5_000).select(F.lit("k").alias("k"), (F.col("id") * 7 % 5_000).cast("double").alias("x"), F.lit(2).alias("n"))
+    for buckets in (2, 7, 64):
+        got = ranks.midranks(values, ["k"], "x", buckets=buckets)
+        assert got.where("midrank <> 2 * x + 1.5").count() == 0 and got.count() == 5_000
+
+
+def test_a_value_that_fills_a_pair_scatters(spark):
+    from tallyframe.operators import ranks
+
+    pairs = 2_000
+    rows_ = spark.range(pairs * 3).select((F.col("id") % pairs).alias("pair"), F.when(F.col("id") % pairs == 5, 1.0).otherwise(F.col("id") * 1.0).alias("x"), F.col("id").alias("other"))
+    rows_ = rows_.unionByName(spark.range(3_000).select(F.lit(5).cast("long").alias("pair"), F.lit(1.0).alias("x"), F.col("id").alias("other")))
+    counts = rows_.groupBy("pair", "x").agg(F.count(F.lit(1)).alias("n"))
+    joined = ranks.join_ranks(rows_, ranks.midranks(counts, ["pair"], "x", bound_keys=[]), counts, ["pair"], "x", spread="other")
+    assert joined.where("midrank IS NULL").count() == 0 and joined.count() == pairs * 3 + 3_000
+    assert {row["midrank"] for row in joined.where("pair = 5").collect()} == {(3_003 + 1) / 2}
+
+
+def test_one_group_with_most_values(spark):
+    from tallyframe.operators import crosstab
+
+    df = spark.range(9_000).select(F.when(F.col("id") % 10 > 0, "big").otherwise(F.concat(F.lit("g"), F.col("id") % 30)).alias("g"), F.concat(F.lit("v"), F.col("id")).alias("v"))
+    got = crosstab.crosstab(df, "v", "g")
+    assert got.count() == 9_000 and got.agg(F.sum("percent")).first()[0] == pytest.approx(df.select("g").distinct().count())
+    assert {row["valid_n"] for row in got.where("group = 'big'").select("valid_n").distinct().collect()} == {8_100}
