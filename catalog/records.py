@@ -425,3 +425,48 @@ def snk_report_tables(spark, sf_dir):
     frequencies = tables["frequencies"].select(F.lit("frequencies").alias("part"), F.concat_ws(" ", "field", "value").alias("item"), F.col("count").alias("n"))
     associations = tables["associations"].select(F.lit("associations").alias("part"), F.concat_ws(" ", "variable_a", "variable_b").alias("item"), "n")
     return tidy(data.unionByName(frequencies).unionByName(associations))
+
+
+# ---- payloads that break every rule ---------------------------------------------------------------
+
+_PAYLOAD_FORM = {"questions": [
+    {"id": "status", "page": 1, "type": "single_select", "options": [{"code": "F"}, {"code": "O"}, {"code": "P"}]},
+    {"id": "note", "page": 1, "type": "text", "subfield": {"id": "day"}},
+    {"id": "amount", "page": 1, "type": "composite", "components": [{"id": "big", "type": "single_select", "options": [{"code": "yes"}]}]},
+    {"id": "grid", "page": 1, "type": "device_grid", "rows": [{"code": "r"}], "columns": [{"code": "F"}, {"code": "O"}], "extra_option": {"code": "none"}},
+]}
+#: Order number modulo 8: status, note, amount and grid, and what is wrong with them.
+_PAYLOADS = {
+    0: ('{"value":"%s"}', '{"value":null,"subfield":{"day":{"value":"1"}}}', '{"components":{"big":{"value":"yes"}}}', '{"rows":{"r":{"value":[]}},"none":true}', [("grid", None)]),
+    1: ('{"value":["%s","Q"]}', '{"value":7,"subfield":{"day":{"value":"1"}}}', '{"components":{"big":{"value":"no"}}}', '{"rows":{"r":{"value":["F","Z"]}},"none":true}', [
+        ("status", "invalid_option_code", "value:Q"), ("note", "wrong_shape", "value"), ("amount", "invalid_option_code", "components.big.value:no"), ("grid", "invalid_option_code", "rows.r.value:Z")]),
+    2: ('{"value":{"x":"%s"}}', '{"value":"a"}', '{"components":{}}', '{"rows":{},"none":1}', [
+        ("status", "wrong_shape", "value"), ("note", "missing_member", "subfield"), ("amount", "missing_member", "components.big"), ("grid", "missing_member", "rows.r"), ("grid", "wrong_shape", "none")]),
+    3: ('{"value":"%s","more":1}', '"bare"', '{"components":[]}', '{"rows":{"r":{"value":"F"},"s":{"value":null}},"none":false}', [
+        ("status", "unexpected_member", "more"), ("note", "not_an_object", ""), ("amount", "not_an_object", "components"), ("grid", "unexpected_member", "rows.s"), ("grid", "wrong_shape", "rows.r.value")]),
+}
+
+
+def _payload_rows(spark, sf_dir):
+    kind = F.pmod(F.col("o_orderkey"), F.lit(8))
+    text = F.lit('{"answers":{}}')
+    for number, (*parts, _) in _PAYLOADS.items():
+        body = ",".join(f'"{question["id"]}":{part}' for question, part in zip(_PAYLOAD_FORM["questions"], parts))
+        text = F.when(kind == number, F.format_string('{"answers":{' + body + "}}", "o_orderstatus")).otherwise(text)
+    extra = F.when(kind == 4, F.lit('{"answers":{"other":{"value":1}}}')).otherwise(text)
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("record_id"), F.parse_json(extra).alias("document"))
+
+
+_PAYLOAD_SQL = [
+    (number, *finding) for number, (*_, findings) in _PAYLOADS.items() for finding in findings if finding[1]
+] + [(number, question["id"], "missing_question", "") for number in (4, 5, 6, 7) for question in _PAYLOAD_FORM["questions"]] + [(4, "other", "unexpected_question", "")]
+
+
+@query("payload_rules", f"""with r(kind, qid, rule, detail) as (values {', '.join(str(row) for row in _PAYLOAD_SQL)})
+select cast(o_orderkey as varchar) as record_id, qid, rule, detail from orders join r on o_orderkey % 8 = kind""")
+def payload_rules(spark, sf_dir):
+    """Missing, foreign and misshapen members and unknown codes, inside rows, grids and components too."""
+    from tallyframe.operators.payloads import strict_findings
+    from tallyframe.sources.contract import Contract
+
+    return strict_findings(_payload_rows(spark, sf_dir), Contract(_PAYLOAD_FORM))

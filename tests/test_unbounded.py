@@ -130,3 +130,28 @@ def test_one_group_with_most_values(spark):
     got = crosstab.crosstab(df, "v", "g")
     assert got.count() == 9_000 and got.agg(F.sum("percent")).first()[0] == pytest.approx(df.select("g").distinct().count())
     assert {row["valid_n"] for row in got.where("group = 'big'").select("valid_n").distinct().collect()} == {8_100}
+
+
+def test_strict_payloads(spark):
+    from tallyframe.operators.payloads import strict_findings
+    from tallyframe.sources.contract import Contract
+
+    contract = Contract({"questions": [
+        {"id": "t", "page": 1, "type": "text", "subfield": {"id": "s"}},
+        {"id": "one", "page": 1, "type": "single_select", "options": [{"code": "a", "other_text": True}, {"code": "b"}]},
+        {"id": "many", "page": 1, "type": "multi_select", "options": [{"code": "a"}, {"code": "b"}]},
+        {"id": "c", "page": 1, "type": "composite", "components": [{"id": "x", "type": "single_select", "options": [{"code": "yes"}]}]},
+        {"id": "g", "page": 1, "type": "device_grid", "rows": [{"code": "r1"}, {"code": "r2"}], "columns": [{"code": "k"}], "extra_option": {"code": "none"}},
+    ]})
+    good = '{"t":{"value":"x","subfield":{"s":{"value":null}}},"one":{"value":["a","b"],"other_text":"o"},"many":{"value":[],"flags":["f"]},"c":{"components":{"x":{"value":"yes"}}},"g":{"rows":{"r1":{"value":["k"]},"r2":{"value":null}},"none":false}}'
+    bad = '{"t":{"value":1,"subfield":7},"one":{"value":{"a":1},"odd":1,"other_text":null},"many":{"value":"a"},"c":{"components":{"x":{"value":"no"},"y":{}}},"g":{"rows":{"r1":{"value":["k","z"]}},"none":"no"},"extra":{}}'
+    got = strict_findings(parsed(spark, [("ok", f'{{"answers":{good}}}'), ("bad", f'{{"answers":{bad}}}'), ("none", "{}")]), contract)
+    assert [row for row in rows(got) if row["record_id"] == "ok"] == []
+    assert {row["qid"] for row in rows(got.where("record_id = 'none' AND rule = 'missing_question'"))} == {"t", "one", "many", "c", "g"}
+    assert {(row["qid"], row["rule"], row["detail"]) for row in rows(got) if row["record_id"] == "bad"} == {
+        ("extra", "unexpected_question", ""), ("t", "wrong_shape", "value"), ("t", "not_an_object", "subfield"), ("one", "wrong_shape", "value"), ("one", "unexpected_member", "odd"),
+        ("many", "wrong_shape", "value"), ("c", "unexpected_member", "components.y"), ("c", "invalid_option_code", "components.x.value:no"),
+        ("g", "missing_member", "rows.r2"), ("g", "invalid_option_code", "rows.r1.value:z"), ("g", "wrong_shape", "none"),
+    }
+    needs = strict_findings(parsed(spark, [("ok", f'{{"answers":{good}}}')]), contract, meta=["flags"])
+    assert {row["detail"] for row in rows(needs.where("qid = 'many'"))} == set() and {row["detail"] for row in rows(needs.where("qid = 'g'"))} == {"flags", "rows.r1.flags", "rows.r2.flags"}
