@@ -237,18 +237,18 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP8_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
-sh AS (
-  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS s FROM w),
-e AS (SELECT doc_id, unnest(s) AS x FROM sh),
+t AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS k FROM w WHERE len(ws) >= 4),
+g AS (SELECT doc_id, x || ' ' || lead(x, 1) OVER o || ' ' || lead(x, 2) OVER o || ' ' || lead(x, 3) OVER o AS x FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY k)),
+e AS (SELECT DISTINCT doc_id, x FROM g WHERE x IS NOT NULL UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 3),
+n AS (SELECT doc_id, count(x) AS n FROM w LEFT JOIN e USING (doc_id) GROUP BY doc_id),
 rare AS (SELECT x FROM e GROUP BY x HAVING count(*) > 1),
 k AS (SELECT e.doc_id, e.x FROM e JOIN rare USING (x)),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM k a JOIN k b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
-l AS (SELECT p.a, p.b FROM p JOIN sh s ON s.doc_id = p.a JOIN sh t ON t.doc_id = p.b WHERE 100 * shared >= 80 * (len(s.s) + len(t.s) - shared)),
+l AS (SELECT p.a, p.b FROM p JOIN n s ON s.doc_id = p.a JOIN n t ON t.doc_id = p.b WHERE 100 * shared >= 80 * (s.n + t.n - shared)),
 both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
-r AS (SELECT doc_id AS node, doc_id AS reach FROM sh UNION SELECT r.node, both_ways.b FROM r JOIN both_ways ON both_ways.a = r.reach),
+r AS (SELECT doc_id AS node, doc_id AS reach FROM n UNION SELECT r.node, both_ways.b FROM r JOIN both_ways ON both_ways.a = r.reach),
 c AS (SELECT node, min(reach) AS component_id FROM r GROUP BY node)
-SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sh JOIN c ON node = doc_id
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c ON node = doc_id
 """
 
 QUERIES = {"op8_near_dedup": op8_near_dedup}
