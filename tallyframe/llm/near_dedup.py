@@ -127,10 +127,10 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates:
     1. Rows with equal sets form a class; its smallest doc_id stands for it, so copies are never paired.
     2. Representatives meet in bands of their sketch (252 coordinates in 42 bands: a pair at exactly 0.8 misses all
        of them 3 times in 10^6).
-    3. Representatives that share a shingle which at most three of them have are compared, a number of pairs that
-       grows with the input alone. All other pairs share frequent shingles only, and the counts of these bound what
-       two sets can share; beyond that exact bound they need no comparison, which settles most of the many heavily
-       changed copies of one text.
+    3. Two sets share at most as many frequent shingles as the one with fewer has, and the rare ones known to be in
+       both: a shingle that at most three representatives have is rare, and the pairs it joins grow with the input
+       alone. Pairs beyond that exact bound need no comparison, which settles most of the many heavily changed
+       copies of one text; joined by rare shingles, the others are compared here, by frequent ones below.
     4. Stars: in each band one centre (first the member with the most company in all its bands, as the original
        of many near copies has) is compared with the members outside its component, and links are merged.
     5. Every remaining pair of a band that lies in different components is compared. No pair is left out: those
@@ -155,8 +155,12 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates:
     rare = settle(held.select(F.when(F.col("f") == 1, F.array("low")).when(F.col("f") == 2, F.array("low", "high")).otherwise(F.array("low", third, "high")).alias("reps")))
     own = rare.select(F.explode("reps").alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
     members = settle(members.join(own, "rep", "left").withColumn("m", F.col("n") - F.coalesce("own", F.lit(0))).drop("own"))
-    pair = lambda i, j: F.struct(F.get("reps", F.lit(i)).alias("a"), F.get("reps", F.lit(j)).alias("b"))
-    rarely = rare.where("size(reps) > 1").select(F.explode(F.array(pair(0, 1), pair(1, 2), pair(0, 2))).alias("p")).where("p.b IS NOT NULL").select("p.*").distinct()
+    pair = lambda i, j: F.struct(F.get("reps", F.lit(i)).alias("x"), F.get("reps", F.lit(j)).alias("y"))
+    rarely = rare.where("size(reps) > 1").select(F.explode(F.filter(F.array(pair(0, 1), pair(1, 2), pair(0, 2)), lambda p: p["y"].isNotNull())).alias("p"))
+    rarely = rarely.groupBy("p").agg(F.count(F.lit(1)).alias("r")).select("p.x", "p.y", "r")
+    size = members.select("rep", "n", "m").distinct()
+    rarely = rarely.join(size.toDF("x", "n", "m"), "x").join(size.toDF("y", "n_b", "m_b"), "y")
+    rarely = rarely.where(_may_link(percent, F.col("r"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
     central = F.struct(F.sum("size").alias("weight"), "rep").alias("rank")
     members = settle(members.join(members.groupBy("rep").agg(central), "rep"))
     joined, stars = settle(components(_confirm(rarely, sets, percent))), 0
@@ -189,10 +193,10 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates:
 _STARS, _FEW = 1, 8
 
 
-def _may_link(percent: int):
-    """n shingles, m of them in more than three sets: two sets that share none of the others share at most the
-    smaller m."""
-    return (100 + percent) * F.least("m", "m_b") >= percent * (F.col("n") + F.col("n_b"))
+def _may_link(percent: int, rare=0):
+    """n shingles, m of them in more than three sets: two sets share at most the smaller m, and the `rare` others that
+    are known to be in both."""
+    return (100 + percent) * (F.least("m", "m_b") + rare) >= percent * (F.col("n") + F.col("n_b"))
 
 
 def _star_pairs(members: DataFrame, percent: int) -> DataFrame:
