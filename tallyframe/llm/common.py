@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -51,9 +52,11 @@ def settle(df: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Lets the driver forget plans that are done with, so that their shuffle files go at once and not when it
-    happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    happens to collect its garbage. Python's references go in the first round, what they held in the second."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | list], schema: str) -> DataFrame:
