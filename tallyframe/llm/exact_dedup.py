@@ -45,9 +45,10 @@ def exact_groups(docs: DataFrame, hash_of=content_hash) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, hash_of=content_hash) -> DataFrame:
-    """docs without the rows whose text another row with a smaller doc_id has, nor rows repeating a doc_id."""
+    """docs without the rows whose text another row with a smaller doc_id has, nor rows repeating a doc_id, nor rows
+    without one: later stages could not tell those apart."""
     kept = exact_groups(docs.select("doc_id", "text"), hash_of).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

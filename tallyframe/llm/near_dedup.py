@@ -229,9 +229,9 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one row of each component: that of its smallest doc_id."""
+    """docs with one document of each component: that of its smallest doc_id. Rows without a doc_id go."""
     kept = near_groups(docs, words, percent).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi")
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,6 +47,7 @@ def test_exact_null_ids(spark):
     df = spark.createDataFrame([(None, "a"), (2, "a"), (None, "b")], "doc_id long, text string")
     got = sorted((row.doc_id is None, row.keep_id, row.group_size, row.kept) for row in exact_dedup.exact_groups(df).where("keep_id = 2").collect())
     assert got == [(False, 2, 2, True), (True, 2, 2, False)]
+    assert [row.doc_id for row in exact_dedup.drop_copies(df).collect()] == [2]
 
 
 def test_pii_base_spans(docs, rows_):
