@@ -78,19 +78,33 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
 def set_summaries(docs: DataFrame, words: int, coordinates: int = COORDINATES, bands: int = BANDS) -> DataFrame:
     """doc_id, n_shingles, two 64-bit sums that tell sets apart, and the band keys (none for an empty set)."""
 
+    return map_batches(docs.select("doc_id", "text"), lambda batch: [batch.column("doc_id"), *_summary(*shingle_sets(batch.column("text"), words), coordinates, bands)], _SUMMARY)
+
+
+_SUMMARY = "doc_id long, n_shingles long, sum_a long, sum_b long, bands array<long>"
+
+
+def _summary(values: np.ndarray, offsets: np.ndarray, coordinates: int, bands: int) -> list:
+    sizes = np.diff(offsets)
+    filled = np.flatnonzero(sizes)
+    sums = [np.zeros(len(sizes), np.uint64) for _ in range(2)]
+    if len(filled):
+        for at, salt in enumerate((0xA076_1D64_78BD_642F, 0xE703_7ED1_A0B4_28DB)):
+            sums[at][filled] = np.add.reduceat(mix(values ^ np.uint64(salt)), offsets[:-1][filled])
+    keys = band_keys(sketches(values, np.concatenate(([0], np.cumsum(sizes[filled]))), coordinates), bands)
+    ends = np.concatenate(([0], np.cumsum(np.where(sizes > 0, bands, 0))))
+    return [sizes, sums[0].view(np.int64), sums[1].view(np.int64), _lists(keys.reshape(-1), ends)]
+
+
+def list_summaries(sets: DataFrame, coordinates: int = COORDINATES, bands: int = BANDS) -> DataFrame:
+    """set_summaries of (doc_id, shingles)."""
+
     def summarise(batch: pa.RecordBatch) -> list:
-        values, offsets = shingle_sets(batch.column("text"), words)
-        sizes = np.diff(offsets)
-        filled = np.flatnonzero(sizes)
-        sums = [np.zeros(len(sizes), np.uint64) for _ in range(2)]
-        if len(filled):
-            for at, salt in enumerate((0xA076_1D64_78BD_642F, 0xE703_7ED1_A0B4_28DB)):
-                sums[at][filled] = np.add.reduceat(mix(values ^ np.uint64(salt)), offsets[:-1][filled])
-        keys = band_keys(sketches(values, np.concatenate(([0], np.cumsum(sizes[filled]))), coordinates), bands)
-        ends = np.concatenate(([0], np.cumsum(np.where(sizes > 0, bands, 0))))
-        return [batch.column("doc_id"), sizes, sums[0].view(np.int64), sums[1].view(np.int64), _lists(keys.reshape(-1), ends)]
+        lists = batch.column("shingles")
+        offsets = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
+        return [batch.column("doc_id"), *_summary(np.asarray(lists.flatten()).astype(np.int64).view(np.uint64), offsets, coordinates, bands)]
 
-    return map_batches(docs.select("doc_id", "text"), summarise, "doc_id long, n_shingles long, sum_a long, sum_b long, bands array<long>")
+    return map_batches(sets.select("doc_id", "shingles"), summarise, _SUMMARY)
 
 
 def shingle_lists(docs: DataFrame, words: int) -> DataFrame:
@@ -136,17 +150,28 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates:
     5. Every remaining pair of a band that lies in different components is compared. No pair is left out: those
        not compared are joined already.
 
-    Rows that share a doc_id count as one document. A null doc_id is in no component and kept; other columns
+    Rows that share a doc_id count as one document, whose set unites theirs. A null doc_id is in no component and kept; other columns
     are ignored; an empty table gives an empty result."""
-    sums = settle(set_summaries(docs, words, coordinates, bands))
+    docs = docs.select("doc_id", "text")
+    rows = sums = settle(set_summaries(docs, words, coordinates, bands))
     key = ["n_shingles", "sum_a", "sum_b"]
+    repeated = settle(sums.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1").select("doc_id"))
+    united = None
+    if not repeated.isEmpty():
+        parts = shingle_lists(docs.join(repeated, "doc_id", "left_semi"), words).select("doc_id", F.explode_outer("shingles").alias("x"))
+        united = settle(parts.distinct().groupBy("doc_id").agg(F.collect_set("x").alias("shingles")))
+        of_united = settle(list_summaries(united, coordinates, bands))
+        single, docs = sums.join(repeated, "doc_id", "left_anti"), docs.join(repeated, "doc_id", "left_anti")
+        sums = settle(single.unionByName(of_united))
+        rows = single.unionByName(rows.select("doc_id").join(of_united, "doc_id"))
     classes = settle(sums.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"))
     heads = sums.select("doc_id", "n_shingles", "bands").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     members = heads.select(F.explode("bands").alias("band"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
     crowded = members.groupBy("band").agg(F.min("rep").alias("least"), F.max("rep").alias("most"), F.count(F.lit(1)).alias("size")).where("least < most").select("band", "size")
     members = settle(members.join(crowded, "band"))
     wanted = settle(members.select(F.col("rep").alias("doc_id")).distinct())
-    sets = settle(shingle_lists(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), words))
+    sets = shingle_lists(docs.join(wanted, "doc_id", "left_semi"), words)
+    sets = settle(sets if united is None else sets.unionByName(united.join(wanted, "doc_id", "left_semi")))
 
     held = sets.select(F.col("doc_id").alias("rep"), F.explode("shingles").alias("x")).groupBy("x").agg(
         F.count(F.lit(1)).alias("f"), F.min("rep").alias("low"), F.max("rep").alias("high"), F.bit_xor("rep").alias("all")
@@ -184,7 +209,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates:
             break
         members, stars = members.select("band", "rep", "n", "m", "rank"), stars + 1
     groups = classes.join(joined, F.col("rep") == F.col("node"), "left").select(*key, F.coalesce("component", "rep").alias("rep"))
-    return sums.drop("bands").join(groups, key, "left").select(
+    return rows.drop("bands").join(groups, key, "left").select(
         "doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("rep", "doc_id"), F.lit(True)).alias("kept")
     )
 

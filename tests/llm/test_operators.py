@@ -129,6 +129,30 @@ def test_near_groups(docs, rows_):
     assert got == brute.near(rows_, 4)
 
 
+def test_near_groups_of_repeated_rows(spark, docs, rows_):
+    pairs = []
+    for k in range(6):
+        left = [f"p{k}w{i}" for i in range(103)]
+        right = left[:93] + [f"q{k}w{i}" for i in range(10)]
+        pairs += [(10_000 + 2 * k, " ".join(left)), (10_001 + 2 * k, " ".join(right))]
+    extra = spark.createDataFrame(pairs, "doc_id long, text string")
+    rows = docs.select("doc_id", "text").union(extra)
+    want = brute.near(rows_ + pairs, 4)
+    assert all(want[d + 1][1] == d for d in range(10_000, 10_012, 2))
+    once = rows.union(extra.where("doc_id IN (10000, 10003)"))
+    for read in (rows.union(rows), once):
+        got = near_dedup.near_groups(read, words=4)
+        assert by_id(got, "n_shingles", "component_id", "kept") == want and got.count() == read.count()
+
+
+def test_near_groups_unite_the_texts_of_an_id(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:40])), (2, " ".join(words[37:])), (3, " ".join(words[:40])), (None, " ".join(words)), (None, ""), (4, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((row.doc_id or 0, row.n_shingles, row.component_id or 0, row.kept) for row in near_dedup.near_groups(df, words=4).collect())
+    assert [r for r in got if r[0]] == [(1, 57, 1, True), (2, 57, 1, False), (2, 57, 1, False), (3, 37, 3, True), (4, 0, 4, True), (4, 0, 4, True)]
+
+
 def test_near_groups_of_words_and_threshold(docs, rows_):
     got = by_id(near_dedup.near_groups(docs, words=5, percent=60), "n_shingles", "component_id", "kept")
     assert got == brute.near(rows_, 5, 60)
