@@ -19,13 +19,17 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "random")
 NAMES = ("passw", "secret", "token", "api")
 
-#: The efficiency test: strings of at least this many characters that hold a digit and a letter.
+#: The efficiency test: strings of at least this many characters that hold a letter. Without a digit the separators are
+#: left out of the ratio, or names of short words in capitals would pass for random.
+SHORTEST = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+PIECE = re.compile(r"[A-Za-z0-9]+")
 MAX_CHARS_PER_TOKEN = 2.0
 DIGEST_SIZES = frozenset({32, 40, 56, 64, 96, 128})
 HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
+UUID_WITHIN = re.compile(rf"(?<![0-9A-Za-z]){UUID.pattern}(?![0-9A-Za-z])")
+LETTER, DIGIT = re.compile(r"[A-Za-z]"), re.compile(r"[0-9]")
 
 _LOADED: dict[str, object] = {}
 
@@ -63,21 +67,66 @@ def is_known(string: str) -> bool:
 
 
 def random_spans(text: str, taken: list[tuple[int, int, str]], encoding, limit: float) -> list[tuple[int, int, str]]:
-    """Candidates with few characters for each token, outside the spans already taken."""
+    """Candidates with few characters for each token, outside the spans already taken: the whole run of characters,
+    or else its pieces between separators and the windows over their tokens, overlapping ones united."""
     found = []
     for m in CANDIDATE.finditer(text):
-        string = m.group()
-        if MIXED.match(string) is None or is_known(string) or any(a <= m.start() and m.end() <= b for a, b, _ in taken):
+        string, at = m.group(), m.start()
+        if LETTER.search(string) is None or is_known(string):
             continue
-        if len(string) < limit * len(encoding.encode_ordinary(string)):
-            found.append((m.start(), m.end(), "random"))
+        if DIGIT.search(string) and len(string) < limit * len(encoding.encode_ordinary(string)):
+            spans = [(0, len(string))]
+        else:
+            spans = dense_spans(string, encoding, limit)
+        found += [(at + a, at + b, "random") for a, b in spans if not any(x <= at + a and at + b <= y for x, y, _ in taken)]
     return found
 
 
+def dense_spans(string: str, encoding, limit: float) -> list[tuple[int, int]]:
+    """Where pieces between separators, or the shortest windows of SHORTEST characters from each token on, hold few
+    characters for each token. Separators count neither way there; windows end at digests and identifiers."""
+    known = [m.span() for m in UUID_WITHIN.finditer(string)]
+    spans, stretches = [], [[]]
+    for m in PIECE.finditer(string):
+        a, b = m.span()
+        if is_known(m.group()) or any(x <= a < y for x, y in known):
+            stretches.append([])
+            continue
+        tokens = token_lengths(m.group(), encoding)
+        if b - a >= SHORTEST and b - a < limit * len(tokens) and LETTER.search(m.group()):
+            spans.append((a, b))
+        for size in tokens:
+            stretches[-1].append((a, a + size))
+            a += size
+    for tokens in stretches:
+        end = size = 0
+        for first, (a, b) in enumerate(tokens):
+            while end < len(tokens) and (end == first or tokens[end - 1][1] - a < SHORTEST):
+                size += tokens[end][1] - tokens[end][0]
+                end += 1
+            last = tokens[end - 1][1]
+            if last - a < SHORTEST:
+                break
+            if size < limit * (end - first) and LETTER.search(string, a, last):
+                spans.append((a, last))
+            size -= b - a
+    united: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if united and a <= united[-1][1]:
+            united[-1] = (united[-1][0], max(b, united[-1][1]))
+        else:
+            united.append((a, b))
+    return united
+
+
+def token_lengths(string: str, encoding) -> list[int]:
+    return [len(encoding.decode_single_token_bytes(token)) for token in encoding.encode_ordinary(string)]
+
+
 def find_secrets(docs: DataFrame, path: str | None = None, limit: float = MAX_CHARS_PER_TOKEN) -> DataFrame:
     """docs (doc_id, text, ...) -> doc_id, spans (kind, start, end; code points, end exclusive), one row for each
     row read, ordered by start and then by kind as listed. Kinds assign, access and hex are fixed shapes; random
-    is what the efficiency test adds, except digests, identifiers and what a shape already covers. Null and empty
+    is what the efficiency test adds (runs, their pieces and windows), except digests, identifiers and what a shape already covers. Null and empty
     texts have no spans; other columns are ignored; an empty table gives an empty result."""
     path = path or default_vocabulary()
 

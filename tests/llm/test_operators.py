@@ -124,6 +124,22 @@ def test_secrets(docs, rows_):
     assert added == ["qZ7xW9vB3nM5kL1pT8rY2"]
 
 
+def test_random_strings_behind_plain_words():
+    import random
+    import string
+
+    encoding, rng = secrets.vocabulary(secrets.default_vocabulary()), random.Random(3)
+    for before in ("", "https://example.com/download/archive/", "session_cookie_value=", "/services/notifications/incoming/webhook/"):
+        for alphabet in (string.ascii_letters + string.digits, string.ascii_letters):
+            for size in (16, 24, 32):
+                for _ in range(50):
+                    text = f"see {before}{''.join(rng.choice(alphabet) for _ in range(size))} now"
+                    found = secrets.random_spans(text, [], encoding, 2.0)
+                    assert any(a <= 4 + len(before) and b >= 4 + len(before) + size for a, b, _ in found), text
+    for plain in ("https://example.com/download/archive/latest/index.html", "3f2504e0-4f89-11d3-9a0c-0305e82c3301", "MAXIMUM_NUMBER_OF_RETRIES", "4539148803436468"):
+        assert secrets.random_spans(plain, [], encoding, 2.0) == []
+
+
 def test_near_groups(docs, rows_):
     got = by_id(near_dedup.near_groups(docs, words=4), "n_shingles", "component_id", "kept")
     assert got == brute.near(rows_, 4)
