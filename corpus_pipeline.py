@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyframe.llm.bpe import encode
 from tallyframe.llm.common import settle, table
 from tallyframe.llm.decontaminate import remove_leaks
-from tallyframe.llm.exact_dedup import drop_copies
+from tallyframe.llm.exact_dedup import drop_repeats
 from tallyframe.llm.language import keep_known
 from tallyframe.llm.near_dedup import drop_near_copies
 
@@ -21,7 +21,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_copies(docs)
+    return drop_repeats(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.plans.session import checkpoint_dir
@@ -50,6 +51,20 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with a key of its own for each row, _row; written, so that every reader sees the same keys."""
+    return settle(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
+def first_rows(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """numbered rows, and (_row, _group) -> one row of each group: that of the smallest doc_id, one without an id only
+    if none has one. Rows of one id go by a hash of their plain columns, so the choice does not hang on the reading."""
+    plain = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.AtomicType) and f.name != "_row"]
+    ranked = rows.select("_row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*plain).alias("hash"), "_row").alias("rank"))
+    first = ranked.join(groups, "_row").groupBy("_group").agg(F.min("rank").alias("rank")).select("rank._row")
+    return rows.join(first, "_row", "left_semi").drop("_row")
+
+
 def release(spark: SparkSession) -> None:
     """Lets the driver forget plans that are done with, so that their shuffle files go at once and not when it
     happens to collect its garbage. Python's references go in the first round, what they held in the second."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import table
+from tallyframe.llm.common import first_rows, numbered, table
 
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -51,6 +51,14 @@ def drop_copies(docs: DataFrame, hash_of=content_hash) -> DataFrame:
     return docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
 
 
+def drop_repeats(docs: DataFrame, hash_of=content_hash) -> DataFrame:
+    """docs with one row of each text: that of the smallest doc_id, one without an id only if no other has one. No text
+    is lost: rows without an id and different texts under one id stay. Rows are told apart by written numbers."""
+    rows = numbered(docs)
+    groups = exact_groups(rows.select(F.col("_row").alias("doc_id"), "text"), hash_of)
+    return first_rows(rows, groups.select(F.col("doc_id").alias("_row"), F.col("keep_id").alias("_group")))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 

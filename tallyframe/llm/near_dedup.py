@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import LOWER, SPACED, map_batches, mix, settle, table, text_bytes, word_hashes, word_spans
+from tallyframe.llm.common import LOWER, SPACED, first_rows, map_batches, mix, numbered, settle, table, text_bytes, word_hashes, word_spans
 
 COORDINATES, BANDS = 252, 42
 _EMPTY = np.uint64(0xFFFF_FFFF_FFFF_FFFF)
@@ -254,9 +254,11 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each component: that of its smallest doc_id. Rows without a doc_id go."""
-    kept = near_groups(docs, words, percent).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi")
+    """docs with one row of each component: that of the smallest doc_id, one without an id only if no other has one.
+    Each row is a document of its own here, whatever its doc_id."""
+    rows = numbered(docs)
+    groups = near_groups(rows.select(F.col("_row").alias("doc_id"), "text"), words, percent)
+    return first_rows(rows, groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")))
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

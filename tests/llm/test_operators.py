@@ -50,6 +50,22 @@ def test_exact_null_ids(spark):
     assert [row.doc_id for row in exact_dedup.drop_copies(df).collect()] == [2]
 
 
+def test_dedup_stages_lose_no_text(spark):
+    import corpus_pipeline
+
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcd")
+    rows = [(None, a), (2, a), (5, a), (None, b), (None, b.replace(" ", "  ")), (3, c), (3, d), (3, d), (None, c + " more"), (None, None)]
+    df = spark.createDataFrame([(*row, "clash") for row in rows], "doc_id long, text string, rank string")
+    exact = corpus_pipeline.exact_dedup_stage(spark, df, "")
+    assert exact.columns == df.columns
+    left = sorted((row.doc_id or 0, " ".join((row.text or "").split())) for row in exact.collect())
+    assert left == sorted([(2, a), (0, b), (3, c), (3, d), (0, c + " more"), (0, "")])
+    near = corpus_pipeline.near_dedup_stage(spark, exact, "")
+    assert near.columns == df.columns
+    left = sorted((row.doc_id or 0, " ".join((row.text or "").split())) for row in near.collect())
+    assert left == sorted([(2, a), (0, b), (3, c), (3, d), (0, "")])
+
+
 def test_pii_base_spans(docs, rows_):
     got = by_id(pii.find_pii(docs), "base", "spans")
     for doc_id, text in rows_:
