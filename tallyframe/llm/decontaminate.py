@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import ALNUM, LOWER, map_batches, table, text_bytes, word_hashes, word_spans
+from tallyframe.llm.common import ALNUM, LOWER, map_batches, numbered, settle, table, text_bytes, word_hashes, word_spans
 
 WINDOW = 10
 #: Words of test items in one automaton; more items make more automata, one after the other.
@@ -149,33 +149,41 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_wor
     of an item, or a shorter item as a whole; spans are the maximal runs of words (from 0, end exclusive) inside
     any occurrence of a window, items the ids (as strings, sorted) of items with an occurring window. Null and
     empty texts have no words and no hits, items of no words have no windows, empty tables give no hits or no
-    rows, and other columns are ignored. With more than one automaton, rows that share a doc_id are merged."""
-    schema = "doc_id long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
-
-    def pass_over(shared) -> DataFrame:
-        def find(batch: pa.RecordBatch) -> list:
-            _, _, first, hit, items = shared.value.hits(batch.column("text"))
-            rows = []
-            for text in range(batch.num_rows):
-                a, b = first[text], first[text + 1]
-                rows.append(_runs(hit[a:b]) if text in items else [])
-            return [batch.column("doc_id"), np.diff(first), rows, [sorted(map(str, items.get(text, ()))) for text in range(batch.num_rows)]]
-
-        return map_batches(docs.select("doc_id", "text"), find, schema)
-
-    parts = [pass_over(shared) for shared in automata(benchmark, window, block_words)]
-    if not parts:
+    rows, and other columns are ignored. With more than one automaton, what each finds is united by row."""
+    blocks = automata(benchmark, window, block_words)
+    if not blocks:
         words = F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
         return docs.select("doc_id", words.alias("n_words"), F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
-    if len(parts) == 1:
-        return parts[0]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    merged = rows.groupBy("doc_id").agg(
+    if len(blocks) == 1:
+        return _found(docs, "doc_id", blocks[0])
+    rows = numbered(docs.select("doc_id", "text"))
+    merged = _found_in_all(rows, blocks)
+    return rows.select("_row", "doc_id").join(merged, "_row").drop("_row")
+
+
+_FOUND = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+
+
+def _found(rows: DataFrame, key: str, shared) -> DataFrame:
+    """key, n_words, spans and items of each row by one automaton."""
+
+    def find(batch: pa.RecordBatch) -> list:
+        _, _, first, hit, items = shared.value.hits(batch.column("text"))
+        spans = [_runs(hit[first[text] : first[text + 1]]) if text in items else [] for text in range(batch.num_rows)]
+        return [batch.column(key), np.diff(first), spans, [sorted(map(str, items.get(text, ()))) for text in range(batch.num_rows)]]
+
+    return map_batches(rows.select(key, "text"), find, f"{key} long, {_FOUND}")
+
+
+def _found_in_all(rows: DataFrame, blocks: list) -> DataFrame:
+    """_row, n_words, spans and items of each numbered row, united over all automata."""
+    parts = _found(rows, "_row", blocks[0])
+    for shared in blocks[1:]:
+        parts = parts.unionByName(_found(rows, "_row", shared))
+    merged = parts.groupBy("_row").agg(
         F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
     )
-    return map_batches(merged, lambda batch: [batch.column(0), batch.column(1), [_united(spans) for spans in batch.column(2).to_pylist()], batch.column(3)], schema)
+    return map_batches(merged, lambda batch: [batch.column(0), batch.column(1), [_united(spans) for spans in batch.column(2).to_pylist()], batch.column(3)], f"_row long, {_FOUND}")
 
 
 def _runs(hit: np.ndarray) -> list[dict]:
@@ -197,10 +205,13 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ma
     """docs with every hit run cut out of its text (n_chars follows, where there is such a column); rows of which
     more than max_share of the words are hit go. Cutting repeats until no window is left in the text. Columns and
     untouched rows stay as they are."""
+    blocks = automata(benchmark, window, block_words)
+    if len(blocks) > 1:
+        return _remove_by_rows(docs, blocks, max_share)
     columns = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", `_words` long, `_cut` long"
     out = docs.withColumn("_words", F.lit(None).cast("long")).withColumn("_cut", F.lit(0).cast("long"))
-    for shared in automata(benchmark, window, block_words):
+    for shared in blocks:
 
         def strip(batch: pa.RecordBatch, shared=shared) -> list:
             texts = batch.column("text")
@@ -222,19 +233,54 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ma
     return out.where(F.coalesce(F.col("_cut") <= max_share * F.col("_words"), F.lit(True))).select(*columns)
 
 
+def _remove_by_rows(docs: DataFrame, blocks: list, max_share: float) -> DataFrame:
+    """remove_leaks with several automata: each round unites what all of them find in a row, then cuts once; rows that
+    were cut are looked through again by all."""
+    rows = numbered(docs)
+    todo, rounds = rows.select("_row", "text"), []
+    while True:
+
+        def cut(batch: pa.RecordBatch) -> list:
+            new = [_without(text, spans) for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())]
+            taken = [sum(span["end"] - span["start"] for span in spans) for spans in batch.column("spans").to_pylist()]
+            return [batch.column("_row"), new, batch.column("n_words"), taken]
+
+        found = _found_in_all(todo, blocks).where("size(spans) > 0").select("_row", "n_words", "spans")
+        todo = settle(map_batches(todo.select("_row", "text").join(found, "_row").select("_row", "text", "n_words", "spans"), cut, "_row long, text string, _words long, _cut long"))
+        if todo.isEmpty():
+            break
+        rounds.append(todo.withColumn("_round", F.lit(len(rounds))))
+    if not rounds:
+        return rows.select(*docs.columns)
+    cuts = rounds[0]
+    for later in rounds[1:]:
+        cuts = cuts.unionByName(later)
+    last = cuts.groupBy("_row").agg(F.max_by("text", "_round").alias("_text"), F.min_by("_words", "_round").alias("_words"), F.sum("_cut").alias("_cut"))
+    out = rows.join(last, "_row", "left").where(F.coalesce(F.col("_cut") <= max_share * F.col("_words"), F.lit(True)))
+    new = {"text": F.coalesce("_text", "text"), "n_chars": F.when(F.col("_text").isNotNull(), F.length("_text")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}
+    return out.select(*(new[f.name].cast(f.dataType).alias(f.name) if f.name in new else F.col(f.name) for f in docs.schema.fields))
+
+
 def _cut_text(text: str, automaton: ItemAutomaton) -> tuple[str, int]:
     taken = 0
     while True:
-        raw = text.encode()
-        starts, ends, _, hit, items = automaton.hits(pa.array([text], pa.large_string()))
+        _, _, _, hit, items = automaton.hits(pa.array([text], pa.large_string()))
         if not items:
             return text, taken
         taken += int(hit.sum())
-        kept, at = [], 0
-        for run in _runs(hit):
-            kept.append(raw[at : starts[run["start"]]])
-            at = ends[run["end"] - 1]
-        text = b"".join([*kept, raw[at:]]).decode()
+        text = _without(text, _runs(hit))
+
+
+def _without(text: str, runs: list[dict]) -> str:
+    """text without the given runs of words."""
+    raw = text.encode()
+    data, offsets = text_bytes(pa.array([text], pa.large_string()))
+    starts, ends, _ = word_spans(LOWER[data], offsets, ALNUM)
+    kept, at = [], 0
+    for run in runs:
+        kept.append(raw[at : starts[run["start"]]])
+        at = ends[run["end"] - 1]
+    return b"".join([*kept, raw[at:]]).decode()
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

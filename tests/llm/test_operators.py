@@ -103,6 +103,21 @@ def test_removing_leaks(docs, rows_, items):
     assert all(row.n_chars == len(row.text) for d, row in left.items() if want[d][4])
 
 
+def test_many_automata_equal_one(spark):
+    w = [f"w{k}" for k in range(80)]
+    join = " ".join
+    items = spark.createDataFrame([(1, join(w[:14])), (2, join(w[8:24])), (3, join(w[40:52])), (4, join(w[36:40] + w[52:60]))], "item_id long, text string")
+    texts = [(1, join(["x"] * 40 + w[:24] + ["y"] * 9)), (2, join(["x"] * 30 + w[36:60] + ["y"] * 9)), (2, join(["x"] * 40 + w[8:24])), (2, join(["x"] * 3)), (None, join(["x"] * 40 + w[:14])), (None, "z"), (None, None), (5, join(w[:14])), (6, join(w[:14] + ["v"] * 20))]
+    df = spark.createDataFrame([(d, t, 7) for d, t in texts + texts[:1]], "doc_id long, text string, n_chars long")
+    found, left = [], []
+    for block_words in (1_000_000, 8):
+        assert len(decontaminate.automata(items, block_words=block_words)) == (1 if block_words > 8 else 7)
+        found.append(sorted((repr(tuple(row)) for row in decontaminate.leaks(df, items, block_words=block_words).collect())))
+        left.append(sorted((repr(tuple(row)) for row in decontaminate.remove_leaks(df, items, block_words=block_words).collect())))
+    assert len(found[0]) == len(texts) + 1 and found[0] == found[1]
+    assert left[0] == left[1] and not any("w" in row for row in left[1])
+
+
 def test_no_items_no_leaks(docs, items):
     found = decontaminate.leaks(docs, items.limit(0))
     assert found.where("size(spans) > 0").count() == 0 and found.count() == docs.count()
