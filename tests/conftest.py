@@ -18,7 +18,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *order):
-    return [row.asDict(recursive=True) for row in (df.orderBy(*order) if order else df).collect()]

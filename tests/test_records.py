@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tallyframe.functions import recode as R

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tallyframe.functions import pvalues

@@ -6,7 +6,7 @@ from math import comb
 
 import numpy as np
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tallyframe.functions import answers as A
