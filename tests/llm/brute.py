@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
+from collections import Counter
 
 LOWER = {code: code + 32 for code in range(65, 91)}
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -127,3 +130,43 @@ def near(rows, n=4, percent=80):
                 x, y = sorted((root(a), root(b)))
                 label[y] = x
     return {d: (len(sets[d]), root(d), root(d) == d) for d in sets}
+
+
+def grams(text):
+    w = words(text)
+    return [" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+
+
+def resampled(rows, target, percent=5, least=20, buckets=10_000):
+    """rows with distinct ids -> doc_id: (n_features, weight, score, rank)."""
+    place = lambda text: [zlib.crc32(gram.encode()) % buckets for gram in grams(text)]
+    s, t = Counter(), Counter()
+    for _, text in rows:
+        s.update(place(text))
+    for text in target:
+        t.update(place(text))
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets)))) for b in range(buckets)]
+    out = {}
+    for doc_id, text in rows:
+        found = place(text)
+        weight = sum(gain[b] for b in found)
+        h = int(sha(f"42:{doc_id}")[:8], 16)
+        out[doc_id] = (len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), len(words(text)) >= least)
+    able = sorted((-score, doc_id) for doc_id, (_, _, score, ok) in out.items() if ok)
+    rank = {doc_id: k + 1 for k, (_, doc_id) in enumerate(able[: percent * len(able) // 100])}
+    return {doc_id: (n, weight, score, rank.get(doc_id)) for doc_id, (n, weight, score, _) in out.items()}
+
+
+def turned(doc_id, text, unit=re.compile("[A-Za-z]+|[^A-Za-z]", re.S)):
+    """(n, form, prefix_chars, middle_chars, output)"""
+    text = text or ""
+    units = unit.findall(text)
+    h = [int(sha(f"1:{'' if doc_id is None else doc_id}")[8 * k : 8 * k + 8], 16) for k in range(4)]
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    prefix, middle, suffix = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or "<P>" in text or "<S>" in text or "<M>" in text or h[2] % 100 >= 90:
+        return len(units), "plain", None, None, text
+    if h[3] % 100 < 20:
+        return len(units), "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return len(units), "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
