@@ -236,4 +236,28 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn(weights).select("doc_id", "n_features", "weight", "score", "rank")
 
 
-QUERIES, ORACLES = {"op11_resample": op11_resample}, {}
+#: crc32 of a text from its bytes, by the table of its 256 steps.
+_CRC_SQL = """
+k AS (SELECT list_transform(range(0, 256), lambda b: list_reduce(list_prepend(cast(b AS bigint), range(0, 8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps),
+x AS (SELECT DISTINCT f, hex(encode(f)) AS x FROM g),
+y AS (SELECT f, list_transform(range(0, len(x) // 2), lambda i: cast('0x' || substr(x, cast(2 * i + 1 AS bigint), 2) AS bigint)) AS bytes FROM x),
+z AS (SELECT f, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM y, k)"""
+OP11_SQL = rf"""
+WITH a AS (SELECT true AS source, doc_id, text FROM documents UNION ALL SELECT false, null, text FROM benchmark),
+w AS (SELECT source, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM a),
+g AS (SELECT source, doc_id, unnest(list_concat(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])),
+  list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) AS f FROM w),{_CRC_SQL},
+n AS (SELECT source, doc_id, bucket, count(*) AS n FROM g JOIN z USING (f) GROUP BY ALL),
+c AS (SELECT bucket, coalesce(sum(n) FILTER (source), 0) AS s, coalesce(sum(n) FILTER (NOT source), 0) AS t FROM n GROUP BY bucket),
+o AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM c),
+i AS (SELECT bucket, floor(1000 * ln(((cast(t AS double) + 1) * (cast(all_s AS double) + 10000)) / ((cast(s AS double) + 1) * (cast(all_t AS double) + 10000)))) AS gain FROM c, o),
+d AS (SELECT doc_id, sum(len(ws)) AS n_words, sum(len(ws) + greatest(len(ws) - 1, 0) + greatest(len(ws) - 2, 0)) AS n_features FROM w WHERE source GROUP BY doc_id),
+v AS (SELECT doc_id, sum(n * gain) AS weight FROM n JOIN i USING (bucket) WHERE source GROUP BY doc_id),
+r AS (SELECT d.doc_id, n_words, n_features, cast(coalesce(weight, 0) AS bigint) AS weight, cast('0x' || sha256('42:' || coalesce(cast(d.doc_id AS varchar), ''))[1:8] AS bigint) AS h
+  FROM d LEFT JOIN v ON v.doc_id IS NOT DISTINCT FROM d.doc_id),
+q AS (SELECT *, weight + cast(floor(-1000 * ln(-ln((cast(h AS double) + cast(0.5 AS double)) / cast(4294967296 AS double)))) AS bigint) AS score FROM r),
+p AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_words >= 20) OVER () * 5 // 100 AS wanted FROM q)
+SELECT doc_id, cast(n_features AS bigint) AS n_features, weight, score, CASE WHEN n_words >= 20 AND place <= wanted THEN place END AS rank FROM p
+"""
+
+QUERIES, ORACLES = {"op11_resample": op11_resample}, {"op11_resample": OP11_SQL}
