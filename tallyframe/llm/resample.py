@@ -183,7 +183,7 @@ def importance_weights(docs: DataFrame, target: DataFrame, buckets: int = BUCKET
     lines, crosses = settle(line_features(plain, buckets)), settle(crossing_features(plain, buckets))
     wanted = line_features(target, buckets).select("n", "features").union(crossing_features(target.select(F.lit(None).cast("long").alias("doc_id"), "text"), buckets).select(F.lit(1), "features"))
     source = lines.select("n", "features").union(crosses.select(F.lit(1), "features"))
-    found = bucket_gains(_bucket_counts(source, buckets), _bucket_counts(wanted, buckets), buckets).toPandas()
+    found = bucket_gains(settle(_bucket_counts(source, buckets)), settle(_bucket_counts(wanted, buckets)), buckets).toPandas()
     gains = np.zeros(buckets, np.int64)
     gains[found["bucket"].to_numpy()] = found["gain"].to_numpy()
 
