@@ -1,8 +1,9 @@
 """Type-aware association of variable pairs, and the rank tests they share.
 
-Pairs are planned from the declared kinds on the driver. Each record is then expanded once per method
-(category x category, number x number, number x category) into its complete pairs, and collapsed again
-by a map-side partial count, so the number of shuffles does not depend on the number of variables.
+Pairs are planned from the declared kinds on the driver. In the matrix, pairs with a number come from a block of
+ranks that is multiplied with itself (rank_block). Pairs of categories, and the single rank tests, expand each record
+into its complete pairs and collapse them again by a map-side partial count. Either way the number of shuffles
+does not depend on the number of variables.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.pvalues import chi2_p, correlation_p, f_p, mann_whitney_p
 from tallyframe.functions.recode import base_question
 from tallyframe.operators.common import kinds_of, lookup, number, require_columns, spread_join, text
+from tallyframe.operators.rank_block import correlation, pair_sums
 from tallyframe.operators.ranks import cumulative_counts, join_ranks, midranks, quantiles, suffix_min
 from tallyframe.plans.policy import NUMERIC_KINDS, VARIABLE_KINDS, Policy
 from tallyframe.sources.dimensions import small_table
@@ -125,31 +127,6 @@ def cramers_v(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
 
 # ---- number x number ------------------------------------------------------------------------------
 
-def _spearman(df: DataFrame, pairs: Mapping[int, Pair]) -> DataFrame:
-    counts = _counts(_complete_pairs(df, pairs, "number", "number"))
-
-    def ranked_by(rows: DataFrame, side: str, other: str) -> DataFrame:
-        values = counts.groupBy("pair", side).agg(F.sum("n").alias("n"))
-        joined = join_ranks(rows, midranks(values, ["pair"], side), values, ["pair"], side, spread=other)
-        return joined.withColumnRenamed("midrank", f"rank_{side}")
-
-    ranked = ranked_by(ranked_by(counts, "a", "b"), "b", "a")
-    size = counts.groupBy("pair").agg(F.sum("n").alias("total"))
-    centred = lookup(ranked, size, ["pair"])
-    middle = (F.col("total") + 1) / F.lit(2.0)
-    u, v = F.col("rank_a") - middle, F.col("rank_b") - middle
-    sums = centred.groupBy("pair", "total").agg(
-        F.sum(F.col("n") * u * v).alias("_uv"), F.sum(F.col("n") * u * u).alias("_uu"), F.sum(F.col("n") * v * v).alias("_vv")
-    )
-    rho = F.col("_uv") / F.sqrt(F.col("_uu")) / F.sqrt(F.col("_vv"))
-    rho = F.when((F.col("_uu") > 0) & (F.col("_vv") > 0), F.greatest(F.least(rho, F.lit(1.0)), F.lit(-1.0)))
-    return sums.withColumn("effect", rho).select(
-        "pair", F.lit("spearman_rho").alias("method"), "effect",
-        correlation_p("effect", "total").alias("p_value"), F.col("total").alias("n"),
-        F.lit(None).cast("bigint").alias("min_group_n"),
-    )
-
-
 def average_rank(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Midrank of each distinct value of each column: (variable, x, n, midrank)."""
     from tallyframe.operators.describe import _value_counts
@@ -159,8 +136,10 @@ def average_rank(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def spearman_rho(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
+    """rho of (number, number) pairs over the records that have both. Each number is ranked once for each set of gaps its
+    partners have; the records are written to the checkpoint folder first (see pair_sums)."""
     indexed = dict(enumerate(pairs))
-    return _named(_spearman(df, indexed), indexed).drop("pair", "min_group_n")
+    return _named(_from_sums(pair_sums(df, indexed, {})), indexed).drop("pair", "min_group_n")
 
 
 # ---- number x category ----------------------------------------------------------------------------
@@ -176,16 +155,21 @@ def _group_ranks(df: DataFrame, pairs: Mapping[int, Pair], min_level_n: int = 1)
     ranked = midranks(counts, ["pair"], "a")
     centred_rank = F.col("midrank") - (F.col("total") + 1) / F.lit(2.0)
     ties = F.col("ties").cast("double")
-    levels = ranked.groupBy("pair", "b", "total").agg(
+    return _rank_summary(ranked.groupBy("pair", "b").agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * centred_rank).alias("_rank_gap"),
         F.sum(F.col("n") * (ties * ties - 1)).alias("_ties"),
-    )
+    ))
+
+
+def _rank_summary(levels: DataFrame, *more: Column) -> DataFrame:
+    """One row per pair from its levels (pair, b, n, _rank_gap, _ties); more: further aggregates of the levels to keep."""
     # The first level in text order is the least of (level, n, rank gap); no sort of the levels is needed.
-    per_pair = levels.groupBy("pair", "total").agg(
-        F.count(F.lit(1)).alias("levels"), F.min("n").alias("min_group_n"), F.sum("_ties").alias("tie_sum"),
+    per_pair = levels.groupBy("pair").agg(
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("levels"), F.min("n").alias("min_group_n"), F.sum("_ties").alias("tie_sum"),
         F.sum(F.col("_rank_gap") * F.col("_rank_gap") / F.col("n")).alias("_rank_between"),
-        F.min(F.struct("b", "n", "_rank_gap")).alias("_first"),
+        F.min(F.struct("b", "n", "_rank_gap")).alias("_first"), *more,
     )
+    kept = [name for name in per_pair.columns if not name.startswith("_") and name not in ("pair", "total", "levels", "min_group_n", "tie_sum")]
     total = F.col("total").cast("double")
     tie_correction = 1 - F.col("tie_sum") / (total * total * total - total)
     n1 = F.col("_first.n")
@@ -198,7 +182,7 @@ def _group_ranks(df: DataFrame, pairs: Mapping[int, Pair], min_level_n: int = 1)
         ).alias("h"),
         # R1 - n1(n1+1)/2 with R1 = rank gap + n1(N+1)/2, which leaves rank gap + n1*n2/2.
         F.when(F.col("levels") == 2, F.col("_first._rank_gap") + n1 * n2 / F.lit(2.0)).alias("u"),
-        n1.alias("n1"), n2.alias("n2"),
+        n1.alias("n1"), n2.alias("n2"), *kept,
     )
 
 
@@ -232,16 +216,23 @@ def _u_p_value() -> Column:
     return mann_whitney_p("u", "n1", "n2", "tie_sum")
 
 
-def _numeric_by_category(df: DataFrame, pairs: Mapping[int, Pair], p_method: str = "kruskal") -> DataFrame:
-    moments = _group_moments(df, pairs).select("pair", "between", "ss_total")
-    summary = lookup(_group_ranks(df, pairs), moments, ["pair"])
-    two = F.col("levels") == 2
+def _from_sums(sums: DataFrame, p_method: str = "kruskal") -> DataFrame:
+    """Result rows of pairs with a number from their sums (pair_sums): rho for pairs of numbers, whose only row has no
+    level, rank-biserial or eta for a number and a category."""
+    levels = sums.select("pair", F.col("level").alias("b"), "n", *[F.col(name).alias(new) for name, new in (("s1", "_rank_gap"), ("s2", "_x"), ("s3", "_xx"), ("s4", "_ties"))])
+    middle = F.sum("_x") * F.sum("_x") / F.sum("n")
+    summary = _rank_summary(
+        levels, (F.sum(F.col("_x") * F.col("_x") / F.col("n")) - middle).alias("between"), (F.sum("_xx") - middle).alias("ss_total"),
+        F.count("b").alias("named"), F.max("_rank_gap").alias("s1"), F.max("_x").alias("s2"), F.max("_xx").alias("s3"),
+    )
+    numeric, two = F.col("named") == 0, F.col("levels") == 2
     biserial = 1 - 2 * F.col("u") / (F.col("n1").cast("double") * F.col("n2"))
+    rho = F.when(numeric, correlation())
     return summary.select(
-        "pair", F.when(two, "rank_biserial").otherwise("eta").alias("method"),
-        F.when(two, biserial).otherwise(_eta_ratio()).alias("effect"),
-        F.when(two, _u_p_value()).otherwise(F.when(F.col("levels") > 2, _eta_p(p_method))).alias("p_value"),
-        F.col("total").alias("n"), "min_group_n",
+        "pair", F.when(numeric, "spearman_rho").when(two, "rank_biserial").otherwise("eta").alias("method"),
+        F.when(numeric, rho).when(two, biserial).otherwise(_eta_ratio()).alias("effect"),
+        F.when(numeric, correlation_p(rho, F.col("total"))).when(two, _u_p_value()).when(F.col("levels") > 2, _eta_p(p_method)).alias("p_value"),
+        F.col("total").alias("n"), F.when(~numeric, F.col("min_group_n")).alias("min_group_n"),
     )
 
 
@@ -439,19 +430,17 @@ def association_dispatch(variable_types: Mapping[str, str]) -> dict[str, dict[in
 
 
 def association_matrix(df: DataFrame, variable_types: Mapping[str, str], policy: Policy | None = None, p_method: str = "kruskal") -> DataFrame:
-    """One row per variable pair. Result rows number V(V-1)/2 for V declared variables."""
+    """One row per variable pair. Result rows number V(V-1)/2 for V declared variables.
+
+    Pairs with a number come from one block of ranks (pair_sums, which writes the distinct records to the checkpoint folder
+    first); pairs of categories from their counts, which collapse before they are shuffled."""
     policy = policy or Policy()
     validate_kinds(df, variable_types)
     plan = association_dispatch(variable_types)
     spark = df.sparkSession
-    parts = [
-        build(df, plan[kind])
-        for kind, build in (
-            ("category", _cramers), ("numeric", _spearman),
-            ("mixed", lambda frame, pairs: _numeric_by_category(frame, pairs, p_method)),
-        )
-        if plan[kind]
-    ]
+    parts = [_cramers(df, plan["category"])] if plan["category"] else []
+    if plan["numeric"] or plan["mixed"]:
+        parts.append(_from_sums(pair_sums(df, plan["numeric"], plan["mixed"]), p_method))
     pairs = small_table(
         spark, [(i, a, b) for i, (a, b) in enumerate(combinations(variable_types, 2))],
         "pair int, variable_a string, variable_b string",
