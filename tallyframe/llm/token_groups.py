@@ -82,16 +82,13 @@ def _identity(values: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 
 def part_table(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, sum_a, sum_b, least (the smallest shingle), parts: one row for each row of docs."""
+    """doc_id, n, sum_a, sum_b, parts: one row for each row of docs."""
 
     def build(batch: pa.RecordBatch) -> list:
         values, offsets = shingle_sets(batch.column("text"), words)
-        sizes = np.diff(offsets)
-        least = np.zeros(len(sizes), np.uint64)
-        least[sizes > 0] = values[offsets[:-1][sizes > 0]]  # the shingles of a set are in order
-        return [batch.column("doc_id"), *_identity(values, offsets), least.view(np.int64), _lists(*part_signatures(values, offsets, percent))]
+        return [batch.column("doc_id"), *_identity(values, offsets), _lists(*part_signatures(values, offsets, percent))]
 
-    return map_batches(docs.select("doc_id", "text"), build, "doc_id long, n long, sum_a long, sum_b long, least long, parts array<long>")
+    return map_batches(docs.select("doc_id", "text"), build, "doc_id long, n long, sum_a long, sum_b long, parts array<long>")
 
 
 def _set_table(docs: DataFrame, words: int) -> DataFrame:
@@ -112,35 +109,56 @@ def hot_join(large: DataFrame, small: DataFrame, keys: list[str], sizes: DataFra
     return salted.join(copied, [*keys, "_salt"], how).drop("_salt")
 
 
-def token_groups(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """nodes (node, n, class, least, company), sets (node, shingles) -> node, n, class, group: documents of one size class with the same
-    smallest shingle, which similar ones mostly share, form a group. It is named by its centre: the document with
-    the most company in its parts, as the original of many changed copies has."""
-    centre = F.max(F.struct("company", (-F.col("node")).alias("last")))
-    groups = nodes.groupBy("class", "least").agg(centre.alias("centre"), F.count(F.lit(1)).alias("size"))
-    named = groups.select("class", "least", (-F.col("centre.last")).alias("group"))
-    return hot_join(nodes, named, ["class", "least"], groups.select("class", "least", "size"), "node").select("node", "n", "class", "group")
+def token_groups(shared: DataFrame, parts: DataFrame) -> DataFrame:
+    """shared (node, part): the parts that several nodes have; parts (part, size) -> node, group. Similar documents share parts, so of
+    each part's documents the one with the most company in all its parts, as the original of many changed copies has, is the part's
+    centre, and a document joins the best centre of its parts. A group has its centre's name."""
+    company = hot_join(shared, parts, ["part"], parts, "node").groupBy("node").agg(F.sum("size").alias("company"))
+    ranked = shared.join(company, "node").select("part", "node", F.struct("company", (-F.col("node")).alias("last")).alias("rank"))
+    centres = ranked.groupBy("part").agg(F.max("rank").alias("centre"))
+    best = hot_join(shared, centres, ["part"], parts, "node").groupBy("node").agg(F.max("centre").alias("centre"))
+    return best.select("node", (-F.col("centre.last")).alias("group"))
 
 
 def opened_groups(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, group) of the documents that may link with a member of another group.
+    """grouped (node, n, group) -> (node, group) of the documents that may link with a member of another group.
 
     The matrix has a row for each shingle and group whose union holds it. A document of n shingles that links with any
     member shares at least percent / 100 * n of them with the group's union, so at most `apart` of its shingles are missing there. Shingles
-    of one group only are missing in every other: more than `apart` of them end the search. The first 2 * (apart + 1) shingles,
-    those of the fewest groups first, are looked up in the matrix; groups where more than `apart` of these are missing stay shut. A pair
-    of groups is opened from the one with the lesser name, which finds each link once."""
-    rows = sets.join(grouped, "node").select("node", "n", "class", "group", F.explode("shingles").alias("x"))
-    matrix = settle(rows.select("x", "group", "class").distinct())
-    spread = matrix.groupBy("x").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
+    of one group only are missing in every other: a document with more than `apart` of them links with no other group and leaves
+    the matrix, which can leave others alone in turn. The first 2 * (apart + 1) shingles, those of the fewest groups first, are then looked up; groups where more than `apart` of these are missing stay shut, with
+    a tighter count once the sizes of a group's members are known. A pair of groups is opened from the one with the lesser name,
+    which finds each link once."""
     apart = F.floor(F.col("n") * (100 - percent) / 100)
+    for _ in range(_ROUNDS):
+        known, _ = _shared_shingles(grouped, sets)
+        known = known.groupBy("node").agg(F.count(F.lit(1)).alias("known"))
+        grouped = settle(grouped.join(known, "node").where(F.col("n") - F.col("known") <= apart).select("node", "n", "group"))
+        sets = sets.join(grouped.select("node"), "node", "left_semi")
+    ranges = grouped.groupBy("group").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    rows, matrix = _shared_shingles(grouped, sets)
     mine = Window.partitionBy("node")
+    rows = rows.join(grouped.select("node", "n", F.col("group").alias("own")), "node")
     place = F.row_number().over(mine.orderBy("groups", "x")) + F.col("n") - F.count(F.lit(1)).over(mine)
-    looked = rows.join(spread, "x").withColumn("place", place).withColumn("private", F.col("n") - F.count(F.lit(1)).over(mine))
-    looked = looked.withColumn("apart", apart).withColumn("upto", F.least(F.col("n"), 2 * (F.col("apart") + 1))).where("private <= apart AND place <= upto")
-    probes = looked.select("x", "node", F.col("group").alias("own"), F.col("class").alias("of"), (F.col("upto") - F.col("apart")).alias("needed"))
-    held = probes.join(matrix, "x").where((F.col("group") > F.col("own")) & (F.abs(F.col("class") - F.col("of")) <= 1))
-    return held.groupBy("node", "group", "needed").agg(F.count(F.lit(1)).alias("held")).where("held >= needed").select("node", "group")
+    looked = rows.withColumn("place", place).withColumn("upto", F.least(F.col("n"), 2 * (apart + 1))).where("place <= upto")
+    held = looked.select("x", "node", "own", "n", "upto").join(matrix, "x").where("group > own")
+    counted = held.groupBy("node", "group", "n", "upto").agg(F.count(F.lit(1)).alias("held")).join(ranges, "group")
+    # A member that links has percent / 100 * n shingles or more, and shares percent / (100 + percent) of both sizes.
+    smallest = F.greatest("least", F.ceil(F.col("n") * percent / 100))
+    shared = F.ceil((F.col("n") + smallest) * percent / (100 + percent))
+    fits = (F.col("least") * percent <= F.col("n") * 100) & (F.col("n") * percent <= F.col("most") * 100)
+    return counted.where(fits & (F.col("upto") - F.col("held") <= F.col("n") - shared)).select("node", "group")
+
+
+def _shared_shingles(grouped: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, x, groups) for the shingles that several groups' unions hold, and the matrix (group, x)."""
+    matrix = settle(sets.join(grouped, "node").select("group", F.explode("shingles").alias("x")).distinct())
+    spread = matrix.groupBy("x").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
+    return sets.select("node", F.explode("shingles").alias("x")).join(spread, "x"), matrix
+
+
+#: How often documents leave the matrix before it is searched.
+_ROUNDS = 2
 
 
 def group_links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -196,7 +214,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     join is exact: it has no sketch and no cap.
 
     1. Documents with equal sets are one node.
-    2. Sets are dealt to parts (part_signatures): sets that link have an equal part. Nodes without any are done.
+    2. Sets are dealt to parts (part_signatures): sets that link have an equal part. Nodes that share none are done.
     3. The other nodes form groups (token_groups); the token-group matrix says which groups a node opens besides
        its own (opened_groups); opened groups compare their nodes (group_links); links become components.
 
@@ -207,17 +225,18 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     known = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = known.groupBy(*KEY).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("size"))
     classes = settle(classes.withColumn("node", F.monotonically_increasing_id()))
-    heads = known.join(classes, [*KEY, "doc_id"]).select("node", "doc_id", *KEY, "least", "parts")
+    heads = known.join(classes, [*KEY, "doc_id"]).select("node", "parts")
     members = heads.select("node", F.explode("parts").alias("part"))
     crowded = members.groupBy("part").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high").select("part", "size")
-    company = members.join(crowded, "part").groupBy("node").agg(F.sum("size").alias("company"))
-    size_class = F.size(F.filter(F.array(*[F.lit(int(least)) for least in size_classes(percent)]), lambda least: least <= F.col("n")))
-    nodes = settle(heads.drop("parts").dropDuplicates(["node"]).join(company, "node").withColumn("class", size_class))
+    parts = settle(crowded)
+    shared = settle(members.join(parts.select("part"), "part"))
+    nodes = settle(classes.join(shared.select("node").distinct(), "node", "left_semi"))
     texts = docs.join(nodes.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = settle(_set_table(texts, words).join(nodes.select(*KEY, "node"), KEY).dropDuplicates(["node"]).select("node", "shingles"))
-    grouped = settle(token_groups(nodes, sets))
-    opened = settle(opened_groups(grouped, sets, percent))
-    links = group_links(settle(grouped.select("node", "group").union(opened)), sets, percent)
+    grouped = settle(token_groups(shared, parts).join(nodes.select("node", "n"), "node"))
+    opened = opened_groups(grouped, sets, percent)
+    own = grouped.select("node", "group").union(grouped.select(F.col("group").alias("node"), "group")).distinct()
+    links = group_links(settle(own.union(opened).distinct()), sets, percent)
     several = known.groupBy("doc_id").agg(F.min(F.struct(*KEY)).alias("one"), F.max(F.struct(*KEY)).alias("two")).where("one <> two").select("doc_id")
     same = known.join(several, "doc_id", "left_semi").select("doc_id", *KEY).join(classes.select(*KEY, "node"), KEY).select("doc_id", "node")
     same = same.join(same.groupBy("doc_id").agg(F.min("node").alias("b")), "doc_id").select(F.col("node").alias("a"), "b")
@@ -227,7 +246,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     least = firsts.groupBy("component").agg(F.min("doc_id").alias("least")).join(roots, "component").select("component", F.least("least", "root").alias("component_id"))
     named = joined.join(least, "component").select("node", "component_id").union(least.select(F.col("component").alias("node"), "component_id")).dropDuplicates(["node"])
     labels = classes.join(named, "node", "left").select(*KEY, F.coalesce("component_id", "doc_id").alias("component_id"))
-    out = hot_join(rows.drop("parts", "least"), labels, KEY, classes.select(*KEY, "size"), "doc_id", "left")
+    out = hot_join(rows.drop("parts"), labels, KEY, classes.select(*KEY, "size"), "doc_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 

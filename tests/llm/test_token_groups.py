@@ -51,10 +51,9 @@ def test_opened_groups_find_links_across_groups(spark, clustered):
     sets = {d: sorted(brute.shingles(t, 3)) for d, t in clustered if brute.shingles(t, 3)}
     numbers = {x: k for k, x in enumerate(sorted({x for s in sets.values() for x in s}))}
     sets = {d: {numbers[x] for x in s} for d, s in sets.items()}
-    least = token_groups.size_classes(90)
     group = {d: min(sets) if k % 3 == 0 else d for k, d in enumerate(sets)}
-    node_rows = [(d, len(s), int(np.searchsorted(least, len(s), "right")), group[d]) for d, s in sets.items()]
-    grouped = spark.createDataFrame(node_rows, "node long, n long, class int, group long")
+    node_rows = [(d, len(s), group[d]) for d, s in sets.items()]
+    grouped = spark.createDataFrame(node_rows, "node long, n long, group long")
     table = spark.createDataFrame([(d, sorted(s)) for d, s in sets.items()], "node long, shingles array<long>")
     opened = {(r.node, r.group) for r in token_groups.opened_groups(grouped, table, 90).collect()}
     assert all(group[d] < g for d, g in opened)
