@@ -103,8 +103,8 @@ def kmeans_sweep(spark, sf_dir):
     from tallyframe.sources.dimensions import small_table
 
     _, models = sweep(spark, sf_dir)
-    rows = [(k, len(model.clusterCenters()), float(model.summary.trainingCost)) for k, model in models.items()]
-    return small_table(spark, rows, "k int, n_clusters int, cost double")
+    rows = [(k, int((model.sizes > 0).sum()), model.cost) for k, model in models.items()]
+    return tidy(small_table(spark, rows, "k int, n_clusters int, cost double"))
 
 
 @query("silhouette_select")

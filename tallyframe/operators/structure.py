@@ -4,20 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import partial
 from itertools import combinations
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
+from tallyframe.operators.clusters import ClusterModel, cluster_of, fit, silhouettes, vector_blocks
 from tallyframe.operators.common import lookup, unpivot
 from tallyframe.operators.ranks import quantiles
 from tallyframe.plans.session import checkpoint_dir
@@ -30,8 +25,6 @@ CLUSTER_COUNTS = (2, 3, 4)
 CLUSTER_RESTARTS = 10
 CLUSTER_SEED = 42
 MAX_ITERATIONS = 300
-CONCURRENT_FITS = 8
-CLUSTER_PARTS = 8
 HIGHLIGHTS = 4
 # A rotation ends when a sweep turns no pair of factors by more than this angle.
 VARIMAX_SWEEPS, VARIMAX_ANGLE = 200, 1e-9
@@ -175,54 +168,33 @@ class Segments:
 
 def kmeans_sweep(
     df: DataFrame, columns: Sequence[str], ks: Sequence[int] = CLUSTER_COUNTS, restarts: int = CLUSTER_RESTARTS, seed: int = CLUSTER_SEED,
-    parts: int = CLUSTER_PARTS,
-) -> dict[int, KMeansModel]:
-    """Per k, the restart with the lowest training cost. df holds standardised columns.
-
-    The fits are independent, so several run at once and fill the gaps between each other's short jobs.
-    """
-    checkpoint_dir(df.sparkSession)
-    # Every iteration ships the plan behind its rows, and a lost executor would replay it: cut it here.
-    # Start centres are drawn per partition: rows are dealt by a hash of their values into a declared number of parts and
-    # ordered in each, so a model depends on the rows alone, not on how they came or on the number of cores.
-    dealt = df.select(*columns).repartition(parts, F.xxhash64(*columns)).sortWithinPartitions(*columns)
-    vectors = _assembled(dealt, columns).select("features").checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(k: int, restart: int) -> tuple[int, float, int, KMeansModel]:
-        model = KMeans(k=k, seed=seed + restart, maxIter=MAX_ITERATIONS).fit(vectors)
-        return k, model.summary.trainingCost, restart, model
-
-    # Each fit gets its own copy of the thread's job properties; sharing one would let the fits overwrite them.
-    inherit = inheritable_thread_target(df.sparkSession)
-    tasks = [inherit(partial(fit, k, restart)) for k in ks for restart in range(restarts)]
-
-    try:
-        with ThreadPool(CONCURRENT_FITS) as pool:
-            runs = pool.map(lambda task: task(), tasks)
-        return {k: min((run for run in runs if run[0] == k), key=lambda run: run[1:3])[3] for k in ks}
-    finally:
-        vectors.unpersist()
+    blocks: DataFrame | None = None,
+) -> dict[int, ClusterModel]:
+    """Per k, the restart with the lowest cost. df holds complete, standardised columns; all runs step together over
+    the blocks of its distinct vectors (clusters.vector_blocks), and depend on the rows alone."""
+    blocks = vector_blocks(df, columns) if blocks is None else blocks
+    return fit(df, blocks, columns, ks, restarts, seed, MAX_ITERATIONS)
 
 
-def silhouette_select(df: DataFrame, columns: Sequence[str], models: Mapping[int, KMeansModel]) -> tuple[dict[int, float], int]:
-    """Mean silhouette per k and the best k. Squared Euclidean distance: its closed form needs one pass,
-    where the plain Euclidean one would need every pair of records."""
-    vectors = _assembled(df, columns)
-    judge = ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean")
-    scores = {k: judge.evaluate(model.transform(vectors)) for k, model in models.items()}
-    return scores, max(scores, key=scores.get)
+def silhouette_select(df: DataFrame, columns: Sequence[str], models: Mapping[int, ClusterModel], blocks: DataFrame | None = None) -> tuple[dict[int, float], int]:
+    """Mean silhouette per k, with plain Euclidean distance, and the best k, the smallest of equal ones. The cost is the
+    square of the number of distinct vectors (clusters.silhouettes)."""
+    blocks = vector_blocks(df, columns) if blocks is None else blocks
+    scores = silhouettes(blocks, len(columns), {k: model.centres for k, model in models.items()})
+    return scores, max(sorted(scores), key=lambda k: round(scores[k], 9))
 
 
-def assign_clusters(df: DataFrame, columns: Sequence[str], model: KMeansModel) -> DataFrame:
-    return model.transform(_assembled(df, columns)).drop("features").withColumnRenamed("prediction", "cluster")
+def assign_clusters(df: DataFrame, columns: Sequence[str], model: ClusterModel) -> DataFrame:
+    return df.withColumn("cluster", cluster_of(columns, model.centres))
 
 
 def segment(df: DataFrame, id_column: str, columns: Sequence[str], **options) -> Segments:
     """Standardise, sweep, choose k. assigned: (id, cluster) with the chosen model."""
     checkpoint_dir(df.sparkSession)
     scaled = standardise(df.select(id_column, *columns), columns).checkpoint()
-    models = kmeans_sweep(scaled, columns, **options)
-    scores, best = silhouette_select(scaled, columns, models)
+    blocks = vector_blocks(scaled, columns)
+    models = kmeans_sweep(scaled, columns, blocks=blocks, **options)
+    scores, best = silhouette_select(scaled, columns, models, blocks)
     table = small_table(df.sparkSession, [(k, float(s), k == best) for k, s in scores.items()], "k int, silhouette double, chosen boolean")
     return Segments(assign_clusters(scaled, columns, models[best]).select(id_column, "cluster"), table, best)
 
