@@ -98,7 +98,49 @@ def sweep(spark, sf_dir):
     return scaled, structure.kmeans_sweep(scaled, list(FEATURES))
 
 
-@query("kmeans_sweep")
+# ---- k-means in SQL: every run is one row whose centres step until they rest -----------------------
+
+AXES = range(1, len(FEATURES) + 1)
+
+
+def apart_sql(left: str, right: str) -> str:
+    """Squared distance of two lists, to nine digits."""
+    return f"round({' + '.join(f'pow({left}[{a}] - {right}[{a}], 2)' for a in AXES)}, 9)"
+
+
+def draw_sql(restart: int) -> str:
+    digest = f"md5('42,{restart // 4},' || array_to_string(list_transform(x, lambda c: cast(cast(round(c * 1000000) as bigint) as varchar)), ','))"
+    return f"-ln((cast(cast('0x' || substr({digest}, {8 * (restart % 4) + 1}, 8) as bigint) as double) + cast(0.5 as double)) / cast(4294967296 as double)) / w"
+
+
+NEAREST = f"list_transform(cs, lambda c: {apart_sql('x', 'c')})"
+MOVED = f"list_sum(list_transform(range(1, len(cs) + 1), lambda i: {' + '.join(f'pow(new_cs[i][{a}] - cs[i][{a}], 2)' for a in AXES)})) > cast(0.0001 as double)"
+SWEEP = f"""with recursive {IMPUTED},
+m as (select {', '.join(f'avg({n}) as m_{n}, stddev_pop({n}) as s_{n}' for n in FEATURES)} from i),
+z as (select [{', '.join(f'round(({n} - m_{n}) / s_{n}, 9)' for n in FEATURES)}] as x from i, m),
+v as (select x, cast(count(*) as double) as w from z group by x),
+d as ({' union all '.join(f'select {r} as r, x, {draw_sql(r)} as t from v' for r in range(10))}),
+firsts as (select r, x, row_number() over (partition by r order by t, x) as place from d qualify place <= 4),
+starts as (select k, r, list(x order by place) as cs from firsts, (values (2), (3), (4)) as ks(k) where place <= k group by k, r),
+steps as (
+  select k, r, 0 as step, cs, true as moves from starts
+  union all
+  select k, r, step + 1, new_cs, {MOVED} from (
+    select k, r, step, any_value(cs) as cs, list_transform(any_value(cs), lambda c, i: coalesce(list_filter(list(struct_pack(place := place, mean := mean)), lambda e: e.place = i)[1].mean, c)) as new_cs
+    from (select k, r, step, any_value(cs) as cs, list_position(ds, list_min(ds)) as place, [{', '.join(f'round(sum(w * x[{a}]) / sum(w), 9)' for a in AXES)}] as mean
+      from (select steps.*, x, w, {NEAREST} as ds from steps, v where moves and step < 300) group by k, r, step, list_position(ds, list_min(ds)))
+    group by k, r, step)),
+rest as (select k, r, arg_max(cs, step) as cs from steps group by k, r),
+ends as (select k, r, any_value(cs) as cs, sum(w * list_min(ds)) as cost, count(distinct list_position(ds, list_min(ds))) as n_clusters from (select rest.*, x, w, {NEAREST} as ds from rest, v) group by k, r),
+best as (select k, r, cs, cost, n_clusters from ends qualify row_number() over (partition by k order by round(cost, 6), r) = 1)"""
+
+
+def sweep(spark, sf_dir):
+    scaled = structure.standardise(imputed(spark, sf_dir), list(FEATURES))
+    return scaled, structure.kmeans_sweep(scaled, list(FEATURES))
+
+
+@query("kmeans_sweep", f"{SWEEP} select cast(k as integer) as k, cast(n_clusters as integer) as n_clusters, round(cost, 6) as cost from best")
 def kmeans_sweep(spark, sf_dir):
     from tallyframe.sources.dimensions import small_table
 
@@ -107,9 +149,16 @@ def kmeans_sweep(spark, sf_dir):
     return tidy(small_table(spark, rows, "k int, n_clusters int, cost double"))
 
 
-@query("silhouette_select")
+@query("silhouette_select", f"""{SWEEP},
+a as (select k, x, w, list_position(ds, list_min(ds)) as own from (select best.k, x, w, {NEAREST} as ds from best, v)),
+sizes as (select k, own, sum(w) as n from a group by k, own),
+far as (select p.k, p.x, p.w, p.own, q.own as other, sum(q.w * sqrt({' + '.join(f'pow(p.x[{d}] - q.x[{d}], 2)' for d in AXES)})) as total from a p join a q on p.k = q.k group by all),
+s as (select far.k, far.x, far.w, any_value(mine.n) as n, max(total) filter (other = far.own) / greatest(any_value(mine.n) - 1, 1) as inside, min(total / sizes.n) filter (other <> far.own) as outside
+  from far join sizes on sizes.k = far.k and sizes.own = other join sizes mine on mine.k = far.k and mine.own = far.own group by far.k, far.x, far.w, far.own),
+scores as (select k, sum(w * case when n > 1 and outside is not null and greatest(inside, outside) > 0 then (outside - inside) / greatest(inside, outside) else 0 end) / sum(w) as silhouette from s group by k)
+select cast(k as integer) as k, round(silhouette, 6) as silhouette, k = (select k from scores order by round(silhouette, 9) desc, k limit 1) as chosen from scores""")
 def silhouette_select(spark, sf_dir):
-    return structure.segment(imputed(spark, sf_dir), "record_id", list(FEATURES)).scores
+    return tidy(structure.segment(imputed(spark, sf_dir), "record_id", list(FEATURES)).scores)
 
 
 DIMENSIONS = 64

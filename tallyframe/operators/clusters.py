@@ -20,7 +20,7 @@ from tallyframe.plans.session import checkpoint_dir
 PAIRS = 32
 #: Vectors in a block; coordinates and squared distances count to DIGITS digits, so that ties do not hang on the order of a sum.
 BLOCK, DIGITS = 1_024, 9
-#: A run ends when no centre moves further than this, in units of the coordinates.
+#: A run ends when its centres move by no more than this, as the sum of their squared ways in units of the coordinates.
 TOLERANCE = 1e-4
 BLOCK_SCHEMA = "block string, weights array<double>, cells array<double>"
 
@@ -152,7 +152,7 @@ def fit(df: DataFrame, blocks: DataFrame, columns: Sequence[str], ks: Sequence[i
         moved = []
         for key, (sizes, sums, _) in zip(open_, _step(blocks, width, [centres[key] for key in open_])):
             new = np.where(sizes[:, None] > 0, np.round(sums / np.maximum(sizes, 1e-300)[:, None], DIGITS), centres[key])
-            if (((new - centres[key]) ** 2).sum(axis=1) > TOLERANCE**2).any():
+            if ((new - centres[key]) ** 2).sum() > TOLERANCE:
                 moved.append(key)
             centres[key] = new
         open_ = moved
