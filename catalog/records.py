@@ -243,14 +243,9 @@ def entries(spark, sf_dir):
     return flatten.entry_parts(flatten.answers_long(order_records(spark, sf_dir)))
 
 
-_CONTAINERS = "('amount', 'lines', 'modes')"
-
-
-@query("answers_long", f"with {ORDER_RECORDS}, {ENTRY_SQL} select record_id, qid, path, value, review as needs_review from entries where path not in {_CONTAINERS}")
+@query("answers_long", f"with {ORDER_RECORDS}, {ENTRY_SQL} select record_id, qid, path, value, review as needs_review from entries")
 def answers_long(spark, sf_dir):
-    """Container entries hold no value of their own and are left out of the comparison."""
-    rows = entries(spark, sf_dir).filter(~F.col("path").isin("amount", "lines", "modes"))
-    return rows.select("record_id", "qid", "path", "value", "needs_review")
+    return entries(spark, sf_dir).select("record_id", "qid", "path", "value", "needs_review")
 
 
 @query("page_slice", f"""with {ORDER_RECORDS}, {ENTRY_SQL}, p(page, qid) as (values (1, 'customer'), (1, 'status'), (1, 'priority'), (1, 'flags'), (1, 'amount'), (2, 'lines'), (2, 'modes'), (2, 'placed'))

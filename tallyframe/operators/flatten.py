@@ -89,49 +89,54 @@ def codebook(contract: Contract, spark, section_of: Callable[[Mapping[str, Any]]
 _CONTAINER = r'"(' + "|".join(A.ENTRY_CONTAINERS) + r')"\s*:\s*\{'
 
 
-def nesting_bound(entries: DataFrame, entry: str = "entry") -> int:
-    """How many containers an entry holds at most, and so how deep entries can nest: one pass over the records."""
-    return entries.agg(F.max(F.regexp_count(F.to_json(entry), F.lit(_CONTAINER)))).first()[0] or 0
+def _nested(path: Column, entry: Column) -> Column:
+    """(path, entry) of the entries in an entry's containers."""
+    parts = F.array(*[
+        F.struct(F.lit(name).alias("container"), F.try_variant_get(entry, f"$.{name}", "map<string,variant>").alias("members")) for name in A.ENTRY_CONTAINERS
+    ])
+    return F.flatten(F.transform(
+        F.filter(parts, lambda part: part.members.isNotNull()),
+        lambda part: F.transform(F.map_entries(part.members), lambda item: F.struct(F.concat_ws(".", path, part.container, item.key).alias("path"), item.value.alias("entry"))),
+    ))
+
+
+def _holds_entries(entry: Column) -> Column:
+    return reduce(Column.__or__, [F.try_variant_get(entry, f"$.{name}", "variant").isNotNull() for name in A.ENTRY_CONTAINERS])
 
 
-def answers_long(records: DataFrame, keep: Sequence[str] = (), levels: int | None = None) -> DataFrame:
+def answers_long(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """(record_id, keep..., qid, path, entry VARIANT): every question entry, and the entries nested in its components,
-    rows and subfields at any depth. Each level is one narrow step; nothing is shuffled.
+    rows and subfields at any depth; the entry that holds them has a row too. One narrow step, for streams as well.
 
-    levels is the number of nested levels to visit. Left out, it follows from the records (nesting_bound), so none
-    is missed; streaming records, which can't be measured beforehand, need it."""
+    An entry without containers is its own only row, and most others end with the entries they hold. Deeper ones are walked level
+    by level: the entries found last give the next ones, in no more levels than containers in the entry's text."""
     rows = records.select(
         "record_id", *keep,
         F.explode(F.try_variant_get(A.path_lookup(F.col("document"), ["answers"]), "$", "map<string,variant>")).alias("qid", "entry"),
     )
-    if levels is None:
-        levels = nesting_bound(rows)
-    rows = rows.select("record_id", *keep, "qid", F.col("qid").alias("path"), "entry", F.lit(0).alias("level"))
-    for level in range(levels):
-        nested = F.array(*[
-            F.struct(F.lit(name).alias("container"), F.try_variant_get("entry", f"$.{name}", "map<string,variant>").alias("members"))
-            for name in A.ENTRY_CONTAINERS
-        ])
-        inner = F.flatten(F.transform(
-            F.filter(nested, lambda part: part.members.isNotNull()),
-            lambda part: F.transform(
-                F.map_entries(part.members),
-                lambda item: F.struct(F.concat_ws(".", "path", part.container, item.key).alias("path"), item.value.alias("entry"), F.lit(level + 1).alias("level")),
-            ),
-        ))
-        own = F.array(F.struct("path", "entry", "level"))
-        rows = rows.select("record_id", *keep, "qid", F.inline(F.when(F.col("level") == level, F.concat(own, inner)).otherwise(own)))
-    return rows.drop("level")
+    rows = rows.select("record_id", *keep, "qid", "entry", F.when(_holds_entries(F.col("entry")), _nested(F.col("qid"), F.col("entry"))).alias("_inner"))
+    own = F.array(F.struct(F.col("qid").alias("path"), "entry"))
+    levels = F.sequence(F.lit(1), F.greatest(F.regexp_count(F.to_json("entry"), F.lit(_CONTAINER)), F.lit(1)))
+
+    def deeper(walked: Column, _: Column) -> Column:
+        found = F.flatten(F.transform(walked["last"], lambda item: _nested(item["path"], item["entry"])))
+        return F.struct(found.alias("last"), F.concat(walked["all"], found).alias("all"))
+
+    walk = F.aggregate(levels, F.struct(F.col("_inner").alias("last"), F.col("_inner").alias("all")), deeper, lambda walked: walked["all"])
+    ends = ~F.exists("_inner", lambda item: _holds_entries(item["entry"]))
+    return rows.select("record_id", *keep, "qid", F.inline(F.when(F.col("_inner").isNull(), own).when(ends, F.concat(own, "_inner")).otherwise(F.concat(own, walk))))
 
 
 def entry_parts(long: DataFrame) -> DataFrame:
-    """Typed view of long entries: value text, confidence, flags, note, needs_review."""
+    """Typed view of long entries: value text, confidence, flags, note, needs_review. An entry that holds others and has
+    no value of its own has none here."""
     entry = F.col("entry")
+    holds = F.try_variant_get(entry, "$.value", "variant").isNull() & _holds_entries(entry)
     flags = recode.flags_of(F.try_variant_get(entry, "$.flags", "array<string>"))
     marked = F.try_variant_get(entry, "$.needs_review", "boolean")
     return long.select(
         *[name for name in long.columns if name != "entry"],
-        A.cell_join(entry).alias("value"),
+        F.when(~holds, A.cell_join(entry)).alias("value"),
         F.try_variant_get(entry, "$.confidence", "string").alias("confidence"),
         flags.alias("flags"),
         F.try_variant_get(entry, "$.note", "string").alias("note"),

@@ -155,3 +155,12 @@ def test_strict_payloads(spark):
     }
     needs = strict_findings(parsed(spark, [("ok", f'{{"answers":{good}}}')]), contract, meta=["flags"])
     assert {row["detail"] for row in rows(needs.where("qid = 'many'"))} == set() and {row["detail"] for row in rows(needs.where("qid = 'g'"))} == {"flags", "rows.r1.flags", "rows.r2.flags"}
+
+
+def test_entries_next_to_each_other_and_containers_stay(spark):
+    """Containers side by side, one with a value of its own, one that is empty, and a hundred members at one level."""
+    many = ",".join(f'"m{k}":{{"value":{k}}}' for k in range(100))
+    text = f'{{"answers":{{"p":{{"value":7,"components":{{"a":{{"value":1}},"b":null}},"rows":{{{many}}}}},"e":{{"rows":{{}}}},"s":[1,2],"n":null}}}}'
+    found = {row["path"]: row["value"] for row in rows(flatten.entry_parts(flatten.answers_long(parsed(spark, [("R1", text)]))))}
+    assert found["p"] == "7" and found["p.components.a"] == "1" and found["p.components.b"] is None and found["e"] is None and found["s"] == "1;2"
+    assert [found[f"p.rows.m{k}"] for k in range(100)] == [str(k) for k in range(100)] and len(found) == 106
