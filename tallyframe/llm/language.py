@@ -4,23 +4,24 @@ fall back to progressively shorter character n-grams."""
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import regex
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import map_batches, prepare, settle, table
 
-WORD = re.compile(r"[^\W\d_]+")
+#: Letters, with the marks on them; numerals are none.
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Longest n-gram of a word with its edge marks; shorter ones follow down to single characters.
 LONGEST = 5
-#: The model is fitted on about this many labelled rows, drawn by a hash of the id, and holds at most this many
-#: words and as many n-grams over all languages, the most frequent of each.
-FIT_ROWS, ENTRIES = 8_000, 160_000
+#: The model is fitted on about this many labelled rows of each language, drawn by a hash of id and text, and holds all
+#: their words and n-grams, however many languages there are.
+FIT_ROWS = 500
 UNDETERMINED = "und"
 
 
@@ -123,26 +124,25 @@ class LanguageModel:
         return names, scores
 
 
-def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, entries: int = ENTRIES):
-    """A broadcast model from rows (doc_id, text, lang). Rows without text or lang are left out; rows are drawn by a
-    hash of doc_id when there are more than fit_rows; what is collected is at most 2 * entries rows."""
+def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS):
+    """A broadcast model from rows (doc_id, text, lang). Rows without text or lang are left out; of a language with more
+    than fit_rows rows, about fit_rows are drawn by a hash of id and text. The words and n-grams of these rows, and nothing
+    else, come to the driver; repeated rows count as often as they are there, very long texts whole. An empty table
+    gives a model without languages."""
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "lang", "text")
-    n = rows.count()
-    if n > fit_rows:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * fit_rows / n))
-    counts = settle(_counts(rows))
-    langs = max(1, counts.select("lang").distinct().count())
-    kind = F.least("size", F.lit(1))
-    order = Window.partitionBy("lang", kind).orderBy(F.desc("n"), "term", "size")
+    sizes = settle(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size")))
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) * F.col("size") < 1_000_000 * fit_rows
+    counts = settle(_counts(rows.join(sizes, "lang").where(drawn).select("doc_id", "lang", "text")))
     totals = counts.groupBy("lang", "size").agg(F.sum("n").alias("total"))
-    top = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(1, entries // langs)).join(totals, ["lang", "size"])
-    model = LanguageModel([tuple(row) for row in top.select("lang", "size", "term", "n", "total").toLocalIterator()])
+    terms = counts.join(totals, ["lang", "size"])
+    model = LanguageModel([tuple(row) for row in terms.select("lang", "size", "term", "n", "total").toLocalIterator()])
     return labelled.sparkSession.sparkContext.broadcast(model)
 
 
 def predict(docs: DataFrame, model) -> DataFrame:
-    """docs (doc_id, text, ...) -> the same columns with lang_pred and score. Null texts and texts without a letter,
-    and all texts if nothing was learned, give `und` and 0. Ties go to the first language by name."""
+    """docs (doc_id, text, ...) -> the same columns with lang_pred and score, one row for each row, repeated ones too. Null texts
+    and texts without a letter, and all texts if nothing was learned, give `und` and 0. Ties go to the first language by name.
+    A text is read whole, however long; an empty table gives an empty result."""
     fields = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", lang_pred string, score double"
 
@@ -153,7 +153,8 @@ def predict(docs: DataFrame, model) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
-    """docs without rows of no determinable language: no letter, or a best language below min_score."""
+    """docs without rows of no determinable language: no letter, or a best language below min_score. Every row is judged for
+    itself, so repeated rows stay or go together; an empty table stays empty."""
     model = fit(docs.where(~F.coalesce(held_out(F.col("doc_id")), F.lit(False))))
     return predict(docs, model).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select(*docs.columns)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -170,3 +171,53 @@ def turned(doc_id, text, unit=re.compile("[A-Za-z]+|[^A-Za-z]", re.S)):
     if h[3] % 100 < 20:
         return len(units), "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
     return len(units), "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def letters(text):
+    """Runs of letters and the marks on them, lower-cased."""
+    runs, run = [], ""
+    for c in (text or "").lower():
+        kind = unicodedata.category(c)[0]
+        if kind == "L" or (run and kind == "M"):
+            run += c
+        elif run:
+            runs, run = [*runs, run], ""
+    return runs + [run] * bool(run)
+
+
+def languages(labelled, texts, longest=5):
+    """labelled (text, lang) -> for each text (lang, score)."""
+    langs = sorted({lang for text, lang in labelled if letters(text)})
+    counts = {(lang, size): Counter() for lang in langs for size in range(longest + 1)}
+
+    def pieces(word, size):
+        marked = word if size == 1 else f"<{word}>"
+        return [word] if size == 0 else [marked[k : k + size] for k in range(len(marked) - size + 1)]
+
+    for text, lang in labelled:
+        for word in letters(text):
+            for size in range(longest + 1):
+                counts[lang, size].update(pieces(word, size))
+    vocabulary = [set().union(*(counts[lang, size] for lang in langs)) if langs else set() for size in range(longest + 1)]
+
+    def logs(size, term):
+        return [math.log((counts[lang, size][term] + 0.5) / (sum(counts[lang, size].values()) + len(vocabulary[size]) + 1)) for lang in langs]
+
+    def of(word):
+        for size in (0, *range(longest, 0, -1)):
+            known = [logs(size, term) for term in pieces(word, size) if term in vocabulary[size]]
+            if known:
+                return [sum(column) / len(known) for column in zip(*known)]
+        return [0.0] * len(langs)
+
+    out = []
+    for text in texts:
+        words = letters(text)
+        if not words or not langs:
+            out.append(("und", 0.0))
+            continue
+        total = [sum(column) for column in zip(*(of(word) for word in words))]
+        best = max(range(len(langs)), key=lambda k: (total[k], -k))
+        share = min(len(words), 20) / len(words)
+        out.append((langs[best], 1 / sum(math.exp((value - total[best]) * share) for value in total)))
+    return out
