@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.tables import LINE_STATUSES, RETURN_FLAGS, VISITS, order_lines, table, tidy, visits
+from catalog.tables import LINE_STATUSES, ORDER_LINES, RETURN_FLAGS, VISITS, order_lines, table, tidy, visits
 from tallyframe.operators import series, structure
 
 QUERIES, ORACLES = {}, {}
@@ -35,23 +35,76 @@ def item_correlation(spark, sf_dir):
     return tidy(structure.item_correlation(rows, ITEMS))
 
 
+# ---- factors in SQL: Jacobi rotations of the correlations, then planar rotations of the loadings ----
+
+def jacobi_sql(name: str, matrix: str, size: int, sweeps: int = 12) -> str:
+    """CTEs that end in `name` (factor, value, vector): eigenvalues from the largest, of the one row `matrix` (a), a symmetric
+    matrix as one list, row by row. A step turns one pair of axes so that their cell becomes 0."""
+    pairs = [(p, q) for p in range(1, size + 1) for q in range(p + 1, size + 1)]
+
+    def turned(cells: str, row: bool) -> str:
+        place, first, second = ("k // {n} + 1", "(p - 1) * {n} + k % {n} + 1", "(q - 1) * {n} + k % {n} + 1") if row else ("k % {n} + 1", "k // {n} * {n} + p", "k // {n} * {n} + q")
+        place, first, second = (text.format(n=size) for text in (place, first, second))
+        return (f"list_transform(range(0, {size * size}), lambda k: case when {place} = p then c * {cells}[{first}] - s * {cells}[{second}]"
+                f" when {place} = q then s * {cells}[{first}] + c * {cells}[{second}] else {cells}[k + 1] end)")
+
+    cell = lambda i, j: f"a[({i} - 1) * {size} + {j}]"
+    angle = f"case when {cell('p', 'q')} = 0 then 0 when {cell('p', 'p')} = {cell('q', 'q')} then pi() / 4 * sign({cell('p', 'q')}) else atan(2 * {cell('p', 'q')} / ({cell('q', 'q')} - {cell('p', 'p')})) / 2 end"
+    return f"""{name}_steps as (
+  select 0 as step, a, list_transform(range(0, {size * size}), lambda k: cast(case when k // {size} = k % {size} then 1 else 0 end as double)) as v from {matrix}
+  union all
+  select step + 1, {turned('half', True)}, v from (
+    select step, p, q, c, s, {turned('a', False)} as half, {turned('v', False)} as v from (
+      select step, a, v, p, q, cos(phi) as c, sin(phi) as s from (
+        select *, {angle} as phi from (select step, a, v, {[p for p, _ in pairs]}[step % {len(pairs)} + 1] as p, {[q for _, q in pairs]}[step % {len(pairs)} + 1] as q from {name}_steps where step < {sweeps * len(pairs)}))))),
+{name} as (select row_number() over (order by value desc) as factor, value, vector from (
+  select a[(i - 1) * {size} + i] as value, list_transform(range(0, {size}), lambda k: v[k * {size} + i]) as vector
+  from (select a, v, unnest(range(1, {size + 1})) as i from {name}_steps where step = {sweeps * len(pairs)})))"""
+
+
+def pearson_sql(a: str, b: str) -> str:
+    return "cast(1 as double)" if a == b else f"case when stddev_pop({a}) > 0 and stddev_pop({b}) > 0 then corr({a}, {b}) else 0 end"
+
+
+P = len(GRID)
+FACTORS = f"""with recursive {ORDER_LINES},
+correlations as (select [{', '.join(pearson_sql(a, b) for a in GRID for b in GRID)}] as a from order_lines),
+{jacobi_sql('eigen', 'correlations', P)},
+kept as (select greatest(1, count(*) filter (value > 1)) as m from eigen),
+turns as (
+  select 0 as step, list(list_transform(vector, lambda x: x * sqrt(greatest(value, 0))) order by factor) as cols from eigen, kept where factor <= m
+  union all
+  select step + 1, list_transform(cols, lambda col, i: case when i = f then list_transform(range(1, {P + 1}), lambda k: x[k] * cos(t) + y[k] * sin(t)) when i = g then list_transform(range(1, {P + 1}), lambda k: y[k] * cos(t) - x[k] * sin(t)) else col end)
+  from (select *, atan2(2 * list_sum(list_transform(range(1, {P + 1}), lambda k: u[k] * v[k])) - 2 * list_sum(u) * list_sum(v) / {P},
+      list_sum(list_transform(range(1, {P + 1}), lambda k: u[k] * u[k] - v[k] * v[k])) - (pow(list_sum(u), 2) - pow(list_sum(v), 2)) / {P}) / 4 as t
+    from (select *, list_transform(range(1, {P + 1}), lambda k: x[k] * x[k] - y[k] * y[k]) as u, list_transform(range(1, {P + 1}), lambda k: 2 * x[k] * y[k]) as v
+      from (select step, cols, f, g, cols[f] as x, cols[g] as y
+        from (select step, cols, pairs[step % len(pairs) + 1][1] as f, pairs[step % len(pairs) + 1][2] as g
+          from (select step, cols, list_filter(flatten(list_transform(range(1, len(cols) + 1), lambda i: list_transform(range(1, len(cols) + 1), lambda j: [i, j]))), lambda e: e[1] < e[2]) as pairs from turns)
+          where step < 60 * len(pairs)))))),
+columns_ as (select unnest(cols) as col, generate_subscripts(cols, 1) as factor from (select arg_max(cols, step) as cols from turns)),
+signed as (select factor, list_transform(col, lambda x: x * case when list_max(col) >= -list_min(col) then 1 else -1 end) as col from columns_),
+loadings as (select [{', '.join(f"'{name}'" for name in GRID)}][i] as item, cast(factor as integer) as factor, col[i] as loading from (select factor, col, unnest(range(1, {P + 1})) as i from signed))"""
+
+
 def factors(spark, sf_dir):
     return structure.factor_extraction(order_lines(spark, sf_dir), GRID)
 
 
-@query("factor_extraction")
+@query("factor_extraction", f"{FACTORS} select item, factor, round(loading, 6) as loading from loadings")
 def factor_extraction(spark, sf_dir):
-    return factors(spark, sf_dir).loadings
+    return tidy(factors(spark, sf_dir).loadings)
 
 
-@query("factor_grouping")
+@query("factor_grouping", f"""{FACTORS}, strongest as (select item, arg_max(factor, abs(loading)) as factor, max(abs(loading)) as size from loadings group by item)
+select factor, string_agg(item, ',' order by item) as items from strongest where size >= 0.4 group by factor having count(*) >= 2""")
 def factor_grouping(spark, sf_dir):
     return structure.factor_grouping(factors(spark, sf_dir).loadings).withColumn("items", F.array_join("items", ","))
 
 
-@query("scree_series")
+@query("scree_series", f"{FACTORS} select cast(factor as integer) as factor, round(value, 6) as eigenvalue from eigen")
 def scree_series(spark, sf_dir):
-    return series.scree_series(spark, factors(spark, sf_dir).eigenvalues)
+    return tidy(series.scree_series(spark, factors(spark, sf_dir).eigenvalues))
 
 
 FEATURES = {"clicks": "t__click", "buys": "t__purchase", "spent": "spent", "events": "n_events"}
@@ -187,6 +240,28 @@ def cluster_highlights(spark, sf_dir):
     return tidy(structure.cluster_highlights(vectors(spark, sf_dir), COMPONENTS))
 
 
-@query("pca_2d")
+def axis_sql(name: str, matrix: str, squarings: int = 20) -> str:
+    """CTEs that end in `name` (i, x): the eigenvector of the largest eigenvalue of `matrix` (i, j, x), its largest component positive.
+    The matrix is squared again and again, scaled by its trace, until only this eigenvector is left in it; the rest shrinks like
+    the ratio of the eigenvalues to the power 2^squarings."""
+    return f"""{name}_powers as (
+  select 0 as step, i, j, x from {matrix}
+  union all
+  select step, i, j, x / sum(x) filter (i = j) over () as x from (select any_value(a.step) + 1 as step, a.i, b.j, sum(a.x * b.x) as x from {name}_powers a join {name}_powers b on a.j = b.i where a.step < {squarings} group by a.i, b.j)),
+{name}_column as (select i, x from {name}_powers where step = {squarings} and j = (select j from {name}_powers where step = {squarings} and i = j order by x desc limit 1)),
+{name} as (select i, x / sqrt((select sum(x * x) from {name}_column)) * (select sign(arg_max(x, abs(x))) from {name}_column) as x from {name}_column)"""
+
+
+PLANE = f"""with recursive {VECTORS},
+long as (select vec_id, cast(substr(name, 2) as integer) as i, x from (select * exclude (cluster) from v) unpivot (x for name in ({', '.join(COMPONENTS)}))),
+centred as (select vec_id, i, x - avg(x) over (partition by i) as x from long),
+cov as (select a.i, b.i as j, sum(a.x * b.x) / (select count(*) from v) as x from centred a join centred b using (vec_id) group by a.i, b.i),
+{axis_sql('one', 'cov')},
+size as (select sum(p.x * cov.x * q.x) as value from cov join one p on p.i = cov.i join one q on q.i = cov.j),
+rest as (select cov.i, cov.j, cov.x - value * p.x * q.x as x from size, cov join one p on p.i = cov.i join one q on q.i = cov.j),
+{axis_sql('two', 'rest')}"""
+
+
+@query("pca_2d", f"{PLANE} select vec_id, round(sum(centred.x * one.x), 6) as axis_1, round(sum(centred.x * two.x), 6) as axis_2 from centred join one using (i) join two using (i) group by vec_id")
 def pca_2d(spark, sf_dir):
-    return structure.pca_2d(vectors(spark, sf_dir), "vec_id", COMPONENTS)
+    return tidy(structure.pca_2d(vectors(spark, sf_dir), "vec_id", COMPONENTS))

@@ -13,7 +13,6 @@ from check_oracles import TABLES, rows_of  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 ORACLES = entry.oracle_sql()
-SLOW = {"kmeans_sweep", "silhouette_select"}
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +31,7 @@ def test_query_equals_sql(spark, duck, name):
     assert rows_of(ours) == rows_of(theirs)
 
 
-@pytest.mark.parametrize("name", [name for name in entry.queries() if name not in ORACLES and name not in SLOW])
+@pytest.mark.parametrize("name", [name for name in entry.queries() if name not in ORACLES])
 def test_query_gives_rows(spark, duck, name):
     assert entry.queries()[name](spark, SF_DIR).count() > 0
 
