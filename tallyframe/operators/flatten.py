@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import answers as A
 from tallyframe.functions import recode
-from tallyframe.sources.contract import Contract, Field, allowed_codes, as_list, data_rows
+from tallyframe.sources.contract import Contract, Field, allowed_codes, as_list, row_codes
 from tallyframe.sources.dimensions import small_table
 
 META_PREFIX = "meta__"
@@ -166,7 +166,7 @@ def contract_struct(contract: Contract, page: int | None = None) -> str:
             row_type = _entry_type("array<string>")
             if content and not content.get("skip_extraction"):
                 row_type = row_type[:-1] + f",`{content['code']}`:string>"
-            inner = ",".join(f"`{row['code']}`:{row_type}" for row in data_rows(question))
+            inner = ",".join(f"`{code}`:{row_type}" for code in row_codes(question))
             fields.append(f"rows:struct<{inner}>")
             if question.get("extra_option"):
                 fields.append(f"`{question['extra_option']['code']}`:boolean")
@@ -220,7 +220,7 @@ def _default_entry(question: Mapping[str, Any]) -> Any:
         }}
     elif kind in ("matrix", "device_grid"):
         empty: Any = None if kind == "matrix" else []
-        entry = {"rows": {row["code"]: {"value": empty} for row in data_rows(question)}}
+        entry = {"rows": {code: {"value": empty} for code in row_codes(question)}}
         if kind == "device_grid" and question.get("extra_option"):
             entry[question["extra_option"]["code"]] = False
     else:
@@ -327,13 +327,11 @@ def flatten_full(
             columns |= {part["id"]: written(qid, "components", part["id"]) for part in question["components"]}
             continue
         if kind in ("matrix", "device_grid"):
-            columns |= {separator.join((qid, row["code"])): written(qid, "rows", row["code"]) for row in data_rows(question)}
+            columns |= {separator.join((qid, row)): written(qid, "rows", row) for row in row_codes(question)}
             content = question.get("row_content_column") or {}
             if content and not content.get("skip_extraction"):
-                for row in data_rows(question):
-                    columns[separator.join((qid, row["code"], content["code"]))] = A.path_lookup(
-                        answers, [qid, "rows", row["code"], content["code"]], "string"
-                    )
+                for row in row_codes(question):
+                    columns[separator.join((qid, row, content["code"]))] = A.path_lookup(answers, [qid, "rows", row, content["code"]], "string")
             if question.get("extra_option"):
                 code = question["extra_option"]["code"]
                 columns[separator.join((qid, code))] = A.path_lookup(answers, [qid, code], "string")

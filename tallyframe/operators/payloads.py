@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions import answers as A
-from tallyframe.sources.contract import Contract, as_list, data_rows, option_codes
+from tallyframe.sources.contract import Contract, as_list, option_codes, row_codes
 
 TEXT = ("STRING", "VOID")
 LISTED = ("VOID", "ARRAY<VOID>", "ARRAY<STRING>")
@@ -50,7 +50,7 @@ def expected(question: Mapping[str, Any], meta: Sequence[str]) -> Slot:
         return Slot(members=told | {"components": Slot(members={part["id"]: _scalar(part, meta) for part in question.get("components", [])})}, optional=free)
     if kind in ("matrix", "device_grid"):
         codes = [column["code"] for column in question.get("columns", []) if column.get("code")]
-        members = told | {"rows": Slot(members={row["code"]: _entry(LISTED, codes, meta) for row in data_rows(question)})}
+        members = told | {"rows": Slot(members={row: _entry(LISTED, codes, meta) for row in row_codes(question)})}
         extra = question.get("extra_option") or {}
         return Slot(members=members | ({extra["code"]: Slot(("BOOLEAN",))} if extra.get("code") else {}), optional=free)
     options = question.get("options", [])

@@ -17,7 +17,7 @@ from tallyframe.sources.contract import (
     Contract,
     allowed_codes,
     as_list,
-    data_rows,
+    row_codes,
 )
 from tallyframe.sources.dimensions import small_table
 
@@ -257,7 +257,7 @@ def _containers(question) -> dict[str, list[str]]:
     if kind == "composite":
         wanted["components"] = [part["id"] for part in question.get("components", [])]
     elif kind in ("matrix", "device_grid"):
-        wanted["rows"] = [row["code"] for row in data_rows(question)]
+        wanted["rows"] = row_codes(question)
     for container in ("subfield", "derived_subfield"):
         names = [part["id"] for part in as_list(question.get(container))]
         if names:
