@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.tables import ORDER_LINES, VISITS, heavy, order_lines, table, visits
 from tallyframe.functions import answers as A
 from tallyframe.functions import recode as R
-from tallyframe.operators.privacy import MASK_PATTERNS, pii_hits, pii_mask_text
+from tallyframe.operators.privacy import MASK_PATTERNS, mask_names, pii_hits, pii_mask_text
 
 QUERIES, ORACLES = {}, {}
 
@@ -261,3 +261,28 @@ register(
     ).select("doc_id", "masked", *[F.col("hits")[token].alias(token.strip("[]").lower()) for token in MASK_PATTERNS]),
     f"""select doc_id, md5({masked_sql('text')}) as masked, {', '.join(f"cast({hits_sql(i)} as integer) as {token.strip('[]').lower()}" for i, token in enumerate(MASK_PATTERNS))} from documents""",
 )
+
+
+# A text's first two capitalised words stand for the name its writer gave. The SQL has no look-around: it masks the whole name
+# and then its words, each twice, as neighbours share the separator between them.
+def twice_sql(text: str, terms: str) -> str:
+    pattern = f"'(?i)(^|[^\\p{{L}}\\p{{M}}\\p{{N}}])(?:' || {terms} || ')($|[^\\p{{L}}\\p{{M}}\\p{{N}}])'"
+    once = f"regexp_replace({text}, {pattern}, '\\1[NAME]\\2', 'g')"
+    return f"case when {terms} <> '' then regexp_replace({once}, {pattern}, '\\1[NAME]\\2', 'g') else {text} end"
+
+
+NAME_SQL = f"""with n as (select doc_id, text, regexp_extract_all(text, '[A-Z][a-z]+')[1:2] as given from documents),
+t as (select doc_id, text, case when len(given) = 2 and given[1] = given[2] then given[1] else array_to_string(given, ' ') end as whole,
+  array_to_string(list_filter(given, lambda w: len(w) >= 3), '|') as words from n),
+o as (select doc_id, words, {twice_sql('text', 'whole')} as text from t),
+m as (select doc_id, {twice_sql('text', 'words')} as masked from o)
+select doc_id, md5(masked) as masked, (len(masked) - len(replace(masked, '[NAME]', ''))) // 6 as n_names from m"""
+
+
+def masked_names(spark, sf_dir):
+    given = F.array_distinct(F.slice(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), F.lit(0)), 1, 2))
+    rows = heavy(spark, sf_dir, "documents").select("doc_id", mask_names(F.col("text"), F.array(F.array_join(given, " "))).alias("masked"))
+    return rows.select("doc_id", F.md5("masked").alias("masked"), F.regexp_count("masked", F.lit(r"\[NAME\]")).cast("long").alias("n_names"))
+
+
+register("pii_mask_names", masked_names, NAME_SQL)
