@@ -1,5 +1,5 @@
-"""MinHash near-dedup by fast similarity sketching: rounds of hashed bin placement fill every coordinate,
-banding proposes pairs, full shingle sets confirm them, and links become components."""
+"""MinHash near-dedup by fast similarity sketching: rounds of hashed bin placement fill every coordinate, banding
+proposes groups, full shingle sets confirm the links in them, and links become components."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import LOWER, SPACED, first_rows, map_batches, mix, numbered, settle, table, text_bytes, word_hashes, word_spans
+from tallyframe.llm.links import group_links, hot_join, part_centres
 
 COORDINATES, BANDS = 252, 42
 _EMPTY = np.uint64(0xFFFF_FFFF_FFFF_FFFF)
@@ -141,14 +142,10 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates:
     1. Rows with equal sets form a class; its smallest doc_id stands for it, so copies are never paired.
     2. Representatives meet in bands of their sketch (252 coordinates in 42 bands: a pair at exactly 0.8 misses all
        of them 3 times in 10^6).
-    3. Two sets share at most as many frequent shingles as the one with fewer has, and the rare ones known to be in
-       both: a shingle that at most three representatives have is rare, and the pairs it joins grow with the input
-       alone. Pairs beyond that exact bound need no comparison, which settles most of the many heavily changed
-       copies of one text; joined by rare shingles, the others are compared here, by frequent ones below.
-    4. Stars: in each band one centre (first the member with the most company in all its bands, as the original
-       of many near copies has) is compared with the members outside its component, and links are merged.
-    5. Every remaining pair of a band that lies in different components is compared. No pair is left out: those
-       not compared are joined already.
+    3. Each band has a centre, its member with the most company in all its bands, as the original of many changed copies has.
+       The members of all bands with one centre are a group, so the many bands of such copies are few groups.
+    4. Every pair of a group is compared, or ruled out exactly by the differences from the centre (links.group_links),
+       unless both link with the centre and so are joined already. No pair is left out.
 
     Rows that share a doc_id count as one document, whose set unites theirs. A null doc_id is in no component and kept; other columns
     are ignored; an empty table gives an empty result."""
@@ -166,93 +163,23 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates:
         rows = single.unionByName(rows.select("doc_id").join(of_united, "doc_id"))
     classes = settle(sums.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"))
     heads = sums.select("doc_id", "n_shingles", "bands").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    members = heads.select(F.explode("bands").alias("band"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
-    crowded = members.groupBy("band").agg(F.min("rep").alias("least"), F.max("rep").alias("most"), F.count(F.lit(1)).alias("size")).where("least < most").select("band", "size")
-    members = settle(members.join(crowded, "band"))
-    wanted = settle(members.select(F.col("rep").alias("doc_id")).distinct())
+    members = heads.select(F.explode("bands").alias("part"), F.col("doc_id").alias("node"))
+    met = members.groupBy("part").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size"))
+    crowded = settle(met.where("low < high").select("part", "size"))
+    shared = settle(members.join(crowded.select("part"), "part"))
+    wanted = settle(shared.select(F.col("node").alias("doc_id")).distinct())
     sets = shingle_lists(docs.join(wanted, "doc_id", "left_semi"), words)
     sets = settle(sets if united is None else sets.unionByName(united.join(wanted, "doc_id", "left_semi")))
-
-    held = sets.select(F.col("doc_id").alias("rep"), F.explode("shingles").alias("x")).groupBy("x").agg(
-        F.count(F.lit(1)).alias("f"), F.min("rep").alias("low"), F.max("rep").alias("high"), F.bit_xor("rep").alias("all")
-    ).where("f <= 3")
-    third = F.col("low").bitwiseXOR(F.col("high")).bitwiseXOR(F.col("all"))
-    rare = settle(held.select(F.when(F.col("f") == 1, F.array("low")).when(F.col("f") == 2, F.array("low", "high")).otherwise(F.array("low", third, "high")).alias("reps")))
-    own = rare.select(F.explode("reps").alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
-    members = settle(members.join(own, "rep", "left").withColumn("m", F.col("n") - F.coalesce("own", F.lit(0))).drop("own"))
-    pair = lambda i, j: F.struct(F.get("reps", F.lit(i)).alias("x"), F.get("reps", F.lit(j)).alias("y"))
-    rarely = rare.where("size(reps) > 1").select(F.explode(F.filter(F.array(pair(0, 1), pair(1, 2), pair(0, 2)), lambda p: p["y"].isNotNull())).alias("p"))
-    rarely = rarely.groupBy("p").agg(F.count(F.lit(1)).alias("r")).select("p.x", "p.y", "r")
-    size = members.select("rep", "n", "m").distinct()
-    rarely = rarely.join(size.toDF("x", "n", "m"), "x").join(size.toDF("y", "n_b", "m_b"), "y")
-    rarely = rarely.where(_may_link(percent, F.col("r"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    central = F.struct(F.sum("size").alias("weight"), "rep").alias("rank")
-    members = settle(members.join(members.groupBy("rep").agg(central), "rep"))
-    joined, stars = settle(components(_confirm(rarely, sets, percent))), 0
-    while True:
-        open_ = members.join(joined, F.col("rep") == F.col("node"), "left").select(
-            "band", "rep", "n", "m", "rank", F.coalesce("component", "rep").alias("component")
-        )
-        parts = open_.groupBy("band", "component").agg(F.count(F.lit(1)).alias("k"), F.max("rank").alias("rank"))
-        split = parts.groupBy("band").agg(
-            F.count(F.lit(1)).alias("n_parts"), F.max(F.struct("k", "component")).alias("main"), F.sum("k").alias("all"), F.max(F.struct(F.xxhash64("rank.rep", F.lit(stars)), "rank") if stars else F.struct("rank")).alias("c"),
-        ).where("n_parts > 1").select("band", F.col("main.component").alias("main"), F.col("c.rank.rep").alias("centre"), (F.col("all") * (F.col("all") - F.col("main.k"))).alias("pairs"))
-        members = settle(open_.join(split, "band"))
-        todo = members.groupBy("band").agg(F.first("pairs").alias("pairs")).agg(F.sum("pairs").alias("pairs"), F.count(F.lit(1)).alias("bands")).first()
-        if not todo.bands:
-            break
-        last = todo.pairs <= _FEW * todo.bands or stars == _STARS
-        pairs = _rest_pairs(members, percent) if last else _star_pairs(members, percent)
-        found = _confirm(pairs, sets, percent)
-        joined = settle(components(found.union(joined)))
-        if last:
-            break
-        members, stars = members.select("band", "rep", "n", "m", "rank"), stars + 1
+    entries = hot_join(shared, part_centres(shared, crowded), ["part"], crowded, "node").select("node", (-F.col("centre.last")).alias("group"))
+    entries = settle(entries.union(entries.select("group", "group")).distinct())
+    links = settle(group_links(entries, sets.select(F.col("doc_id").alias("node"), "shingles"), percent))
+    joined = settle(components(links))
     groups = classes.join(joined, F.col("rep") == F.col("node"), "left").select(*key, F.coalesce("component", "rep").alias("rep"))
     return rows.drop("bands").join(groups, key, "left").select(
         "doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("rep", "doc_id"), F.lit(True)).alias("kept")
     )
 
 
-#: Rounds of stars, ended early when a band has this many pairs left on average.
-_STARS, _FEW = 1, 8
-
-
-def _may_link(percent: int, rare=0):
-    """n shingles, m of them in more than three sets: two sets share at most the smaller m, and the `rare` others that
-    are known to be in both."""
-    return (100 + percent) * (F.least("m", "m_b") + rare) >= percent * (F.col("n") + F.col("n_b"))
-
-
-def _star_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Each band's centre with the members outside its component."""
-    centres = members.where("rep = centre").select("band", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("m").alias("m_b"), F.col("component").alias("of"))
-    pairs = members.join(centres, "band").where((F.col("component") != F.col("of")) & _may_link(percent))
-    return pairs.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
-
-
-def _rest_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a band in different components; one of the two lies outside the band's main component. A pair
-    that shares several bands comes from the lowest of them alone."""
-    lists = members.groupBy("rep").agg(F.collect_set("band").alias("bands"))  # one entry a band of the sketch at most
-    members = members.join(lists, "rep")
-    other = members.where("component <> main").select(
-        "band", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("m").alias("m_b"), F.col("component").alias("of"), F.col("bands").alias("bands_b")
-    )
-    first = F.array_min(F.array_intersect("bands", "bands_b")) == F.col("band")
-    pairs = members.join(other, "band").where((F.col("component") != F.col("of")) & _may_link(percent) & first)
-    return pairs.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
-
-
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("s_b"))
-    shared = F.size(F.array_intersect("s_a", "s_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", shared.alias("shared"), (F.size("s_a") + F.size("s_b")).alias("total"))
-    return both.where(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared"))).select("a", "b")
-
-
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row of each component: that of the smallest doc_id, one without an id only if no other has one.
     Each row is a document of its own here, whatever its doc_id."""
