@@ -1,11 +1,9 @@
-"""BPE encoding and decoding by a tokenization automaton compiled from the merges.
-
-States are the tokens last emitted, arcs are labelled with the next token. Each merge adds its gadget: from a
-state that ends in the left part, the arc of the right part goes and the arc of the merged token comes in its
-place, unless an earlier gadget keeps the two parts from ever standing side by side. An arc left after all gadgets
-is decided by the merges on the two tokens' touching edges alone, so gadgets are applied to an arc the first
-time that a word walks along it and the decision stays in the table. Every path through the automaton spells
-canonical BPE, and a word has exactly one path.
+"""BPE encoding and decoding by the tokens that may follow each other, decided from the merges as words need them.
+
+The states of the tokenization automaton are the tokens last emitted, its arcs the next ones. It is not compiled
+beforehand: a full arc table has an entry for every pair of tokens that may touch. An arc is decided by a test on the merges of
+the two tokens' touching edges the first time that a word asks for it, and the decision is kept by pair. A word is encoded by a
+dynamic program over the last token of each of its prefixes; exactly one path spells canonical BPE.
 """
 
 from __future__ import annotations
