@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyframe.functions.canonical import canonical_text
-
 # Keys of an entry that describe the reading, not the answer.
 ENTRY_METADATA = ("confidence", "flags", "note")
 ENTRY_CONTAINERS = ("components", "rows", "subfield", "derived_subfield")
@@ -69,18 +67,61 @@ def sorted_combo(entry: Column) -> Column:
     return F.when(F.size(members) > 0, F.array_join(F.array_sort(members), "+"))
 
 
+def _members(node: Column, ignore: Sequence[str]) -> Column:
+    """The members of an object without the ignored keys, or of an array, as nodes; empty for anything else."""
+    path, value = node["path"], node["value"]
+    kept = F.map_entries(F.map_filter(fields_of(value), lambda key, _: ~key.isin(*ignore)) if ignore else fields_of(value))
+
+    def child(key: Column, member: Column, at: Column) -> Column:
+        return F.struct(F.concat_ws(".", path, at.cast("string")).alias("path"), path.alias("parent"), key.alias("key"), member.alias("value"))
+
+    items = F.try_variant_get(value, "$", "array<variant>")
+    return F.coalesce(
+        F.transform(kept, lambda entry, at: child(entry["key"], entry["value"], at)),
+        F.transform(items, lambda item, at: child(F.lit(""), item, at)), F.array().cast("array<struct<path:string,parent:string,key:string,value:variant>>"),
+    )
+
+
 def canonical_value(value: str, ignore: Sequence[str] = ENTRY_METADATA) -> Column:
     """Order-insensitive, type-tagged text of the JSON value in a column, however deep it nests.
 
-    Array order and the ignored keys do not matter; null, [] and missing stay distinct, as do 1, "1" and true.
-    """
-    return canonical_text(F.to_json(value), F.lit(",".join(ignore)))
+    Array order and the ignored keys do not matter; null, [] and missing stay distinct, as do 1, "1" and true. A number
+    without a fraction is written without one.
+
+    The value is taken apart level by level, and its nodes are put together from the last to the first, so that each finds its members'
+    texts: an array's sorted by text, an object's by key and behind the key's length. Plain expressions; the work is the
+    square of a value's nodes at most."""
+    return _canonical(F.col(value), ignore)
+
+
+def _canonical(value: Column, ignore: Sequence[str]) -> Column:
+    plain = F.to_json(value)
+    root = F.array(F.struct(F.lit("r").alias("path"), F.lit("").alias("parent"), F.lit("").alias("key"), value.alias("value")))
+    levels = F.sequence(F.lit(1), F.greatest(F.regexp_count(plain, F.lit(r"[\[{]")), F.lit(1)))
+
+    def deeper(walked: Column, _: Column) -> Column:
+        found = F.flatten(F.transform(walked["last"], lambda node: _members(node, ignore)))
+        return F.struct(found.alias("last"), F.concat(walked["all"], found).alias("all"))
+
+    nodes = F.aggregate(levels, F.struct(root.alias("last"), root.alias("all")), deeper, lambda walked: F.reverse(walked["all"]))
+
+    def written(done: Column, node: Column) -> Column:
+        inner = F.array_sort(F.transform(F.filter(done, lambda other: other["parent"] == node["path"]), lambda other: F.struct(other["key"].alias("key"), other["text"].alias("text"))))
+        keyed = F.transform(inner, lambda item: F.concat(F.length(item["key"]).cast("string"), F.lit(":"), item["key"], item["text"]))
+        text = (
+            F.when(is_object(node["value"]), F.concat(F.lit("{"), F.array_join(keyed, ","), F.lit("}")))
+            .when(is_array(node["value"]), F.concat(F.lit("["), F.array_join(inner["text"], ","), F.lit("]")))
+            .otherwise(F.regexp_replace(F.coalesce(F.to_json(node["value"]), F.lit("null")), r"^(-?[0-9]+)\.0+$", "$1"))
+        )
+        return F.concat(done, F.array(F.struct(node["parent"].alias("parent"), node["key"].alias("key"), text.alias("text"))))
+
+    nothing = F.array().cast("array<struct<parent:string,key:string,text:string>>")
+    return F.when(value.isNotNull(), F.aggregate(nodes, nothing, written, lambda done: F.element_at(done, -1)["text"]))
 
 
 def values_equal(left: str, right: str, ignore: Sequence[str] = ENTRY_METADATA) -> Column:
-    """Texts that agree as written are equal; only the others are sent to be brought to canonical form."""
+    """Texts that agree as written are equal; only the others are brought to canonical form."""
     one, two = F.to_json(left), F.to_json(right)
     written = one.eqNullSafe(two)
-    names = F.lit(",".join(ignore))
-    both = F.when(one.isNotNull() & two.isNotNull() & ~written, one), F.when(one.isNotNull() & two.isNotNull() & ~written, two)
-    return written | F.coalesce(canonical_text(both[0], names) == canonical_text(both[1], names), F.lit(False))
+    compared = F.when(one.isNotNull() & two.isNotNull(), _canonical(F.col(left), ignore) == _canonical(F.col(right), ignore))
+    return F.when(written, F.lit(True)).otherwise(F.coalesce(compared, F.lit(False)))
