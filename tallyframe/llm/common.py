@@ -51,6 +51,19 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """docs with those of its columns renamed that are called like one of names, whatever the case, and a function that
+    gives a result its columns and their names back."""
+    taken, moved = {*names, *(c.lower() for c in docs.columns)}, []
+    for column in docs.columns:
+        new = column
+        while new.lower() in names or (new != column and new.lower() in taken):
+            new += "_"
+        taken.add(new.lower())
+        moved.append(new)
+    return docs.toDF(*moved), lambda out: out.select(*(f"`{c}`" for c in moved)).toDF(*docs.columns)
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """docs with a key of its own for each row, _row; written, so that every reader sees the same keys."""
     return settle(docs.withColumn("_row", F.monotonically_increasing_id()))

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import LOWER, SPACED, first_rows, map_batches, mix, numbered, settle, table, text_bytes, word_hashes, word_spans
+from tallyframe.llm.common import LOWER, SPACED, first_rows, map_batches, mix, numbered, set_aside, settle, table, text_bytes, word_hashes, word_spans
 from tallyframe.llm.links import group_links, hot_join, part_centres
 
 COORDINATES, BANDS = 252, 42
@@ -182,10 +182,11 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, coordinates:
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row of each component: that of the smallest doc_id, one without an id only if no other has one.
-    Each row is a document of its own here, whatever its doc_id."""
+    Each row is a document of its own here, whatever its doc_id. All columns stay, whatever their names."""
+    docs, restored = set_aside(docs, "_row")
     rows = numbered(docs)
     groups = near_groups(rows.select(F.col("_row").alias("doc_id"), "text"), words, percent)
-    return first_rows(rows, groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")))
+    return restored(first_rows(rows, groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))))
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
