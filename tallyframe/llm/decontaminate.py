@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import ALNUM, LOWER, map_batches, numbered, settle, table, text_bytes, word_hashes, word_spans
+from tallyframe.llm.common import ALNUM, LOWER, map_batches, numbered, set_aside, settle, table, text_bytes, word_hashes, word_spans
 
 WINDOW = 10
 #: Words of test items in one automaton; more items make more automata, one after the other.
@@ -131,13 +131,14 @@ class ItemAutomaton:
 
 def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list:
     """Broadcast automata over all items; each holds about block_words words, so what is collected and broadcast
-    at a time is bounded however many items there are. Null texts hold no window."""
-    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
+    at a time is bounded however many items there are. Null texts hold no window; items without an id have windows
+    like all others, but no name to list."""
+    items = benchmark.where("text IS NOT NULL").select("item_id", "text")
     total = items.agg(F.sum(F.regexp_count("text", F.lit(WORD_PATTERN)))).first()[0] or 0
     blocks = -(-total // block_words)
     context = benchmark.sparkSession.sparkContext
     return [
-        context.broadcast(ItemAutomaton([tuple(row) for row in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()], window))
+        context.broadcast(ItemAutomaton([tuple(row) for row in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()], window))
         for block in range(blocks)
     ]
 
@@ -147,7 +148,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_wor
 
     Words are runs outside 00-2F, 3A-60 and 7B-7F after lower-casing A-Z. A window is `window` consecutive words
     of an item, or a shorter item as a whole; spans are the maximal runs of words (from 0, end exclusive) inside
-    any occurrence of a window, items the ids (as strings, sorted) of items with an occurring window. Null and
+    any occurrence of a window, items the ids (as strings, sorted) of items with an occurring window; windows of items
+    without an id make spans, but no entry there. Null and
     empty texts have no words and no hits, items of no words have no windows, empty tables give no hits or no
     rows, and other columns are ignored. With more than one automaton, what each finds is united by row."""
     blocks = automata(benchmark, window, block_words)
@@ -170,7 +172,7 @@ def _found(rows: DataFrame, key: str, shared) -> DataFrame:
     def find(batch: pa.RecordBatch) -> list:
         _, _, first, hit, items = shared.value.hits(batch.column("text"))
         spans = [_runs(hit[first[text] : first[text + 1]]) if text in items else [] for text in range(batch.num_rows)]
-        return [batch.column(key), np.diff(first), spans, [sorted(map(str, items.get(text, ()))) for text in range(batch.num_rows)]]
+        return [batch.column(key), np.diff(first), spans, [sorted(str(item) for item in items.get(text, ()) if item is not None) for text in range(batch.num_rows)]]
 
     return map_batches(rows.select(key, "text"), find, f"{key} long, {_FOUND}")
 
@@ -204,10 +206,14 @@ def _united(spans: list[dict]) -> list[dict]:
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_share: float = 0.5, block_words: int = BLOCK_WORDS) -> DataFrame:
     """docs with every hit run cut out of its text (n_chars follows, where there is such a column); rows of which
     more than max_share of the words are hit go. Cutting repeats until no window is left in the text. Columns and
-    untouched rows stay as they are."""
+    untouched rows stay as they are, whatever the columns' names."""
     blocks = automata(benchmark, window, block_words)
-    if len(blocks) > 1:
-        return _remove_by_rows(docs, blocks, max_share)
+    docs, restored = set_aside(docs, "_row", "_round", "_text", "_words", "_cut")
+    return restored(_remove_by_rows(docs, blocks, max_share) if len(blocks) > 1 else _remove(docs, blocks, max_share))
+
+
+def _remove(docs: DataFrame, blocks: list, max_share: float) -> DataFrame:
+    """remove_leaks with one automaton, or none."""
     columns = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", `_words` long, `_cut` long"
     out = docs.withColumn("_words", F.lit(None).cast("long")).withColumn("_cut", F.lit(0).cast("long"))
@@ -298,7 +304,7 @@ sizes AS (SELECT DISTINCT n FROM iw),
 dw AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS k, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k:k + n - 1], ' '))) AS g FROM d, sizes WHERE len(w) >= n),
 m AS (SELECT dw.doc_id, k, dw.n, item_id FROM dw JOIN iw ON iw.n = dw.n AND iw.g = dw.g),
 h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM m) GROUP BY doc_id),
-t AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM m GROUP BY doc_id)
+t AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR)) FILTER (item_id IS NOT NULL)) AS items FROM m GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
