@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import table
+from tallyframe.llm.common import settle, table
+from tallyframe.llm.links import hot_join
 
 #: How one turn is written.
 HEAD, TAIL = "<|{role}|>\n", "\n<|end|>\n"
@@ -33,7 +34,8 @@ def preference_turns(chosen: DataFrame, rejected: DataFrame, key: str = "pair_id
     `rejected` hold the rest. trained marks completion turns spoken by the assistant alone; the prompt and what
     users say in a completion carry no loss.
 
-    Turns are compared by (pair, turn), so no conversation is gathered in one task, however long. Rows with the
+    Turns are compared by (pair, turn), and the rows of a pair with a large share of all turns scatter over salts to
+    learn where its sides part, so no conversation is gathered in one task, however long. Rows with the
     same pair and turn are parts of one turn. A pair needs rows on both sides; equal sides are all prompt and give
     no completion. Other columns are ignored; empty tables give an empty result."""
     left = merged_turns(chosen, key).withColumnRenamed("parts", "good")
@@ -44,7 +46,9 @@ def preference_turns(chosen: DataFrame, rejected: DataFrame, key: str = "pair_id
     ).where("n_good > 0 AND n_bad > 0")
     shared = F.col("split").isNull() | (F.col("turn") < F.col("split"))
     side = lambda name, parts, which: F.when(which & F.col(parts).isNotNull(), F.struct(F.lit(name).alias("side"), F.col(parts).alias("parts")))
-    rows = both.join(split.select("pair_id", "split"), "pair_id").select(
+    split = settle(split)
+    sizes = split.select("pair_id", (F.col("n_good") + F.col("n_bad")).alias("size"))
+    rows = hot_join(both, split.select("pair_id", "split"), ["pair_id"], sizes, "turn").select(
         "pair_id", "turn", F.explode(F.array(side("prompt", "good", shared), side("chosen", "good", ~shared), side("rejected", "bad", ~shared))).alias("s")
     ).where("s IS NOT NULL")
     trained = (F.col("s.side") != "prompt") & F.forall("s.parts", lambda p: p["role"] == TRAINED)
@@ -71,17 +75,21 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, key: str = "pair_id
 
 
 def swapped_answers(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs out of plain conversations: chosen is a conversation up to its last assistant turn, rejected the same
-    with the text of the assistant turn before in its place, an answer to another question. Conversations with fewer
-    than two assistant turns make no pair."""
+    """Pairs out of plain conversations, every one with all its turns: chosen is the conversation, rejected the same with
+    the assistant turn before the last one, an answer to another question, in the last one's place; where the assistant
+    speaks once, an empty answer stands there; where it never speaks, both sides are equal and all is prompt. What
+    follows the last answer follows it on both sides. Rows without conversation or turn go."""
     rows = conversations.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", "role", "text")
-    spoken = rows.where(F.col("role") == TRAINED).select("conv_id", "turn")
-    last = spoken.groupBy("conv_id").agg(F.max("turn").alias("last"))
-    before = spoken.join(last, "conv_id").where("turn < last").groupBy("conv_id", "last").agg(F.max("turn").alias("before"))
-    told = rows.join(before, "conv_id").where("turn <= last")
-    chosen = told.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
-    moved = told.where((F.col("turn") == F.col("before")) & (F.col("role") == TRAINED)).select(F.col("conv_id").alias("pair_id"), F.col("last").alias("turn"), "role", "text")
-    rest = told.where((F.col("turn") < F.col("last")) | (F.col("role") != TRAINED)).select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    answer = F.coalesce(F.col("role") == TRAINED, F.lit(False))
+    known = settle(rows.groupBy("conv_id").agg(F.max(F.when(answer, F.col("turn"))).alias("last"), F.count(F.lit(1)).alias("size")))
+    sizes = known.select("conv_id", "size")
+    earlier = hot_join(rows.where(answer).select("conv_id", "turn"), known.select("conv_id", "last"), ["conv_id"], sizes, "turn").where("turn < last")
+    marks = settle(known.join(earlier.groupBy("conv_id").agg(F.max("turn").alias("before")), "conv_id", "left").drop("size"))
+    told = hot_join(rows, marks, ["conv_id"], sizes, "turn")
+    pair, at_last = F.col("conv_id").alias("pair_id"), F.coalesce(answer & (F.col("turn") == F.col("last")), F.lit(False))
+    chosen = rows.select(pair, "turn", "role", "text")
+    moved = told.where(answer & (F.col("turn") == F.col("before"))).select(pair, F.col("last").alias("turn"), "role", "text")
+    rest = told.where(~at_last | F.col("before").isNull()).select(pair, "turn", "role", F.when(at_last, F.lit("")).otherwise(F.col("text")).alias("text"))
     return chosen, rest.unionByName(moved)
 
 
@@ -93,10 +101,12 @@ OP6_SQL = """
 WITH c AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
 a AS (SELECT conv_id, turn FROM c WHERE role = 'assistant'),
 l AS (SELECT conv_id, max(turn) AS last FROM a GROUP BY conv_id),
-b AS (SELECT a.conv_id, last, max(turn) AS before FROM a JOIN l USING (conv_id) WHERE turn < last GROUP BY 1, 2),
-t AS (SELECT c.*, last, before FROM c JOIN b USING (conv_id) WHERE turn <= last),
+b AS (SELECT a.conv_id, max(turn) AS before FROM a JOIN l USING (conv_id) WHERE turn < last GROUP BY 1),
+t AS (SELECT c.conv_id, turn, role, text, last, before FROM c LEFT JOIN l USING (conv_id) LEFT JOIN b USING (conv_id)),
 good AS (SELECT conv_id, turn, list_sort(list(DISTINCT struct_pack(role := coalesce(role, ''), text := coalesce(text, '')))) AS parts FROM t GROUP BY 1, 2),
-r AS (SELECT conv_id, turn, role, text FROM t WHERE turn < last OR role IS DISTINCT FROM 'assistant' UNION ALL SELECT conv_id, last, role, text FROM t WHERE turn = before AND role = 'assistant'),
+r AS (SELECT conv_id, turn, role, text FROM t WHERE turn IS DISTINCT FROM last OR role IS DISTINCT FROM 'assistant'
+  UNION ALL SELECT conv_id, last, role, text FROM t WHERE turn = before AND role = 'assistant'
+  UNION ALL SELECT conv_id, turn, role, '' FROM t WHERE turn = last AND role = 'assistant' AND before IS NULL),
 bad AS (SELECT conv_id, turn, list_sort(list(DISTINCT struct_pack(role := coalesce(role, ''), text := coalesce(text, '')))) AS parts FROM r GROUP BY 1, 2),
 j AS (SELECT coalesce(good.conv_id, bad.conv_id) AS pair_id, coalesce(good.turn, bad.turn) AS turn, good.parts AS g, bad.parts AS b FROM good FULL JOIN bad ON good.conv_id = bad.conv_id AND good.turn = bad.turn),
 s AS (SELECT pair_id, min(CASE WHEN g IS DISTINCT FROM b THEN turn END) AS split FROM j GROUP BY 1),
