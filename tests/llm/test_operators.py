@@ -118,6 +118,35 @@ def test_many_automata_equal_one(spark):
     assert left[0] == left[1] and not any("w" in row for row in left[1])
 
 
+@pytest.mark.parametrize("block_words", [1_000_000, 8])
+def test_items_without_an_id_hit(spark, block_words):
+    w = [f"w{k}" for k in range(30)]
+    items = spark.createDataFrame([(None, " ".join(w[:12])), (None, "w20 w21"), (7, " ".join(w[10:25]))], "item_id long, text string")
+    df = spark.createDataFrame([(1, " ".join(["x"] * 3 + w[:12])), (2, " ".join(w[10:22])), (3, "w21 w20")], "doc_id long, text string")
+    found = {row.doc_id: ([tuple(s) for s in row.spans], row["items"]) for row in decontaminate.leaks(df, items, block_words=block_words).collect()}
+    assert found == {1: ([(3, 15)], []), 2: ([(0, 12)], ["7"]), 3: ([], [])}
+
+
+def test_columns_that_are_called_like_inner_ones(spark, items):
+    import corpus_pipeline
+
+    names = ["_row", "_ROW_", "_words", "_cut", "_id", "_group", "_text", "_round", "_hot", "_salt", "hash"]
+    text = " ".join(f"a{k}" for k in range(40))
+    rows = [(d, t, *(f"{n}{d}" for n in names)) for d, t in ((1, text), (2, text), (3, text + " b"), (4, "other words"), (5, "stone river and more of it that nobody asked about"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    for stage, left in ((exact_dedup.drop_repeats, {1, 3, 4, 5}), (exact_dedup.drop_copies, {1, 3, 4, 5}), (near_dedup.drop_near_copies, {1, 4, 5})):
+        found = stage(df)
+        assert found.columns == df.columns
+        assert {tuple(row) for row in found.collect()} == {row for row in rows if row[0] in left}
+    for block_words in (1_000_000, 5):
+        found = decontaminate.remove_leaks(df, items, block_words=block_words)
+        assert found.columns == df.columns
+        cut = {row.doc_id: row for row in found.collect()}
+        assert set(cut) == {1, 2, 3, 4, 5} and "stone" not in cut[5].text
+        assert all(tuple(cut[row[0]])[2:] == row[2:] for row in rows) and all(cut[d].text == rows[d - 1][1] for d in (1, 2, 3, 4))
+    assert corpus_pipeline.exact_dedup_stage(spark, df, "").columns == df.columns
+
+
 def test_no_items_no_leaks(docs, items):
     found = decontaminate.leaks(docs, items.limit(0))
     assert found.where("size(spans) > 0").count() == 0 and found.count() == docs.count()
@@ -134,6 +163,25 @@ def test_long_repeats_in_short_lengths_and_many_parts(docs, rows_):
     assert by_id(found, "n_bytes", "n_removed", "n", "kept_sha256") == brute.repeats(rows_, 20)
 
 
+@pytest.mark.parametrize("index_texts", [0, 2])
+def test_long_repeats_of_crowded_seeds(docs, rows_, index_texts):
+    found = suffix_dedup.long_repeats(docs, length=20, piece=8, part_bytes=4_000, index_texts=index_texts).withColumn("n", F.size("spans").cast("long"))
+    assert by_id(found, "n_bytes", "n_removed", "n", "kept_sha256") == brute.repeats(rows_, 20)
+
+
+def test_long_repeats_of_a_phrase_in_many_surroundings(spark):
+    import random
+
+    rng = random.Random(3)
+    sign = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    phrase, tails = "the same forty byte phrase in every text", [sign(9) for _ in range(40)]
+    rows = [(k, sign(30) + phrase + rng.choice(tails) + sign(20)) for k in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for index_texts in (50, 8_000):
+        found = suffix_dedup.long_repeats(df, length=45, index_texts=index_texts).withColumn("n", F.size("spans").cast("long"))
+        assert by_id(found, "n_bytes", "n_removed", "n", "kept_sha256") == brute.repeats(rows, 45)
+
+
 def test_run_index_is_compressed_and_right():
     import numpy as np
 
@@ -293,6 +341,28 @@ def test_preference_prefix_and_mask(spark):
     assert pairs[4].prompt == "" and pairs[4].chosen == head("user", "a") + head("assistant", "") and pairs[4].rejected_mask == []
 
 
+def test_every_conversation_makes_a_pair(spark):
+    rows = [
+        (1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "r"), (1, 3, "assistant", "b"), (1, 4, "user", "bye"),
+        (2, 0, "user", "q"), (2, 1, "assistant", "only"), (2, 2, None, "end"),
+        (3, 0, "user", "nobody"), (3, 1, None, "answers"),
+        (4, 0, "assistant", ""), (5, 0, "assistant", "x"), (5, 0, "user", "y"), (5, 0, "user", "y"), (None, 0, "user", "gone"), (6, None, "user", "gone"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("side", F.lit("clash"))
+    got = {tuple(row) for row in preference.preference_turns(*preference.swapped_answers(df)).collect()}
+    say = lambda *turns_: "".join(f"<|{role}|>\n{text}\n<|end|>\n" for role, text in turns_)
+    assert got == {
+        (1, "prompt", 0, say(("user", "q")), False), (1, "prompt", 1, say(("assistant", "a")), False), (1, "prompt", 2, say(("user", "r")), False),
+        (1, "chosen", 3, say(("assistant", "b")), True), (1, "chosen", 4, say(("user", "bye")), False),
+        (1, "rejected", 3, say(("assistant", "a")), True), (1, "rejected", 4, say(("user", "bye")), False),
+        (2, "prompt", 0, say(("user", "q")), False), (2, "chosen", 1, say(("assistant", "only")), True), (2, "chosen", 2, say(("", "end")), False),
+        (2, "rejected", 1, say(("assistant", "")), True), (2, "rejected", 2, say(("", "end")), False),
+        (3, "prompt", 0, say(("user", "nobody")), False), (3, "prompt", 1, say(("", "answers")), False),
+        (4, "prompt", 0, say(("assistant", "")), False),
+        (5, "chosen", 0, say(("assistant", "x"), ("user", "y")), False), (5, "rejected", 0, say(("assistant", ""), ("user", "y")), False),
+    }
+
+
 def test_empty_tables(spark, empty, items):
     assert license_scan.scan_licenses(empty).count() == 0
     assert exact_dedup.exact_groups(empty).count() == 0 and exact_dedup.drop_copies(empty).count() == 0
