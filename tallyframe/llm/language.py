@@ -7,7 +7,6 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +21,8 @@ LONGEST = 5
 #: The model is fitted on about this many labelled rows of each language, drawn by a hash of id and text, and holds all
 #: their words and n-grams, however many languages there are.
 FIT_ROWS = 500
+#: Words that no language knows, of which a worker keeps the value.
+KEPT_WORDS = 50_000
 UNDETERMINED = "und"
 
 
@@ -76,13 +77,15 @@ class LanguageModel:
             counts[size].setdefault(term, {})[place[lang]] = n
             totals[place[lang], size] = total
         self.tables: list[dict[str, tuple[float, ...]]] = []
+        same: dict[tuple[float, ...], tuple[float, ...]] = {}  # most terms are rare, and equal counts have equal values
         for size, terms in enumerate(counts):
             unseen = [math.log(0.5 / (totals.get((at, size), 0) + len(terms) + 1)) for at in range(len(self.langs))]
-            self.tables.append({
-                term: tuple(math.log((found[at] + 0.5) / (totals[at, size] + len(terms) + 1)) if at in found else unseen[at] for at in range(len(self.langs)))
-                for term, found in terms.items()
-            })
-        self.kept: dict[str, np.ndarray] = {}
+            values: dict[str, tuple[float, ...]] = {}
+            for term, found in terms.items():
+                entry = tuple(math.log((found[at] + 0.5) / (totals[at, size] + len(terms) + 1)) if at in found else unseen[at] for at in range(len(self.langs)))
+                values[term] = same.setdefault(entry, entry)
+            self.tables.append(values)
+        self.unknown: dict[str, tuple[float, ...]] = {}
 
     def word(self, word: str) -> tuple[float, ...]:
         """Log frequency by language; of the longest known n-grams, averaged, for a word that no language knows."""
@@ -98,10 +101,9 @@ class LanguageModel:
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The most likely language (the first by name of equals) and its share of likelihood per word."""
         names, scores = [], []
-        index, rows = self.__dict__.setdefault("index", {}), self.__dict__.setdefault("rows", [])
-        if len(rows) > 200_000:
-            index.clear()
-            rows.clear()
+        known, unknown = self.tables[0], self.unknown
+        if len(unknown) > KEPT_WORDS:
+            unknown.clear()
         for text in texts:
             words = WORD.findall(text.lower()) if text else []
             if not words or not self.langs:
@@ -111,10 +113,9 @@ class LanguageModel:
             counted = Counter(words)
             total = [0.0] * len(self.langs)
             for word, n in counted.items():
-                entry = index.get(word)
+                entry = known.get(word) or unknown.get(word)
                 if entry is None:
-                    entry = index[word] = self.word(word)
-                    rows.append(word)
+                    entry = unknown[word] = self.word(word)
                 for at, value in enumerate(entry):
                     total[at] += n * value
             best = max(range(len(total)), key=lambda at: (total[at], -at))
