@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from tallyframe.plans.session import checkpoint_dir
 
-#: Pairs of blocks that a task measures.
-PAIRS = 32
+#: Blocks in a part of either side of the silhouettes' pairs, on average; a task meets one part with another.
+TARGETS, SOURCES = 2, 512
+#: Vectors whose distances are taken at once, and bytes of blocks that Python is handed at once.
+STRETCH, BATCH_BYTES = 32, 16 << 20
 #: Vectors in a block; coordinates and squared distances count to DIGITS digits, so that ties do not hang on the order of a sum.
 BLOCK, DIGITS = 1_024, 9
 #: A run ends when its centres move by no more than this, as the sum of their squared ways in units of the coordinates.
@@ -172,39 +174,56 @@ def cluster_of(columns: Sequence[str], centres: np.ndarray) -> Column:
     return (F.array_position(apart, F.array_min(apart)) - 1).cast("int")
 
 
-def silhouettes(blocks: DataFrame, width: int, models: Mapping[int, np.ndarray]) -> dict[int, float]:
-    """Mean silhouette with plain Euclidean distance for each set of centres.
+def distance_sums(blocks: DataFrame, width: int, models: Mapping[int, np.ndarray]) -> DataFrame:
+    """block, part, sums: for each vector of a block its distances to all vectors of a part, added up by cluster of each set of
+    centres, vector by vector.
 
-    Every distinct vector needs its mean distance to each cluster, so the work grows with the square of the number of distinct
-    vectors, whatever their weights: n rows with v distinct vectors cost v * v distances, in pairs of blocks, PAIRS to a
-    task. Each pair of blocks leaves BLOCK x clusters sums; a block's sums meet by its name."""
-    offsets = np.concatenate(([0], np.cumsum([len(centres) for centres in models.values()])))
+    The blocks are dealt twice, about TARGETS to a part and SOURCES to a part, and each task measures one part against the other.
+    A block travels twice, not once for each block it meets, and leaves one row for each part of SOURCES blocks."""
+    blocks.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    summed = "block string, part int, sums array<double>"
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, part, total = None, 0, np.zeros(0)
         for batch in batches:
-            rows = []
             for at in range(batch.num_rows):
-                mine, weights, other = (batch.column(name)[at].values.to_numpy() for name in ("cells", "source_weights", "source_cells"))
-                mine, other = mine.reshape(-1, width), other.reshape(-1, width)
-                apart = np.sqrt(sum((mine[:, k, None] - other[None, :, k]) ** 2 for k in range(width)))
-                sums = np.concatenate([apart @ _membership(other, centres, weights) for centres in models.values()], axis=1)
-                rows.append((batch.column("target")[at].as_py(), sums.ravel().tolist()))
-            yield _rows("block string, sums array<double>", rows)
-
-    names = blocks.select(F.col("block").alias("target")).crossJoin(blocks.select(F.col("block").alias("source")))
-    tasks = blocks.count() ** 2 // PAIRS + 1
-    source = blocks.select(F.col("block").alias("source"), F.col("weights").alias("source_weights"), F.col("cells").alias("source_cells"))
-    target = blocks.select(F.col("block").alias("target"), "cells")
-    met = names.join(target, "target").join(source, "source").select("target", "cells", "source_weights", "source_cells").repartition(tasks)
-    sums = met.mapInArrow(pair, "block string, sums array<double>").select("block", F.posexplode("sums").alias("at", "sum")).groupBy("block", "at").agg(F.sum("sum").alias("sum"))
-    lists = sums.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", "sum"))).alias("sums")).select("block", F.col("sums.sum").alias("sums"))
+                mine, weights, other = (batch.column(column)[at].values.to_numpy() for column in ("cells", "source_weights", "source_cells"))
+                other = other.reshape(-1, width)
+                held = np.concatenate([_membership(other, centres, weights) for centres in models.values()], axis=1)
+                sums = _summed_distances(mine.reshape(-1, width), other, held).ravel()
+                target = batch.column("target")[at].as_py()
+                if target != name:
+                    if name is not None:
+                        yield _rows(summed, [(name, part, total.tolist())])
+                    name, total = target, np.zeros(len(sums))
+                part = batch.column("part")[at].as_py()
+                total += sums
+        if name is not None:
+            yield _rows(summed, [(name, part, total.tolist())])
+
+    n = blocks.count()
+    source = blocks.select(F.col("weights").alias("source_weights"), F.col("cells").alias("source_cells"), "block").repartition(n // SOURCES + 1, "block")
+    source = source.select("source_weights", "source_cells", F.spark_partition_id().alias("part"))
+    target = blocks.select(F.col("block").alias("target"), "cells").repartition(n // TARGETS + 1, "target")
+    # Spark's cartesian product meets the parts pair by pair; the rows of one target come one after the other.
+    return target.hint("shuffle_replicate_nl").crossJoin(source).mapInArrow(pair, summed)
+
+
+def silhouettes(blocks: DataFrame, width: int, models: Mapping[int, np.ndarray]) -> dict[int, float]:
+    """Mean silhouette with plain Euclidean distance for each set of centres.
+
+    Every distinct vector needs its mean distance to each cluster, so the work grows with the square of the number of distinct
+    vectors, whatever their weights: n rows with v distinct vectors cost v * v distances. What is shuffled does not (distance_sums)."""
+    offsets = np.concatenate(([0], np.cumsum([len(centres) for centres in models.values()])))
+    lists = distance_sums(blocks, width, models).groupBy("block").agg(F.array_sort(F.collect_list(F.struct("part", "sums"))).alias("parts"))
     sizes = [size for size, _, _ in _step(blocks, width, list(models.values()))]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(models))
         for batch in batches:
             for at, (weights, cells) in enumerate(_block_arrays(batch, width)):
-                sums = batch.column("sums")[at].values.to_numpy().reshape(len(cells), -1)
+                parts = batch.column("parts")[at].values.field("sums")
+                sums = sum(one.values.to_numpy() for one in parts).reshape(len(cells), -1)
                 for m, (centres, size) in enumerate(zip(models.values(), sizes)):
                     total[m] += weights @ _silhouette(sums[:, offsets[m] : offsets[m + 1]], _apart(cells, centres).argmin(axis=1), size)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(models), dtype=np.int32)), pa.array(total)], names=["slot", "value"])
@@ -213,6 +232,23 @@ def silhouettes(blocks: DataFrame, width: int, models: Mapping[int, np.ndarray])
     return {k: found.get(m, 0.0) / max(size.sum(), 1.0) for m, (k, size) in enumerate(zip(models, sizes))}
 
 
+def _summed_distances(mine: np.ndarray, other: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Distances of each of mine to all others, added up by held, in stretches that stay in the processor's cache."""
+    out = np.empty((len(mine), held.shape[1]))
+    columns = np.ascontiguousarray(other.T)
+    apart, gap = np.empty((STRETCH, len(other))), np.empty((STRETCH, len(other)))
+    for start in range(0, len(mine), STRETCH):
+        part = mine[start : start + STRETCH]
+        here, step = apart[: len(part)], gap[: len(part)]
+        here.fill(0.0)
+        for k, column in enumerate(columns):
+            np.subtract(part[:, k, None], column[None, :], out=step)
+            np.multiply(step, step, out=step)
+            np.add(here, step, out=here)
+        out[start : start + STRETCH] = np.sqrt(here, out=here) @ held
+    return out
+
+
 def _membership(cells: np.ndarray, centres: np.ndarray, weights: np.ndarray) -> np.ndarray:
     out = np.zeros((len(cells), len(centres)))
     out[np.arange(len(cells)), _apart(cells, centres).argmin(axis=1)] = weights

@@ -10,7 +10,7 @@ from frames import rows
 from pyspark.sql import functions as F
 
 from tallyframe.functions import pvalues
-from tallyframe.operators import association, crosstab, describe, effects, frequency, ranks, reliability, series, structure
+from tallyframe.operators import association, clusters, crosstab, describe, effects, frequency, ranks, reliability, series, structure
 from tallyframe.plans.analyze import analyze_dataset
 from tallyframe.plans.policy import Policy
 
@@ -293,6 +293,25 @@ def test_segments_find_separated_groups(spark):
     assert abs(flat.agg(F.avg("axis_1")).first()[0]) < 1e-9
 
 
+def test_silhouettes_shuffle_by_parts_and_not_by_pairs_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(clusters, "SOURCES", 4)
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(6000, 2)), 6)
+    df = spark.createDataFrame(x.tolist(), "u double, v double")
+    blocks = clusters.vector_blocks(df, ["u", "v"])
+    models = {2: x[:2], 3: x[2:5]}
+    n = blocks.count()
+    assert n > 4 and clusters.distance_sums(blocks, 2, models).count() <= n * (n // 4 + 1) < n * n
+    apart = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    for k, score in clusters.silhouettes(blocks, 2, models).items():
+        own = ((x[:, None] - models[k][None]) ** 2).sum(2).argmin(1)
+        means = np.stack([apart[:, own == c].sum(1) / np.maximum((own == c).sum() - (own == c), 1) for c in range(k)], axis=1)
+        inside = means[np.arange(len(x)), own]
+        means[np.arange(len(x)), own] = np.inf
+        outside = means.min(1)
+        assert score == pytest.approx(((outside - inside) / np.maximum(inside, outside)).mean(), abs=1e-9)
+
+
 def test_impute_uses_median_and_smallest_mode(spark):
     df = spark.createDataFrame([(1.0, 1.0), (3.0, 0.0), (None, None), (8.0, None)], "idx double, ind double")
     got = rows(structure.impute_central(df, ["idx"], ["ind"]))
