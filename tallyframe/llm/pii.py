@@ -26,8 +26,7 @@ WIDER = {
 }
 KINDS = (*BASE, *WIDER)
 OTHER = "other"
-#: Labelled candidates that the trees are fitted and calibrated on, at most; chosen by a hash.
-FIT_ROWS, TREES, DEPTH, PRECISION = 20_000, 10, 3, 0.95
+TREES, DEPTH, PRECISION = 10, 3, 0.95
 CUES = {"cue_contact": "phone|tel|call|mobile|fax|contact", "cue_mail": "mail|write|e-mail", "cue_card": "card|visa|account|iban", "cue_net": "ip|host|server|address"}
 FEATURES = ("kind_at", "size", "digits", "letters", "groups", "longest", "dots", "brackets", "ats", "after_plus", "starts_word", "ends_word", "luhn", *CUES)
 
@@ -86,35 +85,43 @@ def _features(spans: DataFrame) -> DataFrame:
     return spans.select("*", *(F.coalesce(value, F.lit(0)).cast("double").alias(name) for name, value in values.items()))
 
 
-def score_candidates(spans: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+def labelled_vectors(spans: DataFrame) -> DataFrame:
+    """kind, apart, label, features and weight: every candidate, equal ones as one row with their number. A fifth is set
+    apart by a hash of id and place."""
+    key = F.xxhash64("doc_id", "start", "end", "kind")
+    known = _features(spans.where("kind IS NOT NULL").withColumn("apart", F.pmod(key, F.lit(5)) == 0))
+    return known.groupBy("kind", "apart", F.col("label").cast("double").alias("label"), *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+
+
+def score_candidates(spans: DataFrame) -> DataFrame:
     """spans with `chosen`: base spans, and candidates whose score reaches the threshold of their kind.
 
-    Trees are fitted on at most fit_rows labelled candidates, chosen by a hash of id and place; a fifth of them sets
-    the lowest threshold of each kind at which 95 % of what it selects is labelled. Without both labels nothing is
-    added to the base spans."""
-    key = F.xxhash64("doc_id", "start", "end", "kind")
-    sample = settle(_features(spans.where("kind IS NOT NULL").withColumn("key", key).orderBy("key", "doc_id", "start", "end", "kind").limit(fit_rows)).select("key", "kind", F.col("label").cast("double").alias("label"), *FEATURES))
-    apart = F.pmod("key", F.lit(5)) == 0
-    if sample.where(~apart).select("label").distinct().count() < 2:
+    Trees are fitted on all labelled candidates but a fifth; that fifth sets the lowest threshold of each kind at which
+    95 % of what it selects is labelled. Equal candidates weigh by their number, so a frequent one is one row. Without both
+    labels nothing is added to the base spans."""
+    vectors = settle(labelled_vectors(spans))
+    fitted = vectors.where(~F.col("apart"))
+    if fitted.select("label").distinct().count() < 2:
         return spans.withColumn("chosen", F.col("base"))
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=17).fit(vector.transform(sample.where(~apart)).select("features", "label"))
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=17, weightCol="weight").fit(vector.transform(fitted).select("features", "label", "weight"))
     score = vector_to_array("probability")[1].alias("p")
-    held = model.transform(vector.transform(sample.where(apart))).select("kind", "label", score)
-    so_far = Window.partitionBy("kind").orderBy(F.desc("p")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    good = held.withColumn("precision", F.avg("label").over(so_far)).where(F.col("precision") >= PRECISION)
+    held = model.transform(vector.transform(vectors.where("apart"))).select("kind", "label", "weight", score)
+    held = held.groupBy("kind", "p").agg(F.sum("weight").alias("weight"), F.sum(F.col("weight") * F.col("label")).alias("right"))
+    so_far = Window.partitionBy("kind").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    good = held.withColumn("precision", F.sum("right").over(so_far) / F.sum("weight").over(so_far)).where(F.col("precision") >= PRECISION)
     limits = {row.kind: row.p for row in good.groupBy("kind").agg(F.min("p").alias("p")).collect()}
     limit = F.coalesce(*(F.when(F.col("kind") == kind, p) for kind, p in limits.items()), F.lit(2.0))
     scored = model.transform(vector.transform(_features(spans))).select(*spans.columns, score)
     return scored.withColumn("chosen", F.col("base") | (F.col("p") >= limit)).drop("p")
 
 
-def find_pii(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+def find_pii(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text, ...) -> doc_id, base and spans (arrays of kind, start, end; code points, end exclusive), one
     row for each row read. base holds the base kinds in listed order, then by start; spans adds those of kind
     `other` that the trees select and that overlap no base span. Null and empty texts have none, repeated rows
     stay apart, other columns are ignored, and an empty table gives an empty result."""
-    spans = score_candidates(candidates(docs), fit_rows)
+    spans = score_candidates(candidates(docs))
     order = F.array_position(F.array(*map(F.lit, BASE)), F.col("kind"))
     firm = F.when(F.col("base"), F.struct(order.alias("order"), "start", "end", "kind"))
     loose = F.when(F.col("chosen") & ~F.col("base"), F.struct(F.lit(len(KINDS)).cast("long").alias("order"), "start", "end", F.lit(OTHER).alias("kind")))

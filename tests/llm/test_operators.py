@@ -91,6 +91,16 @@ def test_contamination(docs, rows_, items, block_words):
     assert got == brute.contaminated(rows_, [tuple(row) for row in items.collect()])
 
 
+def test_pii_trees_are_fitted_on_all_candidates(spark, monkeypatch):
+    fit, seen = pii.GBTClassifier.fit, []
+    monkeypatch.setattr(pii.GBTClassifier, "fit", lambda self, df, *more: (seen.append(df), fit(self, df, *more))[1])
+    docs = spark.range(24_000).selectExpr("id AS doc_id", "concat('mail a', id, '@b.org or call 12 34 56 78 ', id) AS text")
+    spans = pii.candidates(docs)
+    pii.score_candidates(spans)
+    n, weigh = spans.where("kind IS NOT NULL").count(), F.sum("weight") if "weight" in seen[0].columns else F.count("*")
+    assert n > 40_000 and 0.78 * n < seen[0].agg(weigh).first()[0] < 0.82 * n
+
+
 def test_removing_leaks(docs, rows_, items):
     pairs = [tuple(row) for row in items.collect()]
     want = brute.contaminated(rows_, pairs)
