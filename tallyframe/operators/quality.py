@@ -513,9 +513,17 @@ def skip_logic_conflict(readings: DataFrame, questions: DataFrame) -> DataFrame:
 # ---- review state ---------------------------------------------------------------------------------
 
 def needs_review_count(entries: DataFrame, nested: bool = False) -> DataFrame:
-    """Entries awaiting review per record; nested also counts those inside components, rows, subfields."""
-    scope = entries if nested else entries.filter(F.col("path") == F.col("qid"))
-    return scope.groupBy("record_id").agg(F.count_if("needs_review").alias("n_needs_review"))
+    """Entries awaiting review per record; nested also counts those inside components, rows, subfields.
+
+    Both counts come from the same aggregate, so that Spark makes one for a query that asks for both: n_top <= n always
+    holds, and naming them keeps either branch on the one shuffle."""
+    top = F.col("path") == F.col("qid")
+    counted = entries.groupBy("record_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(top).alias("n_top"), F.count_if("needs_review").alias("all_"), F.count_if(top & F.col("needs_review")).alias("top_")
+    )
+    if nested:
+        return counted.filter((F.col("n_top") <= F.col("n")) & (F.col("top_") <= F.col("all_"))).select("record_id", F.col("all_").alias("n_needs_review"))
+    return counted.filter((F.col("n_top") > 0) & (F.col("n") > 0) & (F.col("top_") <= F.col("all_"))).select("record_id", F.col("top_").alias("n_needs_review"))
 
 
 def flagged_pages(entries: DataFrame, questions: DataFrame) -> DataFrame:

@@ -381,3 +381,30 @@ def test_household_scope(spark):
     assert association.curated_group_tests(helped, household.GROUP_TESTS).count() == 2
     features = rows(structure.segment_features(wide, household.segment_columns(), ["record_id"]), "record_id")[0]
     assert features["owns_devices"] == 0.5 and features["labour_index"] == pytest.approx(100 / 18) and features["rides"] is None
+
+
+def test_both_review_counts_come_from_one_shuffle(spark):
+    from tallyframe.operators import quality
+
+    rows_ = [("a", "q", "q", True), ("a", "q", "q.rows.r", True), ("a", "p", "p", False), ("b", "q", "q", False), ("c", "q", "q.rows.r", True)]
+    entries = spark.createDataFrame(rows_, "record_id string, qid string, path string, needs_review boolean").repartition(3)
+    top, nested = quality.needs_review_count(entries), quality.needs_review_count(entries, nested=True)
+    assert sorted(map(tuple, top.collect())) == [("a", 1), ("b", 0)]
+    assert sorted(map(tuple, nested.collect())) == [("a", 2), ("b", 0), ("c", 1)]
+    both = top.join(nested.withColumnRenamed("n_needs_review", "n_nested"), "record_id")
+    assert sorted(map(tuple, both.collect())) == [("a", 1, 2), ("b", 0, 0)]
+    assert "ReusedExchange" in both._jdf.queryExecution().executedPlan().toString()
+
+
+def test_entries_are_not_shuffled_for_whether_they_are_there(spark):
+    from tallyframe.operators import flatten
+    from tallyframe.sources.contract import Contract
+    from tallyframe.sources.records import parse_records
+
+    contract = Contract({"questions": [{"id": "a", "type": "text", "page": 1}, {"id": "b", "type": "text", "page": 1}]})
+    records = parse_records(spark.createDataFrame([('{"record_id":"R1","answers":{"a":{"value":null}}}',)], "value string"), file_name=None)
+    dense = flatten.densify(flatten.answers_long(records), records, contract).select("record_id", "qid", "was_missing")
+    assert sorted(map(tuple, dense.collect())) == [("R1", "a", False), ("R1", "b", True)]
+    plan = dense._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join"):].splitlines()
+    assert "entry#" not in next(line for line in joined if "_void" in line).split(" AS _void")[-1]
