@@ -334,7 +334,8 @@ def pii_projection(spark, sf_dir):
 def pii_fields(spark, sf_dir):
     """The personal answers that the projection takes away."""
     personal = contract().questions_frame(spark).filter("pii").select("qid")
-    return entries(spark, sf_dir).join(F.broadcast(personal), "qid", "left_semi").select("record_id", "qid", "value")
+    long = flatten.answers_long(order_records(spark, sf_dir)).join(F.broadcast(personal), "qid", "left_semi")
+    return flatten.entry_parts(long).select("record_id", "qid", "value")
 
 
 @query("complete_cases", f"with {ORDER_LINES} select order_id, l1, l2, l3 from order_lines where l1 is not null and l2 is not null and l3 is not null")
