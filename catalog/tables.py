@@ -90,19 +90,24 @@ visits as (
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order: combo of return flags on each line number, and 0/1 per (return flag, line status)."""
     lines = table(spark, sf_dir, "lineitem")
-    rows = [
-        F.nullif(F.array_join(F.array_sort(F.collect_set(F.when(F.col("l_linenumber") == k, F.col("l_returnflag")))), "+"), F.lit("")).alias(f"l{k}")
-        for k in LINE_NUMBERS
-    ]
-    cells = [
-        F.max(((F.col("l_returnflag") == flag) & (F.col("l_linestatus") == status)).cast("int")).alias(f"{flag}_{status}")
-        for flag in RETURN_FLAGS for status in LINE_STATUSES
-    ]
-    return lines.groupBy(F.col("l_orderkey").alias("order_id")).agg(
-        *rows, *cells, F.count(F.lit(1)).alias("n_lines"), F.max("l_quantity").alias("top_quantity"),
-        (F.max("l_returnflag") == F.min("l_returnflag")).alias("uniform"),
+    flag, line = F.col("l_returnflag"), F.col("l_linenumber")
+    cells = {
+        f"{code}_{status}": F.max(((flag == code) & (F.col("l_linestatus") == status)).cast("int")) for code in RETURN_FLAGS for status in LINE_STATUSES
+    }
+    # All flags of an order are one sorted set; a set for each line number would cost as many objects an order.
+    marks = F.array_sort(F.collect_set(F.when(flag.isNotNull(), F.struct(line.alias("line"), flag.alias("flag")))))
+    found = lines.groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        marks.alias("marks"), *[cell.alias(name) for name, cell in cells.items()], F.count(F.lit(1)).alias("n_lines"), F.max("l_quantity").alias("top_quantity")
     )
 
+    def combo(number: int) -> Column:
+        here = F.filter("marks", lambda mark: mark["line"] == number)
+        return F.nullif(F.array_join(F.transform(here, lambda mark: mark["flag"]), "+"), F.lit("")).alias(f"l{number}")
+
+    rows = [combo(number) for number in LINE_NUMBERS]
+    uniform = F.array_max(F.col("marks.flag")) == F.array_min(F.col("marks.flag"))
+    return found.select("order_id", *rows, *cells, "n_lines", "top_quantity", uniform.alias("uniform"))
+
 
 ORDER_LINES = f"""
 order_lines as (

@@ -89,19 +89,26 @@ def codebook(contract: Contract, spark, section_of: Callable[[Mapping[str, Any]]
 _CONTAINER = r'"(' + "|".join(A.ENTRY_CONTAINERS) + r')"\s*:\s*\{'
 
 
+_BOXES = "struct<" + ",".join(f"{name}:variant" for name in A.ENTRY_CONTAINERS) + ">"
+_PARTS = "struct<" + ",".join(f"{name}:variant" for name in ("value", "needs_review", *A.ENTRY_METADATA, *A.ENTRY_CONTAINERS)) + ">"
+
+
+def _boxes(entry: Column) -> Column:
+    """An entry's containers in one look, NULL for what is no object."""
+    return F.try_variant_get(entry, "$", _BOXES)
+
+
+def _holds_entries(boxes: Column) -> Column:
+    return reduce(Column.__or__, [boxes[name].isNotNull() for name in A.ENTRY_CONTAINERS])
+
+
 def _nested(path: Column, entry: Column) -> Column:
     """(path, entry) of the entries in an entry's containers."""
-    parts = F.array(*[
-        F.struct(F.lit(name).alias("container"), F.try_variant_get(entry, f"$.{name}", "map<string,variant>").alias("members")) for name in A.ENTRY_CONTAINERS
-    ])
-    return F.flatten(F.transform(
-        F.filter(parts, lambda part: part.members.isNotNull()),
-        lambda part: F.transform(F.map_entries(part.members), lambda item: F.struct(F.concat_ws(".", path, part.container, item.key).alias("path"), item.value.alias("entry"))),
-    ))
-
+    def members(boxes: Column, name: str) -> Column:
+        return F.transform(F.map_entries(A.fields_of(boxes[name])), lambda item: F.struct(F.concat_ws(".", path, F.lit(name), item["key"]).alias("path"), item["value"].alias("entry")))
 
-def _holds_entries(entry: Column) -> Column:
-    return reduce(Column.__or__, [F.try_variant_get(entry, f"$.{name}", "variant").isNotNull() for name in A.ENTRY_CONTAINERS])
+    # The array of one gives the containers a name, so that they are looked up once.
+    return F.flatten(F.flatten(F.transform(F.array(_boxes(entry)), lambda boxes: F.array_compact(F.array(*[members(boxes, name) for name in A.ENTRY_CONTAINERS])))))
 
 
 def answers_long(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -114,7 +121,7 @@ def answers_long(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         "record_id", *keep,
         F.explode(F.try_variant_get(A.path_lookup(F.col("document"), ["answers"]), "$", "map<string,variant>")).alias("qid", "entry"),
     )
-    rows = rows.select("record_id", *keep, "qid", "entry", F.when(_holds_entries(F.col("entry")), _nested(F.col("qid"), F.col("entry"))).alias("_inner"))
+    rows = rows.select("record_id", *keep, "qid", "entry", _nested(F.col("qid"), F.col("entry")).alias("_inner"))
     own = F.array(F.struct(F.col("qid").alias("path"), "entry"))
     levels = F.sequence(F.lit(1), F.greatest(F.regexp_count(F.to_json("entry"), F.lit(_CONTAINER)), F.lit(1)))
 
@@ -123,24 +130,26 @@ def answers_long(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         return F.struct(found.alias("last"), F.concat(walked["all"], found).alias("all"))
 
     walk = F.aggregate(levels, F.struct(F.col("_inner").alias("last"), F.col("_inner").alias("all")), deeper, lambda walked: walked["all"])
-    ends = ~F.exists("_inner", lambda item: _holds_entries(item["entry"]))
-    return rows.select("record_id", *keep, "qid", F.inline(F.when(F.col("_inner").isNull(), own).when(ends, F.concat(own, "_inner")).otherwise(F.concat(own, walk))))
+    ends = ~F.exists(F.transform("_inner", lambda item: _boxes(item["entry"])), lambda boxes: F.coalesce(_holds_entries(boxes), F.lit(False)))
+    return rows.select("record_id", *keep, "qid", F.inline(F.when(F.size("_inner") == 0, own).when(ends, F.concat(own, "_inner")).otherwise(F.concat(own, walk))))
 
 
 def entry_parts(long: DataFrame) -> DataFrame:
     """Typed view of long entries: value text, confidence, flags, note, needs_review. An entry that holds others and has
     no value of its own has none here."""
-    entry = F.col("entry")
-    holds = F.try_variant_get(entry, "$.value", "variant").isNull() & _holds_entries(entry)
-    flags = recode.flags_of(F.try_variant_get(entry, "$.flags", "array<string>"))
-    marked = F.try_variant_get(entry, "$.needs_review", "boolean")
-    return long.select(
-        *[name for name in long.columns if name != "entry"],
-        F.when(~holds, A.cell_join(entry)).alias("value"),
-        F.try_variant_get(entry, "$.confidence", "string").alias("confidence"),
+    kept = [name for name in long.columns if name != "entry"]
+    parts = long.select(*kept, "entry", F.try_variant_get("entry", "$", _PARTS).alias("_parts"))
+    part = lambda name, kind: F.try_variant_get(F.col("_parts")[name], "$", kind)
+    holds = F.col("_parts")["value"].isNull() & _holds_entries(F.col("_parts"))
+    value = F.coalesce(F.col("_parts")["value"], "entry")
+    flags = recode.flags_of(part("flags", "array<string>"))
+    return parts.select(
+        *kept,
+        F.when(~F.coalesce(holds, F.lit(False)), F.coalesce(F.array_join(F.try_variant_get(value, "$", "array<string>"), ";"), F.try_variant_get(value, "$", "string"))).alias("value"),
+        part("confidence", "string").alias("confidence"),
         flags.alias("flags"),
-        F.try_variant_get(entry, "$.note", "string").alias("note"),
-        recode.needs_review(flags, marked).alias("needs_review"),
+        part("note", "string").alias("note"),
+        recode.needs_review(flags, part("needs_review", "boolean")).alias("needs_review"),
     )
 
 
@@ -250,9 +259,10 @@ def densify(long: DataFrame, record_ids: DataFrame, contract: Contract) -> DataF
         F.struct(F.lit(q["id"]).alias("qid"), F.lit(json.dumps(_default_entry(q))).alias("default")) for q in contract.answered_questions
     ])
     slots = record_ids.select("record_id", F.inline(defaults))
-    top = long.filter(F.col("path") == F.col("qid")).select("record_id", "qid", "entry")
+    # Whether an entry is there travels apart from it: who asks for no more shuffles no entries.
+    top = long.filter(F.col("path") == F.col("qid")).select("record_id", "qid", "entry", F.col("entry").isNull().alias("_void"))
     return slots.join(top, ["record_id", "qid"], "left").select(
-        "record_id", "qid", F.coalesce("entry", F.parse_json("default")).alias("entry"), F.col("entry").isNull().alias("was_missing")
+        "record_id", "qid", F.coalesce("entry", F.parse_json("default")).alias("entry"), F.coalesce("_void", F.lit(True)).alias("was_missing")
     )
 
 
