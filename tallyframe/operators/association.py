@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.pvalues import chi2_p, correlation_p, f_p, mann_whitney_p
 from tallyframe.functions.recode import base_question
 from tallyframe.operators.common import kinds_of, lookup, number, require_columns, spread_join, text
-from tallyframe.operators.rank_block import correlation, pair_sums
+from tallyframe.operators.rank_block import block_columns, category_counts, correlation, distinct_records, pair_sums
 from tallyframe.operators.ranks import cumulative_counts, join_ranks, midranks, quantiles, suffix_min
 from tallyframe.plans.policy import NUMERIC_KINDS, VARIABLE_KINDS, Policy
 from tallyframe.sources.dimensions import small_table
@@ -109,8 +109,8 @@ def chi_square(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     )
 
 
-def _cramers(df: DataFrame, pairs: Mapping[int, Pair]) -> DataFrame:
-    table = _chi_square(_counts(_complete_pairs(df, pairs, "text", "text")))
+def _cramers(counts: DataFrame) -> DataFrame:
+    table = _chi_square(counts)
     usable = F.col("df") > 0
     v = F.sqrt(F.col("chi2") / (F.col("n") * (F.least("n_rows", "n_cols") - 1)))
     return table.select(
@@ -122,7 +122,7 @@ def _cramers(df: DataFrame, pairs: Mapping[int, Pair]) -> DataFrame:
 
 def cramers_v(df: DataFrame, pairs: Sequence[Pair]) -> DataFrame:
     indexed = dict(enumerate(pairs))
-    return _named(_cramers(df, indexed), indexed).drop("pair")
+    return _named(_cramers(_counts(_complete_pairs(df, indexed, "text", "text"))), indexed).drop("pair")
 
 
 # ---- number x number ------------------------------------------------------------------------------
@@ -433,14 +433,23 @@ def association_matrix(df: DataFrame, variable_types: Mapping[str, str], policy:
     """One row per variable pair. Result rows number V(V-1)/2 for V declared variables.
 
     Pairs with a number come from one block of ranks (pair_sums, which writes the distinct records to the checkpoint folder
-    first); pairs of categories from their counts, which collapse before they are shuffled."""
+    first); pairs of categories from their counts, taken from the same records, which collapse before they are shuffled."""
     policy = policy or Policy()
     validate_kinds(df, variable_types)
     plan = association_dispatch(variable_types)
     spark = df.sparkSession
-    parts = [_cramers(df, plan["category"])] if plan["category"] else []
-    if plan["numeric"] or plan["mixed"]:
-        parts.append(_from_sums(pair_sums(df, plan["numeric"], plan["mixed"]), p_method))
+    numeric, mixed, category = plan["numeric"], plan["mixed"], plan["category"]
+    parts = []
+    if numeric or mixed:
+        # With a number there, every category is part of a mixed pair, so these records have all of them.
+        numbers, categories = block_columns(numeric, mixed)
+        records = distinct_records(df, numbers, categories)
+        parts.append(_from_sums(pair_sums(df, numeric, mixed, records), p_method))
+        counts = category_counts(records, category, categories) if category else None
+    else:
+        counts = _counts(_complete_pairs(df, category, "text", "text")) if category else None
+    if category:
+        parts.append(_cramers(counts))
     pairs = small_table(
         spark, [(i, a, b) for i, (a, b) in enumerate(combinations(variable_types, 2))],
         "pair int, variable_a string, variable_b string",

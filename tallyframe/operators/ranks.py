@@ -17,7 +17,6 @@ from tallyframe.operators.common import lookup
 LEAST_BUCKETS = 32
 # Sketch entries a boundary.
 SKETCH = 4
-SEARCH_STEP = 32
 HOT_SHARE = 0.01
 SALTS = 256
 
@@ -35,18 +34,13 @@ def _bucketed(counts: DataFrame, bounded: Sequence[str], value: str, n: str, buc
     buckets = buckets or bucket_count(counts)
     # n > 0 always holds; naming n keeps this branch on the shuffle that the other branches read.
     points = F.percentile_approx(F.when(F.col(n) > 0, F.col(value)), [at / buckets for at in range(1, buckets)], SKETCH * buckets)
-    cuts = counts.groupBy(*bounded).agg(F.array_sort(F.array_distinct(points)).alias("_cuts")).withColumn(
-        "_top", F.filter("_cuts", lambda _, i: i % SEARCH_STEP == 0)
-    )
-
-    def below(array: Column) -> Column:
-        return F.size(F.filter(array, lambda cut: cut < F.col(value)))
-
-    # Two short searches instead of one along all the cuts: the stretch of SEARCH_STEP, then the cut in it.
-    placed = lookup(counts, cuts, bounded, how="left").withColumn("_stretch", F.coalesce(below(F.col("_top")), F.lit(0)))
-    start = (F.col("_stretch") - 1) * SEARCH_STEP
-    bucket = F.when(F.col("_stretch") <= 0, 0).otherwise(start + below(F.slice("_cuts", start + 1, F.lit(SEARCH_STEP))))
-    return placed.withColumn("_bucket", bucket).drop("_cuts", "_top", "_stretch")
+    cuts = counts.groupBy(*bounded).agg(F.array_sort(F.array_distinct(points)).alias("_cuts"))
+    placed = lookup(counts, cuts, bounded, how="left").withColumn("_bucket", F.lit(0))
+    # The number of cuts below the value by halving: one column after the other, each a plain expression.
+    for half in range(buckets.bit_length() - 1, -1, -1):
+        step = F.lit(1 << half)
+        placed = placed.withColumn("_bucket", F.col("_bucket") + F.when(F.get("_cuts", F.col("_bucket") + step - 1) < F.col(value), step).otherwise(0))
+    return placed.drop("_cuts")
 
 
 def _offsets(bucketed: DataFrame, keys: Sequence[str], n: str) -> DataFrame:

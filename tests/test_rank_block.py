@@ -87,3 +87,29 @@ def test_more_levels_than_a_task_keeps(spark, monkeypatch):
     df = spark.range(2000).select((F.col("id") % 97).cast("double").alias("x"), (F.col("id") % 300).cast("string").alias("g"))
     found = rows(pair_sums(df, {}, {4: ("x", "g")}))
     assert len(found) == 300 and sum(r["n"] for r in found) == 2000 and abs(sum(r["s1"] for r in found)) < 1e-6
+
+
+@pytest.mark.parametrize("gaps", ["none", "each"])
+def test_numbers_with_many_values_by_either_way(spark, monkeypatch, gaps):
+    """Ranks that are broadcast, joined number by number, or joined to a row for each number of a record are the same."""
+    from tallyframe.operators import rank_block
+
+    df = frame_of(spark, table(11, 300, gaps))
+    numeric, mixed = {0: ("a", "b"), 1: ("a", "d"), 2: ("c", "d")}, {3: ("a", "g"), 4: ("c", "h")}
+
+    def sums(few, joined):
+        monkeypatch.setattr(rank_block, "BROADCAST_VALUES", few)
+        monkeypatch.setattr(rank_block, "JOINED", joined)
+        return {(r["pair"], r["level"]): [r[name] for name in rank_block.SUMS] for r in rows(pair_sums(df, numeric, mixed))}
+
+    expected = sums(10_000, 4)
+    for other in (sums(10, 4), sums(10, 0)):
+        assert other.keys() == expected.keys()
+        assert all(math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-6) for key in expected for x, y in zip(expected[key], other[key]))
+
+
+def test_the_table_is_read_once(spark, tmp_path):
+    """Pairs of categories are counted from the records that the numbers are ranked on."""
+    frame_of(spark, table(13, 100, "each")).write.parquet(str(tmp_path / "t"))
+    matrix = association.association_matrix(spark.read.parquet(str(tmp_path / "t")), KINDS)
+    assert str(tmp_path / "t") not in " ".join(matrix.inputFiles()) and rows(matrix)
