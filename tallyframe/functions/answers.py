@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # Keys of an entry that describe the reading, not the answer.
 ENTRY_METADATA = ("confidence", "flags", "note")
 ENTRY_CONTAINERS = ("components", "rows", "subfield", "derived_subfield")
+#: Opening brackets up to which a value is written from the outside in.
+SHALLOW = 3
 
 
 def _step(name: str) -> str:
@@ -88,14 +90,52 @@ def canonical_value(value: str, ignore: Sequence[str] = ENTRY_METADATA) -> Colum
     Array order and the ignored keys do not matter; null, [] and missing stay distinct, as do 1, "1" and true. A number
     without a fraction is written without one.
 
-    The value is taken apart level by level, and its nodes are put together from the last to the first, so that each finds its members'
-    texts: an array's sorted by text, an object's by key and behind the key's length. Plain expressions; the work is the
-    square of a value's nodes at most."""
+    A value with few brackets is written from the outside in, an array's members sorted by text, an object's by key and behind the
+    key's length. Any other is taken apart level by level, and its nodes are put together from the last to the first, so that
+    each finds its members' texts. Plain expressions; the work is the square of a value's nodes at most."""
     return _canonical(F.col(value), ignore)
 
 
 def _canonical(value: Column, ignore: Sequence[str]) -> Column:
     plain = F.to_json(value)
+    shallow = F.regexp_count(plain, F.lit(r"[\[{]")) <= SHALLOW
+    written = F.transform(F.array(_node(value)), lambda node: _outside_in(node, ignore, SHALLOW))[0]
+    return F.when(value.isNotNull(), F.when(shallow, written).otherwise(_level_by_level(value, plain, ignore)))
+
+
+def _node(value: Column) -> Column:
+    return F.struct(value.alias("value"), F.to_json(value).alias("text"))
+
+
+def _named_node(key: Column, value: Column) -> Column:
+    return F.struct(key.alias("key"), _node(value).alias("node"))
+
+
+def _leaf(text: Column) -> Column:
+    plain = F.coalesce(text, F.lit("null"))
+    return F.when(plain.endswith("0"), F.regexp_replace(plain, r"^(-?[0-9]+)\.0+$", "$1")).otherwise(plain)
+
+
+def _keyed(member: Column) -> Column:
+    return F.concat(F.length(member["key"]).cast("string"), F.lit(":"), member["key"], member["text"])
+
+
+def _outside_in(node: Column, ignore: Sequence[str], levels: int) -> Column:
+    """The canonical text of a node that nests in no more than that many levels. Its JSON text tells what it is."""
+    text = node["text"]
+    if levels <= 0:
+        return _leaf(text)
+    fields, is_map = fields_of(node["value"]), text.startswith("{")
+    kept = F.map_entries(F.map_filter(fields, lambda key, _: ~key.isin(*ignore)) if ignore else fields)
+    items = F.try_variant_get(node["value"], "$", "array<variant>")
+    named = F.when(is_map, F.transform(kept, lambda entry: _named_node(entry["key"], entry["value"]))).otherwise(F.transform(items, lambda item: _named_node(F.lit(""), item)))
+    # One mention of what is inside, for objects and arrays alike: the expression grows with the levels and not with their power.
+    members = F.array_sort(F.transform(named, lambda item: F.struct(item["key"].alias("key"), _outside_in(item["node"], ignore, levels - 1).alias("text"))))
+    joined = F.array_join(F.transform(members, lambda member: F.when(is_map, _keyed(member)).otherwise(member["text"])), ",")
+    return F.when(is_map | text.startswith("["), F.concat(F.substring(text, 1, 1), joined, F.substring(text, -1, 1))).otherwise(_leaf(text))
+
+
+def _level_by_level(value: Column, plain: Column, ignore: Sequence[str]) -> Column:
     root = F.array(F.struct(F.lit("r").alias("path"), F.lit("").alias("parent"), F.lit("").alias("key"), value.alias("value")))
     levels = F.sequence(F.lit(1), F.greatest(F.regexp_count(plain, F.lit(r"[\[{]")), F.lit(1)))
 
@@ -107,16 +147,15 @@ def _canonical(value: Column, ignore: Sequence[str]) -> Column:
 
     def written(done: Column, node: Column) -> Column:
         inner = F.array_sort(F.transform(F.filter(done, lambda other: other["parent"] == node["path"]), lambda other: F.struct(other["key"].alias("key"), other["text"].alias("text"))))
-        keyed = F.transform(inner, lambda item: F.concat(F.length(item["key"]).cast("string"), F.lit(":"), item["key"], item["text"]))
         text = (
-            F.when(is_object(node["value"]), F.concat(F.lit("{"), F.array_join(keyed, ","), F.lit("}")))
+            F.when(is_object(node["value"]), F.concat(F.lit("{"), F.array_join(F.transform(inner, _keyed), ","), F.lit("}")))
             .when(is_array(node["value"]), F.concat(F.lit("["), F.array_join(inner["text"], ","), F.lit("]")))
-            .otherwise(F.regexp_replace(F.coalesce(F.to_json(node["value"]), F.lit("null")), r"^(-?[0-9]+)\.0+$", "$1"))
+            .otherwise(_leaf(F.to_json(node["value"])))
         )
         return F.concat(done, F.array(F.struct(node["parent"].alias("parent"), node["key"].alias("key"), text.alias("text"))))
 
     nothing = F.array().cast("array<struct<parent:string,key:string,text:string>>")
-    return F.when(value.isNotNull(), F.aggregate(nodes, nothing, written, lambda done: F.element_at(done, -1)["text"]))
+    return F.aggregate(nodes, nothing, written, lambda done: F.element_at(done, -1)["text"])
 
 
 def values_equal(left: str, right: str, ignore: Sequence[str] = ENTRY_METADATA) -> Column:

@@ -6,6 +6,7 @@ import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
+from tallyframe.functions import answers as A
 from tallyframe.functions import recode as R
 from tallyframe.operators import flatten, privacy, quality, reconcile
 from tallyframe.plans.analyze import run_analysis
@@ -408,3 +409,22 @@ def test_entries_are_not_shuffled_for_whether_they_are_there(spark):
     plan = dense._jdf.queryExecution().optimizedPlan().toString()
     joined = plan[plan.index("Join"):].splitlines()
     assert "entry#" not in next(line for line in joined if "_void" in line).split(" AS _void")[-1]
+
+
+def test_canonical_text_of_shallow_and_deep_values_is_the_same(spark, monkeypatch):
+    """Values with few brackets are written without the walk over levels, to the same text."""
+    texts = [
+        '{"value":["b","a"],"flags":["x"],"n":10.0}', '{"n":10,"value":["a","b"],"note":null}', '[[2,1],[1,2],{}]', '[]', '{}', 'null', '"10.0"', '10.00', '-0.0', '100', 'true',
+        '{"rows":{"r1":["Q","[{"]}}', '{"a":{"b":{"c":1.50}}}', '{"a":null,"b":[null,"null"]}', '["{","["]', '1e2', '{"k,1:":"x","k":",1:"}', None,
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").select("id", F.parse_json("t").alias("v"))
+
+    def canonical(shallow, ignore):
+        monkeypatch.setattr(A, "SHALLOW", shallow)
+        return {r["id"]: r["c"] for r in df.select("id", A.canonical_value("v", ignore).alias("c")).collect()}
+
+    for ignore in ((), A.ENTRY_METADATA):
+        walked = canonical(-1, ignore)
+        assert canonical(3, ignore) == walked and walked[len(texts) - 1] is None
+    plan = df.select(A.canonical_value("v").alias("c"))._jdf.queryExecution().analyzed().toString()
+    assert "startswith" in plan.lower()
