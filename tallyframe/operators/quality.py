@@ -23,6 +23,8 @@ from tallyframe.sources.dimensions import small_table
 
 FINDING_TYPE = "array<struct<qid:string,path:string,rule:string,detail:string>>"
 MULTI_MARK = "multi_mark_on_single_select"
+#: Type of a value of which only its name counts.
+_LEAF = "array<array<boolean>>"
 # The flags a reader may set itself, for the full and the multiple-choice layout.
 READER_FLAGS = (
     "ambiguous_mark", "needs_review", "multi_mark_on_single_select",
@@ -276,30 +278,36 @@ def _row_content(question) -> str | None:
     return content["code"] if content and not content.get("skip_extraction") else None
 
 
-def _boxes(question) -> list[str]:
-    boxes = list(_containers(question))
-    return boxes + ["subfield"] if _option_subfields(question) and "subfield" not in boxes else boxes
+def _name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _shape(question) -> str:
+    """Type of a question's entry for its completeness: names in the entry, names in its containers and, where rows have
+    content, in the rows. What is no object there is NULL, and nothing below the names is kept."""
+    row = f"map<string,{_LEAF}>" if _row_content(question) else _LEAF
+    return f"map<string,map<string,{row}>>"
 
 
 def _question_findings(question, i: int) -> list[Column]:
     """Completeness rules of one question as arrays of findings, over its prepared columns:
-    _e entry, _m its fields, _m_<container> the fields of a container."""
+    _m the names in its entry and their members, _e the entry itself if it is no object."""
     qid = question["id"]
     entry, fields = F.col(f"_e{i}"), F.col(f"_m{i}")
     usable = fields.isNotNull()
     none = F.array().cast(FINDING_TYPE)
     # One branch per state of the entry, so a well-formed entry is tested once.
     state = (
-        F.when(entry.isNull(), F.array(_finding(qid, qid, "missing_answer")))
+        F.when(usable, none)
+        .when(entry.isNull(), F.array(_finding(qid, qid, "missing_answer")))
         .when(F.is_variant_null(entry), F.array(_finding(qid, qid, "null_entry")))
-        .when(~usable, F.array(_finding(qid, qid, "entry_not_object", F.schema_of_variant(entry))))
-        .otherwise(none)
+        .otherwise(F.array(_finding(qid, qid, "entry_not_object", F.schema_of_variant(entry))))
     )
     out = [state]
     if question["type"] not in ("composite", "matrix", "device_grid"):
         out.append(_when(usable & ~F.map_contains_key(fields, "value"), _finding(qid, qid, "missing_value")))
     for container, names in _containers(question).items():
-        box = F.col(f"_m{i}_{container}")
+        box = F.try_element_at(fields, F.lit(container))
         wanted = F.array(*[F.lit(name) for name in names]).cast("array<string>")
         rule = {"components": "missing_component", "rows": "missing_row"}.get(container, f"missing_{container}")
         lacking = F.array_except(wanted, F.coalesce(F.map_keys(box), F.array().cast("array<string>")))
@@ -308,55 +316,76 @@ def _question_findings(question, i: int) -> list[Column]:
             usable_box = box.isNotNull()
         else:
             usable_box = usable
-        out.append(F.when(usable_box, _each(lacking, qid, f"{qid}.{container}.", rule)).otherwise(none))
+        out.append(F.when(usable_box & (F.size(lacking) > 0), _each(lacking, qid, f"{qid}.{container}.", rule)).otherwise(none))
     content = _row_content(question)
     if content and "rows" in _containers(question):
-        box = F.col(f"_m{i}_rows")
+        box = F.try_element_at(fields, F.lit("rows"))
         for code in _containers(question)["rows"]:
-            row = F.try_element_at(box, F.lit(code))
-            cells = A.fields_of(row)
-            lacking = box.isNotNull() & (row.isNull() | (cells.isNotNull() & ~F.map_contains_key(cells, content)))
+            cells = F.try_element_at(box, F.lit(code))
+            lacking = box.isNotNull() & (~F.map_contains_key(box, code) | (cells.isNotNull() & ~F.map_contains_key(cells, content)))
             out.append(_when(lacking, _finding(qid, f"{qid}.rows.{code}", "missing_row_content", content)))
     for code, part in _option_subfields(question):
-        chosen = F.array_contains(A.text_members(F.try_element_at(fields, F.lit("value"))), code)
-        held = F.coalesce(F.map_contains_key(F.col(f"_m{i}_subfield"), part), F.lit(False))
+        chosen = F.array_contains(F.col(f"_v{i}"), code)
+        held = F.coalesce(F.map_contains_key(F.try_element_at(fields, F.lit("subfield")), part), F.lit(False))
         out.append(_when(usable & F.coalesce(chosen, F.lit(False)) & ~held, _finding(qid, f"{qid}.subfield.{part}", "missing_option_subfield", code)))
     return out
 
 
-def record_completeness(records: DataFrame, contract: Contract) -> DataFrame:
-    """Everything the contract requires and a record lacks. Row-local: one scan, no shuffle.
+def _completeness(records: DataFrame, contract: Contract, *keep: str) -> tuple[DataFrame, Column]:
+    """The records' kept columns with what the rules look at, and the findings over them.
 
-    Entries and their containers are taken apart in selects of their own, once each; the rules above
-    them only look at what was found.
+    One look at the answers takes the names in all entries the contract asks for; only an entry that is no object, and the
+    value of one whose options ask for more, are looked up by themselves.
     """
     asked = list(enumerate(contract.answered_questions))
     notes_for = [question["id"] for question in contract.questions if question.get("per_page")]
-    answers = F.try_variant_get("document", "$.answers", "map<string,variant>")
-    notes = F.try_variant_get("document", "$.page_notes", "map<string,variant>")
-    parts = records.select("record_id", answers.alias("_answers"), notes.alias("_notes"))
-    parts = parts.select("*", *[F.try_element_at("_answers", F.lit(q["id"])).alias(f"_e{i}") for i, q in asked])
-    parts = parts.select("*", *[A.fields_of(F.col(f"_e{i}")).alias(f"_m{i}") for i, _ in asked])
-    parts = parts.select("*", *[
-        A.fields_of(F.try_element_at(f"_m{i}", F.lit(box))).alias(f"_m{i}_{box}") for i, q in asked for box in _boxes(q)
-    ])
+    shape = ",".join(f"{_name(q['id'])}:{_shape(q)}" for _, q in asked)
+    answers = F.try_variant_get("document", "$.answers", f"struct<{shape}>" if asked else f"map<string,{_LEAF}>")
+    notes = F.try_variant_get("document", "$.page_notes", f"map<string,{_LEAF}>")
+    parts = records.select(*keep, "document", answers.alias("_answers"), notes.alias("_notes"))
+
+    def at(question, *path: str) -> Column:
+        return A.path_lookup(F.col("document"), ["answers", question["id"], *path])
+
+    names = {i: F.col("_answers").getField(q["id"]) for i, q in asked}
+    parts = parts.select(
+        *keep, F.col("_answers").isNull().alias("_none"), "_notes", *[names[i].alias(f"_m{i}") for i, _ in asked],
+        *[F.when(names[i].isNull(), at(q)).alias(f"_e{i}") for i, q in asked],
+        *[A.text_members(at(q, "value")).alias(f"_v{i}") for i, q in asked if _option_subfields(q)],
+    )
     none = F.array().cast(FINDING_TYPE)
     per_question = [found for i, question in asked for found in _question_findings(question, i)]
     pages = F.array(*[F.lit(str(page)) for page in range(1, contract.total_pages + 1)])
     for qid in notes_for:
         lacking = F.array_except(pages, F.map_keys("_notes"))
-        per_question.append(F.when(F.col("_notes").isNull(), F.array(_finding(qid, "page_notes", "missing_page_notes"))).otherwise(
-            _each(lacking, qid, "page_notes.", "missing_page_note")
-        ))
-    findings = F.when(F.col("_answers").isNull(), F.array(_finding("", "answers", "missing_answers"))).otherwise(F.concat(*per_question, none))
-    return parts.select("record_id", F.inline(findings))
+        per_question.append(
+            F.when(F.col("_notes").isNull(), F.array(_finding(qid, "page_notes", "missing_page_notes")))
+            .when(F.size(lacking) > 0, _each(lacking, qid, "page_notes.", "missing_page_note")).otherwise(none)
+        )
+    return parts, F.when(F.col("_none"), F.array(_finding("", "answers", "missing_answers"))).otherwise(F.concat(*per_question, none))
 
 
-def validate_records(records: DataFrame, contract: Contract) -> DataFrame:
-    """Findings of scanned records, unreadable ones included; clean records are absent."""
-    from tallyframe.sources.records import corrupt_findings, valid_records
+def _inlined(found: DataFrame) -> DataFrame:
+    """(record_id, _findings) to a row each. Findings are compiled as a column of their own, where the generator would interpret
+    every rule; the coalesce keeps Spark from filtering by them first, which would work them out again."""
+    return found.select("record_id", F.inline(F.coalesce("_findings", F.array().cast(FINDING_TYPE))))
+
+
+def record_completeness(records: DataFrame, contract: Contract) -> DataFrame:
+    """Everything the contract requires and a record lacks. Row-local: one scan, no shuffle."""
+    parts, findings = _completeness(records, contract, "record_id")
+    return _inlined(parts.select("record_id", findings.alias("_findings")))
+
 
-    return record_completeness(valid_records(records), contract).unionByName(corrupt_findings(records))
+def validate_records(records: DataFrame, contract: Contract) -> DataFrame:
+    """Findings of scanned records, unreadable ones included; clean records are absent. One scan: what `corrupt_findings` says
+    of an unreadable record stands in place of its completeness."""
+    parts, findings = _completeness(records, contract, "record_id", "file_name", "error")
+    text = F.lit(None).cast("string")
+    corrupt = F.array(F.struct(text.alias("qid"), text.alias("path"), F.col("error").alias("rule"), F.col("file_name").alias("detail")))
+    name = F.when(F.col("error").isNull(), F.col("record_id")).otherwise(F.coalesce("record_id", "file_name"))
+    found = F.when(F.col("error").isNull(), findings).otherwise(corrupt)
+    return _inlined(parts.select(name.alias("record_id"), found.alias("_findings")))
 
 
 def finding_summary(findings: DataFrame) -> DataFrame:

@@ -428,3 +428,28 @@ def test_canonical_text_of_shallow_and_deep_values_is_the_same(spark, monkeypatc
         assert canonical(3, ignore) == walked and walked[len(texts) - 1] is None
     plan = df.select(A.canonical_value("v").alias("c"))._jdf.queryExecution().analyzed().toString()
     assert "startswith" in plan.lower()
+
+
+def test_validation_reads_the_records_once(spark):
+    contract = Contract({"total_pages": 1, "questions": [
+        {"id": "a`b", "type": "composite", "page": 1, "components": [{"id": "c"}]},
+        {"id": "s", "type": "single_select", "page": 1, "options": [{"code": "x", "subfield": {"id": "why"}}]},
+        {"id": "m", "type": "matrix", "page": 1, "rows": [{"code": "r1"}, {"code": "r2"}], "columns": [{"code": "k"}], "row_content_column": {"code": "text"}},
+        {"id": "n", "page": None, "type": "free_text", "per_page": True},
+    ]})
+    bodies = [
+        '{"record_id":"odd","answers":{"a`b":{"components":null},"s":{"value":["x"]},"m":{"rows":{"r1":null,"r2":{"value":[{"text":1}]}}}},"page_notes":{"1":null}}',
+        '{"record_id":"bare","answers":{"a`b":[1],"s":null,"m":{"rows":[]}},"page_notes":7}',
+        '{"record_id":"none","answers":[]}', '{"record_id":"full","answers":{"a`b":{"components":{"c":null}},"s":{"value":null},"m":{"rows":{"r1":{"text":null},"r2":"t"}}},"page_notes":{"1":{}}}',
+        '{"record_id":"b d"}', '[1]', '{',
+    ]
+    records = scans.parse_records(spark.createDataFrame([(f"f{i}.json", body) for i, body in enumerate(bodies)], "file_name string, value string"))
+    found = quality.validate_records(records, contract)
+    assert sorted(tuple(str(v) for v in row) for row in found.collect()) == sorted([
+        ("odd", "a`b", "a`b.components", "missing_components", ""), ("odd", "s", "s.subfield.why", "missing_option_subfield", "x"), ("odd", "m", "m.rows.r2", "missing_row_content", "text"),
+        ("bare", "a`b", "a`b", "entry_not_object", "ARRAY<BIGINT>"), ("bare", "s", "s", "null_entry", ""), ("bare", "m", "m.rows", "missing_rows", ""), ("bare", "n", "page_notes", "missing_page_notes", ""),
+        ("none", "", "answers", "missing_answers", ""), ("b d", "None", "None", "invalid_record_id", "f4.json"),
+        ("f5", "None", "None", "root_not_object", "f5.json"), ("f6", "None", "None", "unreadable_json", "f6.json"),
+    ])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Generate") == 1
