@@ -89,67 +89,79 @@ def codebook(contract: Contract, spark, section_of: Callable[[Mapping[str, Any]]
 _CONTAINER = r'"(' + "|".join(A.ENTRY_CONTAINERS) + r')"\s*:\s*\{'
 
 
-_BOXES = "struct<" + ",".join(f"{name}:variant" for name in A.ENTRY_CONTAINERS) + ">"
-_PARTS = "struct<" + ",".join(f"{name}:variant" for name in ("value", "needs_review", *A.ENTRY_METADATA, *A.ENTRY_CONTAINERS)) + ">"
+_BOXES = "struct<" + ",".join(f"{name}:map<string,variant>" for name in A.ENTRY_CONTAINERS) + ">"
+_HINTS = "struct<" + ",".join(f"{name}:string" for name in A.ENTRY_CONTAINERS) + ">"
+_INNER_HINTS = "struct<" + ",".join(f"{name}:map<string,{_HINTS}>" for name in A.ENTRY_CONTAINERS) + ">"
+_MEMBERS = "array<struct<key:string,value:variant>>"
 
 
-def _boxes(entry: Column) -> Column:
-    """An entry's containers in one look, NULL for what is no object."""
-    return F.try_variant_get(entry, "$", _BOXES)
+def _nested(path: Column, entry: Column) -> Column:
+    """The entries in an entry's containers, by their path."""
+    def members(boxes: Column, name: str) -> Column:
+        return F.transform(F.map_entries(boxes[name]), lambda item: F.struct(F.concat_ws(".", path, F.lit(name), item["key"]).alias("key"), item["value"].alias("value")))
 
+    # The array of one gives the containers a name, so that they are looked up once.
+    boxes = F.array(F.try_variant_get(entry, "$", _BOXES))
+    return F.flatten(F.flatten(F.transform(boxes, lambda found: F.array_compact(F.array(*[members(found, name) for name in A.ENTRY_CONTAINERS])))))
 
-def _holds_entries(boxes: Column) -> Column:
-    return reduce(Column.__or__, [boxes[name].isNotNull() for name in A.ENTRY_CONTAINERS])
 
+def _deeper(qid: str, entry: str) -> Column:
+    """The entries that are nested in a question's nested entries, by their path, walked level by level: the entries found last
+    give the next ones, in no more levels than containers in the entry's text. NULL if no nested entry has containers."""
+    hints = F.try_variant_get(entry, "$", _INNER_HINTS)
+    inner = [F.map_values(hints[name])[box] for name in A.ENTRY_CONTAINERS for box in A.ENTRY_CONTAINERS]
+    levels = F.sequence(F.lit(1), F.greatest(F.regexp_count(F.to_json(entry), F.lit(_CONTAINER)), F.lit(1)))
 
-def _nested(path: Column, entry: Column) -> Column:
-    """(path, entry) of the entries in an entry's containers."""
-    def members(boxes: Column, name: str) -> Column:
-        return F.transform(F.map_entries(A.fields_of(boxes[name])), lambda item: F.struct(F.concat_ws(".", path, F.lit(name), item["key"]).alias("path"), item["value"].alias("entry")))
+    def deeper(walked: Column, _: Column) -> Column:
+        found = F.flatten(F.transform(walked["last"], lambda item: _nested(item["key"], item["value"])))
+        return F.struct(found.alias("last"), F.concat(walked["all"], found).alias("all"))
 
-    # The array of one gives the containers a name, so that they are looked up once.
-    return F.flatten(F.flatten(F.transform(F.array(_boxes(entry)), lambda boxes: F.array_compact(F.array(*[members(boxes, name) for name in A.ENTRY_CONTAINERS])))))
+    first = _nested(F.col(qid), F.col(entry))
+    walk = F.aggregate(levels, F.struct(first.alias("last"), F.array().cast(_MEMBERS).alias("all")), deeper, lambda walked: walked["all"])
+    return F.when(F.concat_ws("", *inner) != "", walk)
 
 
 def answers_long(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """(record_id, keep..., qid, path, entry VARIANT): every question entry, and the entries nested in its components,
     rows and subfields at any depth; the entry that holds them has a row too. One narrow step, for streams as well.
 
-    An entry without containers is its own only row, and most others end with the entries they hold. Deeper ones are walked level
-    by level: the entries found last give the next ones, in no more levels than containers in the entry's text."""
+    A question's entry and those in its containers are rows of their own by generators alone. Only a question with
+    entries deeper than these is walked level by level."""
     rows = records.select(
         "record_id", *keep,
-        F.explode(F.try_variant_get(A.path_lookup(F.col("document"), ["answers"]), "$", "map<string,variant>")).alias("qid", "entry"),
+        F.explode(F.try_variant_get("document", "$.answers", "map<string,variant>")).alias("qid", "entry"),
     )
-    rows = rows.select("record_id", *keep, "qid", "entry", _nested(F.col("qid"), F.col("entry")).alias("_inner"))
-    own = F.array(F.struct(F.col("qid").alias("path"), "entry"))
-    levels = F.sequence(F.lit(1), F.greatest(F.regexp_count(F.to_json("entry"), F.lit(_CONTAINER)), F.lit(1)))
+    rows = rows.select("record_id", *keep, "qid", "entry", _deeper("qid", "entry").alias("_deep"))
 
-    def deeper(walked: Column, _: Column) -> Column:
-        found = F.flatten(F.transform(walked["last"], lambda item: _nested(item["path"], item["entry"])))
-        return F.struct(found.alias("last"), F.concat(walked["all"], found).alias("all"))
+    def part(box: Column, members: Column) -> Column:
+        return F.struct(box.alias("_box"), members.alias("_members"))
 
-    walk = F.aggregate(levels, F.struct(F.col("_inner").alias("last"), F.col("_inner").alias("all")), deeper, lambda walked: walked["all"])
-    ends = ~F.exists(F.transform("_inner", lambda item: _boxes(item["entry"])), lambda boxes: F.coalesce(_holds_entries(boxes), F.lit(False)))
-    return rows.select("record_id", *keep, "qid", F.inline(F.when(F.size("_inner") == 0, own).when(ends, F.concat(own, "_inner")).otherwise(F.concat(own, walk))))
+    own = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("entry").alias("value")))
+    parts = [part(F.lit(""), own), *[part(F.lit(name), F.map_entries(A.path_lookup(F.col("entry"), [name], "map<string,variant>"))) for name in A.ENTRY_CONTAINERS], part(F.lit(None).cast("string"), F.col("_deep"))]
+    rows = rows.select("record_id", *keep, "qid", F.inline(F.array(*parts)))
+    # The coalesce keeps Spark from working the members out a second time, as a filter.
+    rows = rows.select("record_id", *keep, "qid", "_box", F.inline(F.coalesce("_members", F.array().cast(_MEMBERS))).alias("_key", "entry"))
+    path = F.when(F.col("_box") == "", F.col("qid")).when(F.col("_box").isNull(), F.col("_key")).otherwise(F.concat_ws(".", "qid", "_box", "_key"))
+    return rows.select("record_id", *keep, "qid", path.alias("path"), "entry")
 
 
 def entry_parts(long: DataFrame) -> DataFrame:
     """Typed view of long entries: value text, confidence, flags, note, needs_review. An entry that holds others and has
-    no value of its own has none here."""
+    no value of its own has none here. Parts are looked up one by one: who asks for few pays for few."""
     kept = [name for name in long.columns if name != "entry"]
-    parts = long.select(*kept, "entry", F.try_variant_get("entry", "$", _PARTS).alias("_parts"))
-    part = lambda name, kind: F.try_variant_get(F.col("_parts")[name], "$", kind)
-    holds = F.col("_parts")["value"].isNull() & _holds_entries(F.col("_parts"))
-    value = F.coalesce(F.col("_parts")["value"], "entry")
-    flags = recode.flags_of(part("flags", "array<string>"))
-    return parts.select(
+    part = lambda name, kind="variant": A.path_lookup(F.col("entry"), [name], kind)
+    own = long.select(*kept, "entry", part("value").alias("_value"), part("flags", "array<string>").alias("_flags"), part("needs_review", "boolean").alias("_marked"))
+    holds = F.col("_value").isNull() & reduce(Column.__or__, [part(name).isNotNull() for name in A.ENTRY_CONTAINERS])
+    value = F.coalesce("_value", "entry")
+    flags = recode.flags_of("_flags")
+    return own.select(
         *kept,
-        F.when(~F.coalesce(holds, F.lit(False)), F.coalesce(F.array_join(F.try_variant_get(value, "$", "array<string>"), ";"), F.try_variant_get(value, "$", "string"))).alias("value"),
+        F.when(~holds, F.coalesce(F.array_join(F.try_variant_get(value, "$", "array<string>"), ";"), F.try_variant_get(value, "$", "string"))).alias("value"),
         part("confidence", "string").alias("confidence"),
         flags.alias("flags"),
         part("note", "string").alias("note"),
-        recode.needs_review(flags, part("needs_review", "boolean")).alias("needs_review"),
+        # Repeated flags do not matter here.
+        recode.needs_review("_flags", "_marked").alias("needs_review"),
     )
 
 

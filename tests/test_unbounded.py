@@ -164,3 +164,15 @@ def test_entries_next_to_each_other_and_containers_stay(spark):
     found = {row["path"]: row["value"] for row in rows(flatten.entry_parts(flatten.answers_long(parsed(spark, [("R1", text)]))))}
     assert found["p"] == "7" and found["p.components.a"] == "1" and found["p.components.b"] is None and found["e"] is None and found["s"] == "1;2"
     assert [found[f"p.rows.m{k}"] for k in range(100)] == [str(k) for k in range(100)] and len(found) == 106
+
+
+def test_entries_of_two_levels_come_from_generators_and_parts_one_by_one(spark):
+    """Only a question with deeper entries is walked; a container's text or null is none; what is not asked for is not looked up."""
+    text = '{"answers":{"a":{"rows":{"x.y":{"value":1,"flags":["needs_review"]},"z":{"rows":"no","components":null}}},"b":{"subfield":{"s":{"rows":{"r":{"needs_review":true}}},"t":3}},"c":{"rows":[1]}}}'
+    long = flatten.answers_long(parsed(spark, [("R1", text), ("R2", '{"answers":[{"rows":{"r":1}}]}'), ("R3", '{}')]))
+    seen = flatten.entry_parts(long).select("path", "needs_review")
+    assert sorted(map(tuple, seen.collect())) == [
+        ("a", False), ("a.rows.x.y", True), ("a.rows.z", False), ("b", False), ("b.subfield.s", False), ("b.subfield.s.rows.r", True), ("b.subfield.t", False), ("c", False),
+    ]
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    assert "confidence" not in plan and "_inner" not in plan
