@@ -35,7 +35,9 @@ def parse_records(raw: DataFrame, body: str = "value", file_name: str | None = "
     name = F.col(file_name) if file_name else F.lit(None).cast("string")
     # Readable JSON that opens with a brace is an object; no need to look into the parsed value.
     opens = F.ltrim(body, F.lit(" \t\r\n")).startswith("{")
-    parsed = raw.select(name.alias("file_name"), document.alias("document"), opens.alias("_object"))
+    # Through a generator of one row: filters on what a document holds, such as those of joins on ids, stay behind it
+    # and do not parse, or build, each document once more.
+    parsed = raw.select(F.inline(F.array(F.struct(name.alias("file_name"), document.alias("document"), opens.alias("_object")))))
     record_id = record_id_of(F.col("document"), F.col("file_name") if file_name else None)
     error = (
         F.when(F.col("document").isNull(), "unreadable_json").when(~F.col("_object"), "root_not_object")

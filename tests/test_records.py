@@ -452,4 +452,13 @@ def test_validation_reads_the_records_once(spark):
         ("f5", "None", "None", "root_not_object", "f5.json"), ("f6", "None", "None", "unreadable_json", "f6.json"),
     ])
     plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" not in plan and plan.count("Generate") == 1
+    assert "Union" not in plan and plan.count("parseJson") == 1
+
+
+def test_a_join_on_ids_does_not_parse_again(spark):
+    """The filter that a join puts on ids stays behind the parser."""
+    raw = spark.createDataFrame([('{"record_id":"R1","answers":{"a":{"needs_review":true}}}',)], "value string")
+    counts = quality.needs_review_count(flatten.entry_parts(flatten.answers_long(scans.parse_records(raw, file_name=None))), nested=True)
+    found = spark.createDataFrame([("R1",), ("R2",)], "record_id string").join(counts, "record_id")
+    assert rows(found) == [{"record_id": "R1", "n_needs_review": 1}]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
