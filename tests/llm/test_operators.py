@@ -385,3 +385,17 @@ def test_empty_tables(spark, empty, items):
     assert language.keep_known(empty).count() == 0
     none = turns(spark, [])
     assert preference.preference_turns(none, none).count() == 0
+
+
+def test_strings_of_crowded_seeds_meet_without_a_join_and_cover_one_span(spark):
+    import pyarrow as pa
+
+    contexts = spark.createDataFrame([(3, 1, 10, bytearray(b"xabcdy")), (1, 1, 11, bytearray(b"zabcdy")), (2, 1, 12, bytearray(b"xabcq")), (9, 2, 13, bytearray(b"abcd"))], "doc_id long, hash long, mark long, context binary")
+    found = suffix_dedup._by_strings(contexts, 4)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    runs = {row["mark"]: sorted(tuple(run) for run in row["runs"]) for row in found.collect()}
+    assert runs == {10: [(0, 0, 2), (0, 2, 3), (1, 1, 1), (2, 2, 1)], 11: [(0, 2, 1)], 12: [(0, 1, 2)], 13: [(0, 0, 9)]}
+    kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+    cover = pa.array([[{"a": 90, "b": 99}], [{"a": 5, "b": 9}, {"a": 0, "b": 5}, {"a": 1, "b": 2}, {"a": 11, "b": 12}], [], [{"a": 0, "b": 1}]], kind)
+    assert suffix_dedup._united(cover) == [[(90, 99)], [(0, 9), (11, 12)], [], [(0, 1)]]
+    assert suffix_dedup._united(cover.slice(1, 2)) == [[(0, 9), (11, 12)], []] and suffix_dedup._united(cover.slice(2, 1)) == [[]]
