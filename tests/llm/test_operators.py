@@ -399,3 +399,18 @@ def test_strings_of_crowded_seeds_meet_without_a_join_and_cover_one_span(spark):
     cover = pa.array([[{"a": 90, "b": 99}], [{"a": 5, "b": 9}, {"a": 0, "b": 5}, {"a": 1, "b": 2}, {"a": 11, "b": 12}], [], [{"a": 0, "b": 1}]], kind)
     assert suffix_dedup._united(cover) == [[(90, 99)], [(0, 9), (11, 12)], [], [(0, 1)]]
     assert suffix_dedup._united(cover.slice(1, 2)) == [[(0, 9), (11, 12)], []] and suffix_dedup._united(cover.slice(2, 1)) == [[]]
+
+
+def test_only_the_first_document_of_a_context_asks_for_its_strings(spark):
+    """Later ones are covered; a frequent string's rows scatter."""
+    head, tail = "a seed of many letters in the middle of it all, ", "which goes on and on and on with more letters"
+    rows = [(k, f"{k % 3} {k % 3} {k % 3} " + head + tail) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    roles = {row["doc_id"]: {role & 3 for role in row["roles"]} for row in suffix_dedup.seed_roles(docs, 50, 24, 4).collect()}
+    assert all(found == {suffix_dedup.COVERED} for doc_id, found in roles.items() if doc_id > 2) and suffix_dedup.FIRST in roles[1]
+    found = suffix_dedup.long_repeats(docs, index_texts=1).withColumn("n", F.size("spans").cast("long"))
+    assert by_id(found, "n_bytes", "n_removed", "n", "kept_sha256") == brute.repeats(rows, 50)
+    contexts = spark.createDataFrame([(5, 1, mark, bytearray(b"abcd")) for mark in range(200)] + [(4, 1, 999, bytearray(b"abcd"))], "doc_id long, hash long, mark long, context binary")
+    runs = {row["mark"]: {tuple(run) for run in row["runs"]} for row in suffix_dedup._by_strings(contexts, 4).collect()}
+    assert runs.pop(999) == {(0, 0, 4)} and all(found == {(0, 0, 5), (0, 0, 4)} for found in runs.values())
+    assert "salt" in suffix_dedup._by_strings(contexts, 4)._jdf.queryExecution().optimizedPlan().toString()
