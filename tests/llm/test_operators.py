@@ -414,3 +414,15 @@ def test_only_the_first_document_of_a_context_asks_for_its_strings(spark):
     runs = {row["mark"]: {tuple(run) for run in row["runs"]} for row in suffix_dedup._by_strings(contexts, 4).collect()}
     assert runs.pop(999) == {(0, 0, 4)} and all(found == {(0, 0, 5), (0, 0, 4)} for found in runs.values())
     assert "salt" in suffix_dedup._by_strings(contexts, 4)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_text_that_repeats_a_context_sends_it_once(spark, monkeypatch):
+    """So its seed is not crowded, and its rows do not follow the repeats."""
+    crowded = []
+    by_strings = suffix_dedup._by_strings
+    monkeypatch.setattr(suffix_dedup, "_by_strings", lambda contexts, length: crowded.append(contexts) or by_strings(contexts, length))
+    line = "one very common line that stands in the text again and again, "
+    rows = [(1, line * 200 + "and ends so"), (2, "begins otherwise: " + line * 150), (3, "x " + line + "y")]
+    found = suffix_dedup.long_repeats(spark.createDataFrame(rows, "doc_id long, text string"), index_texts=40).withColumn("n", F.size("spans").cast("long"))
+    assert by_id(found, "n_bytes", "n_removed", "n", "kept_sha256") == brute.repeats(rows, 50)
+    assert crowded[0].count() == 0
