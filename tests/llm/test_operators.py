@@ -373,6 +373,15 @@ def test_every_conversation_makes_a_pair(spark):
     }
 
 
+def test_run_index_of_few_short_texts():
+    import numpy as np
+
+    for texts in ([b"a" * 20 + b"bc"], [b"x" * 33, b"y" * 12 + b"xx"]):
+        owners = np.arange(len(texts)) + 7
+        found = suffix_dedup.RunIndex(texts, owners, 12).earliest()
+        assert [f.tolist() for f in found] == [[7 + k] * (len(t) - 11) for k, t in enumerate(texts)]
+
+
 def test_empty_tables(spark, empty, items):
     assert license_scan.scan_licenses(empty).count() == 0
     assert exact_dedup.exact_groups(empty).count() == 0 and exact_dedup.drop_copies(empty).count() == 0
@@ -426,3 +435,35 @@ def test_a_text_that_repeats_a_context_sends_it_once(spark, monkeypatch):
     found = suffix_dedup.long_repeats(spark.createDataFrame(rows, "doc_id long, text string"), index_texts=40).withColumn("n", F.size("spans").cast("long"))
     assert by_id(found, "n_bytes", "n_removed", "n", "kept_sha256") == brute.repeats(rows, 50)
     assert crowded[0].count() == 0
+
+
+def test_seeds_fall_evenly_into_parts():
+    """Their hashes are the lowest of many, so ranges of the hashes themselves would give the first part most of them."""
+    import numpy as np
+
+    data = np.random.default_rng(4).integers(97, 123, 200_000, dtype=np.uint8)
+    hashes = suffix_dedup.seeds(data, np.array([0, len(data)]), 50, 24)[2]
+    for parts in (12, 85):
+        counts = np.bincount(suffix_dedup._part(hashes, parts), minlength=parts)
+        assert counts.max() < 1.5 * counts.mean() and counts.min() > counts.mean() / 1.5
+
+
+def test_an_index_holds_few_contexts_and_runs_are_right(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    hashes = np.repeat(np.arange(30), 20)
+    owners, marks = rng.permutation(len(hashes)), np.arange(len(hashes))
+    texts = [bytes(rng.integers(97, 99, 5, dtype=np.uint8)) + b"seed%02d" % k + bytes(rng.integers(97, 99, 5, dtype=np.uint8)) for k in hashes]
+    built = []
+    index = suffix_dedup.RunIndex
+    monkeypatch.setattr(suffix_dedup, "RunIndex", lambda part, *rest: built.append(len(part)) or index(part, *rest))
+    for size, sizes in ((50, [40] * 15), (10, [20] * 30), (10_000, [600])):
+        monkeypatch.setattr(suffix_dedup, "INDEX_SIZE", size)
+        built.clear()
+        rows = [row for batch in suffix_dedup._earliest(texts, owners, hashes, marks, 11) for row in batch.to_pylist()]
+        assert built == sizes and [row["mark"] for row in rows] == marks.tolist()
+        for row, text, seed in zip(rows, texts, hashes):
+            least = [min(o for t, o, h in zip(texts, owners, hashes) if h == seed and text[k : k + 11] in t) for k in range(len(text) - 10)]
+            assert [run["first"] for run in row["runs"] for _ in range(run["low"], run["high"] + 1)] == least and row["hash"] == seed
+            assert all(x["first"] != y["first"] and x["high"] + 1 == y["low"] for x, y in zip(row["runs"], row["runs"][1:]))
