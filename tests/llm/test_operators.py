@@ -467,3 +467,21 @@ def test_an_index_holds_few_contexts_and_runs_are_right(monkeypatch):
             least = [min(o for t, o, h in zip(texts, owners, hashes) if h == seed and text[k : k + 11] in t) for k in range(len(text) - 10)]
             assert [run["first"] for run in row["runs"] for _ in range(run["low"], run["high"] + 1)] == least and row["hash"] == seed
             assert all(x["first"] != y["first"] and x["high"] + 1 == y["low"] for x, y in zip(row["runs"], row["runs"][1:]))
+
+
+def test_batches_end_by_what_their_rows_unpack_to(spark):
+    """Packed rows are small, whatever they stand for."""
+    from tallyframe.llm.common import BATCH_BYTES, map_batches
+
+    third = BATCH_BYTES // 3 + 1
+    df = spark.createDataFrame([(k, size) for k, size in enumerate([third] * 5 + [4 * BATCH_BYTES] + [1] * 20)], "id long, size int").coalesce(1)
+    seen = [row["ids"] for row in map_batches(df, lambda batch: [[batch.column("id").to_pylist()]], "ids array<long>", "size").collect()]
+    assert sorted(k for ids in seen for k in ids) == list(range(26))
+    sizes = {row["id"]: row["size"] for row in df.collect()}
+    assert all(len(ids) == 1 or sum(sizes[k] for k in ids) <= BATCH_BYTES for ids in seen)
+
+
+def test_long_texts_of_few_lines(spark):
+    rows = [(k, f"{k} is a text of its own. " + f"a line of {k % 2} that comes again and again, and again, " * (5 + k)) for k in range(12)]
+    found = suffix_dedup.long_repeats(spark.createDataFrame(rows, "doc_id long, text string"), part_bytes=500).withColumn("n", F.size("spans").cast("long"))
+    assert by_id(found, "n_bytes", "n_removed", "n", "kept_sha256") == brute.repeats(rows, 50)
