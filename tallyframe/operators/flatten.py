@@ -263,7 +263,9 @@ def empty_record(contract: Contract) -> dict[str, Any]:
 def densify(long: DataFrame, record_ids: DataFrame, contract: Contract) -> DataFrame:
     """Long entries for every record and question, missing ones filled with the contract's default.
 
-    The questions ride along as a literal array, so the only shuffle is the join on (record_id, qid).
+    The questions ride along as a literal array, so the only shuffle is the join on (record_id, qid). Both sides grow with
+    the survey, yet Spark takes what generators make of a row for no more rows than went in, and would broadcast all entries
+    of large tables. The hint keeps the join sorted and merged.
     """
     import json
 
@@ -273,7 +275,7 @@ def densify(long: DataFrame, record_ids: DataFrame, contract: Contract) -> DataF
     slots = record_ids.select("record_id", F.inline(defaults))
     # Whether an entry is there travels apart from it: who asks for no more shuffles no entries.
     top = long.filter(F.col("path") == F.col("qid")).select("record_id", "qid", "entry", F.col("entry").isNull().alias("_void"))
-    return slots.join(top, ["record_id", "qid"], "left").select(
+    return slots.join(top.hint("merge"), ["record_id", "qid"], "left").select(
         "record_id", "qid", F.coalesce("entry", F.parse_json("default")).alias("entry"), F.coalesce("_void", F.lit(True)).alias("was_missing")
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions import answers as A
 from tallyframe.functions import pvalues
 from tallyframe.operators import flatten, quality, reconcile, structure
+from tallyframe.sources.contract import Contract
 
 
 def parsed(spark, texts, schema="record_id string, text string"):
@@ -176,3 +177,17 @@ def test_entries_of_two_levels_come_from_generators_and_parts_one_by_one(spark):
     ]
     plan = seen._jdf.queryExecution().optimizedPlan().toString()
     assert "confidence" not in plan and "_inner" not in plan
+
+
+def test_long_entries_are_not_broadcast(spark, tmp_path):
+    """What generators make of a row counts for Spark as one row, so the entries of large tables look small enough to broadcast."""
+    contract = Contract({"schema_version": "1", "total_pages": 1, "questions": [{"id": name, "page": 1, "type": "text"} for name in ("a", "b")]})
+    texts = [("R1", '{"answers":{"a":{"value":"x"}}}'), ("R2", '{"answers":{"a":null,"b":{"value":null}}}'), ("R3", "{}")]
+    spark.createDataFrame(texts, "record_id string, text string").write.parquet(f"{tmp_path}/texts")
+    records = spark.read.parquet(f"{tmp_path}/texts").select("record_id", F.parse_json("text").alias("document"))
+    dense = flatten.densify(flatten.answers_long(records), records, contract)
+    plan = dense._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert [(r["record_id"], r["qid"], r["was_missing"]) for r in rows(dense.select("record_id", "qid", "was_missing"), "record_id", "qid")] == [
+        ("R1", "a", False), ("R1", "b", True), ("R2", "a", False), ("R2", "b", False), ("R3", "a", True), ("R3", "b", True),
+    ]
