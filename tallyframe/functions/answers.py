@@ -93,22 +93,32 @@ def canonical_value(value: str, ignore: Sequence[str] = ENTRY_METADATA) -> Colum
     A value with few brackets is written from the outside in, an array's members sorted by text, an object's by key and behind the
     key's length. Any other is taken apart level by level, and its nodes are put together from the last to the first, so that
     each finds its members' texts. Plain expressions; the work is the square of a value's nodes at most."""
-    return _canonical(F.col(value), ignore)
+    found = F.transform(F.array(_part(F.col(value), ignore)), lambda part: _texted(part, ignore))
+    return F.transform(found, lambda side: F.when(side["text"].isNotNull(), _canonical(side, ignore)))[0]
 
 
-def _canonical(value: Column, ignore: Sequence[str]) -> Column:
-    plain = F.to_json(value)
-    shallow = F.regexp_count(plain, F.lit(r"[\[{]")) <= SHALLOW
-    written = F.transform(F.array(_node(value)), lambda node: _outside_in(node, ignore, SHALLOW))[0]
-    return F.when(value.isNotNull(), F.when(shallow, written).otherwise(_level_by_level(value, plain, ignore)))
+def _part(value: Column, ignore: Sequence[str]) -> Column:
+    """A value, with its members by key if it is an object, without the ignored ones, and by place if it is an array."""
+    fields = fields_of(value)
+    kept = F.map_filter(fields, lambda key, _: ~key.isin(*ignore)) if ignore else fields
+    return F.struct(value.alias("value"), kept.alias("fields"), F.try_variant_get(value, "$", "array<variant>").alias("items"))
 
 
-def _node(value: Column) -> Column:
-    return F.struct(value.alias("value"), F.to_json(value).alias("text"))
+def _texted(part: Column, ignore: Sequence[str]) -> Column:
+    """A part beside the JSON text of its value, an object's without the ignored members."""
+    text = F.to_json(part["value"])
+    return F.struct(part.alias("part"), (F.when(part["fields"].isNotNull(), F.to_json(part["fields"])).otherwise(text) if ignore else text).alias("text"))
 
 
-def _named_node(key: Column, value: Column) -> Column:
-    return F.struct(key.alias("key"), _node(value).alias("node"))
+def _canonical(side: Column, ignore: Sequence[str]) -> Column:
+    text = side["text"]
+    shallow = F.regexp_count(text, F.lit(r"[\[{]")) <= SHALLOW
+    written = F.when(_holds(text), _outside_in(side["part"], ignore, SHALLOW)).otherwise(_leaf(text))
+    return F.when(shallow, written).otherwise(_level_by_level(side["part"]["value"], text, ignore))
+
+
+def _holds(text: Column) -> Column:
+    return text.startswith("{") | text.startswith("[")
 
 
 def _leaf(text: Column) -> Column:
@@ -120,19 +130,23 @@ def _keyed(member: Column) -> Column:
     return F.concat(F.length(member["key"]).cast("string"), F.lit(":"), member["key"], member["text"])
 
 
-def _outside_in(node: Column, ignore: Sequence[str], levels: int) -> Column:
-    """The canonical text of a node that nests in no more than that many levels. Its JSON text tells what it is."""
-    text = node["text"]
-    if levels <= 0:
-        return _leaf(text)
-    fields, is_map = fields_of(node["value"]), text.startswith("{")
-    kept = F.map_entries(F.map_filter(fields, lambda key, _: ~key.isin(*ignore)) if ignore else fields)
-    items = F.try_variant_get(node["value"], "$", "array<variant>")
-    named = F.when(is_map, F.transform(kept, lambda entry: _named_node(entry["key"], entry["value"]))).otherwise(F.transform(items, lambda item: _named_node(F.lit(""), item)))
+def _outside_in(part: Column, ignore: Sequence[str], levels: int) -> Column:
+    """The canonical text of an object or array that nests in no more than that many levels."""
+    is_map = part["fields"].isNotNull()
+    named = F.coalesce(F.map_entries(part["fields"]), F.transform(part["items"], lambda item: F.struct(F.lit("").alias("key"), item.alias("value"))))
+    nodes = F.transform(named, lambda item: F.struct(item["key"].alias("key"), item["value"].alias("value"), F.to_json(item["value"]).alias("text")))
+
+    def inner(node: Column) -> Column:
+        if levels <= 1:
+            return _leaf(node["text"])
+        # The array of one gives the part a name, so that it is taken once.
+        inside = F.transform(F.array(_part(node["value"], ignore)), lambda found: _outside_in(found, ignore, levels - 1))[0]
+        return F.when(_holds(node["text"]), inside).otherwise(_leaf(node["text"]))
+
     # One mention of what is inside, for objects and arrays alike: the expression grows with the levels and not with their power.
-    members = F.array_sort(F.transform(named, lambda item: F.struct(item["key"].alias("key"), _outside_in(item["node"], ignore, levels - 1).alias("text"))))
+    members = F.sort_array(F.transform(nodes, lambda node: F.struct(node["key"].alias("key"), inner(node).alias("text"))))
     joined = F.array_join(F.transform(members, lambda member: F.when(is_map, _keyed(member)).otherwise(member["text"])), ",")
-    return F.when(is_map | text.startswith("["), F.concat(F.substring(text, 1, 1), joined, F.substring(text, -1, 1))).otherwise(_leaf(text))
+    return F.concat(F.when(is_map, "{").otherwise("["), joined, F.when(is_map, "}").otherwise("]"))
 
 
 def _level_by_level(value: Column, plain: Column, ignore: Sequence[str]) -> Column:
@@ -159,8 +173,18 @@ def _level_by_level(value: Column, plain: Column, ignore: Sequence[str]) -> Colu
 
 
 def values_equal(left: str, right: str, ignore: Sequence[str] = ENTRY_METADATA) -> Column:
-    """Texts that agree as written are equal; only the others are brought to canonical form."""
-    one, two = F.to_json(left), F.to_json(right)
-    written = one.eqNullSafe(two)
-    compared = F.when(one.isNotNull() & two.isNotNull(), _canonical(F.col(left), ignore) == _canonical(F.col(right), ignore))
-    return F.when(written, F.lit(True)).otherwise(F.coalesce(compared, F.lit(False)))
+    """Texts that agree as written, but for the ignored members, are equal. Of the others only those that may still be equal are
+    brought to canonical form: it differs from the text by the order of an array's members, the ignored members of inner
+    objects and numbers with a fraction of zero."""
+    found = F.transform(F.array(_part(F.col(left), ignore), _part(F.col(right), ignore)), lambda part: _texted(part, ignore))
+
+    def judged(sides: Column) -> Column:
+        one, two = sides[0]["text"], sides[1]["text"]
+        both = F.concat(one, two)
+        # Another order leaves a text as long as it was.
+        lasting = (F.locate("{", F.substring(one, 2, 2**31 - 1)) == 0) & (F.locate("{", F.substring(two, 2, 2**31 - 1)) == 0) & ~both.contains(".0")
+        apart = lasting & ((F.length(one) != F.length(two)) | ~both.contains("["))
+        same = F.size(F.array_distinct(F.transform(sides, lambda side: _canonical(side, ignore)))) == 1
+        return F.when(one.eqNullSafe(two), True).when(both.isNull() | apart, False).otherwise(same)
+
+    return F.transform(F.array(found), judged)[0]

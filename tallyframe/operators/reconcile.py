@@ -47,9 +47,9 @@ def double_read_merge(reads: DataFrame, keys: Sequence[str] = READ_KEYS) -> Data
 
     error names the read that is missing or repeated; such a key has no match. Array order and reading metadata do not count as differences.
     """
-    pair = _both_reads(reads, keys)
-    complete = F.col("error").isNull()
-    match = A.values_equal("entry_1", "entry_2")
+    # A column of its own: it is worked out once, however often it is asked for.
+    pair = _both_reads(reads, keys).withColumn("_match", A.values_equal("entry_1", "entry_2"))
+    complete, match = F.col("error").isNull(), F.col("_match")
     differs = complete & ~match
     flags = recode.add_flag(_flags("entry_1"), recode.REVIEW_FLAG, differs)
     note = F.try_variant_get("entry_1", "$.note", "string")

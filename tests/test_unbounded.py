@@ -191,3 +191,28 @@ def test_long_entries_are_not_broadcast(spark, tmp_path):
     assert [(r["record_id"], r["qid"], r["was_missing"]) for r in rows(dense.select("record_id", "qid", "was_missing"), "record_id", "qid")] == [
         ("R1", "a", False), ("R1", "b", True), ("R2", "a", False), ("R2", "b", False), ("R3", "a", True), ("R3", "b", True),
     ]
+
+
+def test_two_reads_are_compared_once(spark):
+    """The comparison is the dear part of a merge: every column that depends on it takes it from one place."""
+    reads = spark.createDataFrame([("a", 1, "q", 1, '{"value":["x","y"],"note":"n"}'), ("a", 1, "q", 2, '{"value":["y","x"]}'), ("b", 1, "q", 1, '{"value":["xy","z"]}'), ("b", 1, "q", 2, '{"value":["x","yz"]}')],
+                                  "record_id string, page int, qid string, read_no int, body string")
+    merged = reconcile.double_read_merge(reads.select("record_id", "page", "qid", "read_no", F.parse_json("body").alias("entry")))
+    pair = spark.createDataFrame([("1", "2")], "a string, b string").select(F.parse_json("a").alias("a"), F.parse_json("b").alias("b"))
+
+    def filters(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("map_filter(")
+
+    assert filters(merged) == filters(pair.select(A.values_equal("a", "b").alias("same")))
+    assert [(r["record_id"], r["reads_match"], r["confidence"], r["flags"], r["note"], r["needs_review"]) for r in rows(merged, "record_id")] == [
+        ("a", True, None, [], "n", False), ("b", False, "low", ["needs_review"], reconcile.MISMATCH_NOTE, True),
+    ]
+
+
+def test_texts_of_one_length_and_numbers_are_still_compared(spark):
+    """Only what cannot be equal is told apart by its text."""
+    same = [('{"value":["ab","c"],"note":"x"}', '{"value":["c","ab"]}'), ('{"value":1.0}', '{"value":1}'), ('[1,2]', '[2,1]'), ('{"value":{"a":1,"flags":[]}}', '{"value":{"a":1}}'), ('{"value":[[1,2],3]}', '{"value":[3,[2,1]]}')]
+    other = [('{"value":["ab","c"]}', '{"value":["a","bc"]}'), ('{"value":"1.0"}', '{"value":1}'), ('{"value":"a"}', '{"value":"b"}'), ('{"value":"[1"}', '{"value":"1["}'), ('{"value":[1]}', '{"value":1}'), ('{"value":null}', '{}'), ('[]', '{}')]
+    df = spark.createDataFrame([(a, b, want) for want, pairs in ((True, same), (False, other)) for a, b in pairs], "x string, y string, want boolean")
+    got = df.select("x", "y", F.parse_json("x").alias("a"), F.parse_json("y").alias("b"), "want").where(A.values_equal("a", "b") != F.col("want"))
+    assert rows(got.select("x", "y")) == []
